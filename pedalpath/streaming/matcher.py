@@ -13,6 +13,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from ..config import DEFAULT, PathConfig
 from ..functions.shedding import shed_trips
 from ..schemas import MATCH
+from ..session import ship_package
 
 _STATE = ("starts array<bigint>, ends array<bigint>, started array<bigint>, ended array<bigint>, "
           "last_ts bigint, last_end bigint")
@@ -100,6 +101,7 @@ def hot_path_stream(trips: DataFrame, cfg: PathConfig = DEFAULT, order: str = "t
     """
     if cfg.min_a < 1:
         raise ValueError("the online matcher needs at least one trip before the final one")
+    ship_package(trips.sparkSession)
     if "active" not in trips.columns:
         trips = trips.withColumn("active", F.lit(False))
     # Trips that end before they start belong to the reject table, as in batch.

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..config import DEFAULT, PathConfig
+from ..session import ship_package
 
 
 def latency_stream(samples: DataFrame, cfg: PathConfig = DEFAULT, delay: str = "10 seconds") -> DataFrame:
@@ -38,6 +39,7 @@ def _switch(cfg: PathConfig):
 
 def overload_stream(polls: DataFrame, cfg: PathConfig = DEFAULT) -> DataFrame:
     """The overload switch over a stream of polls: one small counter of state per shard."""
+    ship_package(polls.sparkSession)
     return polls.select("shard", "ts", "pending").groupBy("shard").applyInPandasWithState(
         _switch(cfg), "shard int, ts timestamp, pending bigint, status int, active boolean",
         "status int", "append", GroupStateTimeout.NoTimeout)
