@@ -67,6 +67,8 @@ class PathConfig:
     watermark: str = "24 hours"
     # scale: a key with more rows than this is processed in ordered pieces
     max_group_rows: int = 1_000_000
+    # a key with more rows than this lists its chains by position instead of window frames
+    max_frame_rows: int = 20_000
     max_pieces: int = 20_000
 
     def __post_init__(self) -> None:
@@ -85,7 +87,7 @@ class PathConfig:
         lower_bounds = {
             "window_ms": 0, "n_shards": 1, "min_a": 0, "dedupe_ttl_ms": 0, "shed_keep_last_n": 0,
             "shed_drop_k": 0, "shed_window_ms": 0, "slow_threshold_ms": 0, "detail_sample": 0,
-            "latency_bucket_s": 1, "status_cap": 1, "max_group_rows": 1, "max_pieces": 1,
+            "latency_bucket_s": 1, "status_cap": 1, "max_group_rows": 1, "max_pieces": 1, "max_frame_rows": 1,
             "rows_per_trigger_files": 1,
         }
         for name, low in lower_bounds.items():

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import deque
+
 from pyspark.sql import Column, functions as F
 
 from ..config import DEFAULT, PathConfig, normal_policy
@@ -27,14 +29,14 @@ def _newest(chain: Column, n: int) -> Column:
     return F.slice(chain, F.greatest(F.size(chain) - F.lit(n - 1), F.lit(1)), n)
 
 
-def shed_trips(chain: list, last_ts_ms: int, cfg: PathConfig) -> list:
-    """The same on a list of (start, end, started, ended), for the stateful matcher."""
+def shed_trips(chain: deque, last_ts_ms: int, cfg: PathConfig) -> None:
+    """The same, in place, on a deque of (start, end, started, ended) for the stateful matcher."""
+    keep = len(chain)
     if cfg.shed_policy == "drop_oldest":
-        return chain[-max(cfg.shed_keep_last_n, 1):]
-    if cfg.shed_policy == "drop_k":
-        return chain[cfg.shed_drop_k:]
-    if cfg.shed_policy == "shrink_window":
-        if cfg.shed_window_ms == 0:
-            return chain[-1:]
-        return [t for t in chain if t[2] >= last_ts_ms - cfg.shed_window_ms]
-    return chain
+        keep = max(cfg.shed_keep_last_n, 1)
+    elif cfg.shed_policy == "drop_k":
+        keep = len(chain) - cfg.shed_drop_k
+    elif cfg.shed_policy == "shrink_window":
+        keep = 1 if cfg.shed_window_ms == 0 else sum(t[2] >= last_ts_ms - cfg.shed_window_ms for t in chain)
+    while chain and len(chain) > keep:
+        chain.popleft()

@@ -148,15 +148,20 @@ def placed_hot_paths(trips: DataFrame, mode: str = "longest", overlap: str | Non
                      method: str = "auto") -> DataFrame:
     """Match records with ``a_pos`` and ``b_pos``, the places of the two end trips in the bike's order."""
     trips, hot = _prepared(trips, mode, overlap, order, cfg, hot)
-
-    def compute(o: Ordered) -> DataFrame:
-        if mode == "longest":
-            return _longest(o, cfg)
-        if o.pieces or method == "join":
-            return _all_by_join(o, cfg)
-        return _all_by_frame(o, cfg)
-
-    return by_key(trips, BIKE, TIME_ORDER, hot, compute, cfg)
+    if mode == "longest":
+        return by_key(trips, BIKE, TIME_ORDER, hot, lambda o: _longest(o, cfg), cfg)
+
+    def by_join(rows: DataFrame) -> DataFrame:
+        return by_key(rows, BIKE, TIME_ORDER, hot, lambda o: _all_by_join(o, cfg), cfg)
+
+    if method == "join":
+        return by_join(trips)
+    # A frame costs its length at every trip, so it is for bikes whose frames are short at any density.
+    few = trips if hot.dense is None else trips.join(hot.dense, BIKE, "left_anti")
+    matches = _all_by_frame(Ordered(few, (BIKE,), tuple(TIME_ORDER), limit=cfg), cfg)
+    if hot.dense is None:
+        return matches
+    return matches.unionByName(by_join(trips.join(hot.dense, BIKE, "left_semi")))
 
 
 def hot_paths(trips: DataFrame, mode: str = "longest", overlap: str | None = None, order: str = "time",

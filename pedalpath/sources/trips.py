@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.scalar import decode_text, month_of_folder
 from ..schemas import RAW_TRIP, WIRE_TRIP
@@ -12,6 +14,11 @@ BIKE_COLUMNS = ("Bike ID", "bike_id", "bikeid", "BikeID", "bike", "Bike", "Bike
 
 # Room for the place inside one file; the rest of the 63 bits numbers the files.
 _PLACE_BITS = 44
+_SCHEME = r"^[a-z0-9]+:/+(?=[^/])"
+
+
+def _unlisted() -> Column:
+    return F.raise_error(F.concat(F.lit("not in the file listing: "), F.col("_file"))).cast("bigint")
 
 
 def find_bike_column(columns: list[str]) -> str:
@@ -31,15 +38,16 @@ def _with_file_order(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    placed = df.select("*", F.col("_metadata.file_path").alias("_file"),
+    # Listings write the scheme as file:/ or file:///; the path after it is the same.
+    file = F.regexp_replace(F.col("_metadata.file_path"), _SCHEME, "/")
+    placed = df.select("*", file.alias("_file"),
                        (F.col("_metadata.file_block_start") + row).alias("_place"))
-    files = sorted(df.inputFiles())
+    files = sorted(re.sub(_SCHEME, "/", f) for f in df.inputFiles())
     if len(files) <= 1:
         return placed.withColumn("trip_seq", F.col("_place")).drop("_place")
     numbers = spark.createDataFrame([(f, i) for i, f in enumerate(files)], "_file string, _no bigint")
     return (placed.join(numbers, "_file", "left")
-            .withColumn("trip_seq", F.shiftleft(F.coalesce(F.col("_no"), F.lit(len(files)).cast("bigint")),
-                                                _PLACE_BITS) + F.col("_place"))
+            .withColumn("trip_seq", F.shiftleft(F.coalesce(F.col("_no"), _unlisted()), _PLACE_BITS) + F.col("_place"))
             .drop("_no", "_place"))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,32 +25,29 @@ def is_hot(station: int, cfg: PathConfig) -> bool:
     return (station % 10 if cfg.hot_mode == "last_digit" else station) in cfg.hot
 
 
-def advance(chain: list | None, last_ts: int, last_end: int, trip: tuple, active: bool, cfg: PathConfig):
+def advance(chain: deque | None, last_ts: int, last_end: int, trip: tuple, active: bool, cfg: PathConfig):
     """One trip against a bike's chain: (chain, last_ts, last_end, match or None).
 
     ``trip`` and the chain's entries are (start, end, started, ended). A match is (first start, last
-    chain end, final end, first time, final end time, length).
+    chain end, final end, first time, final end time, length). The chain may be changed in place.
     """
     start, end, started, ended = trip
-    fresh = [trip], ended, end, None
     if chain is None:
-        return fresh
+        return deque([trip]), ended, end, None
     if active:
-        chain = shed_trips(chain, last_ts, cfg)
+        shed_trips(chain, last_ts, cfg)
     if started < last_ts:
         return chain, last_ts, last_end, None
-    gone = 0
-    while gone < len(chain) and chain[gone][2] < ended - cfg.window_ms:
-        gone += 1
-    chain = chain[gone:]
+    while chain and chain[0][2] < ended - cfg.window_ms:
+        chain.popleft()
     if not chain or start != last_end:
-        return fresh
+        return deque([trip]), ended, end, None
     match = None
     if len(chain) >= cfg.min_a and is_hot(end, cfg):
         match = (chain[0][0], last_end, end, chain[0][2], ended, len(chain))
-    chain = chain + [trip]
-    if cfg.max_chain is not None:
-        chain = chain[-cfg.max_chain:]
+    chain.append(trip)
+    if cfg.max_chain is not None and len(chain) > cfg.max_chain:
+        chain.popleft()
     return chain, ended, end, match
 
 
@@ -70,7 +68,7 @@ def _bike_batch(cfg: PathConfig, order: str, emit_ts_ms: int | None):
         chain, last_ts, last_end = None, 0, 0
         if state.exists:
             starts, ends, started, ended, last_ts, last_end = state.get
-            chain = list(zip(map(int, starts), map(int, ends), map(int, started), map(int, ended)))
+            chain = deque(zip(map(int, starts), map(int, ends), map(int, started), map(int, ended)))
             last_ts, last_end = int(last_ts), int(last_end)
         found = []
         columns = [rows[f][turn].tolist() for f in _FIELDS]
