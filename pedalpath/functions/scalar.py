@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 # Text that ends in a zone: Z, +hh, +hhmm or +hh:mm after a time of day.
-_ZONED = r"(Z|z|:\d{2}(\.\d+)?\s*[+-]\d{2}(:?\d{2})?)$"
+_ZONED = r":\d{2}(\.\d+)?\s*([Zz]|[+-]\d{2}(:?\d{2})?)$"
 
 
 def _col(c: Column | str) -> Column:
@@ -14,8 +14,7 @@ def _col(c: Column | str) -> Column:
 
 def parse_int(c: Column | str) -> Column:
     """Whole number in text; anything else, ``3226.0`` included, is null."""
-    text = F.trim(_col(c).cast("string"))
-    return F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("bigint"))
+    return F.trim(_col(c).cast("string")).try_cast("bigint")
 
 
 def parse_number(c: Column | str) -> Column:
@@ -26,12 +25,14 @@ def parse_number(c: Column | str) -> Column:
     return F.coalesce(parse_int(c), F.when(whole.cast("double") == number, whole))
 
 
-def parse_time(c: Column | str) -> Column:
-    """Timestamp in text. Without a zone it is UTC, whatever the session's zone; null if unreadable."""
+def parse_time_ms(c: Column | str) -> Column:
+    """Epoch milliseconds of a time in text; without a zone it is UTC, whatever the session's zone.
+
+    Null if unreadable. Text without a zone is read as a civil time, which looks no zone up.
+    """
     text = F.trim(_col(c).cast("string"))
-    dated = F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.concat(text, F.lit(" 00:00:00"))).otherwise(text)
-    zoned = F.when(dated.rlike(_ZONED), dated).otherwise(F.concat(dated, F.lit("Z")))
-    return zoned.try_cast("timestamp")
+    return F.when(text.rlike(_ZONED), F.unix_millis(text.try_cast("timestamp"))) \
+        .otherwise(ntz_epoch_ms(text.try_cast("timestamp_ntz")))
 
 
 def epoch_ms(c: Column | str) -> Column:

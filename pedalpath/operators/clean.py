@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.scalar import epoch_ms, now_ms, parse_int, parse_number, parse_time, shard_of
+from ..functions.scalar import now_ms, parse_int, parse_number, parse_time_ms, shard_of
 from ..sources.trips import find_bike_column
 
 # Our name -> raw name (fixed values). The bike column is found by name.
@@ -37,8 +37,8 @@ def judge_trips(raw: DataFrame, id_parse: str = "strict", bike_column: str | Non
         "bike_id",
         station("start_station_id").alias("start_station_id"),
         station("end_station_id").alias("end_station_id"),
-        epoch_ms(parse_time("started_at")).alias("started_at_ms"),
-        epoch_ms(parse_time("ended_at")).alias("ended_at_ms"),
+        parse_time_ms("started_at").alias("started_at_ms"),
+        parse_time_ms("ended_at").alias("ended_at_ms"),
         "trip_seq",
     )
     return typed.withColumn("reject_reason", reject_reason())

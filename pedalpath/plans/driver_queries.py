@@ -221,7 +221,7 @@ def parsed_ids(spark, sf):
     raw = _messy(_events(spark, sf))
     return raw.select("trip_seq", scalar.parse_int("Start Station ID").alias("strict_id"),
                       scalar.parse_number("Start Station ID").alias("numeric_id"),
-                      scalar.epoch_ms(scalar.parse_time("Start Time")).alias("start_ms"))
+                      scalar.parse_time_ms("Start Time").alias("start_ms"))
 
 
 def typed_bikes(spark, sf):

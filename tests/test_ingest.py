@@ -92,7 +92,7 @@ def test_parse_time_ignores_session_zone(spark):
     old = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
-        got = [r[0] for r in df.select(scalar.epoch_ms(scalar.parse_time("t"))).collect()]
+        got = [r[0] for r in df.select(scalar.parse_time_ms("t")).collect()]
         local = spark.range(1).select(scalar.local_time(F.lit(1483228800000), "Europe/Helsinki")).first()[0]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
