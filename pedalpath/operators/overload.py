@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import DEFAULT, HOUR_MS, PathConfig
-from .ordered import Ordered, by_key, find_hot_keys, neighbour, running
+from .ordered import HotKeys, Ordered, by_key, find_hot_keys, neighbour, running
 
 # Entries folded in one array.
 _FOLD = 512
@@ -29,7 +29,7 @@ def _states(items: Column, start: Column, step) -> Column:
     return F.aggregate(items, F.array(start), lambda acc, x: F.array_append(acc, step(F.element_at(acc, -1), x)))
 
 
-def overload_switch(polls: DataFrame, cfg: PathConfig = DEFAULT) -> DataFrame:
+def overload_switch(polls: DataFrame, cfg: PathConfig = DEFAULT, hot: HotKeys | None = None) -> DataFrame:
     """Status 0..cap per shard and poll, +1 over the threshold and -1 otherwise, and the flag.
 
     A clamped walk is not a plain running sum, but over a stretch of polls it is a small table from
@@ -37,7 +37,7 @@ def overload_switch(polls: DataFrame, cfg: PathConfig = DEFAULT) -> DataFrame:
     the start statuses flow back down, so no array outgrows 512 entries for 130 million polls a shard.
     """
     cap = cfg.status_cap
-    hot = find_hot_keys(polls, "shard", cfg)
+    hot = find_hot_keys(polls, "shard", cfg) if hot is None else hot
     placed = by_key(polls.select("shard", "ts", "pending"), "shard", ["ts"], hot,
                     lambda o: running(o, pos=("sum", F.lit(1).cast("bigint"))).rows(), cfg)
     part = F.floor((F.col("pos") - 1) / _FOLD)
@@ -79,10 +79,10 @@ def shed_flags(switch: DataFrame) -> DataFrame:
     return switch.select("shard", "ts", "active")
 
 
-def flag_intervals(flags: DataFrame, cfg: PathConfig = DEFAULT) -> DataFrame:
+def flag_intervals(flags: DataFrame, cfg: PathConfig = DEFAULT, hot: HotKeys | None = None) -> DataFrame:
     """Stretches (shard, from_ms, to_ms, active) between changes; the last of a shard has no end."""
     marked = flags.select("shard", F.unix_millis(F.col("ts").cast("timestamp")).alias("from_ms"), "active")
-    hot = find_hot_keys(marked, "shard", cfg)
+    hot = find_hot_keys(marked, "shard", cfg) if hot is None else hot
 
     def stretches(o: Ordered) -> DataFrame:
         o = neighbour(o, "_b", ["active"])
@@ -99,14 +99,14 @@ def flag_intervals(flags: DataFrame, cfg: PathConfig = DEFAULT) -> DataFrame:
 
 
 def attach_flag(trips: DataFrame, flags: DataFrame, at: str = "started_at_ms", cfg: PathConfig = DEFAULT,
-                bucket_ms: int = HOUR_MS) -> DataFrame:
+                bucket_ms: int = HOUR_MS, hot: HotKeys | None = None) -> DataFrame:
     """Trips with the flag in force in their shard at their time, false before the first flag.
 
     Stretches are listed under every time bucket they touch, so the as-of lookup is an equi-join on
     (shard, bucket); each trip meets at most one stretch. Trips after a shard's last change take its
     final flag. Trips are never gathered per shard. Also works with a stream on the left.
     """
-    stretches = flag_intervals(flags, cfg)
+    stretches = flag_intervals(flags, cfg, hot)
     closed = stretches.where(F.col("to_ms").isNotNull()).select(
         F.col("shard").alias("_shard"), "from_ms", "to_ms", F.col("active").alias("_held"),
         F.explode(F.sequence(F.floor(F.col("from_ms") / bucket_ms),

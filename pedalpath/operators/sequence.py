@@ -64,6 +64,12 @@ def keep_newest(chain: Column | str, n: int) -> Column:
     return F.slice(chain, F.greatest(F.size(chain) - F.lit(n - 1), F.lit(1)), n)
 
 
+def prune_chain(chain: Column | str, ended_ms: Column | str, window_ms: int) -> Column:
+    """The entries of a chain array still in the window of a trip that ends at ``ended_ms``."""
+    ended = F.col(ended_ms) if isinstance(ended_ms, str) else ended_ms
+    return F.filter(chain, lambda t: t["started_at_ms"] >= ended - F.lit(window_ms))
+
+
 def chain_entry() -> Column:
     return F.struct("start_station_id", "end_station_id", "started_at_ms", "ended_at_ms")
 

@@ -14,7 +14,7 @@ from ..functions import predicates, scalar
 from ..functions.shedding import shed
 from ..operators import clean, metrics, overload, sequence
 from ..operators.ordered import HotKeys, find_hot_keys
-from ..session import fresh_path
+from ..session import fresh_path, written
 from ..sources import logs, sinks, streams, trips as trip_sources
 from ..streaming import matcher, monitor
 from . import hot_paths as hp, reports
@@ -383,28 +383,36 @@ def shard_backlog(spark, sf):
 
 
 def _polls(spark, sf) -> DataFrame:
-    """Events waiting per shard at polls two hours apart."""
+    """Events waiting per shard at polls two hours apart; stored, as several steps read it."""
     at = F.floor(F.unix_seconds("ts") / POLL_S) * POLL_S
-    return _samples(spark, sf).groupBy("shard", F.timestamp_seconds(at).alias("ts")) \
+    polls = _samples(spark, sf).groupBy("shard", F.timestamp_seconds(at).alias("ts")) \
         .agg(F.count("*").alias("pending"))
+    return written(polls, "polls")
 
 
-def _threshold(spark, sf) -> PathConfig:
+def _threshold(polls) -> PathConfig:
     """Overloaded means more than the mean backlog, so that the switch moves at any table size."""
-    mean = _polls(spark, sf).agg(F.floor(F.avg("pending")).alias("m")).first()["m"]
+    mean = polls.agg(F.floor(F.avg("pending")).alias("m")).first()["m"]
     return PathConfig(pending_threshold=int(mean))
 
 
 def overload_switch(spark, sf):
-    switched = overload.overload_switch(_polls(spark, sf), _threshold(spark, sf))
+    polls = _polls(spark, sf)
+    switched = overload.overload_switch(polls, _threshold(polls))
     return switched.select("shard", F.unix_seconds("ts").alias("poll_s"), "pending", "status", "active")
 
 
+def _flags(spark, sf) -> tuple[DataFrame, HotKeys]:
+    polls = _polls(spark, sf)
+    hot = find_hot_keys(polls, "shard")
+    return overload.shed_flags(overload.overload_switch(polls, _threshold(polls), hot)), hot
+
+
 def trip_flags(spark, sf):
-    flags = overload.shed_flags(overload.overload_switch(_polls(spark, sf), _threshold(spark, sf)))
+    flags, hot = _flags(spark, sf)
     trips, _ = _trips(spark, sf)
     sharded = trips.withColumn("shard", scalar.shard_of("bike_id", 10))
-    return overload.attach_flag(sharded, flags).select("trip_seq", "shard", "active")
+    return overload.attach_flag(sharded, flags, hot=hot).select("trip_seq", "shard", "active")
 
 
 # --- sources and sinks, there and back --------------------------------------------------------
@@ -435,16 +443,12 @@ def renamed_bike_column(spark, sf):
 
 
 def month_folders(spark, sf):
-    """Raw files in a folder per station digit, named <n>_<name>; every file is read."""
+    """Raw files in folders named <n>_<name>, n by the length of the station text; every file is read."""
     path = fresh_path(spark, "months")
     raw = _messy(_events(spark, sf))
-    folder = F.concat(F.length("Start Station ID").cast("string"), F.lit("_Month"))
-    _raw_columns(raw).withColumn("m", folder).write.option("header", True).partitionBy("m").csv(path)
-    # The partition writer names folders m=<n>_Month; the number is read from what follows.
-    found = spark.read.option("header", True).schema(_raw_columns(raw).schema).csv(f"{path}/*/*.csv")
-    name = F.regexp_extract(F.col("_metadata.file_path"), r"/m=([^/]+)/[^/]+$", 1)
-    return found.select("*", scalar.month_of_folder(name).alias("month")).groupBy("month").agg(
-        F.count("*").alias("trips"))
+    for n in (1, 2, 3, 4):
+        sinks.write_csv(_raw_columns(raw.where(F.length("Start Station ID") == n)), f"{path}/{n}_Month")
+    return trip_sources.read_month_folders(spark, path).groupBy("month").agg(F.count("*").alias("trips"))
 
 
 def wire_round_trip(spark, sf):
@@ -497,42 +501,59 @@ def processed_marks(spark, sf):
 
 # --- streaming --------------------------------------------------------------------------------
 
-def _arrive(spark, source: DataFrame, at: str, folder: str, run, slices: int = 3) -> None:
+SLICE_ROWS = 10_000_000
+
+
+def _arrive(source: DataFrame, at: str, folder: str, run, least: int = 3) -> None:
     """Let the rows arrive in time slices: write one, run the stream on it, write the next.
 
-    Every run resumes from the checkpoint of the one before. The slices cover the whole table.
+    Every run resumes from the checkpoint of the one before. The slices cover the whole table and hold
+    about ``SLICE_ROWS`` rows each, so that a batch stays the same size however large the table is.
     """
-    lo, hi = source.agg(F.min(at), F.max(at)).first()
-    step = (hi - lo) // slices + 1
-    for i in range(slices):
-        part = source.where((F.col(at) >= lo + i * step) & (F.col(at) < lo + (i + 1) * step))
+    rows = source.count()
+    slices = max(least, -(-rows // SLICE_ROWS))
+    cuts = sorted(set(source.approxQuantile(at, [i / slices for i in range(1, slices)], 0.1 / slices)))
+    for lo, hi in zip([None, *cuts], [*cuts, None]):
+        part = source
+        if lo is not None:
+            part = part.where(F.col(at) >= int(lo))
+        if hi is not None:
+            part = part.where(F.col(at) < int(hi))
         part.write.mode("append").parquet(folder)
         run()
 
 
-def _stream_longest(spark, sf, overlapping=False):
+def _stream_paths(spark, sf, overlapping, cfg, flagged=None) -> DataFrame:
     trips, _ = _trips(spark, sf, overlapping)
     base = fresh_path(spark, "stream")
-    cfg = replace(DAY, rows_per_trigger_files=10_000, watermark="72 hours")
-    table = spark.read.schema(trips.schema).parquet(_stored(trips, base))
+    cfg = replace(cfg, rows_per_trigger_files=10_000, watermark="72 hours")
+    table = written(trips, "stream-trips")
 
     def run():
         stream = streams.stream_trip_records(spark, f"{base}/trips", cfg, "parquet")
+        if flagged is not None:
+            stream = flagged(stream)
         found = matcher.hot_path_stream(stream, cfg, emit_ts_ms=STAMP)
         sinks.run_available(sinks.stream_match_sink(found, f"{base}/matches", f"{base}/checkpoint"))
 
-    _arrive(spark, table, "started_at_ms", f"{base}/trips", run)
-    return base
+    _arrive(table, "started_at_ms", f"{base}/trips", run)
+    return streams.read_matches(spark, f"{base}/matches").drop("emit_ts_ms")
 
 
-def _stored(df: DataFrame, base: str) -> str:
-    df.write.parquet(f"{base}/source")
-    return f"{base}/source"
+def stream_hot_paths(spark, sf):
+    return _stream_paths(spark, sf, True, DAY)
 
 
-def stream_hot_paths(spark, sf):
-    base = _stream_longest(spark, sf, True)
-    return streams.read_matches(spark, f"{base}/matches").drop("emit_ts_ms")
+def stream_shed_paths(spark, sf):
+    """The matcher with the newest two chain trips kept while the trip's shard is overloaded."""
+    flags, hot = _flags(spark, sf)
+    flags = written(flags, "flags")
+
+    def flagged(stream):
+        sharded = stream.withColumn("shard", scalar.shard_of("bike_id", 10))
+        return overload.attach_flag(sharded, flags, hot=hot)
+
+    return _stream_paths(spark, sf, False, replace(DAY, shed_policy="drop_oldest", shed_keep_last_n=2), flagged)
 
 
 def stream_dedupe(spark, sf):
@@ -561,7 +582,7 @@ def stream_latency(spark, sf):
         sinks.run_available(means.writeStream.format("parquet").outputMode("append")
                             .option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint"))
 
-    _arrive(spark, samples, "at", f"{base}/in", run, 2)
+    _arrive(written(samples, "samples"), "at", f"{base}/in", run, 2)
     out = spark.read.schema("shard int, bucket_s bigint, mean_ms double, n bigint").parquet(f"{base}/out")
     closed = (F.col("bucket_s") + cfg.latency_bucket_s) * 1000 <= last - 60_000
     return out.where(closed).withColumn("mean_ms", F.round("mean_ms", 6))
@@ -569,15 +590,16 @@ def stream_latency(spark, sf):
 
 def stream_overload(spark, sf):
     base = fresh_path(spark, "overload")
-    cfg = replace(_threshold(spark, sf), rows_per_trigger_files=10_000)
-    polls = _polls(spark, sf).withColumn("at", _ms("ts"))
+    polls = _polls(spark, sf)
+    cfg = replace(_threshold(polls), rows_per_trigger_files=10_000)
+    polls = polls.withColumn("at", _ms("ts"))
 
     def run():
         flags = monitor.overload_stream(streams.stream_backlog(spark, f"{base}/in", cfg), cfg)
         sinks.run_available(flags.writeStream.format("parquet").outputMode("append")
                             .option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint"))
 
-    _arrive(spark, polls, "at", f"{base}/in", run, 2)
+    _arrive(polls, "at", f"{base}/in", run, 2)
     out = spark.read.schema("shard int, ts timestamp, pending bigint, status int, active boolean") \
         .parquet(f"{base}/out")
     return out.select("shard", F.unix_seconds("ts").alias("poll_s"), "pending", "status", "active")
@@ -661,6 +683,7 @@ QUERIES = {
     "detail_csv": detail_csv,
     "processed_marks": processed_marks,
     "stream_hot_paths": stream_hot_paths,
+    "stream_shed_paths": stream_shed_paths,
     "stream_dedupe": stream_dedupe,
     "stream_latency": stream_latency,
     "stream_overload": stream_overload,

@@ -175,6 +175,28 @@ def _clean(column: str, n: int) -> str:
 SELECT *, CAST({STAMP} AS BIGINT) AS ingest_ts_ms, {_shard('bike_id', n)} AS shard FROM good"""
 
 
+# The matcher trip by trip; the chain is a list, cut to its newest two while the flag is on.
+_SHED_WALK = f"""
+flagged AS (SELECT st.*, coalesce(sw.status >= 3, FALSE) AS active,
+                   row_number() OVER (PARTITION BY bike_id ORDER BY started_at_ms, ended_at_ms, trip_seq) AS n
+            FROM (SELECT *, {_shard('bike_id', 10)} AS shard FROM trips) st ASOF LEFT JOIN sw
+            ON st.shard = sw.shard AND st.started_at_ms >= sw.poll_s * 1000),
+entry AS (SELECT *, {{'st': start_station_id, 'at': started_at_ms}} AS x FROM flagged),
+shedding AS (
+  SELECT bike_id, n, [x] AS chain, ended_at_ms AS last_ts, end_station_id AS last_end, FALSE AS hit,
+         CAST(NULL AS BIGINT) AS a1_start, CAST(NULL AS BIGINT) AS first_ts_ms, 0 AS length_a FROM entry WHERE n = 1
+  UNION ALL
+  SELECT bike_id, n, CASE WHEN late THEN c1 WHEN fresh THEN [x] ELSE list_append(c2, x) END,
+         CASE WHEN late THEN last_ts ELSE ended_at_ms END, CASE WHEN late THEN last_end ELSE end_station_id END,
+         NOT late AND NOT fresh AND end_station_id % 10 IN (7, 8, 9), c2[1].st, c2[1].at, CAST(len(c2) AS INTEGER)
+  FROM (SELECT *, len(c2) = 0 OR start_station_id <> last_end AS fresh
+        FROM (SELECT *, list_filter(c1, lambda y: y.at >= ended_at_ms - {DAY}) AS c2
+              FROM (SELECT t.bike_id, t.n, t.x, t.ended_at_ms, t.end_station_id, t.start_station_id, s.last_ts,
+                           s.last_end, t.started_at_ms < s.last_ts AS late,
+                           CASE WHEN t.active AND len(s.chain) > 2 THEN s.chain[-2:] ELSE s.chain END AS c1
+                    FROM shedding s JOIN entry t ON t.bike_id = s.bike_id AND t.n = s.n + 1))))"""
+
+
 SQL = {
     "hot_path_all": _all() + f"SELECT {_MATCH} FROM pairs",
     "hot_path_all_1h": _all(HOUR) + f"SELECT {_MATCH} FROM pairs",
@@ -307,6 +329,9 @@ SQL = {
         FROM trips JOIN events ON event_id = trip_seq WHERE events.event_type IN ('view', 'purchase') GROUP BY ALL)
         SELECT CAST(s AS INTEGER) AS shard, coalesce(n, 0) AS pending FROM range(10) r(s) LEFT JOIN open ON shard = s""",
     "stream_hot_paths": _longest_kept() + f"SELECT {_MATCH} FROM longest",
+    "stream_shed_paths": _with(_trips(), _SAMPLES, _SWITCH, _SHED_WALK, recursive=True) + """SELECT bike_id,
+        a1_start, start_station_id AS ai_end, end_station_id AS b_end, first_ts_ms, ended_at_ms AS b_ended_ms,
+        length_a, ingest_ts_ms FROM shedding JOIN entry USING (bike_id, n) WHERE hit""",
     "stream_dedupe": _LONGEST + f"SELECT {_MATCH} FROM longest",
     "stream_latency": _with(_SAMPLES, _BUCKETS) + """SELECT shard, bucket_s, round(mean_ms, 6) AS mean_ms, n FROM means
         WHERE (bucket_s + 600) * 1000 <= (SELECT max(ts_ms) FROM samples) - 60000""",

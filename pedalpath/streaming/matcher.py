@@ -18,6 +18,7 @@ from ..session import ship_package
 
 _STATE = ("starts array<bigint>, ends array<bigint>, started array<bigint>, ended array<bigint>, "
           "last_ts bigint, last_end bigint")
+_STRETCH = 65_536
 _FIELDS = ["start_station_id", "end_station_id", "started_at_ms", "ended_at_ms", "trip_seq", "ingest_ts_ms"]
 
 
@@ -71,12 +72,15 @@ def _bike_batch(cfg: PathConfig, order: str, emit_ts_ms: int | None):
             chain = deque(zip(map(int, starts), map(int, ends), map(int, started), map(int, ended)))
             last_ts, last_end = int(last_ts), int(last_end)
         found = []
-        columns = [rows[f][turn].tolist() for f in _FIELDS]
-        for start, end, begun, done, _, ingest, shedding in zip(*columns, active[turn].tolist()):
-            chain, last_ts, last_end, match = advance(chain, last_ts, last_end, (start, end, begun, done),
-                                                      bool(shedding), cfg)
-            if match:
-                found.append((key[0], *match, ingest))
+        # Python objects are made for a stretch of rows at a time; the batch itself stays in arrays.
+        for at in range(0, len(turn), _STRETCH):
+            some = turn[at:at + _STRETCH]
+            columns = [rows[f][some].tolist() for f in _FIELDS]
+            for start, end, begun, done, _, ingest, shedding in zip(*columns, active[some].tolist()):
+                chain, last_ts, last_end, match = advance(chain, last_ts, last_end, (start, end, begun, done),
+                                                          bool(shedding), cfg)
+                if match:
+                    found.append((key[0], *match, ingest))
         state.update(([t[0] for t in chain], [t[1] for t in chain], [t[2] for t in chain],
                       [t[3] for t in chain], last_ts, last_end))
         # An idle chain is out of any later trip's window once the clock passes its last end + window.

@@ -13,7 +13,7 @@ DATA = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(4, 4, "tests", "4g")
+    session = local_session(4, 2, "tests", "4g")
     # Shared folder of this run; a cluster names its own.
     session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pedalpath-test-"))
     yield session

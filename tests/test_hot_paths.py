@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from pedalpath import PathConfig, drop_late, early_variant, hot_paths, match_counts, sequence_trips
-from pedalpath.operators.sequence import chain_summary, open_chains
+from pedalpath.operators.sequence import chain_summary, open_chains, prune_chain
 from pedalpath.plans.hot_paths import match_details
 from pedalpath.plans.reports import sample_details
 from . import oracle
@@ -206,6 +206,14 @@ def test_open_chains(spark):
         assert got[bike] == chain
 
 
+def test_prune_chain(spark):
+    df = spark.createDataFrame([([(1, 2, 0, 5), (2, 3, 10, 12), (3, 4, 20, 30)], 70)],
+                               "chain array<struct<s:bigint,e:bigint,started_at_ms:bigint,d:bigint>>, ended bigint")
+    left = df.select(prune_chain("chain", "ended", 60).alias("c"), prune_chain("chain", F.lit(200), 60).alias("d"))
+    row = left.first()
+    assert [t.started_at_ms for t in row.c] == [10, 20] and row.d == []
+
+
 def test_config():
     assert PathConfig(hot="7, x,9,").hot == (7, 9)
     assert PathConfig(shed_policy=" Drop_K ").shed_policy == "drop_k"

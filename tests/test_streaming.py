@@ -3,8 +3,10 @@
 import random
 from collections import deque
 
-from pedalpath import PathConfig, dedupe_stream, hot_path_stream, latency_stream, overload_stream
-from pedalpath.schemas import BACKLOG, LATENCY
+from pyspark.sql import functions as F
+
+from pedalpath import PathConfig, attach_flag, dedupe_stream, hot_path_stream, latency_stream, overload_stream
+from pedalpath.schemas import BACKLOG, LATENCY, SHED_FLAGS
 from pedalpath.sources import sinks, streams
 from pedalpath.streaming.matcher import advance
 from datetime import datetime, timedelta, timezone
@@ -85,6 +87,28 @@ def test_shedding_in_the_matcher():
     assert late[0] == deque() and late[1:] == (10 * h, 2, None)
 
 
+def test_idle_state_goes(spark, tmp_path):
+    day = 24 * 3_600_000
+    for i, bike in enumerate("abc"):
+        land(spark, f"{tmp_path}/trips", [(bike, 1, 2, i * 3 * day, i * 3 * day + 1, i)])
+    stream = streams.stream_trip_records(spark, f"{tmp_path}/trips", CFG, "parquet")
+    query = sinks.run_available(sinks.stream_match_sink(hot_path_stream(stream, CFG), f"{tmp_path}/out",
+                                                        f"{tmp_path}/checkpoint"))
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 1
+
+
+def test_flag_joined_to_a_stream(spark, tmp_path):
+    h = 60_000
+    trips = [("x", i, i + 1, i * h, i * h + h, i) for i in range(6)] + [("x", 6, 7, 6 * h, 7 * h, 6)]
+    land(spark, f"{tmp_path}/trips", trips)
+    flags = spark.createDataFrame([(0, datetime.fromtimestamp(330, timezone.utc), True)], SHED_FLAGS)
+    cfg = PathConfig(rows_per_trigger_files=1, shed_policy="drop_oldest")
+    stream = streams.stream_trip_records(spark, f"{tmp_path}/trips", cfg, "parquet").withColumn("shard", F.lit(0))
+    found_stream = hot_path_stream(attach_flag(stream, flags), cfg, emit_ts_ms=1)
+    sinks.run_available(sinks.stream_match_sink(found_stream, f"{tmp_path}/out", f"{tmp_path}/ck"))
+    assert found(spark, tmp_path) == [("x", 5, 6, 7, 5 * h, 7 * h, 1)]
+
+
 def test_dedupe(spark, tmp_path):
     trips = oracle.time_order(random_trips(21, 90))
     land(spark, f"{tmp_path}/trips", trips)
