@@ -198,22 +198,27 @@ def _messy(events: DataFrame) -> DataFrame:
         ended.alias("Stop Time"), F.col("event_id").alias("trip_seq"))
 
 
+def _raw(spark, sf) -> DataFrame:
+    """Raw rows as a stored table, as they come from files."""
+    return written(_messy(_events(spark, sf)), "raw")
+
+
 def clean_strict(spark, sf):
-    good = clean.clean_trips(_messy(_events(spark, sf)), "strict", ingest_ts_ms=STAMP)
+    good = clean.clean_trips(_raw(spark, sf), "strict", ingest_ts_ms=STAMP)
     return good.drop("started_at")
 
 
 def clean_numeric(spark, sf):
-    good = clean.clean_trips(_messy(_events(spark, sf)), "numeric", n_shards=8, ingest_ts_ms=STAMP)
+    good = clean.clean_trips(_raw(spark, sf), "numeric", n_shards=8, ingest_ts_ms=STAMP)
     return good.drop("started_at")
 
 
 def reject_counts(spark, sf):
-    return clean.reject_counts(_messy(_events(spark, sf)))
+    return clean.reject_counts(_raw(spark, sf))
 
 
 def row_cap(spark, sf):
-    return clean.clean_trips(_messy(_events(spark, sf)), "strict", max_rows=500, ingest_ts_ms=STAMP) \
+    return clean.clean_trips(_raw(spark, sf), "strict", max_rows=500, ingest_ts_ms=STAMP) \
         .select("bike_id", "trip_seq", "started_at_ms", "shard")
 
 
