@@ -46,7 +46,7 @@ class PathConfig:
     # sharding and ingest
     n_shards: int = 10
     max_rows: int | None = None
-    rows_per_trigger_files: int = 1
+    files_per_trigger: int = 1
     # matches
     dedupe_ttl_ms: int = 24 * HOUR_MS
     detail_sample: int = 50
@@ -88,7 +88,7 @@ class PathConfig:
             "window_ms": 0, "n_shards": 1, "min_a": 0, "dedupe_ttl_ms": 0, "shed_keep_last_n": 0,
             "shed_drop_k": 0, "shed_window_ms": 0, "slow_threshold_ms": 0, "detail_sample": 0,
             "latency_bucket_s": 1, "status_cap": 1, "max_group_rows": 1, "max_pieces": 1, "max_frame_rows": 1,
-            "rows_per_trigger_files": 1,
+            "files_per_trigger": 1,
         }
         for name, low in lower_bounds.items():
             object.__setattr__(self, name, clamp(getattr(self, name), low))

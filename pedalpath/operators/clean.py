@@ -98,7 +98,7 @@ def sharded_rows(trips: DataFrame, n: int, cfg=None, hot=None) -> DataFrame:
     each, so no task holds more than its share.
     """
     from ..config import DEFAULT
-    from .ordered import PIECE, find_hot_keys, in_pieces
+    from .ordered import PIECE, TIE, find_hot_keys, in_pieces
     cfg = cfg or DEFAULT
     inner = ["bike_id", "started_at_ms", "trip_seq"]
     hot = find_hot_keys(trips, "bike_id", cfg) if hot is None else hot
@@ -106,7 +106,7 @@ def sharded_rows(trips: DataFrame, n: int, cfg=None, hot=None) -> DataFrame:
         return trips.repartition(n, "bike_id").sortWithinPartitions(*inner)
     usual = trips.join(hot.table, "bike_id", "left_anti").withColumn(PIECE, F.lit(-1).cast("bigint"))
     large = in_pieces(trips.join(hot.table, "bike_id", "left_semi"), ("bike_id",),
-                      ("started_at_ms", "trip_seq"), hot.rows, cfg).df
+                      ("started_at_ms", "trip_seq"), hot.rows, cfg).df.drop(TIE)
     return (usual.unionByName(large).repartition(n, "bike_id", PIECE)
             .sortWithinPartitions("bike_id", PIECE, *inner[1:]).drop(PIECE))
 

@@ -20,6 +20,7 @@ from ..config import DEFAULT, PathConfig
 from ..session import written
 
 PIECE = "_piece"
+TIE = "_tie"
 
 
 @dataclass(frozen=True)
@@ -51,7 +52,7 @@ class Ordered:
         return replace(self, df=self.df.withColumns(columns))
 
     def rows(self) -> DataFrame:
-        return self.df.drop(PIECE)
+        return self.df.drop(PIECE, TIE)
 
 
 def find_hot_keys(df: DataFrame, key: str, limit: PathConfig = DEFAULT) -> HotKeys:
@@ -81,10 +82,16 @@ def by_key(df: DataFrame, key: str, order: list[str], hot: HotKeys, compute: Cal
 
 def in_pieces(df: DataFrame, key: tuple[str, ...], order: tuple[str, ...], rows: int,
               limit: PathConfig = DEFAULT) -> Ordered:
+    """Rows spread over range partitions of (key, order); a piece is one key's part of a partition.
+
+    Rows that tie in the whole order are told apart by a running number, fixed here once, so that even
+    copies of a single row spread over pieces.
+    """
     n = min(limit.max_pieces, max(2, math.ceil(2 * rows / limit.max_group_rows)))
-    placed = (df.drop(PIECE).repartitionByRange(n, *key, *order)
+    placed = (df.drop(PIECE, TIE).withColumn(TIE, F.monotonically_increasing_id())
+              .repartitionByRange(n, *key, *order, TIE)
               .withColumn(PIECE, F.spark_partition_id().cast("bigint")))
-    return Ordered(written(placed, "pieces"), key, order, True, limit)
+    return Ordered(written(placed, "pieces"), key, (*order, TIE), True, limit)
 
 
 def _carry(o: Ordered, totals: dict[str, Column], carried: dict[str, Callable]) -> Ordered:

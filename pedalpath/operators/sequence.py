@@ -9,8 +9,9 @@ from ..session import written
 from .ordered import HotKeys, Ordered, by_key, find_hot_keys, in_pieces, neighbour, running
 
 BIKE = "bike_id"
-TIME_ORDER = ["started_at_ms", "ended_at_ms", "trip_seq"]
-ARRIVAL_ORDER = ["trip_seq"]
+# Trips that tie in all of these are alike in every respect the pattern looks at.
+TIME_ORDER = ["started_at_ms", "ended_at_ms", "trip_seq", "start_station_id", "end_station_id"]
+ARRIVAL_ORDER = ["trip_seq", "started_at_ms", "ended_at_ms", "start_station_id", "end_station_id"]
 # After every reading of the clock: sorts behind each row of the same time.
 LAST = (1 << 63) - 1
 # Length of the short tail kept beside the finished parts while a block is folded.
@@ -151,7 +152,7 @@ def _keep_pieces(o: Ordered) -> DataFrame:
     trips are those reached from the block's first trip, so doubling the pointers finds them in
     log2(longest block) rounds of joins on (bike, position), a key no two rows share.
     """
-    columns = [c for c in o.rows().columns]
+    columns = o.rows().columns
     placed = running(_blocks(o), pos=("sum", F.lit(1).cast("bigint")))
     placed = written(placed.rows(), "blocks")
     inside = placed.where(~F.col("_alone"))
@@ -207,7 +208,7 @@ def drop_late(trips: DataFrame, order: str = "time", cfg: PathConfig = DEFAULT,
             trips, BIKE, ARRIVAL_ORDER, hot,
             lambda o: running(o, exclusive=True, _latest=("max", F.col("started_at_ms"))).rows()
             .where(F.coalesce(F.col("started_at_ms") >= F.col("_latest"), F.lit(True))).select(*columns), cfg)
-        walk = ["started_at_ms", "trip_seq"]
+        walk = ["started_at_ms", *[c for c in ARRIVAL_ORDER if c != "started_at_ms"]]
     elif order != "time":
         raise ValueError(f"unknown order {order!r}")
     return by_key(trips, BIKE, walk, hot, lambda o: _keep_pieces(o) if o.pieces else _keep_whole(o), cfg)

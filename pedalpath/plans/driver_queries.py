@@ -531,7 +531,7 @@ def _arrive(source: DataFrame, at: str, folder: str, run, least: int = 3) -> Non
 def _stream_paths(spark, sf, overlapping, cfg, flagged=None) -> DataFrame:
     trips, _ = _trips(spark, sf, overlapping)
     base = fresh_path(spark, "stream")
-    cfg = replace(cfg, rows_per_trigger_files=10_000, watermark="72 hours")
+    cfg = replace(cfg, files_per_trigger=10_000, watermark="72 hours")
     table = written(trips, "stream-trips")
 
     def run():
@@ -580,7 +580,7 @@ def stream_latency(spark, sf):
     base = fresh_path(spark, "latency")
     samples = _samples(spark, sf).select("shard", "ts", "latency_ms", _ms("ts").alias("at"))
     last = samples.agg(F.max("at")).first()[0]
-    cfg = replace(BUCKETS, rows_per_trigger_files=10_000)
+    cfg = replace(BUCKETS, files_per_trigger=10_000)
 
     def run():
         means = monitor.latency_stream(streams.stream_latency(spark, f"{base}/in", cfg), cfg)
@@ -596,7 +596,7 @@ def stream_latency(spark, sf):
 def stream_overload(spark, sf):
     base = fresh_path(spark, "overload")
     polls = _polls(spark, sf)
-    cfg = replace(_threshold(polls), rows_per_trigger_files=10_000)
+    cfg = replace(_threshold(polls), files_per_trigger=10_000)
     polls = polls.withColumn("at", _ms("ts"))
 
     def run():
@@ -614,7 +614,7 @@ def stream_ingest(spark, sf):
     """Raw CSV files streamed through cleaning into sharded records, and read back."""
     base = fresh_path(spark, "ingest")
     sinks.write_csv(_raw_columns(_messy(_events(spark, sf))), f"{base}/raw")
-    cfg = PathConfig(rows_per_trigger_files=10_000)
+    cfg = PathConfig(files_per_trigger=10_000)
     raw = streams.stream_trip_csv(spark, f"{base}/raw", cfg).withColumn("trip_seq", F.lit(0).cast("bigint"))
     good = clean.clean_trips(raw, "strict", ingest_ts_ms=STAMP)
     sinks.run_available(sinks.stream_trip_sink(good, f"{base}/trips", f"{base}/checkpoint"))

@@ -12,7 +12,7 @@ from .trips import decode_wire
 def stream_trip_records(spark: SparkSession, path: str, cfg: PathConfig = DEFAULT,
                         form: str = "json") -> DataFrame:
     """Typed trips from a growing folder of wire records (json) or typed rows (parquet)."""
-    reader = spark.readStream.option("maxFilesPerTrigger", cfg.rows_per_trigger_files) \
+    reader = spark.readStream.option("maxFilesPerTrigger", cfg.files_per_trigger) \
         .option("recursiveFileLookup", True)
     if form == "json":
         trips = decode_wire(reader.schema(WIRE_TRIP).json(path))
@@ -23,7 +23,7 @@ def stream_trip_records(spark: SparkSession, path: str, cfg: PathConfig = DEFAUL
 
 def stream_trip_csv(spark: SparkSession, path: str, cfg: PathConfig = DEFAULT) -> DataFrame:
     return (spark.readStream.schema(RAW_TRIP).option("header", True)
-            .option("maxFilesPerTrigger", cfg.rows_per_trigger_files).csv(path))
+            .option("maxFilesPerTrigger", cfg.files_per_trigger).csv(path))
 
 
 def stream_matches(spark: SparkSession, path: str) -> DataFrame:
@@ -42,8 +42,8 @@ def typed_matches(text: DataFrame) -> DataFrame:
 
 
 def stream_latency(spark: SparkSession, path: str, cfg: PathConfig = DEFAULT) -> DataFrame:
-    return spark.readStream.schema(LATENCY).option("maxFilesPerTrigger", cfg.rows_per_trigger_files).parquet(path)
+    return spark.readStream.schema(LATENCY).option("maxFilesPerTrigger", cfg.files_per_trigger).parquet(path)
 
 
 def stream_backlog(spark: SparkSession, path: str, cfg: PathConfig = DEFAULT) -> DataFrame:
-    return spark.readStream.schema(BACKLOG).option("maxFilesPerTrigger", cfg.rows_per_trigger_files).parquet(path)
+    return spark.readStream.schema(BACKLOG).option("maxFilesPerTrigger", cfg.files_per_trigger).parquet(path)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pedalpath import PathConfig, attach_flag, backlog, overload_switch, shed
 from pedalpath.operators import metrics
+from pedalpath.sources import sinks
 from pedalpath.schemas import BACKLOG, CHAIN, SHED_FLAGS
 from . import oracle
 from datetime import datetime, timedelta, timezone
@@ -97,3 +98,12 @@ def test_latency(spark):
                                   "shard int, poll_ts int, last_ts int")
     news = {(r.shard, r.poll_ts): r.is_new for r in metrics.poll_news(polls).collect()}
     assert news == {(0, 1): True, (0, 2): False, (0, 3): True, (1, 1): False, (1, 2): True}
+
+
+def test_event_latency_series(spark, tmp_path):
+    trips = spark.createDataFrame([(0, 1_000, 1), (0, 5_000, 2), (1, 0, 3)],
+                                  "shard int, ingest_ts_ms bigint, trip_seq bigint")
+    sinks.write_latency(metrics.event_latency(trips, F.lit(6_000).cast("bigint")), f"{tmp_path}/series")
+    back = spark.read.parquet(f"{tmp_path}/series")
+    # two values at one time stamp: the one written last stays
+    assert sorted((r.shard, r.latency_ms) for r in metrics.latency_series(back).collect()) == [(0, 1000.0), (1, 6000.0)]

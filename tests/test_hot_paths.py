@@ -15,7 +15,7 @@ from . import oracle
 BASE, MIN = 1_483_220_000_000, 60_000
 COLS = "bike_id string, start_station_id bigint, end_station_id bigint, started_at_ms bigint, " \
        "ended_at_ms bigint, ingest_ts_ms bigint, trip_seq bigint"
-PIECES = PathConfig(max_group_rows=5)
+PIECES = PathConfig(max_group_rows=5, max_pieces=5)
 
 GOLDEN = {
     "basic": ([(100, 200, 8, 16), (200, 327, 18, 26)], [(100, 200, 327, 8, 26, 1)], None),
@@ -71,8 +71,8 @@ def random_trips(seed, n=60, bikes=3, overlap=True, stations=4):
     return out
 
 
-@pytest.mark.parametrize("cfg", [PathConfig(), PIECES], ids=["whole", "pieces"])
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("cfg, seed", [(PathConfig(), 1), (PathConfig(), 2), (PIECES, 1)],
+                         ids=["whole-1", "whole-2", "pieces-1"])
 def test_random(spark, cfg, seed):
     trips = random_trips(seed)
     df = frame(spark, trips).cache()
@@ -89,8 +89,8 @@ def test_random(spark, cfg, seed):
 
 @pytest.mark.parametrize("limit", [1_000_000, 5])
 def test_late_drop(spark, limit):
-    cfg = PathConfig(max_group_rows=limit)
-    for seed in (3, 4):
+    cfg = PathConfig(max_group_rows=limit, max_pieces=5)
+    for seed in (3, 4) if limit > 5 else (3,):
         trips = random_trips(seed, 80)
         df = frame(spark, trips)
         for order in ("time", "arrival"):
@@ -108,7 +108,19 @@ def test_late_drop_long_block(spark):
         assert got == want
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@pytest.mark.parametrize("cfg", [PathConfig(), PathConfig(max_group_rows=20, max_pieces=4)], ids=["whole", "pieces"])
+def test_copies(spark, cfg):
+    """A third of the rows are copies of one trip, sequence number included."""
+    copies = [("x", 7, 7, BASE + MIN, BASE + 2 * MIN, 1)] * 15 + [("x", 7, 7, BASE + MIN, BASE + MIN, 1)] * 15
+    trips = copies + random_trips(17, 20) + [("x", 7, 8, BASE + 2 * MIN, BASE + 3 * MIN, 9)]
+    df = frame(spark, trips)
+    assert sorted(r.trip_seq for r in drop_late(df, "time", cfg).collect()) == sorted(t[5] for t in oracle.keep(trips))
+    assert rows(hot_paths(df, "longest", cfg=cfg)) == oracle.longest_matches(trips)
+    assert rows(hot_paths(df, "all", cfg=cfg)) == oracle.all_matches(trips)
+    assert match_counts(df, cfg=cfg).agg(F.sum("matches")).first()[0] == len(oracle.all_matches(trips))
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(st.sampled_from("xy"), st.integers(6, 8), st.integers(6, 8), st.integers(0, 90),
                           st.integers(0, 70)), min_size=1, max_size=25))
 def test_property(spark, raw):
@@ -124,13 +136,13 @@ def test_property(spark, raw):
 def test_options(spark, limit):
     trips = random_trips(7, 80, overlap=False)
     df = frame(spark, trips)
-    cap = PathConfig(max_chain=2, max_group_rows=limit)
+    cap = PathConfig(max_chain=2, max_group_rows=limit, max_pieces=4)
     assert rows(hot_paths(df, "all", cfg=cap)) == oracle.all_matches(trips, cap=2)
     assert rows(hot_paths(df, "longest", cfg=cap)) == oracle.longest_matches(trips, cap=2)
-    alone = PathConfig(min_a=0, max_group_rows=limit)
+    alone = PathConfig(min_a=0, max_group_rows=limit, max_pieces=4)
     assert rows(hot_paths(df, "all", cfg=alone)) == oracle.all_matches(trips, min_a=0)
     assert match_counts(df, cfg=alone).agg(F.sum("matches")).first()[0] == len(oracle.all_matches(trips, min_a=0))
-    literal = PathConfig(hot=(6, 12), hot_mode="literal", max_group_rows=limit)
+    literal = PathConfig(hot=(6, 12), hot_mode="literal", max_group_rows=limit, max_pieces=4)
     mine = rows(hot_paths(df, "all", cfg=literal))
     assert mine == [m for m in oracle.all_matches(trips, hot=tuple(range(10))) if m[3] in (6, 12)]
 

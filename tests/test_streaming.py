@@ -13,7 +13,7 @@ from datetime import datetime, timedelta, timezone
 from . import oracle
 from .test_hot_paths import COLS, random_trips
 
-CFG = PathConfig(rows_per_trigger_files=1)
+CFG = PathConfig(files_per_trigger=1)
 
 
 def land(spark, folder, trips):
@@ -102,7 +102,7 @@ def test_flag_joined_to_a_stream(spark, tmp_path):
     trips = [("x", i, i + 1, i * h, i * h + h, i) for i in range(6)] + [("x", 6, 7, 6 * h, 7 * h, 6)]
     land(spark, f"{tmp_path}/trips", trips)
     flags = spark.createDataFrame([(0, datetime.fromtimestamp(330, timezone.utc), True)], SHED_FLAGS)
-    cfg = PathConfig(rows_per_trigger_files=1, shed_policy="drop_oldest")
+    cfg = PathConfig(files_per_trigger=1, shed_policy="drop_oldest")
     stream = streams.stream_trip_records(spark, f"{tmp_path}/trips", cfg, "parquet").withColumn("shard", F.lit(0))
     found_stream = hot_path_stream(attach_flag(stream, flags), cfg, emit_ts_ms=1)
     sinks.run_available(sinks.stream_match_sink(found_stream, f"{tmp_path}/out", f"{tmp_path}/ck"))
@@ -134,7 +134,7 @@ def test_switch_stream(spark, tmp_path):
                 for i, p in list(enumerate(ps))[part]]
         rng.shuffle(rows)
         spark.createDataFrame(rows, BACKLOG).write.mode("append").parquet(f"{tmp_path}/in")
-        flags = overload_stream(streams.stream_backlog(spark, f"{tmp_path}/in", PathConfig(rows_per_trigger_files=99)))
+        flags = overload_stream(streams.stream_backlog(spark, f"{tmp_path}/in", PathConfig(files_per_trigger=99)))
         sinks.run_available(flags.writeStream.format("parquet").option("path", f"{tmp_path}/out")
                             .option("checkpointLocation", f"{tmp_path}/ck"))
     out = {}
