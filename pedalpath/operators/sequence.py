@@ -75,24 +75,31 @@ def chain_entry() -> Column:
     return F.struct("start_station_id", "end_station_id", "started_at_ms", "ended_at_ms")
 
 
+def _with_last(o: Ordered) -> DataFrame:
+    """Trips in sequence with ``last``: what the bike's final trip says."""
+    o = with_sequence(o)
+    last = F.struct("pos", "run_no", F.col("ended_at_ms").alias("ended"), F.col("end_station_id").alias("station"))
+    if not o.pieces:
+        return o.df.withColumn("last", F.max(last).over(Window.partitionBy(*o.key)))
+    return o.rows().join(o.df.groupBy(*o.key).agg(F.max(last).alias("last")), list(o.key))
+
+
 def open_chains(trips: DataFrame, cfg: PathConfig = DEFAULT, hot: HotKeys | None = None) -> DataFrame:
     """The chain every bike holds after its last trip: the tail of its last run within the window.
 
     Only tail trips are collected, so an array is bounded by what fits one window.
     """
-    placed = sequence_trips(trips, cfg, hot)
-    last = placed.groupBy(BIKE).agg(
-        F.max_by(F.struct(F.col("run_no").alias("last_run"), F.col("ended_at_ms").alias("last_ts_ms"),
-                          F.col("end_station_id").alias("last_end"), F.col("pos").alias("last_pos")),
-                 F.col("pos")).alias("_l")).select(BIKE, "_l.*")
-    tail = placed.join(last, BIKE).where(
-        (F.col("run_no") == F.col("last_run"))
-        & ((F.col("started_at_ms") >= F.col("last_ts_ms") - F.lit(cfg.window_ms))
-           | (F.col("pos") == F.col("last_pos"))))
-    chain = F.transform(F.sort_array(F.collect_list(F.struct("pos", chain_entry().alias("trip")))),
-                        lambda x: x["trip"])
-    chains = tail.groupBy(BIKE).agg(F.first("last_ts_ms").alias("last_ts_ms"),
-                                    F.first("last_end").alias("last_end"), chain.alias("chain"))
+    hot = _hot(trips, hot, cfg)
+
+    def tail(o: Ordered) -> DataFrame:
+        recent = F.col("started_at_ms") >= F.col("last.ended") - F.lit(cfg.window_ms)
+        return _with_last(o).where((F.col("run_no") == F.col("last.run_no"))
+                                   & (recent | (F.col("pos") == F.col("last.pos")))) \
+            .select(BIKE, "pos", "last", chain_entry().alias("trip"))
+
+    chain = F.transform(F.sort_array(F.collect_list(F.struct("pos", "trip"))), lambda x: x["trip"])
+    chains = by_key(trips, BIKE, TIME_ORDER, hot, tail, cfg).groupBy(BIKE).agg(
+        F.first("last.ended").alias("last_ts_ms"), F.first("last.station").alias("last_end"), chain.alias("chain"))
     return chains if cfg.max_chain is None else chains.withColumn("chain", keep_newest("chain", cfg.max_chain))
 
 

@@ -205,9 +205,10 @@ def test_sequence(spark, limit):
     assert summary == {k: (v[0][1], v[0][3], v[-1][2], v[-1][4], len(v)) for k, v in runs.items()}
 
 
-def test_open_chains(spark):
+@pytest.mark.parametrize("cfg", [PathConfig(), PIECES], ids=["whole", "pieces"])
+def test_open_chains(spark, cfg):
     trips = oracle.keep(random_trips(13, 90))
-    got = {r.bike_id: [tuple(t) for t in r.chain] for r in open_chains(frame(spark, trips)).collect()}
+    got = {r.bike_id: [tuple(t) for t in r.chain] for r in open_chains(frame(spark, trips), cfg).collect()}
     for bike, ts in oracle.by_bike(trips).items():
         chain = []
         for t in oracle.time_order(ts):
