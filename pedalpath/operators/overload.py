@@ -100,13 +100,18 @@ def flag_intervals(flags: DataFrame, cfg: PathConfig = DEFAULT, hot: HotKeys | N
 
 def attach_flag(trips: DataFrame, flags: DataFrame, at: str = "started_at_ms", cfg: PathConfig = DEFAULT,
                 bucket_ms: int = HOUR_MS, hot: HotKeys | None = None) -> DataFrame:
-    """Trips with the flag in force in their shard at their time, false before the first flag.
+    """Trips with the flag in force in their shard at their time, false before the first flag."""
+    return attach_intervals(trips, flag_intervals(flags, cfg, hot), at, bucket_ms)
+
+
+def attach_intervals(trips: DataFrame, stretches: DataFrame, at: str = "started_at_ms",
+                     bucket_ms: int = HOUR_MS) -> DataFrame:
+    """The same from the output of ``flag_intervals``, which a stream may store and reuse every batch.
 
     Stretches are listed under every time bucket they touch, so the as-of lookup is an equi-join on
     (shard, bucket); each trip meets at most one stretch. Trips after a shard's last change take its
     final flag. Trips are never gathered per shard. Also works with a stream on the left.
     """
-    stretches = flag_intervals(flags, cfg, hot)
     closed = stretches.where(F.col("to_ms").isNotNull()).select(
         F.col("shard").alias("_shard"), "from_ms", "to_ms", F.col("active").alias("_held"),
         F.explode(F.sequence(F.floor(F.col("from_ms") / bucket_ms),

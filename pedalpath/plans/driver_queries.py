@@ -552,11 +552,10 @@ def stream_hot_paths(spark, sf):
 def stream_shed_paths(spark, sf):
     """The matcher with the newest two chain trips kept while the trip's shard is overloaded."""
     flags, hot = _flags(spark, sf)
-    flags = written(flags, "flags")
+    stretches = written(overload.flag_intervals(flags, hot=hot), "flag-intervals")
 
     def flagged(stream):
-        sharded = stream.withColumn("shard", scalar.shard_of("bike_id", 10))
-        return overload.attach_flag(sharded, flags, hot=hot)
+        return overload.attach_intervals(stream.withColumn("shard", scalar.shard_of("bike_id", 10)), stretches)
 
     return _stream_paths(spark, sf, False, replace(DAY, shed_policy="drop_oldest", shed_keep_last_n=2), flagged)
 
