@@ -83,12 +83,12 @@ def reject_counts(raw: DataFrame, id_parse: str = "strict") -> DataFrame:
 
 
 def typed_bikes(trips: DataFrame, column: str = "bike_id") -> DataFrame:
-    """Bike ids as BIGINT when every one of them is a whole number, else left as text (F8).
+    """Bike ids as BIGINT when every one of them is a whole number (``7`` or ``7.0``), else left as text (F8).
 
     One row with one boolean decides, so the result's type is known when the plan is built.
     """
-    test = trips.agg(F.bool_and(parse_int(column).isNotNull()).alias("whole")).first()["whole"]
-    return trips.withColumn(column, parse_int(column)) if test else trips
+    test = trips.agg(F.bool_and(parse_number(column).isNotNull()).alias("whole")).first()["whole"]
+    return trips.withColumn(column, parse_number(column)) if test else trips
 
 
 def sharded_rows(trips: DataFrame, n: int, cfg=None, hot=None) -> DataFrame:
