@@ -88,9 +88,8 @@ def bitmap_of(hashes: DataFrame, column: str, bits: int) -> np.ndarray:
     """Bits ``hash mod 2**bits`` of the hashes, or-ed on the executors; the result has 2**bits / 8 bytes whatever
     the number of rows. A bit that several hashes share only lets more rows through to the exact join."""
     place = F.col(column).bitwiseAND(F.lit((1 << bits) - 1))
-    words = (hashes.select(F.shiftright(place, 5).alias("at"), F.shiftleft(F.lit(1).cast("bigint"),
-                           place.bitwiseAND(F.lit(31)).cast("int")).alias("bit"))
-             .groupBy("at").agg(F.bit_or("bit").alias("word")))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place.bitwiseAND(F.lit(31)).cast("int"))
+    words = hashes.select(F.shiftright(place, 5).alias("at"), bit.alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("word"))
     found = np.zeros(1 << (bits - 5), dtype=np.uint32)
     table = words.toArrow()
     found[table["at"].to_numpy()] = table["word"].to_numpy().astype(np.uint32)
