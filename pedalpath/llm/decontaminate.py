@@ -33,7 +33,7 @@ liter liters litre litres mb meter meters metre metres mg mile miles milligram m
 months mph ounce ounces oz pence percent pound pounds sec second seconds ton tonne tonnes tons volt volts watt watts week
 weeks yard yards year years
 """.split())
-_TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+|[.!?\n]+|[%$£¥°€]")
+_TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+|[.!?\n]+|(?<=\d)[%$£¥°€]|[$£¥€](?=\d)")
 WORD, CAPITAL, NUMBER, UNIT, BREAK = range(5)
 _STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -74,7 +74,8 @@ class Templates:
         elif token.lower() in UNITS:
             kind = UNIT
         else:
-            kind = CAPITAL if first.isupper() and first != first.lower() else WORD
+            # words all in capitals are set so, and no names
+            kind = CAPITAL if first.isupper() and not token.isupper() else WORD
         code = self.index[token] = len(self.kinds)
         self.kinds.append(kind)
         self.hashes.append(xxhash.xxh3_64_intdigest(token.lower()))

@@ -6,8 +6,9 @@ the connected components; every link between different sets is either checked or
 1. **Order.** Any fixed order of the shingles makes a prefix filter exact: two sets that link share a shingle among the
    first ``n - ceil(0.8 n) + 1`` of both. The order used is "seldom ones first, then by hash". A count over the prefixes
    by hash finds the frequent shingles; they are kept as a bitmap of fixed size. The bitmap decides cost, not results.
-2. **Sets.** Texts become sets; equal sets are one node. Shingles whose smallest and largest node differ are shared
-   by different sets; all others, the great majority, drop out without a join.
+2. **Sets.** Texts become sets; equal sets are one node. A shingle that occurs once in all prefixes can link nothing; such
+   shingles, the great majority, drop out by a count of bare hashes, which each task sorts and packs by ranges.
+   Those left whose smallest and largest node differ are shared by different sets.
 3. **Groups.** Nodes are partitioned into groups of similar ones: those with the same minimum hash, under several hash
    functions, are compared with one leader, and linked ones form a group. A group of a million near copies costs a
    million comparisons, and is one entry from here on.
@@ -26,10 +27,12 @@ Columns other than ``doc_id`` and ``text`` are not read.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -42,7 +45,8 @@ class JoinRules:
     words: int = 5
     #: link from this similarity on, in percent
     percent: int = 80
-    #: size of the bitmaps, as a power of two
+    #: size of the bitmaps, as a power of two: of the frequent shingles, of the others
+    frequent_bits: int = 25
     bits: int = 24
     #: columns of the matrix
     columns: int = 8192
@@ -100,29 +104,75 @@ def _chunks(batch: pa.RecordBatch, rules: JoinRules, most: int = 1_000_000):
     yield held
 
 
+def _ranges(docs: DataFrame) -> int:
+    """Ranges of hash values, as a power of two that follows the number of input tasks, so that neither the tokens of a
+    range nor the rows of a task grow with the input."""
+    return min(17, max(7, (2 * docs.rdd.getNumPartitions() - 1).bit_length()))
+
+
+def _by_range(parts: Iterator[np.ndarray], power: int, room: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """Counts of a task's tokens as rows (range, once, often, n): those met once, those met oftener and how often."""
+    def table(held):
+        token, n = np.unique(np.concatenate(held), return_counts=True)
+        edges = np.searchsorted(token >> np.uint64(64 - power), np.arange((1 << power) + 1, dtype=np.uint64))
+        single = n == 1
+        singles = np.concatenate([[0], np.cumsum(single)])[edges]
+        lists = [pa.ListArray.from_arrays(pa.array(e.astype(np.int32)), pa.array(v)) for e, v in (
+            (singles, token[single].view(np.int64)), (edges - singles, token[~single].view(np.int64)), (edges - singles, n[~single].astype(np.int64)))]
+        whole = pa.RecordBatch.from_arrays([pa.array(np.arange(1 << power, dtype=np.int32)), *lists], names=["range", "once", "often", "n"])
+        return whole.filter(pa.array(np.diff(edges) > 0))
+
+    held, size = [], 0
+    for part in parts:
+        held.append(part)
+        size += len(part)
+        if size >= room:
+            yield table(held)
+            held, size = [], 0
+    if size:
+        yield table(held)
+
+
+_RANGES = "`range` int, once array<bigint>, often array<bigint>, n array<bigint>"
+
+
+def _repeated(by_range: DataFrame) -> DataFrame:
+    """(token, n) of the tokens that occur more than once in all tasks together."""
+    def merge(rows: pa.Table) -> pa.Table:
+        flat = lambda c: pc.list_flatten(rows[c]).to_numpy()
+        once, often = flat("once"), flat("often")
+        tokens, n = np.concatenate([once, often]), np.concatenate([np.ones(len(once), dtype=np.int64), flat("n")])
+        order = np.argsort(tokens, kind="stable")
+        tokens = tokens[order]
+        start = np.flatnonzero(np.concatenate([[True], np.diff(tokens) != 0])) if len(tokens) else np.empty(0, np.int64)
+        total = np.add.reduceat(n[order], start) if len(start) else np.empty(0, np.int64)
+        return pa.table({"token": tokens[start][total > 1], "n": total[total > 1]})
+
+    return by_range.groupBy("range").applyInArrow(merge, "token bigint, n bigint")
+
+
 def _frequent(docs: DataFrame, rules: JoinRules) -> np.ndarray:
     """Bitmap of the most frequent shingles of the prefixes by hash: as many as keep it sparse."""
+    power = _ranges(docs)
+
     def run(batches):
-        for batch in batches:
-            for held in _chunks(batch, rules):
-                different = {_node(s): s for _, s in held if len(s)}
-                if different:
-                    parts = [s[:_prefix_length(len(s), rules.percent)] for s in different.values()]
-                    token, n = np.unique(np.concatenate(parts), return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(n.astype(np.int64))],
-                                                     names=["token", "n"])
-
-    counts = docs.mapInArrow(run, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n")).where("n > 1")
-    counts, path = stored(counts, "ngram-counts")
+        def parts():
+            for batch in batches:
+                for held in _chunks(batch, rules):
+                    for s in {_node(s): s for _, s in held if len(s)}.values():
+                        yield s[:_prefix_length(len(s), rules.percent)]
+        yield from _by_range(parts(), power)
+
+    counts, path = stored(_repeated(docs.mapInArrow(run, _RANGES)), "ngram-counts")
     level = F.floor(F.log2("n")).cast("int")
     table = {r[0]: r[1] for r in counts.groupBy(level.alias("level")).count().collect()}
-    room, least = (1 << rules.bits) // 8, 64
+    room, least = (1 << rules.frequent_bits) // 8, 64
     for level in sorted(table, reverse=True):
         room -= table[level]
         if room < 0:
             break
         least = level
-    bitmap = bitmap_of(counts.where(F.col("n") >= F.lit(float(2 ** least))), "token", rules.bits)
+    bitmap = bitmap_of(counts.where(F.col("n") >= F.lit(float(2 ** least))), "token", rules.frequent_bits)
     drop_written(docs, path)
     return bitmap
 
@@ -148,11 +198,15 @@ def _sets(docs: DataFrame, frequent: np.ndarray, rules: JoinRules) -> DataFrame:
 
 def _postings(sets: DataFrame, rules: JoinRules) -> DataFrame:
     """(token, node, n): prefix shingles that different sets share. ``sets`` has been written."""
-    nodes = sets.where("n > 0")
-    shared = nodes.select("node", F.explode("prefix").alias("token")).groupBy("token") \
-        .agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("token")
-    shared, _ = stored(shared, "ngram-shared")
-    bitmap = bitmap_of(shared, "token", rules.bits)
+    nodes = sets.where("n > 0").select("node", "n", "prefix")
+    power = _ranges(sets)
+
+    def count(batches):
+        yield from _by_range((batch["prefix"].flatten().to_numpy().view(np.uint64) for batch in batches), power)
+
+    # copies of one set meet here too; the exact join below tells them apart
+    twice, path = stored(_repeated(nodes.select("prefix").mapInArrow(count, _RANGES)).select("token"), "ngram-twice")
+    bitmap = bitmap_of(twice, "token", rules.bits)
 
     def run(batches):
         for batch in batches:
@@ -165,8 +219,11 @@ def _postings(sets: DataFrame, rules: JoinRules) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(tokens[hit]), batch["node"].take(rows), batch["n"].take(rows)], names=["token", "node", "n"])
 
-    rows = nodes.select("node", "n", "prefix").mapInArrow(run, "token bigint, node bigint, n bigint").distinct()
-    return rows.join(shared, "token", "left_semi")
+    rows, rows_path = stored(nodes.mapInArrow(run, "token bigint, node bigint, n bigint").distinct(), "ngram-rows")
+    shared = rows.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("token")
+    found, _ = stored(rows.join(shared, "token", "left_semi"), "ngram-postings")
+    drop_written(sets, path, rows_path)
+    return found
 
 
 def _active(docs: DataFrame, sets: DataFrame, postings: DataFrame, rules: JoinRules) -> DataFrame:
@@ -195,7 +252,8 @@ def _active(docs: DataFrame, sets: DataFrame, postings: DataFrame, rules: JoinRu
 
     found = docs.where("doc_id is not null").withColumn("place", F.xxhash64("doc_id")).mapInArrow(
         run, "doc_id bigint, node bigint, n bigint, tokens array<bigint>, bits array<bigint>, keys array<bigint>")
-    return found.join(wanted.select("doc_id", "node"), ["doc_id", "node"], "left_semi").dropDuplicates(["node"])
+    chosen = wanted.select("node", F.col("doc_id").alias("chosen"))
+    return found.join(chosen, "node").where("doc_id = chosen").drop("chosen", "doc_id").dropDuplicates(["node"])
 
 
 def _verified(pairs: DataFrame, active: DataFrame, rules: JoinRules) -> DataFrame:
@@ -281,7 +339,7 @@ def similar_sets(docs: DataFrame, rules: JoinRules = DEFAULT) -> DataFrame:
     ship_package(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     sets, _ = stored(_sets(docs, _frequent(docs, rules), rules), "ngram-sets")
-    postings, _ = stored(_postings(sets, rules), "ngram-postings")
+    postings = _postings(sets, rules)
     active, _ = stored(_active(docs, sets, postings, rules), "ngram-active")
     inside, _ = stored(_group_links(active, rules), "ngram-inside")
     grouped = components(inside, "ngram-groups")

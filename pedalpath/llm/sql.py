@@ -2,7 +2,51 @@
 
 from __future__ import annotations
 
+from .licenses import TEMPLATES
+
+
+def _license_scan() -> str:
+    """The templates as a table, and their words joined by relative position."""
+    rows = ", ".join(f"('{w}', {n}, '{t.label}', {str(t.base).lower()}, {at}, {str(k).lower()})"
+                     for n, t in enumerate(TEMPLATES) for w, at, k in t.postings())
+    words = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), " \
+            r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    return f"""
+WITH template(word, template, label, base, spot, key) AS (VALUES {rows}),
+split AS (SELECT doc_id, {words} AS words FROM documents),
+hits AS (
+  SELECT doc_id, word, pos - 1 AS pos
+  FROM (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM split)
+  WHERE word IN (SELECT word FROM template)),
+total AS (SELECT count(*) AS n FROM documents),
+vocabulary AS (SELECT DISTINCT word FROM template),
+weights AS (
+  SELECT v.word, ln((SELECT n FROM total) + 1) - ln(count(DISTINCT h.doc_id) + 1) AS weight
+  FROM vocabulary v LEFT JOIN hits h ON v.word = h.word GROUP BY v.word),
+wholes AS (
+  SELECT template, sum(weight) AS whole, count(*) FILTER (key) AS keys
+  FROM template JOIN weights USING (word) GROUP BY template),
+places AS (
+  SELECT doc_id, template, label, base, pos - spot AS origin, count(*) FILTER (key) AS found, sum(weight) AS weight
+  FROM hits JOIN template USING (word) JOIN weights USING (word) GROUP BY ALL),
+held AS (
+  SELECT doc_id, label, base, origin, CASE WHEN whole > 0 THEN round(least(weight / whole, 1.0), 6) ELSE 1.0 END AS score
+  FROM places JOIN wholes USING (template) WHERE found = keys),
+per AS (
+  SELECT doc_id, count(*) FILTER (base) AS n_base, min(origin) FILTER (base) AS first_word,
+         max(origin) FILTER (base) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score
+  FROM held GROUP BY doc_id)
+SELECT s.doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+       last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       coalesce(score, 0.0)::DOUBLE AS score
+FROM split s LEFT JOIN per ON s.doc_id IS NOT DISTINCT FROM per.doc_id
+"""
+
+
 SQL = {
+    "op2_license_scan": _license_scan(),
     # Water-filling in closed form: with sources in the order of cap / weight, those before the first one whose cap
     # is not reached at the level of the rest are clamped.
     "op8_source_mixing": r"""

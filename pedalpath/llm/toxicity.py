@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -45,9 +46,11 @@ _BREAK = frozenset(".!?;\n")
 class ToxicityRules:
     max_rows: int = 10_000
     #: a stem is an insult from this log ratio on, in at least this many toxic texts and this share of them
-    least_weight: float = 1.5
+    least_weight: float = 1.2
     least_texts: int = 3
     least_share: float = 0.01
+    #: a text counts a stem so many times at most
+    most_in_text: int = 3
     stems: tuple[int, ...] = (3, 4, 5, 6)
     max_stems: int = 5_000
     #: how far a negation reaches, in words
@@ -168,21 +171,25 @@ def _sample(docs: DataFrame, labels: DataFrame, third: int, rules: ToxicityRules
 
 
 def learn_stems(sample: DataFrame, rules: ToxicityRules) -> dict[str, float]:
-    """Weight of each insult stem: the smoothed log ratio of the shares of toxic and other texts that hold it."""
+    """Weight of each insult stem: the smoothed log ratio of its mean counts in toxic and in other texts."""
     def make():
         def step(batch):
             for start in range(0, batch.num_rows, 200):
                 part = batch.slice(start, 200)
                 counts: dict[str, list[int]] = {}
                 for toxic, text in zip(part["toxic"].to_pylist(), texts(part["text"])):
-                    found = set()
-                    for word in set(re.findall(r"[^\W\d_]+", text.decode("utf-8", "replace").lower())):
-                        found.add("=" + word)
-                        found.update(word[:n] for n in rules.stems if len(word) >= n)
-                    for stem in found:
-                        counts.setdefault(stem, [0, 0])[toxic] += 1
-                for stem, (no, yes) in counts.items():
-                    yield {"stem": stem, "no": no, "yes": yes}
+                    found: Counter[str] = Counter()
+                    for word, n in Counter(re.findall(r"[^\W\d_]+", text.decode("utf-8", "replace").lower())).items():
+                        found["=" + word] += n
+                        for k in rules.stems:
+                            if len(word) >= k:
+                                found[word[:k]] += n
+                    for stem, n in found.items():
+                        row = counts.setdefault(stem, [0, 0, 0])
+                        row[toxic] += min(n, rules.most_in_text)
+                        row[2] += toxic
+                for stem, (no, yes, held) in counts.items():
+                    yield {"stem": stem, "no": no, "yes": yes, "held": held}
         return step
 
     totals = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
@@ -191,8 +198,8 @@ def learn_stems(sample: DataFrame, rules: ToxicityRules) -> dict[str, float]:
         return {}
     weight = F.log((F.col("yes") + 0.5) / (yes + 1)) - F.log((F.col("no") + 0.5) / (no + 1))
     least = max(rules.least_texts, math.ceil(rules.least_share * yes))
-    counted = map_batches(sample.select("toxic", "text"), make, "stem string, no bigint, yes bigint", rows=20_000) \
-        .groupBy("stem").agg(F.sum("no").alias("no"), F.sum("yes").alias("yes")).where(F.col("yes") >= least)
+    counted = map_batches(sample.select("toxic", "text"), make, "stem string, no bigint, yes bigint, held bigint", rows=20_000) \
+        .groupBy("stem").agg(F.sum("no").alias("no"), F.sum("yes").alias("yes"), F.sum("held").alias("held")).where(F.col("held") >= least)
     rows = counted.select("stem", weight.alias("weight"), "yes").where(F.col("weight") >= rules.least_weight) \
         .orderBy(F.desc(F.col("weight") * F.sqrt("yes")), "stem").limit(rules.max_stems).collect()
     return {r["stem"]: r["weight"] for r in rows}
