@@ -51,7 +51,7 @@ class Spread:
     settled: float = 1e-6
     #: weight of the edge to the domain above, against the links of a page
     owner: float = 0.5
-    floor: float = 1.0
+    floor: float = 0.5
 
 
 DEFAULT = Spread()
