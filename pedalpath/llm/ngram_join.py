@@ -46,7 +46,9 @@ class JoinRules:
     #: link from this similarity on, in percent
     percent: int = 80
     #: size of the bitmaps, as a power of two: of the frequent shingles, of the others
-    frequent_bits: int = 25
+    frequent_bits: int = 26
+    #: frequent shingles are looked for in so many times the prefix, since leaving them out lengthens it
+    lookout: int = 2
     bits: int = 24
     #: columns of the matrix
     columns: int = 8192
@@ -91,7 +93,7 @@ def _lists(parts: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
 
 
-def _chunks(batch: pa.RecordBatch, rules: JoinRules, most: int = 1_000_000):
+def _chunks(batch: pa.RecordBatch, rules: JoinRules, most: int = 300_000):
     """(number, shingles) of a batch's documents, in lists of about ``most`` shingles."""
     held, size = [], 0
     for doc, text in zip(batch["doc_id"].to_pylist(), texts(batch["text"])):
@@ -110,7 +112,7 @@ def _ranges(docs: DataFrame) -> int:
     return min(17, max(7, (2 * docs.rdd.getNumPartitions() - 1).bit_length()))
 
 
-def _by_range(parts: Iterator[np.ndarray], power: int, room: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def _by_range(parts: Iterator[np.ndarray], power: int, room: int = 1_500_000) -> Iterator[pa.RecordBatch]:
     """Counts of a task's tokens as rows (range, once, often, n): those met once, those met oftener and how often."""
     def table(held):
         token, n = np.unique(np.concatenate(held), return_counts=True)
@@ -152,7 +154,7 @@ def _repeated(by_range: DataFrame) -> DataFrame:
 
 
 def _frequent(docs: DataFrame, rules: JoinRules) -> np.ndarray:
-    """Bitmap of the most frequent shingles of the prefixes by hash: as many as keep it sparse."""
+    """Bitmap of the most frequent shingles near the prefixes by hash: as many as keep it sparse."""
     power = _ranges(docs)
 
     def run(batches):
@@ -160,7 +162,8 @@ def _frequent(docs: DataFrame, rules: JoinRules) -> np.ndarray:
             for batch in batches:
                 for held in _chunks(batch, rules):
                     for s in {_node(s): s for _, s in held if len(s)}.values():
-                        yield s[:_prefix_length(len(s), rules.percent)]
+                        # a copy, so that the rest of the set can go
+                        yield s[:rules.lookout * _prefix_length(len(s), rules.percent)].copy()
         yield from _by_range(parts(), power)
 
     counts, path = stored(_repeated(docs.mapInArrow(run, _RANGES)), "ngram-counts")
