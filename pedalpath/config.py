@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -11,22 +12,8 @@ SHED_POLICIES = ("none", "drop_oldest", "drop_k", "shrink_window")
 
 
 def parse_int_set(text: str) -> tuple[int, ...]:
-    """Comma-separated integers; tokens that are not integers are skipped."""
-    found = set()
-    for token in text.split(","):
-        try:
-            found.add(int(token.strip()))
-        except ValueError:
-            continue
-    return tuple(sorted(found))
-
-
-def clamp(value: int, low: int | None = None, high: int | None = None) -> int:
-    if low is not None and value < low:
-        return low
-    if high is not None and value > high:
-        return high
-    return value
+    """The integers in a comma-separated text; anything else in it does not count."""
+    return tuple(sorted({int(t) for t in text.replace(" ", "").split(",") if re.fullmatch(r"[+-]?\d+", t)}))
 
 
 def normal_policy(name: str | None) -> str:
@@ -45,7 +32,6 @@ class PathConfig:
     max_chain: int | None = None
     # sharding and ingest
     n_shards: int = 10
-    max_rows: int | None = None
     files_per_trigger: int = 1
     # matches
     dedupe_ttl_ms: int = 24 * HOUR_MS
@@ -91,7 +77,7 @@ class PathConfig:
             "files_per_trigger": 1,
         }
         for name, low in lower_bounds.items():
-            object.__setattr__(self, name, clamp(getattr(self, name), low))
+            object.__setattr__(self, name, max(getattr(self, name), low))
         object.__setattr__(self, "shed_policy", normal_policy(self.shed_policy))
 
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Text that ends in a zone: Z, +hh, +hhmm or +hh:mm after a time of day.
-_ZONED = r":\d{2}(\.\d+)?\s*([Zz]|[+-]\d{2}(:?\d{2})?)$"
+# Text with anything but digits behind its time of day: a zone, or what makes the whole unreadable.
+_ZONED = r":\d{1,2}(\.\d+)?\s*[^\d\s.:].*$"
+_MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
 
 
 def _col(c: Column | str) -> Column:
@@ -25,20 +26,26 @@ def parse_number(c: Column | str) -> Column:
     return F.coalesce(parse_int(c), F.when(whole.cast("double") == number, whole))
 
 
+def _iso(text: Column) -> Column:
+    """Dates written ``m/d/yyyy``, ``yyyy/m/d`` or ``Mon d yyyy``, before a time of day, as ``yyyy-mm-dd``."""
+    text = F.regexp_replace(text, r"^(\d{1,2})/(\d{1,2})/(\d{4})(?=$|\D)", "$3-$1-$2")
+    text = F.regexp_replace(text, r"^(\d{4})/(\d{1,2})/(\d{1,2})(?=$|\D)", "$1-$2-$3")
+    named = r"^([A-Za-z]{3})[a-z]*\.? (\d{1,2}),? (\d{4})(?=$|\D)"
+    place = F.instr(F.lit(_MONTHS), F.initcap(F.substring(text, 1, 3))) + 2
+    month = F.when(F.pmod(place, F.lit(3)) == 0, (place / 3).cast("int").cast("string")).otherwise("x")
+    return F.when(text.rlike(named), F.concat_ws("-", F.regexp_extract(text, named, 3), month, F.regexp_replace(text, named, "$2"))).otherwise(text)
+
+
 def parse_time_ms(c: Column | str) -> Column:
     """Epoch milliseconds of a time in text; without a zone it is UTC, whatever the session's zone.
 
-    Null if unreadable. Text without a zone is read as a civil time, which looks no zone up.
+    Null if unreadable, which an unknown zone is too. Text without a zone is read as a civil time, which looks no zone up.
     """
-    text = F.trim(_col(c).cast("string"))
+    text = _iso(F.trim(_col(c).cast("string")))
     return F.when(text.rlike(_ZONED), F.unix_millis(text.try_cast("timestamp"))) \
         .otherwise(ntz_epoch_ms(text.try_cast("timestamp_ntz")))
 
 
-def epoch_ms(c: Column | str) -> Column:
-    return F.unix_millis(_col(c))
-
-
 def ntz_epoch_ms(c: Column | str) -> Column:
     """Epoch milliseconds of a timestamp without zone, read as UTC."""
     return F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), _col(c))

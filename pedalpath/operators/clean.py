@@ -33,14 +33,15 @@ def judge_trips(raw: DataFrame, id_parse: str = "strict", bike_column: str | Non
     if id_parse not in ("strict", "numeric"):
         raise ValueError(f"unknown id_parse {id_parse!r}")
     station = parse_int if id_parse == "strict" else parse_number
-    typed = project_raw(raw, bike_column, names).select(
+    # inline() holds the parsed values: a test on them would otherwise be pushed down with the whole parsing in it
+    typed = project_raw(raw, bike_column, names).select(F.inline(F.array(F.struct(
         "bike_id",
         station("start_station_id").alias("start_station_id"),
         station("end_station_id").alias("end_station_id"),
         parse_time_ms("started_at").alias("started_at_ms"),
         parse_time_ms("ended_at").alias("ended_at_ms"),
         "trip_seq",
-    )
+    ))))
     return typed.withColumn("reject_reason", reject_reason())
 
 

@@ -12,7 +12,6 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 from dataclasses import dataclass, replace
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -148,7 +147,3 @@ def running(o: Ordered, exclusive: bool = False, **wanted: tuple[str, Column]) -
     o = o.with_columns({name: _KINDS[kind][1](F.col(f"_of_{name}"), local[name])
                         for name, (kind, _) in wanted.items()})
     return replace(o, df=o.df.drop(*totals))
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)

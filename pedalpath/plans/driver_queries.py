@@ -14,6 +14,7 @@ from ..functions import predicates, scalar
 from ..functions.shedding import shed
 from ..operators import clean, metrics, overload, sequence
 from ..operators.ordered import HotKeys, find_hot_keys
+from ..schemas import WIRE_TRIP
 from ..session import fresh_path, written
 from ..sources import logs, sinks, streams, trips as trip_sources
 from ..streaming import matcher, monitor
@@ -450,12 +451,63 @@ def renamed_bike_column(spark, sf):
 def month_folders(spark, sf):
     """Raw files in folders named <n>_<name>, n by the length of the station text; every file is read."""
     path = fresh_path(spark, "months")
-    raw = _messy(_events(spark, sf))
-    for n in (1, 2, 3, 4):
-        sinks.write_csv(_raw_columns(raw.where(F.length("Start Station ID") == n)), f"{path}/{n}_Month")
+    raw = _messy(_events(spark, sf)).withColumn("_n", F.length("Start Station ID"))
+    # a length is at most that of a long, and one more for a sign or a fraction
+    for n in sorted(r[0] for r in raw.select("_n").distinct().collect()):
+        sinks.write_csv(_raw_columns(raw.where(F.col("_n") == n).drop("_n")), f"{path}/{n}_Month")
     return trip_sources.read_month_folders(spark, path).groupBy("month").agg(F.count("*").alias("trips"))
 
 
+def month_arrival(spark, sf):
+    """Trips in twelve month folders, by time; matched in their order of arrival, which is that of the months."""
+    trips, _ = _trips(spark, sf)
+    at = lambda c: F.date_format(F.timestamp_millis(c), "yyyy-MM-dd HH:mm:ss.SSS")
+    span = trips.agg(F.min("started_at_ms").alias("low"), F.max("started_at_ms").alias("high")).first()
+    month = 1 + F.floor((F.col("started_at_ms") - span["low"]) * 12 / (span["high"] - span["low"] + 1))
+    path = fresh_path(spark, "arrivals")
+    for n in range(1, 13):
+        part = trips.where(month == n).repartitionByRange(3, "started_at_ms", "trip_seq").sortWithinPartitions("started_at_ms", "trip_seq")
+        # columns in an order of their own: they are found by name
+        sinks.write_csv(part.select(
+            F.col("bike_id").alias("Bike ID"), at("ended_at_ms").alias("Stop Time"), at("started_at_ms").alias("Start Time"),
+            F.col("end_station_id").alias("End Station ID"), F.col("start_station_id").alias("Start Station ID")), f"{path}/{n}_Month")
+    arrived = clean.clean_trips(trip_sources.read_month_folders(spark, path), ingest_ts_ms=0)
+    return hp.hot_paths(arrived, "longest", order="arrival", cfg=DAY).drop("ingest_ts_ms")
+
+
+def time_forms(spark, sf):
+    """Times in the forms that files have, by the event number; the last form names a zone that does not exist."""
+    at = F.col("ts").cast("timestamp_ntz")
+    iso = F.date_format(at, "yyyy-MM-dd HH:mm:ss")
+    forms = [F.date_format(at, "M/d/yyyy HH:mm:ss"), F.date_format(at, "yyyy/MM/dd HH:mm:ss"), F.date_format(at, "MMM d yyyy HH:mm:ss"),
+             F.date_format(at, "M/d/yyyy H:mm"), F.concat(iso, F.lit(" Etc/GMT+5")), F.concat(iso, F.lit(" GMT+2")),
+             F.concat(iso, F.lit("-5")), F.concat(iso, F.lit(" Nowhere/Zone"))]
+    text = F.element_at(F.array(*forms), (F.pmod("event_id", F.lit(len(forms))) + 1).cast("int"))
+    return _events(spark, sf).select("event_id", scalar.parse_time_ms(text).alias("ms"))
+
+
+def shuffled_header(spark, sf):
+    """Raw files whose columns stand in another order, with one that is not known."""
+    path = fresh_path(spark, "shuffled-csv")
+    raw = _raw_columns(_messy(_events(spark, sf)))
+    sinks.write_csv(raw.select(F.lit("n").alias("Note"), *sorted(raw.columns, reverse=True)), path)
+    return clean.clean_trips(trip_sources.read_trip_csv(spark, path), "strict", ingest_ts_ms=STAMP).select(
+        "bike_id", "start_station_id", "end_station_id", "started_at_ms", "ended_at_ms", "shard")
+
+
+def wire_rejects(spark, sf):
+    """Records on the wire that lack a field: how many, by the first field that is missing."""
+    trips, _ = _trips(spark, sf)
+    n = F.col("trip_seq")
+    broken = trips.withColumns({
+        "bike_id": F.when(n % 13 != 0, F.col("bike_id")).otherwise(""), "start_station_id": F.when(n % 7 != 0, F.col("start_station_id")),
+        "end_station_id": F.when(n % 11 != 0, F.col("end_station_id")), "started_at_ms": F.when(n % 5 != 0, F.col("started_at_ms")),
+        "ended_at_ms": F.when(n % 3 != 0, F.col("ended_at_ms")), "shard": F.lit(0)})
+    path = fresh_path(spark, "broken-wire")
+    sinks.write_trip_records(broken, path)
+    return trip_sources.rejected_records(spark.read.schema(WIRE_TRIP).json(path)).groupBy("reject_reason").agg(F.count("*").alias("n"))
+
+
 def wire_round_trip(spark, sf):
     """Trips to sharded JSON records and back; a stamp missing on the wire is 0."""
     trips, _ = _trips(spark, sf)
@@ -680,6 +732,10 @@ QUERIES = {
     "csv_round_trip": csv_round_trip,
     "renamed_bike_column": renamed_bike_column,
     "month_folders": month_folders,
+    "month_arrival": month_arrival,
+    "time_forms": time_forms,
+    "shuffled_header": shuffled_header,
+    "wire_rejects": wire_rejects,
     "wire_round_trip": wire_round_trip,
     "decoded_bytes": decoded_bytes,
     "match_lines": match_lines,

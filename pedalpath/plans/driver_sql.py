@@ -340,3 +340,17 @@ SQL = {
     "stream_ingest": _with(_MESSY, _good("strict_start")) + """SELECT bike_id, count(*) AS trips,
         min(started_at_ms) AS first_ms, max(ended_at_ms) AS last_ms FROM good GROUP BY bike_id""",
 }
+
+_NO_INGEST = ", ".join(c for c in (x.strip() for x in _MATCH.split(",")) if not c.endswith("ingest_ts_ms"))
+SQL |= {
+    "month_arrival": _LONGEST + f"SELECT {_NO_INGEST} FROM longest",
+    "shuffled_header": SQL["csv_round_trip"],
+    "time_forms": """SELECT event_id, CASE event_id % 8 WHEN 3 THEN epoch_ms(date_trunc('minute', ts))
+        WHEN 4 THEN epoch_ms(date_trunc('second', ts)) + 18000000 WHEN 5 THEN epoch_ms(date_trunc('second', ts)) - 7200000
+        WHEN 6 THEN epoch_ms(date_trunc('second', ts)) + 18000000 WHEN 7 THEN NULL
+        ELSE epoch_ms(date_trunc('second', ts)) END AS ms FROM events""",
+    "wire_rejects": _with(_trips()) + """SELECT reject_reason, count(*) AS n FROM (SELECT CASE
+        WHEN trip_seq % 13 = 0 THEN 'bike_id' WHEN trip_seq % 7 = 0 THEN 'start_station_id' WHEN trip_seq % 11 = 0 THEN 'end_station_id'
+        WHEN trip_seq % 5 = 0 THEN 'started_at_ms' WHEN trip_seq % 3 = 0 THEN 'ended_at_ms' END AS reject_reason FROM trips)
+        WHERE reject_reason IS NOT NULL GROUP BY reject_reason""",
+}

@@ -14,6 +14,7 @@ from ..config import DEFAULT, PathConfig
 from ..functions.predicates import hot_end
 from ..operators.ordered import HotKeys, Ordered, by_key, find_hot_keys, in_pieces, running
 from ..operators.sequence import BIKE, LAST, TIME_ORDER, drop_late, with_sequence
+from ..sources.trips import wire_reject_reason
 
 MATCH_COLUMNS = ["bike_id", "a1_start", "ai_end", "b_end", "first_ts_ms", "b_ended_ms", "length_a",
                  "ingest_ts_ms"]
@@ -121,8 +122,8 @@ def _all_by_frame(o: Ordered, cfg: PathConfig) -> DataFrame:
 
 
 def _usable(trips: DataFrame) -> DataFrame:
-    """The columns the pattern needs; trips that end before they start are for the reject table."""
-    return trips.select(*_TRIP).where(F.col("ended_at_ms") >= F.col("started_at_ms"))
+    """The columns the pattern needs; trips that lack one or end before they start are for the reject table."""
+    return trips.select(*_TRIP).where((F.col("ended_at_ms") >= F.col("started_at_ms")) & wire_reject_reason().isNull())
 
 
 def _prepared(trips: DataFrame, mode: str, overlap: str | None, order: str, cfg: PathConfig,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..config import DEFAULT, PathConfig
 from ..schemas import BACKLOG, LATENCY, MATCH_TEXT, RAW_TRIP, TRIP, WIRE_TRIP
-from .trips import decode_wire
+from .trips import usable_records
 
 
 def stream_trip_records(spark: SparkSession, path: str, cfg: PathConfig = DEFAULT,
@@ -15,7 +15,7 @@ def stream_trip_records(spark: SparkSession, path: str, cfg: PathConfig = DEFAUL
     reader = spark.readStream.option("maxFilesPerTrigger", cfg.files_per_trigger) \
         .option("recursiveFileLookup", True)
     if form == "json":
-        trips = decode_wire(reader.schema(WIRE_TRIP).json(path))
+        trips = usable_records(reader.schema(WIRE_TRIP).json(path))
     else:
         trips = reader.schema(TRIP).parquet(path)
     return trips.withColumn("started_at", F.timestamp_millis("started_at_ms"))

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import re
-
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions.scalar import decode_text, month_of_folder
 from ..schemas import RAW_TRIP, WIRE_TRIP
@@ -12,61 +10,73 @@ from ..schemas import RAW_TRIP, WIRE_TRIP
 # Names tried first for the bike column, in order (fixed values).
 BIKE_COLUMNS = ("Bike ID", "bike_id", "bikeid", "BikeID", "bike", "Bike", "Bike Number", "Bike Number ID")
 
-# Room for the place inside one file; the rest of the 63 bits numbers the files.
-_PLACE_BITS = 44
-_SCHEME = r"^[a-z0-9]+:/+(?=[^/])"
-
 
-def _unlisted() -> Column:
-    return F.raise_error(F.concat(F.lit("not in the file listing: "), F.col("_file"))).cast("bigint")
+def _rank(column: str) -> int | None:
+    """How well a header fits the bike column, best first; None if not at all."""
+    if column in BIKE_COLUMNS:
+        return BIKE_COLUMNS.index(column)
+    return len(BIKE_COLUMNS) if "bike" in column.casefold() else None
 
 
 def find_bike_column(columns: list[str]) -> str:
-    """A known name if present, else the first name that contains "bike", else an error."""
-    for name in BIKE_COLUMNS:
-        if name in columns:
-            return name
-    for name in columns:
-        if "bike" in name.lower():
-            return name
-    raise KeyError("no bike column among: " + ", ".join(columns))
+    """The column whose header fits best; of equals the one further left."""
+    fitting = [c for c in columns if _rank(c) is not None]
+    if not fitting:
+        raise KeyError(f"none of these columns looks like a bike id: {columns}")
+    return min(fitting, key=_rank)
 
 
 def _with_file_order(df: DataFrame) -> DataFrame:
-    """``trip_seq``: file number, then place in the file. Rows of a scan block are read in order, and
-    a block has fewer rows than bytes, so block start plus row number never runs past the next block.
+    """``trip_seq``: the files one after the other, by month number of their folder and then by path, and the rows of a
+    file in the order in which they stand.
+
+    A row's place in its file is where its scan block starts plus its number there; a block has fewer rows than bytes.
+    A file's rows come behind the last place of the file before it, so numbers are as large as the input at most, and the
+    count of files does not matter. The table of files has a row per file and stays on the executors.
     """
-    spark = df.sparkSession
     row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    # Listings write the scheme as file:/ or file:///; the path after it is the same.
-    file = F.regexp_replace(F.col("_metadata.file_path"), _SCHEME, "/")
-    placed = df.select("*", file.alias("_file"),
-                       (F.col("_metadata.file_block_start") + row).alias("_place"))
-    files = sorted(re.sub(_SCHEME, "/", f) for f in df.inputFiles())
-    if len(files) <= 1:
-        return placed.withColumn("trip_seq", F.col("_place")).drop("_place")
-    numbers = spark.createDataFrame([(f, i) for i, f in enumerate(files)], "_file string, _no bigint")
-    return (placed.join(numbers, "_file", "left")
-            .withColumn("trip_seq", F.shiftleft(F.coalesce(F.col("_no"), _unlisted()), _PLACE_BITS) + F.col("_place"))
-            .drop("_no", "_place"))
+    placed = df.select("*", F.col("_metadata.file_path").alias("_file"), (F.col("_metadata.file_block_start") + row).alias("_place"))
+    folder = F.regexp_extract("_file", r"/([^/]+)/[^/]+$", 1)
+    files = placed.groupBy("_file").agg(F.max("_place").alias("_last"))
+    return numbered_files(placed, files.withColumn("_month", month_of_folder(folder))).drop("_place")
+
+
+def numbered_files(placed: DataFrame, files: DataFrame) -> DataFrame:
+    """Rows (_file, _place) numbered over files (_file, _month, _last)."""
+    order = Window.orderBy(F.col("_month").asc_nulls_last(), "_file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = files.select("_file", F.coalesce(F.sum(F.col("_last") + 1).over(order), F.lit(0)).alias("_start"))
+    return placed.join(starts, "_file").withColumn("trip_seq", F.col("_start") + F.col("_place")).drop("_start")
+
+
+def _by_header(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Columns by the names in the header, known ones with their type, whatever their order.
+
+    Files that are read together must have the same header: one that differs is an error, not a shift of columns.
+    """
+    names = spark.read.option("header", True).csv(path).columns
+    text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    return spark.read.option("header", True).option("enforceSchema", False).schema(text).csv(path)
+
+
+def _typed(raw: DataFrame) -> DataFrame:
+    kinds = {f.name: f.dataType for f in RAW_TRIP}
+    return raw.withColumns({c: F.col(f"`{c}`").try_cast(kinds[c]) for c in raw.columns if c in kinds and kinds[c] != T.StringType()})
 
 
 def read_trip_csv(spark: SparkSession, path: str | list[str], fixed_schema: bool = True) -> DataFrame:
-    """Raw trips with their arrival order ``trip_seq``.
+    """Raw trips with their arrival order ``trip_seq``; columns are found by their header names.
 
-    Without the fixed schema every column is text under its own header name; nothing is inferred.
+    Without the fixed schema every column stays text; nothing is inferred.
     """
-    reader = spark.read.option("header", True)
-    if fixed_schema:
-        reader = reader.schema(RAW_TRIP)
-    return _with_file_order(reader.csv(path)).drop("_file")
+    raw = _with_file_order(_by_header(spark, path)).drop("_file")
+    return _typed(raw) if fixed_schema else raw
 
 
 def read_month_folders(spark: SparkSession, root: str) -> DataFrame:
-    """Every file of every ``<n>_<Month>`` folder, with the month number taken from the folder name."""
-    raw = spark.read.option("header", True).schema(RAW_TRIP).csv(f"{root.rstrip('/')}/*/*.csv")
+    """Every file of every ``<n>_<Month>`` folder, with the month number taken from the folder name; months in their order."""
+    raw = _with_file_order(_by_header(spark, f"{root.rstrip('/')}/*/*.csv"))
     folder = F.regexp_extract("_file", r"/([^/]+)/[^/]+$", 1)
-    return _with_file_order(raw).withColumn("month", month_of_folder(folder)).drop("_file")
+    return _typed(raw.withColumn("month", month_of_folder(folder)).drop("_file"))
 
 
 def decode_wire(records: DataFrame) -> DataFrame:
@@ -87,6 +97,24 @@ def decode_wire(records: DataFrame) -> DataFrame:
     return records.select(*out)
 
 
+def wire_reject_reason() -> Column:
+    """The first field a decoded record lacks, else null."""
+    reason = F.when(F.coalesce("bike_id", F.lit("")) == "", "bike_id")
+    for name in ("start_station_id", "end_station_id", "started_at_ms", "ended_at_ms"):
+        reason = reason.when(F.col(name).isNull(), name)
+    return reason
+
+
+def usable_records(records: DataFrame) -> DataFrame:
+    """Decoded records with all their fields, batch or stream; the others are in ``rejected_records``."""
+    return decode_wire(records).where(wire_reject_reason().isNull())
+
+
+def rejected_records(records: DataFrame) -> DataFrame:
+    """Decoded records that lack a field, with ``reject_reason``."""
+    return decode_wire(records).withColumn("reject_reason", wire_reject_reason()).where(F.col("reject_reason").isNotNull())
+
+
 def read_trip_records(spark: SparkSession, path: str) -> DataFrame:
-    """Trips written by ``write_trip_records``, batch form."""
-    return decode_wire(spark.read.schema(WIRE_TRIP).json(path))
+    """Usable trips of those written by ``write_trip_records``, batch form."""
+    return usable_records(spark.read.schema(WIRE_TRIP).json(path))

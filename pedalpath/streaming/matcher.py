@@ -15,6 +15,7 @@ from ..config import DEFAULT, PathConfig
 from ..functions.shedding import shed_trips
 from ..schemas import MATCH
 from ..session import ship_package
+from ..sources.trips import wire_reject_reason
 
 _STATE = ("starts array<bigint>, ends array<bigint>, started array<bigint>, ended array<bigint>, "
           "last_ts bigint, last_end bigint")
@@ -106,8 +107,8 @@ def hot_path_stream(trips: DataFrame, cfg: PathConfig = DEFAULT, order: str = "t
     ship_package(trips.sparkSession)
     if "active" not in trips.columns:
         trips = trips.withColumn("active", F.lit(False))
-    # Trips that end before they start belong to the reject table, as in batch.
-    usable = trips.where(F.col("ended_at_ms") >= F.col("started_at_ms")).withColumn(
+    # Trips that lack a field or end before they start belong to the reject table, as in batch.
+    usable = trips.where((F.col("ended_at_ms") >= F.col("started_at_ms")) & wire_reject_reason().isNull()).withColumn(
         "trip_seq", F.coalesce("trip_seq", F.lit(0).cast("bigint")))
     return (usable.select("bike_id", "started_at", "active", *_FIELDS)
             .withWatermark("started_at", cfg.watermark)

@@ -184,3 +184,57 @@ def test_log_and_compare(spark):
     assert [r.bike for r in reports.top_bikes(both, 2, "batch_matches").collect()] == [7, 5]
     want = statistics.correlation((3, 0, 4), (2, 1, 0))
     assert abs(reports.count_correlation(both).first()[0] - want) < 1e-9
+
+
+def test_months_in_their_order(spark, tmp_path):
+    """October comes after January, and rows of a later file have larger numbers, however many files there are."""
+    ok = "2017-01-01 00:00:00", "2017-01-01 00:10:00"
+    for month in ("10_October", "1_January", "2_February"):
+        write(f"{tmp_path}/{month}/d.csv", [line(f"{month}{i}", 1, 2, *ok) for i in range(3)])
+    got = [r["Bike ID"] for r in src.read_month_folders(spark, str(tmp_path)).orderBy("trip_seq").collect()]
+    assert got == [f"{m}{i}" for m in ("1_January", "2_February", "10_October") for i in range(3)]
+
+
+def test_many_files_are_numbered(spark):
+    """No number wraps behind 2 ** 20 files."""
+    n = (1 << 20) + 3
+    files = spark.range(n).select(F.format_string("/in/1_Month/%08d.csv", "id").alias("_file"), F.lit(1).alias("_month"),
+                                  F.lit((1 << 27) - 1).cast("bigint").alias("_last"))
+    placed = files.where(F.substring("_file", -12, 8).cast("int").isin(0, 524_288, n - 1)).select("_file", F.lit(5).cast("bigint").alias("_place"))
+    got = [r.trip_seq for r in src.numbered_files(placed, files).orderBy("_file").collect()]
+    assert got == [5, 5 + (524_288 << 27), 5 + ((n - 1) << 27)]
+
+
+def test_columns_by_header(spark, tmp_path):
+    (tmp_path / "d.csv").write_text("Bike ID,Extra,Start Time,Stop Time,Start Station ID,End Station ID\n"
+                                    "7,x,1/2/2017 00:00:21,2017/01/02 1:05,3,4\n")
+    row = clean_trips(src.read_trip_csv(spark, f"{tmp_path}/d.csv"), ingest_ts_ms=0).first()
+    assert (row.bike_id, row.start_station_id, row.end_station_id) == ("7", 3, 4)
+    assert (row.started_at_ms, row.ended_at_ms) == (1483315221000, 1483319100000)
+
+
+def test_different_headers_fail(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Bike ID,Start Time\n1,x\n")
+    (tmp_path / "b.csv").write_text("Start Time,Bike ID\nx,1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        src.read_trip_csv(spark, str(tmp_path)).collect()
+
+
+def test_zones_are_honoured(spark):
+    forms = {"2017-01-01 00:00:00 America/New_York": 1483246800000, "2017-01-01 00:00:00 GMT+2": 1483221600000,
+             "2017-01-01 00:00:00-5": 1483246800000, "2017-01-01 00:00:00 Nowhere/Zone": None, "Jan 2 2017 00:00:21": 1483315221000,
+             "1/2/2017 1:05": 1483319100000, "Foo 2 2017 00:00:21": None, "13/40/2017 00:00:00": None}
+    df = spark.createDataFrame([(t,) for t in forms], "t string")
+    assert {r.t: r.ms for r in df.select("t", scalar.parse_time_ms("t").alias("ms")).collect()} == forms
+
+
+def test_malformed_records_alter_no_match(spark):
+    """A record without a field is reported, and the trips around it still match."""
+    rows = [("a", "1", "2", "0", "10", "0", "1"), ("a", "2", None, "20", "30", "0", "2"), ("a", "2", "7", "40", "50", "0", "3"),
+            ("", "2", "7", "40", "50", "0", "4")]
+    wire = spark.createDataFrame(rows, "bike_id string, start_station_id string, end_station_id string, started_at_ms string, "
+                                       "ended_at_ms string, ingest_ts_ms string, trip_seq string")
+    assert sorted(r.reject_reason for r in src.rejected_records(wire).collect()) == ["bike_id", "end_station_id"]
+    from pedalpath import hot_paths
+    for trips in (src.usable_records(wire), src.decode_wire(wire).where("bike_id <> ''")):
+        assert [(r.a1_start, r.ai_end, r.b_end) for r in hot_paths(trips, "longest").collect()] == [(1, 2, 7)]
