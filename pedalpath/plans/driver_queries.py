@@ -109,8 +109,10 @@ def first_details(spark, sf):
 
 
 def early_variant(spark, sf):
+    """Station ids moved so that those of the literal set occur."""
     trips, hot = _trips(spark, sf)
-    return hp.early_variant(trips, DAY, hot)
+    moved = trips.withColumns({c: F.col(c) - 100 for c in ("start_station_id", "end_station_id")})
+    return hp.early_variant(moved, DAY, hot)
 
 
 # --- sequences --------------------------------------------------------------------------------
@@ -157,6 +159,12 @@ def chain_cap(spark, sf):
     return chains.select("bike_id", F.size("chain").alias("length"), _chain_text("chain").alias("chain"))
 
 
+def pruned_chains(spark, sf):
+    """Open chains of a day, cut to the last six hours of each."""
+    left = sequence.prune_chain("chain", "last_ts_ms", SIX.window_ms)
+    return _open(spark, sf).select("bike_id", F.size(left).alias("length"), _chain_text(left).alias("chain"))
+
+
 def shed_policies(spark, sf):
     cfg = replace(DAY, shed_drop_k=1, shed_keep_last_n=2, shed_window_ms=8 * HOUR_MS)
     chains = _open(spark, sf)
@@ -214,6 +222,15 @@ def clean_numeric(spark, sf):
     return good.drop("started_at")
 
 
+def ingest_stamps(spark, sf):
+    """Trips stamped with the time of the run: all of them, with one time, between two readings of the clock."""
+    before = scalar.now_ms()
+    good = clean.clean_trips(_raw(spark, sf), "strict")
+    at = F.col("ingest_ts_ms")
+    return good.agg(F.count("*").alias("trips"), F.count_if((at >= F.lit(1_600_000_000_000)) & (at <= before)).alias("stamped"),
+                    F.count_distinct("ingest_ts_ms").alias("stamps"))
+
+
 def reject_counts(spark, sf):
     return clean.reject_counts(_raw(spark, sf))
 
@@ -272,9 +289,11 @@ def dedupe_keys(spark, sf):
 
 
 def local_times(spark, sf):
+    """Winter times, and for odd events the time half a year later, in summer."""
+    ms = _ms("ts") + F.pmod("seq", F.lit(2)) * F.lit(181 * 24 * HOUR_MS)
     return _samples(spark, sf).select(
-        "seq", scalar.local_time(_ms("ts"), "UTC").alias("utc"),
-        scalar.local_time(_ms("ts"), "Europe/Helsinki").alias("helsinki"),
+        "seq", scalar.local_time(ms, "UTC").alias("utc"),
+        scalar.local_time(ms, "Europe/Helsinki").alias("helsinki"),
         scalar.round2(F.col("latency_ms") / 7).alias("rounded"))
 
 
@@ -321,6 +340,13 @@ def count_correlation(spark, sf):
     return reports.count_correlation(_compared(spark, sf)).select(F.round("correlation", 6).alias("correlation"))
 
 
+def compare_sides(spark, sf):
+    """Counts of which either side lacks bikes: one hour in batch, a day online for every second bike."""
+    batch = _counts(spark, sf, cfg=PathConfig()).where("matches > 0").withColumn("bike", F.col("bike").cast("bigint"))
+    online = reports.count_by_bike(_logged(spark, sf)).where(F.pmod("bike", F.lit(2)) == 0)
+    return reports.compare_counts(batch, online)
+
+
 def deduped_matches(spark, sf):
     """Every match three times with different ingest stamps; the first ingested stays."""
     trips, hot = _trips(spark, sf)
@@ -686,6 +712,7 @@ QUERIES = {
     "hot_path_literal": _paths("all", LITERAL),
     "hot_path_counts": _counts,
     "hot_path_counts_longest": lambda s, d: _counts(s, d, "longest", True, SIX),
+    "hot_path_counts_1h": lambda s, d: _counts(s, d, cfg=PathConfig()),
     "hot_path_totals": hot_path_totals,
     "hot_path_details": hot_path_details,
     "top_bikes": top_bikes,
@@ -695,6 +722,7 @@ QUERIES = {
     "trip_sequence": trip_sequence,
     "chain_summary": chain_summary,
     "open_chains": open_chains,
+    "pruned_chains": pruned_chains,
     "chain_cap": chain_cap,
     "late_drop": late_drop,
     "late_drop_arrival": late_drop_arrival,
@@ -703,6 +731,7 @@ QUERIES = {
     "clean_strict": clean_strict,
     "clean_numeric": clean_numeric,
     "reject_counts": reject_counts,
+    "ingest_stamps": ingest_stamps,
     "row_cap": row_cap,
     "parsed_ids": parsed_ids,
     "typed_bikes": typed_bikes,
@@ -715,6 +744,7 @@ QUERIES = {
     "match_log": match_log,
     "log_counts": log_counts,
     "compare_counts": compare_counts,
+    "compare_sides": compare_sides,
     "compare_top": compare_top,
     "count_correlation": count_correlation,
     "deduped_matches": deduped_matches,

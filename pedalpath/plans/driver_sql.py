@@ -218,11 +218,11 @@ SQL = {
     "detail_sample": _all() + f"""SELECT {_DETAIL} FROM pairs
         QUALIFY row_number() OVER (PARTITION BY bike_id ORDER BY a_pos, b_pos) <= 3""",
     "first_details": _all() + f"SELECT {_DETAIL} FROM pairs ORDER BY bike_id, a_pos, b_pos LIMIT 10",
-    "early_variant": _all(hot="b.end_station_id IN (7, 8, 9)") + f"""
-        SELECT bike_id, start_station_id AS a1_start, end_station_id AS ai_end, end_station_id AS b_end,
+    "early_variant": _all(hot="b.end_station_id IN (107, 108, 109)") + f"""
+        SELECT bike_id, start_station_id - 100 AS a1_start, end_station_id - 100 AS ai_end, end_station_id - 100 AS b_end,
                started_at_ms AS first_ts_ms, ended_at_ms AS b_ended_ms, 0 AS length_a, ingest_ts_ms
         FROM trips WHERE end_station_id % 10 IN (7, 8, 9) AND ended_at_ms - started_at_ms <= {DAY}
-        UNION ALL SELECT {_MATCH} FROM pairs""",
+        UNION ALL SELECT {_MATCH.replace("a1_start, ai_end, b_end", "a1_start - 100, ai_end - 100, b_end - 100")} FROM pairs""",
     "trip_sequence": _with(_trips(), _runs()) + """SELECT bike_id, trip_seq, pos, prev_end, is_break,
         CAST(run_no AS BIGINT) AS run_no, min(pos) OVER (PARTITION BY bike_id, run_no) AS run_start_pos FROM runs""",
     "chain_summary": _with(_trips(), _runs()) + """SELECT bike_id, CAST(run_no AS BIGINT) AS run_no,
@@ -273,8 +273,10 @@ SQL = {
         FROM trips""",
     "dedupe_keys": _LONGEST + """SELECT 'match:dedupe:' || bike_id || ':' || first_ts_ms || ':' || b_ended_ms
         || ':' || b_end AS key, length_a FROM longest""",
-    "local_times": """SELECT event_id AS seq, strftime(ts, '%Y-%m-%d %H:%M:%S') AS utc,
-        strftime(ts + INTERVAL 2 HOUR, '%Y-%m-%d %H:%M:%S') AS helsinki, round(value / 7, 2) AS rounded FROM events""",
+    # two hours ahead in winter, three from the end of March to the end of October
+    "local_times": """SELECT event_id AS seq, strftime(moved, '%Y-%m-%d %H:%M:%S') AS utc,
+        strftime(moved + to_hours(CASE WHEN month(moved) BETWEEN 4 AND 9 THEN 3 ELSE 2 END), '%Y-%m-%d %H:%M:%S') AS helsinki,
+        round(value / 7, 2) AS rounded FROM (SELECT *, ts + to_days((181 * (event_id % 2))::INTEGER) AS moved FROM events)""",
     "match_log": _LONGEST + """SELECT CAST(bike_id AS BIGINT) AS bike, b_end AS end_station,
         CAST(length_a AS BIGINT) AS len_a FROM longest""",
     "log_counts": _LONGEST + """SELECT CAST(bike_id AS BIGINT) AS bike, count(*) AS matches FROM longest
@@ -345,6 +347,17 @@ _NO_INGEST = ", ".join(c for c in (x.strip() for x in _MATCH.split(",")) if not
 SQL |= {
     "month_arrival": _LONGEST + f"SELECT {_NO_INGEST} FROM longest",
     "shuffled_header": SQL["csv_round_trip"],
+    "hot_path_counts_1h": _all(HOUR) + _counted() + "SELECT * FROM counts",
+    "compare_sides": _all(HOUR) + _counted() + f""", online AS (
+        SELECT CAST(bike_id AS BIGINT) AS bike, count(*) AS matches FROM ({_LONGEST} SELECT bike_id FROM longest)
+        WHERE CAST(bike_id AS BIGINT) % 2 = 0 GROUP BY 1),
+        batch AS (SELECT CAST(bike AS BIGINT) AS bike, matches FROM counts WHERE matches > 0)
+        SELECT bike, coalesce(b.matches, 0) AS batch_matches, coalesce(o.matches, 0) AS online_matches,
+               coalesce(b.matches, 0) - coalesce(o.matches, 0) AS delta FROM batch b FULL JOIN online o USING (bike)""",
+    "pruned_chains": _with(_trips(), _runs(), _OPEN) + f"""SELECT bike_id,
+        CAST(count(*) FILTER (started_at_ms >= last_ts_ms - {6 * HOUR}) AS INTEGER) AS length,
+        {_text(f'started_at_ms >= last_ts_ms - {6 * HOUR}')} AS chain FROM tail GROUP BY bike_id""",
+    "ingest_stamps": _with(_MESSY, _good("strict_start")) + "SELECT count(*) AS trips, count(*) AS stamped, 1 AS stamps FROM good",
     "time_forms": """SELECT event_id, CASE event_id % 8 WHEN 3 THEN epoch_ms(date_trunc('minute', ts))
         WHEN 4 THEN epoch_ms(date_trunc('second', ts)) + 18000000 WHEN 5 THEN epoch_ms(date_trunc('second', ts)) - 7200000
         WHEN 6 THEN epoch_ms(date_trunc('second', ts)) + 18000000 WHEN 7 THEN NULL
