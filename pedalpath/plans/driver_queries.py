@@ -591,18 +591,15 @@ def _arrive(source: DataFrame, at: str, folder: str, run, least: int = 3) -> Non
     """Let the rows arrive in time slices: write one, run the stream on it, write the next.
 
     Every run resumes from the checkpoint of the one before. The slices cover the whole table and hold
-    about ``SLICE_ROWS`` rows each, so that a batch stays the same size however large the table is.
+    about ``SLICE_ROWS`` rows each, so that a batch stays the same size however large the table is. The table is dealt out
+    by time and stored once; a run reads its own slice only.
     """
-    rows = source.count()
-    slices = max(least, -(-rows // SLICE_ROWS))
-    cuts = sorted(set(source.approxQuantile(at, [i / slices for i in range(1, slices)], 0.1 / slices)))
-    for lo, hi in zip([None, *cuts], [*cuts, None]):
-        part = source
-        if lo is not None:
-            part = part.where(F.col(at) >= int(lo))
-        if hi is not None:
-            part = part.where(F.col(at) < int(hi))
-        part.write.mode("append").parquet(folder)
+    slices = max(least, -(-source.count() // SLICE_ROWS))
+    stored = fresh_path(source.sparkSession, "slices")
+    source.repartitionByRange(slices, at).withColumn("_slice", F.spark_partition_id()).write.partitionBy("_slice").parquet(stored)
+    table = source.sparkSession.read.schema(source.withColumn("_slice", F.lit(0)).schema).parquet(stored)
+    for n in range(slices):
+        table.where(F.col("_slice") == n).drop("_slice").write.mode("append").parquet(folder)
         run()
 
 
