@@ -253,7 +253,7 @@ def test_licence_labels(spark):
 
 
 PAGES = [
-    (0, "http://a.net/en/1", None), (1, "https://X.Example.NET/en/2?q=http://b.org/", "<a href='http://bad.example.com/x'>"),
+    (0, "http://a.net/en/1", None), (1, "https://X.Example.NET/en/2?q=http://b.org/", "<a href='http://friend.org/x'>"),
     (2, "http://bad.example.com/de/", '<a href="//hub.org/fr/1">'), (3, "http://bad.example.com/fr/9#top", ""), (4, "http://hub.org/fr/3", None),
     (5, "http://org", None), (6, "no scheme", "<a href=http://x.org>"), (7, None, None), (8, "http://friend.org/es", '<A HREF="http://hub.org">'),
     (8, "http://friend.org/es", '<A HREF="http://hub.org">'), (9, "http://notnet/", None), (10, "http://net/", None),
