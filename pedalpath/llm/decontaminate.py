@@ -33,7 +33,7 @@ liter liters litre litres mb meter meters metre metres mg mile miles milligram m
 months mph ounce ounces oz pence percent pound pounds sec second seconds ton tonne tonnes tons volt volts watt watts week
 weeks yard yards year years
 """.split())
-_TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+|[.!?\n]+|(?<=\d)[%$£¥°€]|[$£¥€](?=\d)")
+_TOKEN = re.compile(r"[^\W\d_]+|\d+(?:[.,:/]\d+)*|[.!?\n]+|(?<=\d)[%$£¥°€]|[$£¥€](?=\d)")
 WORD, CAPITAL, NUMBER, UNIT, BREAK = range(5)
 _STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -53,19 +53,8 @@ class LeakRules:
 DEFAULT = LeakRules()
 
 
-class Templates:
-    """Token sequences of texts; figures of a token are worked out once and kept for at most ``room`` tokens."""
-
-    def __init__(self, room: int = 400_000):
-        self.room = room
-        self._clear()
-
-    def _clear(self):
-        self.index: dict[str, int] = {}
-        self.kinds: list[int] = []
-        self.hashes: list[int] = []
-
-    def _add(self, token: str) -> int:
+class _Known(dict):
+    def __missing__(self, token: str) -> int:
         first = token[0]
         if first in ".!?\n":
             kind = BREAK
@@ -76,33 +65,45 @@ class Templates:
         else:
             # words all in capitals are set so, and no names
             kind = CAPITAL if first.isupper() and not token.isupper() else WORD
-        code = self.index[token] = len(self.kinds)
-        self.kinds.append(kind)
-        self.hashes.append(xxhash.xxh3_64_intdigest(token.lower()))
-        return code
+        self[token] = figure = xxhash.xxh3_64_intdigest(token.lower()) & ~7 | kind
+        return figure
+
 
-    def of(self, text: bytes) -> tuple[np.ndarray, np.ndarray, list[str]]:
+class Templates:
+    """Token sequences of texts; figures of a token are worked out once and kept for at most ``room`` tokens."""
+
+    def __init__(self, room: int = 400_000):
+        self.room = room
+        #: token -> its hash, with the kind in the lowest three bits
+        self.known = _Known()
+
+    def of(self, text: bytes) -> tuple[np.ndarray, np.ndarray, "Tokens"]:
         """Hashes, kinds (WORD, or the placeholder's) and tokens, without the sentence breaks."""
         tokens = _TOKEN.findall(text.decode("utf-8", "replace"))
-        if len(self.kinds) > self.room:
-            self._clear()
-        index = self.index
-        for token in set(tokens) - index.keys():
-            self._add(token)
-        code = np.fromiter(map(index.__getitem__, tokens), dtype=np.int64, count=len(tokens))
-        if len(self.kinds) != getattr(self, "_size", -1) or self._of is not index:
-            self._kinds = np.array(self.kinds, dtype=np.int8)
-            self._hashes = np.array(self.hashes, dtype=np.uint64)
-            self._size, self._of = len(self.kinds), index
-        kind = self._kinds[code]
+        known = self.known
+        if len(known) > self.room:
+            known.clear()
+        code = np.fromiter(map(known.__getitem__, tokens), dtype=np.uint64, count=len(tokens))
+        kind = (code & np.uint64(7)).astype(np.int8)
         start = np.ones(len(code), dtype=bool)
         start[1:] = kind[:-1] == BREAK
         # a capital at the start of a sentence says nothing
-        kind = np.where((kind == CAPITAL) & start, WORD, kind)
+        kind[(kind == CAPITAL) & start] = WORD
         real = kind != BREAK
-        code, kind = code[real], kind[real]
-        h = np.where(kind == WORD, self._hashes[code], kind.astype(np.uint64))
-        return h, kind, [t for t, r in zip(tokens, real) if r] if not real.all() else tokens
+        h = np.where(kind == WORD, code >> np.uint64(3), kind.astype(np.uint64))
+        places = np.flatnonzero(real)
+        return h[places], kind[places], Tokens(tokens, places)
+
+
+@dataclass(frozen=True)
+class Tokens:
+    """Those of ``tokens`` at ``places``; few of them are ever looked at."""
+
+    tokens: list[str]
+    places: np.ndarray
+
+    def __getitem__(self, i: int) -> str:
+        return self.tokens[self.places[i]]
 
 
 def windows(h: np.ndarray, kind: np.ndarray, size: int, plain: float) -> np.ndarray:
@@ -118,7 +119,7 @@ def windows(h: np.ndarray, kind: np.ndarray, size: int, plain: float) -> np.ndar
     return np.where(words[size:] - words[:-size] > plain * size, total, np.uint64(0))
 
 
-def _slots(kind: np.ndarray, tokens: list[str], at: int, size: int) -> list[str]:
+def _slots(kind: np.ndarray, tokens: Tokens, at: int, size: int) -> list[str]:
     return [f"{kind[i]}{tokens[i].lower()}" for i in range(at, at + size) if kind[i] != WORD]
 
 

@@ -202,7 +202,13 @@ def learn_stems(sample: DataFrame, rules: ToxicityRules) -> dict[str, float]:
         .groupBy("stem").agg(F.sum("no").alias("no"), F.sum("yes").alias("yes"), F.sum("held").alias("held")).where(F.col("held") >= least)
     rows = counted.select("stem", weight.alias("weight"), "yes").where(F.col("weight") >= rules.least_weight) \
         .orderBy(F.desc(F.col("weight") * F.sqrt("yes")), "stem").limit(rules.max_stems).collect()
-    return {r["stem"]: r["weight"] for r in rows}
+    # of a stem and a longer one that has nearly all of its counts, the longer one says more
+    longer: dict[str, int] = {}
+    for r in rows:
+        word = r["stem"].removeprefix("=")
+        for n in range(1, len(word) + (word != r["stem"])):
+            longer[word[:n]] = max(longer.get(word[:n], 0), r["yes"])
+    return {r["stem"]: r["weight"] for r in rows if r["stem"][0] == "=" or longer.get(r["stem"], 0) < 0.9 * r["yes"]}
 
 
 def _fit(x: np.ndarray, y: np.ndarray, rounds: int = 60, ridge: float = 0.5) -> tuple[np.ndarray, float]:
