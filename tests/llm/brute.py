@@ -116,18 +116,25 @@ def near_stage(rows):
 def leaked(text, items, rules=decontaminate.DEFAULT):
     """Items of which enough windows stand in the text, on diagonals with consistent slots."""
     templates = decontaminate.Templates()
-    h, kind, tokens = templates.of((text or "").encode())
+    h, _, tokens = templates.of((text or "").encode())
+    h = h.tolist()
     out = set()
     for number, item in items:
         ih, ikind, itokens = templates.of((item or "").encode())
+        ih = ih.tolist()
         size = min(rules.window, len(ih))
         if size < rules.shortest:
             continue
-        plain = lambda k, p: sum(x == decontaminate.WORD for x in k[p:p + size]) > rules.plain * size
-        wanted = [p for p in range(len(ih) - size + 1) if plain(ikind, p)]
+        wanted = [p for p in range(len(ih) - size + 1) if sum(x == decontaminate.WORD for x in ikind[p:p + size]) > rules.plain * size]
+        places = defaultdict(list)
+        for q in range(len(h) - size + 1):
+            places[tuple(h[q:q + size])].append(q)
+        diagonals = defaultdict(list)
+        for p in wanted:
+            for q in places.get(tuple(ih[p:p + size]), ()):
+                diagonals[q - p].append(p)
         matched = set()
-        for d in range(-len(ih), len(h)):
-            hits = [p for p in wanted if 0 <= p + d <= len(h) - size and list(h[p + d:p + d + size]) == list(ih[p:p + size])]
+        for d, hits in diagonals.items():
             values = defaultdict(set)
             for p in hits:
                 for q in range(p, p + size):
