@@ -9,8 +9,9 @@ the connected components; every link between different sets is either checked or
 2. **Sets.** Texts become sets; equal sets are one node. A shingle that occurs once in all prefixes can link nothing; such
    shingles, the great majority, drop out by a count of bare hashes, which each task sorts and packs by ranges.
    Those left whose smallest and largest node differ are shared by different sets.
+   So does an entry of a set behind which too few shingles follow for a link.
 3. **Groups.** Nodes are partitioned into groups of similar ones: those with the same minimum hash, under several hash
-   functions, are compared with one leader, and linked ones form a group. A group of a million near copies costs a
+   functions, or with a shared shingle, are compared with one leader, and linked ones form a group. A group of a million near copies costs a
    million comparisons, and is one entry from here on.
 4. **Matrix.** A row per group: the union of its members' shingles, as bits of a fixed number of columns. A node of one
    group that shares a prefix shingle with another group is a query. The number of its shingles whose bit is set
@@ -200,7 +201,7 @@ def _sets(docs: DataFrame, frequent: np.ndarray, rules: JoinRules) -> DataFrame:
 
 
 def _postings(sets: DataFrame, rules: JoinRules) -> DataFrame:
-    """(token, node, n): prefix shingles that different sets share. ``sets`` has been written."""
+    """(token, node, n, place): prefix shingles that different sets share, and where they stand. ``sets`` has been written."""
     nodes = sets.where("n > 0").select("node", "n", "prefix")
     power = _ranges(sets)
 
@@ -215,17 +216,27 @@ def _postings(sets: DataFrame, rules: JoinRules) -> DataFrame:
         for batch in batches:
             lists = batch["prefix"]
             tokens = lists.flatten().to_numpy(zero_copy_only=False)
-            row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+            lengths = np.diff(lists.offsets.to_numpy())
+            row = np.repeat(np.arange(len(lists)), lengths)
+            place = np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
             hit = in_bitmap(bitmap, tokens.view(np.uint64))
             if hit.any():
                 rows = pa.array(row[hit])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(tokens[hit]), batch["node"].take(rows), batch["n"].take(rows)], names=["token", "node", "n"])
-
-    rows, rows_path = stored(nodes.mapInArrow(run, "token bigint, node bigint, n bigint").distinct(), "ngram-rows")
+                    [pa.array(tokens[hit]), batch["node"].take(rows), batch["n"].take(rows), pa.array(place[hit])],
+                    names=["token", "node", "n", "place"])
+
+    rows, rows_path = stored(nodes.mapInArrow(run, "token bigint, node bigint, n bigint, place bigint").distinct(), "ngram-rows")
+    # The first shingle that two sets share leaves an overlap of at most what follows it in either; entries behind which
+    # too little follows for a link with the smallest set at hand are the first one of no link.
+    least = rows.groupBy("token").agg(F.min("n").alias("least"))
+    needed = F.greatest("least", F.ceil(F.col("n") * rules.percent / 100))
+    rows = rows.join(least, "token").where(
+        (100 + rules.percent) * (F.col("n") - F.col("place")) >= rules.percent * (F.col("n") + needed)).drop("least")
+    rows, kept_path = stored(rows, "ngram-kept")
     shared = rows.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("token")
     found, _ = stored(rows.join(shared, "token", "left_semi"), "ngram-postings")
-    drop_written(sets, path, rows_path)
+    drop_written(sets, path, rows_path, kept_path)
     return found
 
 
@@ -272,14 +283,17 @@ def _sizes_allow(n: Column, low: Column, high: Column, rules: JoinRules) -> Colu
     return (100 * high >= rules.percent * n) & (rules.percent * low <= 100 * n)
 
 
-def _group_links(active: DataFrame, rules: JoinRules) -> DataFrame:
-    """Links between nodes and the leaders of those with the same minimum hash."""
-    keyed = active.select("node", "n", F.posexplode("keys").alias("f", "key"))
-    leaders = keyed.groupBy("f", "key").agg(F.min(F.struct("n", "node")).alias("first"), F.max(F.struct("n", "node")).alias("last")) \
-        .where("first.node <> last.node")
-    # the leader is one of middling size only by chance; the smallest and the largest both serve
-    pairs = keyed.join(leaders, ["f", "key"])
-    pairs = pairs.select("node", "n", F.explode(F.array("first", "last")).alias("l")) \
+def _group_links(active: DataFrame, postings: DataFrame, rules: JoinRules) -> DataFrame:
+    """Links between nodes and the leaders of those with the same minimum hash, or with a common entry in the postings.
+
+    A leader is the one with the fewest seldom shingles: of copies changed here and there, the one most like the others.
+    """
+    central = postings.groupBy("node").agg(F.min("place").alias("place"), F.max("n").alias("n"))
+    keyed = active.select("node", F.posexplode("keys").alias("f", "key")).join(central, "node") \
+        .unionByName(postings.select("node", F.lit(-1).alias("f"), F.col("token").alias("key")).join(central, "node"))
+    leaders = keyed.groupBy("f", "key").agg(F.min(F.struct("place", "n", "node")).alias("l"), F.max("node").alias("high"),
+                                            F.min("node").alias("low")).where("low <> high").select("f", "key", "l")
+    pairs = keyed.join(leaders, ["f", "key"]) \
         .where((F.col("node") != F.col("l.node")) & _sizes_allow(F.col("n"), F.col("l.n"), F.col("l.n"), rules))
     pairs = pairs.select(F.greatest("node", "l.node").alias("a"), F.least("node", "l.node").alias("b")).distinct()
     return _verified(pairs, active, rules)
@@ -344,7 +358,7 @@ def similar_sets(docs: DataFrame, rules: JoinRules = DEFAULT) -> DataFrame:
     sets, _ = stored(_sets(docs, _frequent(docs, rules), rules), "ngram-sets")
     postings = _postings(sets, rules)
     active, _ = stored(_active(docs, sets, postings, rules), "ngram-active")
-    inside, _ = stored(_group_links(active, rules), "ngram-inside")
+    inside, _ = stored(_group_links(active, postings, rules), "ngram-inside")
     grouped = components(inside, "ngram-groups")
     groups = active.select("node").join(grouped, "node", "left") \
         .select("node", F.coalesce("component", "node").alias("group"))
