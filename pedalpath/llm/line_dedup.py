@@ -11,6 +11,8 @@ sequences are sorted by (number of the first line, rank under that number):
   where both continue in one class of 2**k lines, they agree in 2**k lines more.
 * **Intervals.** Where the common length stays at ``min_lines`` or more, the suffixes between begin with one repeated
   run. The first in the order (doc_id, line) stays; a line that any later one covers is deleted.
+* **One line.** With ``line_words`` set, a line of so many words that repeats between other neighbours is a run too; its class is
+  that of the first round.
 
 All of it is DataFrame operations. Only documents with a repeated line take part, and only texts that lose lines are
 built anew.
@@ -39,9 +41,13 @@ class LineRules:
     min_lines: int = 2
     #: a run of fewer words than this in all stays (furniture is a matter of the line rules)
     min_words: int = 20
+    #: fewest words of a line that counts as a run alone; None: no line does
+    line_words: int | None = None
 
 
 DEFAULT = LineRules()
+#: Every repeat goes, however short the run; a line alone has at least a few words, so that no heading or bracket goes.
+WHOLE = LineRules(min_words=1, line_words=3)
 ROW = ["doc", "sig"]
 
 
@@ -163,10 +169,17 @@ def repeated_runs(docs: DataFrame, rules: LineRules = DEFAULT) -> DataFrame:
     classes = array.groupBy("class").agg(F.min(order).alias("first"), F.max("lcp").alias("longest"))
     later = array.join(classes, "class").where(order != F.col("first")).select(*ROW, "pos", "lcp", "first")
     covered = later.select(*ROW, F.explode(F.sequence("pos", F.col("pos") + (rules.min_lines - 1))).alias("pos"),
-                           "lcp", F.col("first.doc").alias("first_doc"))
-    covered = covered.groupBy(*ROW, "pos").agg(F.max("lcp").alias("lcp"), F.min("first_doc").alias("first_doc")).alias("c")
+                           "lcp", F.col("first.doc").alias("first_doc"), F.lit(False).alias("alone"))
+    if rules.line_words is not None:
+        ones = levels[0].select(*ROW, "pos", F.col("name.h").alias("h"))
+        firsts = ones.groupBy("h").agg(F.min(order).alias("first"))
+        covered = covered.unionByName(ones.join(firsts, "h").where(order != F.col("first")).select(
+            *ROW, "pos", F.lit(1).cast("bigint").alias("lcp"), F.col("first.doc").alias("first_doc"), F.lit(True).alias("alone")))
+    covered = covered.groupBy(*ROW, "pos").agg(F.max("lcp").alias("lcp"), F.min("first_doc").alias("first_doc"),
+                                               F.bool_and("alone").alias("alone")).alias("c")
     full = lines.dropDuplicates(["doc", "sig", "pos"]).alias("l")
     hit = full.join(covered, _same_row("l", "c") & (F.col("l.pos") == F.col("c.pos"))) \
+        .where(~F.col("c.alone") | (F.col("l.words") >= (rules.line_words or 0))) \
         .select("l.doc", "l.sig", "l.pos", "l.line", "l.words", "c.lcp", "c.first_doc")
     # stretches: neighbours in the count of lines that are not blank
     near = Window.partitionBy(*ROW).orderBy("pos")

@@ -34,7 +34,7 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return line_dedup.dedup_report(_table(spark, folder, "documents"))
+    return line_dedup.dedup_report(_table(spark, folder, "documents"), line_dedup.WHOLE)
 
 
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
