@@ -2,7 +2,8 @@
 
 Words are mapped to classes: insult (with a learned weight), threat, target, negation, reporting, other. Four small transducers
 read a clause's classes, and their product is one machine that emits, at each insult or threat, the contexts it
-stands in: aimed at a target, negated, reported. A clause scores by its matches; a text by the sums over its clauses in
+stands in: aimed at a target, negated, reported. A match that no target stands before waits for one among the next
+``ahead`` words of its clause. A threat has its fixed weight where it is aimed, and at least the weight learned for its stem. A clause scores by its matches; a text by the sums over its clauses in
 each context, its strongest clause, and the share of its words that match. A logistic function of these is the score.
 
 Learning. Insults are word stems (first three to six letters, or whole words) that labelled toxic texts hold far
@@ -55,6 +56,8 @@ class ToxicityRules:
     max_stems: int = 5_000
     #: how far a negation reaches, in words
     reach: int = 2
+    #: how far after a match a target may stand, in words
+    ahead: int = 4
     threshold: float = 0.7
 
 
@@ -108,13 +111,13 @@ class Grammar:
         self.known: dict[str, tuple[int, float] | None] = {}
 
     def _class(self, token: str) -> tuple[int, float] | None:
-        """(class, weight); None for a word that means nothing here."""
+        """(class, learned weight); None for a word that means nothing here."""
         if token[0] in _BREAK:
             return -1, 0.0
         word = token.lower()
-        if word in THREATS:
-            return THREAT, 1.0
         weight = max([self.weights.get("=" + word, 0.0), *(self.weights.get(word[:n], 0.0) for n in self.rules.stems if len(word) >= n)])
+        if word in THREATS:
+            return THREAT, weight
         if weight > 0:
             return INSULT, weight
         for c, words in ((TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS)):
@@ -122,6 +125,15 @@ class Grammar:
                 return c, 0.0
         return None
 
+    def _targets_ahead(self, classes: list[tuple[int, float] | None]) -> list[bool]:
+        """Whether a target stands at most ``ahead`` words after each word, in its clause; read from the end."""
+        found, left = [False] * len(classes), 0
+        for i in range(len(classes) - 1, -1, -1):
+            found[i] = left > 0
+            kind = (classes[i] or (OTHER, 0.0))[0]
+            left = 0 if kind < 0 else self.rules.ahead if kind == TARGET else max(0, left - 1)
+        return found
+
     def features(self, text: bytes) -> list[float]:
         tokens = _TOKEN.findall(text.decode("utf-8", "replace"))
         known = self.known
@@ -133,8 +145,9 @@ class Grammar:
         classes = [known[t] for t in tokens]
         sums, best, n_words, n_matches = [0.0] * 4, 0.0, 0, 0
         if any(c is not None and c[0] in (INSULT, THREAT) for c in classes):
-            state, clause, threat = self.start, 0.0, 0.0
-            for c in classes:
+            after = self._targets_ahead(classes)
+            state, clause = self.start, 0.0
+            for i, c in enumerate(classes):
                 kind, weight = c or (OTHER, 0.0)
                 if kind < 0:
                     state, clause = self.start, 0.0
@@ -142,10 +155,10 @@ class Grammar:
                 state, (match, aimed, negated, reported) = self.table[state, kind]
                 if not match:
                     continue
-                if kind == THREAT:
-                    # a threat needs somebody it is aimed at
-                    weight = weight if aimed else 0.0
-                    threat += weight
+                aimed = aimed or after[i]
+                if kind == THREAT and aimed:
+                    # the fixed weight needs somebody the threat is aimed at
+                    weight = max(weight, 1.0)
                 n_matches += weight > 0
                 sums[3 if reported else 2 if negated else 1 if aimed else 0] += weight
                 clause += weight * (0.3 if reported or negated else 1.5 if aimed else 1.0)

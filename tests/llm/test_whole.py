@@ -1,8 +1,8 @@
-"""Repeats that earlier versions of the operators let through."""
+"""Repeats, threats and leaks that earlier versions of the operators let through."""
 
 import random
 
-from pedalpath.llm import line_dedup
+from pedalpath.llm import line_dedup, toxicity
 from pedalpath.llm.queries import QUERIES
 from .test_operators import prose
 
@@ -21,3 +21,19 @@ def test_single_repeated_lines(spark, tmp_path):
     left = {r.doc_id: r.text.split("\n") for r in line_dedup.drop_repeated_lines(docs, line_dedup.WHOLE).collect()}
     for i, text in rows:
         assert left[i] == [x for k, x in enumerate(text.split("\n")) if i == 0 or k not in (1, 5, 7, 8)]
+
+
+def test_target_after_threat():
+    grammar = toxicity.Grammar({"=moron": 2.0})
+    for text in (b"I will kill you", b"We could hurt them", b"I want to destroy all of you"):
+        assert grammar.features(text)[1] > 0
+    assert grammar.features(b"What a moron you are")[1] > 0
+    # a target in the next clause, or out of reach
+    assert not any(grammar.features(b"We beat eggs. You eat them"))
+    assert not any(grammar.features(b"We beat eggs with a large fork before they melt"))
+
+
+def test_learned_weight_of_threat():
+    plain, learned = (toxicity.Grammar(w).features(b"I kill time") for w in ({}, {"=kill": 2.0}))
+    assert not any(plain) and learned[0] > 0
+    assert toxicity.Grammar({"=kill": 2.0}).features(b"I kill you")[1] > toxicity.Grammar({}).features(b"I kill you")[1]
