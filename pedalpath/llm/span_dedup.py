@@ -1,7 +1,9 @@
 """Substring dedup by sliding runs of sentences.
 
-A text is a row of sentences; one of more than ``piece_words`` words is cut into pieces from its start, so that a long one
-does not hide a repeat. From every sentence on, and back from every sentence, the shortest run of at least ``sentences``
+A text is a row of sentences; one of more than ``piece_words`` words is cut into pieces, so that a long one does not hide a
+repeat. The cuts follow the words alone: a word is cut before if the hash of it and the next is the least among
+``near`` places in a row. So equal passages get equal pieces wherever they stand, but for the words before their first and after
+their last common cut, and no piece is longer than ``near`` words and one. From every sentence on, and back from every sentence, the shortest run of at least ``sentences``
 sentences and ``words`` words is hashed (64 bits, of lower-cased words without punctuation between). Runs are joined over all
 documents. A run that is not the first of its hash, in the order (doc_id, place), is removed with all its
 sentences; longer repeats are covered by the runs they hold.
@@ -34,17 +36,47 @@ class SpanRules:
     sentences: int = 2
     words: int = 24
     piece_words: int = 24
+    #: of so many places in a row, one is cut at
+    near: int = 6
     bits: int = 25
 
 
 DEFAULT = SpanRules()
 _SENTENCE = re.compile(rb"[^.!?\n]*(?:[.!?]+(?=[\s\"')\]]|$)[\"')\]]*|[.!?]+|\n|$)[ \t\r\f\v]*")
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
+#: Full stops of other scripts, as an ASCII one and blanks of the same length.
+_STOPS = {c.encode(): b"." + b" " * (len(c.encode()) - 1) for c in "。｡．！？؟۔।॥።፧။។"}
+_STOP = re.compile(b"|".join(map(re.escape, _STOPS)))
+_STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
+def cuts(words: list[bytes], near: int) -> list[int]:
+    """Places of the least hash among ``near`` places in a row, the last of equal ones; 0 is always one.
+
+    Among equal hashes the place chosen before stays while it is in reach, so that a repeated word is not cut at each place.
+    """
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
+    h = (h[:-1] * _STEP + h[1:]) * _MIX
+    h = (h ^ (h >> np.uint64(31))).tolist()
+    found, at = [0], -1
+    for end in range(near, len(h) + 1):
+        # of places end - near + 1 to end, the hash of place p is h[p]; place 0 is the start
+        first = end - near + 1
+        if at < first:
+            last = min(end, len(h) - 1)
+            at = min(range(last, first - 1, -1), key=h.__getitem__)
+        elif end < len(h) and h[end] < h[at]:
+            at = end
+        if found[-1] != at:
+            found.append(at)
+    return found
+
+
 def sentences(text: bytes, rules: SpanRules = DEFAULT) -> tuple[list[tuple[int, int]], list[list[bytes]]]:
     """Byte ranges that cover the text's sentences (blank ones are left out), and their words."""
+    if not text.isascii():
+        text = _STOP.sub(lambda m: _STOPS[m.group()], text)
     spans, words = [], []
     for match in _SENTENCE.finditer(text):
         begin, end = match.span()
@@ -59,10 +91,10 @@ def sentences(text: bytes, rules: SpanRules = DEFAULT) -> tuple[list[tuple[int,
             words.append(found)
             continue
         places = [m.start() + begin for m in _WORD.finditer(text[begin:end].translate(_LOWER))]
-        for k in range(0, len(found), rules.piece_words):
-            last = k + rules.piece_words >= len(found)
-            spans.append((begin if k == 0 else places[k], end if last else places[k + rules.piece_words]))
-            words.append(found[k:k + rules.piece_words])
+        at = cuts(found, rules.near)
+        for k, after in zip(at, [*at[1:], len(found)]):
+            spans.append((begin if k == 0 else places[k], end if after == len(found) else places[after]))
+            words.append(found[k:after])
     return spans, words
 
 

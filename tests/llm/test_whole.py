@@ -1,10 +1,10 @@
-"""Repeats, threats and leaks that earlier versions of the operators let through."""
+"""Repeats and threats that earlier versions of the operators let through."""
 
 import random
 
-from pedalpath.llm import line_dedup, toxicity
+from pedalpath.llm import line_dedup, span_dedup, toxicity
 from pedalpath.llm.queries import QUERIES
-from .test_operators import prose
+from .test_operators import VOCABULARY, prose
 
 
 def test_single_repeated_lines(spark, tmp_path):
@@ -37,3 +37,17 @@ def test_learned_weight_of_threat():
     plain, learned = (toxicity.Grammar(w).features(b"I kill time") for w in ({}, {"=kill": 2.0}))
     assert not any(plain) and learned[0] > 0
     assert toxicity.Grammar({"=kill": 2.0}).features(b"I kill you")[1] > toxicity.Grammar({}).features(b"I kill you")[1]
+
+
+def test_passage_at_any_offset(spark):
+    """A passage within text without full stops, at offsets that differ, and between full stops of another script."""
+    rng = random.Random(4)
+    words = lambda n: [rng.choice(VOCABULARY) + rng.choice(VOCABULARY) for _ in range(n)]
+    passage = words(50)
+    rows = [(i, " ".join(words(11 + 7 * i) + passage + words(30))) for i in range(6)]
+    other = "。".join(" ".join(words(13)) for _ in range(4))
+    rows += [(i, " ".join(words(10 + i)) + "。" + other + "。" + " ".join(words(14))) for i in (6, 7)]
+    found = {r.doc_id: r for r in span_dedup.dedup_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert set(found) == {1, 2, 3, 4, 5, 7}
+    assert all(r.n_words >= 36 and r.first_doc_ids == [0 if r.doc_id < 6 else 6] for r in found.values())
+    assert all(len(w) <= 24 for w in span_dedup.sentences(("word " * 3000).encode())[1])
