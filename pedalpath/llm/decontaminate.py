@@ -3,14 +3,17 @@
 A text becomes a sequence of tokens in which numbers, units and names are typed placeholders; the words themselves are
 kept as slot values. Windows of eight tokens are hashed on both sides and joined. Windows that match on one diagonal
 (place in the document less place in the item) must be consistent: each slot value of the item stands for one
-value in the document. An item counts as leaked if enough of its windows match.
+value in the document. An item counts as leaked if enough
+of its windows match.
+
+Windows with too few plain words for a template are indexed by their literal tokens, and so are items too short for one, whole.
 
 Only windows whose bit is set in a bitmap of the benchmark's windows leave a document; the bitmap has a fixed size, and the
 join that follows is exact. So the cost of the join follows the matches, however large the benchmark.
 
 Defined results for odd input: null and empty texts match nothing; texts of any length are read whole; rows equal in
-number and text are judged once, and removed alike; items with fewer than ``shortest`` tokens are not searched;
-an item whose windows have too few plain words is not searched there; an empty table, on either side, finds nothing; other
+number and text are judged once, and removed alike; items with fewer than ``shortest`` tokens are found as a whole, word for
+word; where an item has too few plain words, it is found word for word only; an empty table, on either side, finds nothing; other
 columns are not read, and pass through ``without_leaks``.
 """
 
@@ -21,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import bitmap_of, in_bitmap, map_batches, stored, texts
 
@@ -36,6 +39,8 @@ weeks yard yards year years
 _TOKEN = re.compile(r"[^\W\d_]+|\d+(?:[.,:/]\d+)*|[.!?\n]+|(?<=\d)[%$£¥°€]|[$£¥€](?=\d)")
 WORD, CAPITAL, NUMBER, UNIT, BREAK = range(5)
 _STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+#: Keeps hashes of literal windows apart from those of templates.
+_LITERAL = np.uint64(0xA5A5A5A5A5A5A5A5)
 
 
 @dataclass(frozen=True)
@@ -79,6 +84,12 @@ class Templates:
 
     def of(self, text: bytes) -> tuple[np.ndarray, np.ndarray, "Tokens"]:
         """Hashes, kinds (WORD, or the placeholder's) and tokens, without the sentence breaks."""
+        plain, _, _, tokens = self.readings(text)
+        return *plain, tokens
+
+    def readings(self, text: bytes):
+        """(hashes, kinds) with capitals at the start of a sentence as words, (hashes, kinds) with them as names, or None if
+        there are none, hashes of the literal tokens, and the tokens."""
         tokens = _TOKEN.findall(text.decode("utf-8", "replace"))
         known = self.known
         if len(known) > self.room:
@@ -87,12 +98,13 @@ class Templates:
         kind = (code & np.uint64(7)).astype(np.int8)
         start = np.ones(len(code), dtype=bool)
         start[1:] = kind[:-1] == BREAK
+        places = np.flatnonzero(kind != BREAK)
+        literal, named = code[places] >> np.uint64(3), kind[places]
         # a capital at the start of a sentence says nothing
-        kind[(kind == CAPITAL) & start] = WORD
-        real = kind != BREAK
-        h = np.where(kind == WORD, code >> np.uint64(3), kind.astype(np.uint64))
-        places = np.flatnonzero(real)
-        return h[places], kind[places], Tokens(tokens, places)
+        either = (named == CAPITAL) & start[places]
+        kind = np.where(either, np.int8(WORD), named)
+        plain, other = ((np.where(k == WORD, literal, k.astype(np.uint64)), k) for k in (kind, named))
+        return plain, None, literal ^ _LITERAL, Tokens(tokens, places)
 
 
 @dataclass(frozen=True)
@@ -119,6 +131,10 @@ def windows(h: np.ndarray, kind: np.ndarray, size: int, plain: float) -> np.ndar
     return np.where(words[size:] - words[:-size] > plain * size, total, np.uint64(0))
 
 
+def _literal_windows(literal: np.ndarray, size: int) -> np.ndarray:
+    return windows(literal, np.zeros(len(literal), dtype=np.int8), size, 0.0)
+
+
 def _slots(kind: np.ndarray, tokens: Tokens, at: int, size: int) -> list[str]:
     return [f"{kind[i]}{tokens[i].lower()}" for i in range(at, at + size) if kind[i] != WORD]
 
@@ -132,32 +148,46 @@ def _item_windows(items: DataFrame, rules: LeakRules) -> DataFrame:
 
         def step(batch):
             for number, text in zip(batch["item_id"].to_pylist(), texts(batch["text"])):
-                h, kind, tokens = templates.of(text)
-                size = min(rules.window, len(h))
-                if size < rules.shortest:
+                plain, named, literal, tokens = templates.readings(text)
+                size = min(rules.window, len(literal))
+                if not size:
                     continue
-                found = windows(h, kind, size, rules.plain)
-                total = int((found != 0).sum())
-                for at in np.flatnonzero(found):
-                    yield {"item_id": number, "item_sig": xxhash.xxh3_64_intdigest(text) - (1 << 63), "total": total, "size": size,
-                           "hash": int(found[at].view(np.int64)), "pos": int(at), "slots": _slots(kind, tokens, at, size)}
+                exact = _literal_windows(literal, size)
+                found = windows(*plain, size, rules.plain) if size >= rules.shortest else np.zeros_like(exact)
+                other = windows(*named, size, rules.plain) if named and size >= rules.shortest else found
+                row = {"item_id": number, "item_sig": xxhash.xxh3_64_intdigest(text) - (1 << 63), "total": int((found != 0).sum()),
+                       "whole": len(exact), "size": size}
+                for hashes, kind, places in ((found, plain[1], found != 0), (other, named[1] if named else None, (other != found) & (other != 0)),
+                                             (exact, None, (found == 0) | (other == 0))):
+                    for at in np.flatnonzero(places):
+                        yield {**row, "plain": bool(found[at]), "literal": hashes is exact, "hash": int(hashes[at].view(np.int64)),
+                               "pos": int(at), "slots": [] if hashes is exact else _slots(kind, tokens, at, size)}
         return step
     return map_batches(items.select(F.col("item_id").cast("bigint"), F.col("text").cast("string")), make,
-                       "item_id bigint, item_sig bigint, total bigint, " + _WINDOW)
+                       "item_id bigint, item_sig bigint, total bigint, whole bigint, plain boolean, literal boolean, " + _WINDOW)
 
 
-def _doc_windows(docs: DataFrame, bitmap: np.ndarray, lengths: list[int], rules: LeakRules) -> DataFrame:
+def _doc_windows(docs: DataFrame, bitmap: np.ndarray, lengths: list[tuple[int, bool]], rules: LeakRules) -> DataFrame:
     def make():
         templates = Templates()
 
         def step(batch):
             for number, sig, text in zip(batch["doc_id"].to_pylist(), batch["sig"].to_pylist(), texts(batch["text"])):
-                h, kind, tokens = templates.of(text)
-                for size in lengths:
-                    found = windows(h, kind, size, rules.plain)
-                    for at in np.flatnonzero(in_bitmap(bitmap, found) & (found != 0)):
-                        yield {"doc_id": number, "sig": sig, "size": size, "hash": int(found[at].view(np.int64)),
-                               "pos": int(at), "slots": _slots(kind, tokens, at, size)}
+                plain, named, exact, tokens = templates.readings(text)
+                for size, literal in lengths:
+                    if literal:
+                        found = _literal_windows(exact, size)
+                        read = [(found, None, True)]
+                    else:
+                        found = windows(*plain, size, rules.plain)
+                        read = [(found, plain[1], found != 0)]
+                        if named:
+                            other = windows(*named, size, rules.plain)
+                            read.append((other, named[1], (other != found) & (other != 0)))
+                    for hashes, kind, places in read:
+                        for at in np.flatnonzero(in_bitmap(bitmap, hashes) & places):
+                            yield {"doc_id": number, "sig": sig, "size": size, "hash": int(hashes[at].view(np.int64)),
+                                   "pos": int(at), "slots": [] if literal else _slots(kind, tokens, at, size)}
         return step
     rows = docs.select(F.col("doc_id").cast("bigint"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     return map_batches(rows.withColumn("sig", F.xxhash64("text")), make, "doc_id bigint, sig bigint, " + _WINDOW)
@@ -170,30 +200,39 @@ def leaks(docs: DataFrame, items: DataFrame, rules: LeakRules = DEFAULT) -> Data
     differs from the item's, in a consistent way.
     """
     index, _ = stored(_item_windows(items, rules).distinct(), "leak-index")
-    lengths = sorted(r[0] for r in index.select("size").distinct().collect())  # at most window - shortest + 1 values
+    lengths = sorted(tuple(r) for r in index.select("size", "literal").distinct().collect())  # at most 2 * window values
     bitmap = bitmap_of(index, "hash", rules.bits)
     found = _doc_windows(docs, bitmap, lengths, rules).alias("d").join(index.alias("i"), ["size", "hash"]).select(
-        "doc_id", "sig", "size", "item_id", "item_sig", "total", (F.col("d.pos") - F.col("i.pos")).alias("diagonal"),
+        "doc_id", "sig", "size", "item_id", "item_sig", "total", "whole", "plain", (F.col("d.pos") - F.col("i.pos")).alias("diagonal"),
         F.col("d.pos").alias("pos"), F.col("i.pos").alias("item_pos"),
         F.zip_with("i.slots", "d.slots", lambda i, d: F.struct(i.alias("item"), d.alias("doc"))).alias("slots"))
     found, _ = stored(found, "leak-windows")
     pair = ["doc_id", "sig", "item_id", "item_sig", "diagonal"]
     values = found.select(*pair, F.explode("slots").alias("s")).groupBy(*pair, F.col("s.item").alias("item")) \
         .agg(F.min("s.doc").alias("low"), F.max("s.doc").alias("high"))
-    slots = values.groupBy(*pair).agg(F.bool_or(F.col("low") != F.col("high")).alias("broken"),
-                                      F.bool_or(F.col("low") != F.col("item")).alias("changed"))
+    one = F.col("low") == F.col("high")
+    slots = values.groupBy(*pair).agg(F.collect_set(F.when(~one, F.col("item"))).alias("broken"),
+                                      F.bool_or(one & (F.col("low") != F.col("item"))).alias("changed"))
     slots = slots.select(*[F.col(c).alias(f"s_{c}") for c in pair], "broken", "changed")
     # a null number is a number of its own
     same = [F.col(c).eqNullSafe(F.col(f"s_{c}")) for c in pair]
-    matched = found.join(slots, same, "left").where(~F.coalesce("broken", F.lit(False)))
-    need = F.least(F.lit(rules.enough), F.ceil(F.col("total") * rules.share))
-    return matched.groupBy(*pair[:4], "total").agg(
-        F.count_distinct("item_pos").alias("matched"), F.min("pos").alias("first_word"),
+    matched = found.join(slots, same, "left").where(F.coalesce(F.size("broken"), F.lit(0)) == 0)
+
+    def enough(n: str, of: str) -> Column:
+        return (F.col(of) > 0) & (F.col(n) >= F.least(F.lit(rules.enough), F.ceil(F.col(of) * rules.share)))
+
+    # enough of the windows with a template, or enough of all
+    by_template = enough("with_plain", "total")
+    return matched.groupBy(*pair[:4], "total", "whole").agg(
+        F.count_distinct("item_pos").alias("matched"), F.count_distinct(F.when(F.col("plain"), F.col("item_pos"))).alias("with_plain"),
+        F.min("pos").alias("first_word"),
         F.max(F.col("pos") + F.col("size") - 1).alias("last_word"),
         F.bool_or(F.coalesce("changed", F.lit(False))).alias("changed")) \
-        .where(F.col("matched") >= need).select(
-            "doc_id", "sig", "item_id", "matched", "total", (F.col("matched") / F.col("total")).alias("share"),
-            "first_word", "last_word", "changed").distinct()
+        .where(by_template | enough("matched", "whole")) \
+        .withColumns({"matched": F.when(by_template, F.col("with_plain")).otherwise(F.col("matched")),
+                      "total": F.when(by_template, F.col("total")).otherwise(F.col("whole"))}) \
+        .select("doc_id", "sig", "item_id", "matched", "total", (F.col("matched") / F.col("total")).alias("share"),
+                "first_word", "last_word", "changed").distinct()
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, rules: LeakRules = DEFAULT) -> DataFrame:

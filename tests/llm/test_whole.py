@@ -2,7 +2,7 @@
 
 import random
 
-from pedalpath.llm import line_dedup, span_dedup, toxicity
+from pedalpath.llm import decontaminate, line_dedup, span_dedup, toxicity
 from pedalpath.llm.queries import QUERIES
 from .test_operators import VOCABULARY, prose
 
@@ -51,3 +51,15 @@ def test_passage_at_any_offset(spark):
     assert set(found) == {1, 2, 3, 4, 5, 7}
     assert all(r.n_words >= 36 and r.first_doc_ids == [0 if r.doc_id < 6 else 6] for r in found.values())
     assert all(len(w) <= 24 for w in span_dedup.sentences(("word " * 3000).encode())[1])
+
+
+def leaked(spark, items, texts):
+    rows = [spark.createDataFrame(list(enumerate(t)), f"{n} long, text string") for n, t in (("item_id", items), ("doc_id", texts))]
+    return {(r.doc_id, r.item_id) for r in decontaminate.leaks(rows[1], rows[0]).collect()}
+
+
+def test_leaks_without_plain_words(spark):
+    """Items of numbers, units and names, and of few tokens, word for word."""
+    items = ["Compute 3 + 4 * 5 - 2", "Paris 12 kg, Rome 15 kg, Berlin 20 kg, Madrid 31 kg, Oslo 7 kg", "short item", None]
+    texts = [f"They were told: {t} and so on." for t in items[:3]] + ["Compute 3 + 4 * 5 - 7", "Paris 13 kg, Rome 16 kg, Berlin 21 kg, Madrid 32 kg", "item short"]
+    assert leaked(spark, items, texts) == {(0, 0), (1, 1), (2, 2)}
