@@ -3,9 +3,10 @@
 A text becomes a sequence of tokens in which numbers, units and names are typed placeholders; the words themselves are
 kept as slot values. Windows of eight tokens are hashed on both sides and joined. Windows that match on one diagonal
 (place in the document less place in the item) must be consistent: each slot value of the item stands for one
-value in the document. An item counts as leaked if enough
+value in the document; a window that holds a value which stands for two does not count. An item counts as leaked if enough
 of its windows match.
 
+A capital at the start of a sentence may be a word or a name. Windows with one are indexed in both readings, on both sides.
 Windows with too few plain words for a template are indexed by their literal tokens, and so are items too short for one, whole.
 
 Only windows whose bit is set in a bitmap of the benchmark's windows leave a document; the bitmap has a fixed size, and the
@@ -104,7 +105,7 @@ class Templates:
         either = (named == CAPITAL) & start[places]
         kind = np.where(either, np.int8(WORD), named)
         plain, other = ((np.where(k == WORD, literal, k.astype(np.uint64)), k) for k in (kind, named))
-        return plain, None, literal ^ _LITERAL, Tokens(tokens, places)
+        return plain, other if either.any() else None, literal ^ _LITERAL, Tokens(tokens, places)
 
 
 @dataclass(frozen=True)
@@ -216,7 +217,8 @@ def leaks(docs: DataFrame, items: DataFrame, rules: LeakRules = DEFAULT) -> Data
     slots = slots.select(*[F.col(c).alias(f"s_{c}") for c in pair], "broken", "changed")
     # a null number is a number of its own
     same = [F.col(c).eqNullSafe(F.col(f"s_{c}")) for c in pair]
-    matched = found.join(slots, same, "left").where(F.coalesce(F.size("broken"), F.lit(0)) == 0)
+    holds = F.arrays_overlap(F.transform("slots", lambda s: s["item"]), "broken")
+    matched = found.join(slots, same, "left").where(F.col("broken").isNull() | ~holds)
 
     def enough(n: str, of: str) -> Column:
         return (F.col(of) > 0) & (F.col(n) >= F.least(F.lit(rules.enough), F.ceil(F.col(of) * rules.share)))

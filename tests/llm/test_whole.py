@@ -63,3 +63,11 @@ def test_leaks_without_plain_words(spark):
     items = ["Compute 3 + 4 * 5 - 2", "Paris 12 kg, Rome 15 kg, Berlin 20 kg, Madrid 31 kg, Oslo 7 kg", "short item", None]
     texts = [f"They were told: {t} and so on." for t in items[:3]] + ["Compute 3 + 4 * 5 - 7", "Paris 13 kg, Rome 16 kg, Berlin 21 kg, Madrid 32 kg", "item short"]
     assert leaked(spark, items, texts) == {(0, 0), (1, 1), (2, 2)}
+
+
+def test_leaks_names_at_sentence_start(spark):
+    """Another name at the start of a sentence, a short item quoted in mid-sentence, and one of two equal numbers edited."""
+    two = "the first box of the red ones here holds 12 marbles while every other box that stands behind the tall door of the long hall holds 12 of them"
+    items = ["Alice has 5 apples. Alice buys 3 more pears at the market.", "Find the sum of all odd digits", two]
+    texts = ["Bob has 8 apples. Bob buys 9 more pears at the market.", "As it says: Find the sum of all odd digits", two.replace("12", "40", 1)]
+    assert leaked(spark, items, texts) == {(0, 0), (1, 1), (2, 2)}
