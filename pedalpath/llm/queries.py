@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (chat_format, decontaminate, licenses, line_dedup, mixing, ngram_join, prefix_trie, quality, span_dedup,
-               toxicity, url_filter)
+from . import (chat_format, decontaminate, filter_audit, licenses, line_dedup, mixing, ngram_join, prefix_trie, quality,
+               span_dedup, toxicity, url_filter)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -64,6 +64,10 @@ def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.conversation_trie(_table(spark, folder, "conversations"))
 
 
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 QUERIES = {
     "op1_span_dedup": op1_span_dedup,
     "op2_license_scan": op2_license_scan,
@@ -76,4 +80,5 @@ QUERIES = {
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_chat_format": op10_chat_format,
     "op11_prefix_trie": op11_prefix_trie,
+    "op13_filter_audit": op13_filter_audit,
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import permutations
+
 from .licenses import TEMPLATES
 
 
@@ -87,7 +89,49 @@ FROM counted v JOIN totals t USING (depth, name) LEFT JOIN nodes u ON u.depth =
 """
 
 
+def _filter_audit() -> str:
+    orders = ", ".join(f"('{''.join(p)}')" for p in permutations("ABCDE"))
+    return rf"""
+WITH docs AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS words
+  FROM documents),
+marks AS (
+  SELECT doc_id, part,
+         CASE WHEN len(words) < 50 THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * len(regexp_extract_all(text, '[A-Z]')) > 5 * length(text) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END AS fails
+  FROM docs),
+marked AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+sets AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM marks LEFT JOIN marked USING (doc_id) GROUP BY ALL),
+plans AS (
+  SELECT filter_order, step, filter_order[step] AS letter, CASE WHEN step > 1 THEN filter_order[1:step - 1] ELSE '' END AS before
+  FROM (VALUES {orders}) o(filter_order), generate_series(1, 5) s(step)),
+cases AS (
+  SELECT s.*, filter_order, step, letter, contains(fails, letter) AS now,
+         len(list_intersect(string_split(fails, ''), string_split(before, ''))) > 0 AND before <> '' AND fails <> '' AS earlier
+  FROM sets s, plans),
+per AS (
+  SELECT part, filter_order, step, letter, coalesce(sum(n) FILTER (NOT now AND NOT earlier), 0) AS kept,
+         coalesce(sum(n) FILTER (now AND NOT earlier), 0) AS removed, coalesce(sum(n) FILTER (now AND earlier), 0) AS redundant,
+         coalesce(sum(n) FILTER (fails = letter), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (now AND NOT earlier), 0) AS good_lost,
+         coalesce(sum(toxic) FILTER (now AND NOT earlier), 0) AS toxic_lost
+  FROM cases GROUP BY ALL)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+FROM per
+"""
+
+
 SQL = {
+    "op13_filter_audit": _filter_audit(),
     "op11_prefix_trie": _prefix_trie(),
     "op2_license_scan": _license_scan(),
     # Water-filling in closed form: with sources in the order of cap / weight, those before the first one whose cap
