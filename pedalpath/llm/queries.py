@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (chat_format, decontaminate, filter_audit, licenses, line_dedup, mixing, ngram_join, prefix_trie, quality,
-               span_dedup, toxicity, url_filter)
+               secret_scan, span_dedup, toxicity, url_filter)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -64,6 +64,11 @@ def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.conversation_trie(_table(spark, folder, "conversations"))
 
 
+def op12_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return secret_scan.scan(docs, secret_scan.train(docs))
+
+
 def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     return filter_audit.audit(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
@@ -80,5 +85,6 @@ QUERIES = {
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_chat_format": op10_chat_format,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_secret_scan": op12_secret_scan,
     "op13_filter_audit": op13_filter_audit,
 }
