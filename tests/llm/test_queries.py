@@ -11,7 +11,7 @@ from ..conftest import DATA
 
 
 def test_names():
-    assert sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0])) and len(QUERIES) == 10 and set(SQL) <= set(QUERIES)
+    assert sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0])) and len(QUERIES) == 13 and set(SQL) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
