@@ -50,7 +50,7 @@ class PathConfig:
     latency_bucket_s: int = 5
     latency_retention_ms: int = HOUR_MS
     # streaming
-    watermark: str = "24 hours"
+    watermark: str | None = "24 hours"
     # scale: a key with more rows than this is processed in ordered pieces
     max_group_rows: int = 1_000_000
     # a key with more rows than this lists its chains by position instead of window frames

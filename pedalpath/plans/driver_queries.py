@@ -587,36 +587,32 @@ def processed_marks(spark, sf):
 SLICE_ROWS = 10_000_000
 
 
-def _arrive(source: DataFrame, at: str, folder: str, run, least: int = 3) -> None:
-    """Let the rows arrive in time slices: write one, run the stream on it, write the next.
+def _arrive(source: DataFrame, at: str, folder: str, rows: int, least: int = 3) -> None:
+    """The rows as a folder of files that arrive in the order of ``at``: one file a slice of about ``SLICE_ROWS`` rows.
 
-    Every run resumes from the checkpoint of the one before. The slices cover the whole table and hold
-    about ``SLICE_ROWS`` rows each, so that a batch stays the same size however large the table is. The table is dealt out
-    by time and stored once; a run reads its own slice only.
+    They are written once. A file stream takes files by their modification time, which is set in the order of the slices; with
+    one file a trigger, every slice is a micro-batch of the same size however large the table is.
     """
-    slices = max(least, -(-source.count() // SLICE_ROWS))
-    stored = fresh_path(source.sparkSession, "slices")
-    source.repartitionByRange(slices, at).withColumn("_slice", F.spark_partition_id()).write.partitionBy("_slice").parquet(stored)
-    table = source.sparkSession.read.schema(source.withColumn("_slice", F.lit(0)).schema).parquet(stored)
-    for n in range(slices):
-        table.where(F.col("_slice") == n).drop("_slice").write.mode("append").parquet(folder)
-        run()
+    source.repartitionByRange(max(least, -(-rows // SLICE_ROWS)), at).write.parquet(folder)
+    spark = source.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = sorted((f.getPath() for f in files.listStatus(place) if f.getPath().getName().startswith("part-")), key=lambda p: p.getName())
+    first = files.getFileStatus(place).getModificationTime() - 1000 * len(parts)
+    for n, part in enumerate(parts):
+        files.setTimes(part, first + 1000 * n, -1)
 
 
-def _stream_paths(spark, sf, overlapping, cfg, flagged=None) -> DataFrame:
+def _stream_paths(spark, sf, overlapping, cfg, at="started_at_ms", flagged=None) -> DataFrame:
     trips, _ = _trips(spark, sf, overlapping)
     base = fresh_path(spark, "stream")
-    cfg = replace(cfg, files_per_trigger=10_000, watermark="72 hours")
-    table = written(trips, "stream-trips")
-
-    def run():
-        stream = streams.stream_trip_records(spark, f"{base}/trips", cfg, "parquet")
-        if flagged is not None:
-            stream = flagged(stream)
-        found = matcher.hot_path_stream(stream, cfg, emit_ts_ms=STAMP)
+    _arrive(trips.withColumn("_at", F.expr(at)), "_at", f"{base}/trips", _events(spark, sf).count())
+    stream = streams.stream_trip_records(spark, f"{base}/trips", replace(cfg, files_per_trigger=1), "parquet")
+    if flagged is None:
+        sinks.run_available(matcher.hot_path_sink(stream, f"{base}/matches", f"{base}/chains", f"{base}/checkpoint", cfg, emit_ts_ms=STAMP))
+    else:
+        found = matcher.hot_path_stream(flagged(stream), replace(cfg, watermark=None), emit_ts_ms=STAMP)
         sinks.run_available(sinks.stream_match_sink(found, f"{base}/matches", f"{base}/checkpoint"))
-
-    _arrive(table, "started_at_ms", f"{base}/trips", run)
     return streams.read_matches(spark, f"{base}/matches").drop("emit_ts_ms")
 
 
@@ -624,6 +620,11 @@ def stream_hot_paths(spark, sf):
     return _stream_paths(spark, sf, True, DAY)
 
 
+def stream_late_bike(spark, sf):
+    """The trips of every third bike arrive forty days after the others'; no match of theirs is lost to the other bikes' clock."""
+    return _stream_paths(spark, sf, True, DAY, f"started_at_ms + IF(CAST(bike_id AS BIGINT) % 3 = 0, {40 * 24 * HOUR_MS}, 0)")
+
+
 def stream_shed_paths(spark, sf):
     """The matcher with the newest two chain trips kept while the trip's shard is overloaded."""
     flags, hot = _flags(spark, sf)
@@ -632,53 +633,64 @@ def stream_shed_paths(spark, sf):
     def flagged(stream):
         return overload.attach_intervals(stream.withColumn("shard", scalar.shard_of("bike_id", 10)), stretches)
 
-    return _stream_paths(spark, sf, False, replace(DAY, shed_policy="drop_oldest", shed_keep_last_n=2), flagged)
+    return _stream_paths(spark, sf, False, replace(DAY, shed_policy="drop_oldest", shed_keep_last_n=2), flagged=flagged)
 
 
-def stream_dedupe(spark, sf):
-    """The match files twice over, streamed through the dedupe stage."""
+def _emitted(spark, sf) -> DataFrame:
+    """Matches with the end of their final trip as the time they are emitted."""
     trips, hot = _trips(spark, sf)
+    found = hp.hot_paths(trips, "longest", cfg=DAY, hot=hot)
+    return written(sinks.stamped_matches(found).withColumn("emit_ts_ms", F.col("b_ended_ms")), "emitted")
+
+
+def _stream_dedupe(spark, sf, arrivals) -> DataFrame:
+    """Match files, one a batch, through the dedupe stage with its default time to live of a day."""
     base = fresh_path(spark, "dedupe")
-    found = sinks.stamped_matches(hp.hot_paths(trips, "longest", cfg=DAY, hot=hot), STAMP)
-    for _ in range(2):
+    for found in arrivals(_emitted(spark, sf)):
         sinks.write_matches(found, f"{base}/in")
-        # The time to live exceeds the table's span, as the second copy comes after all of the first.
-        cfg = replace(DAY, dedupe_ttl_ms=60 * 24 * HOUR_MS)
-        once = matcher.dedupe_stream(streams.stream_matches(spark, f"{base}/in"), cfg)
-        sinks.run_available(sinks.stream_match_sink(once, f"{base}/out", f"{base}/checkpoint"))
-    return streams.read_matches(spark, f"{base}/out").drop("emit_ts_ms")
+        stream = streams.stream_matches(spark, f"{base}/in")
+        sinks.run_available(matcher.dedupe_sink(stream, f"{base}/out", f"{base}/seen", f"{base}/checkpoint", DAY, "emit_ts_ms"))
+    return streams.read_matches(spark, f"{base}/out")
 
 
-def stream_latency(spark, sf):
-    """Closed buckets only: the last watermark leaves the newest ones open."""
-    base = fresh_path(spark, "latency")
-    samples = _samples(spark, sf).select("shard", "ts", "latency_ms", _ms("ts").alias("at"))
-    last = samples.agg(F.max("at")).first()[0]
-    cfg = replace(BUCKETS, files_per_trigger=10_000)
+def stream_dedupe(spark, sf):
+    """Unique matches that come after much later ones, then every match once more an hour on."""
+    def arrivals(found):
+        middle = found.agg(F.avg("emit_ts_ms")).first()[0]
+        late = F.col("emit_ts_ms") < F.lit(middle)
+        return [found.where(~late), found.where(late), found.withColumn("emit_ts_ms", F.col("emit_ts_ms") + HOUR_MS)]
+
+    return _stream_dedupe(spark, sf, arrivals).drop("emit_ts_ms")
+
 
-    def run():
-        means = monitor.latency_stream(streams.stream_latency(spark, f"{base}/in", cfg), cfg)
-        sinks.run_available(means.writeStream.format("parquet").outputMode("append")
-                            .option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint"))
+def stream_dedupe_again(spark, sf):
+    """Copies 23 and 25 hours on, twice over: the later ones pass, once, as their keys are no longer barred."""
+    def arrivals(found):
+        moved = [found.withColumn("emit_ts_ms", F.col("emit_ts_ms") + h * HOUR_MS) for h in (0, 23, 25)]
+        both = moved[0].unionByName(moved[1]).unionByName(moved[2])
+        return [both.unionByName(moved[2]), both]
 
-    _arrive(written(samples, "samples"), "at", f"{base}/in", run, 2)
-    out = spark.read.schema("shard int, bucket_s bigint, mean_ms double, n bigint").parquet(f"{base}/out")
-    closed = (F.col("bucket_s") + cfg.latency_bucket_s) * 1000 <= last - 60_000
-    return out.where(closed).withColumn("mean_ms", F.round("mean_ms", 6))
+    return _stream_dedupe(spark, sf, arrivals)
+
+
+def stream_latency(spark, sf):
+    """All buckets, the newest ones still open at the end of the stream."""
+    base = fresh_path(spark, "latency")
+    cfg = replace(BUCKETS, files_per_trigger=1)
+    _arrive(_samples(spark, sf).select("shard", "ts", "latency_ms"), "ts", f"{base}/in", _events(spark, sf).count(), 2)
+    samples = streams.stream_latency(spark, f"{base}/in", cfg)
+    sinks.run_available(monitor.latency_sink(samples, f"{base}/out", f"{base}/checkpoint", cfg))
+    return monitor.read_latency(spark, f"{base}/out").withColumn("mean_ms", F.round("mean_ms", 6))
 
 
 def stream_overload(spark, sf):
     base = fresh_path(spark, "overload")
     polls = _polls(spark, sf)
-    cfg = replace(_threshold(polls), files_per_trigger=10_000)
-    polls = polls.withColumn("at", _ms("ts"))
-
-    def run():
-        flags = monitor.overload_stream(streams.stream_backlog(spark, f"{base}/in", cfg), cfg)
-        sinks.run_available(flags.writeStream.format("parquet").outputMode("append")
-                            .option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint"))
-
-    _arrive(polls, "at", f"{base}/in", run, 2)
+    cfg = replace(_threshold(polls), files_per_trigger=1)
+    _arrive(polls, "ts", f"{base}/in", polls.count(), 2)
+    flags = monitor.overload_stream(streams.stream_backlog(spark, f"{base}/in", cfg), cfg)
+    sinks.run_available(flags.writeStream.format("parquet").outputMode("append")
+                        .option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint"))
     out = spark.read.schema("shard int, ts timestamp, pending bigint, status int, active boolean") \
         .parquet(f"{base}/out")
     return out.select("shard", F.unix_seconds("ts").alias("poll_s"), "pending", "status", "active")
@@ -770,8 +782,10 @@ QUERIES = {
     "detail_csv": detail_csv,
     "processed_marks": processed_marks,
     "stream_hot_paths": stream_hot_paths,
+    "stream_late_bike": stream_late_bike,
     "stream_shed_paths": stream_shed_paths,
     "stream_dedupe": stream_dedupe,
+    "stream_dedupe_again": stream_dedupe_again,
     "stream_latency": stream_latency,
     "stream_overload": stream_overload,
     "stream_ingest": stream_ingest,

@@ -335,8 +335,9 @@ SQL = {
         a1_start, start_station_id AS ai_end, end_station_id AS b_end, first_ts_ms, ended_at_ms AS b_ended_ms,
         length_a, ingest_ts_ms FROM shedding JOIN entry USING (bike_id, n) WHERE hit""",
     "stream_dedupe": _LONGEST + f"SELECT {_MATCH} FROM longest",
-    "stream_latency": _with(_SAMPLES, _BUCKETS) + """SELECT shard, bucket_s, round(mean_ms, 6) AS mean_ms, n FROM means
-        WHERE (bucket_s + 600) * 1000 <= (SELECT max(ts_ms) FROM samples) - 60000""",
+    "stream_dedupe_again": _LONGEST + f"""SELECT {_MATCH}, b_ended_ms + h * {HOUR} AS emit_ts_ms
+        FROM longest, (VALUES (0), (25)) later(h)""",
+    "stream_latency": _with(_SAMPLES, _BUCKETS) + "SELECT shard, bucket_s, round(mean_ms, 6) AS mean_ms, n FROM means",
     "stream_overload": _with(_SAMPLES, _SWITCH, recursive=True) + """SELECT shard, poll_s, pending, status,
         status >= 3 AS active FROM sw""",
     "stream_ingest": _with(_MESSY, _good("strict_start")) + """SELECT bike_id, count(*) AS trips,
@@ -345,6 +346,7 @@ SQL = {
 
 _NO_INGEST = ", ".join(c for c in (x.strip() for x in _MATCH.split(",")) if not c.endswith("ingest_ts_ms"))
 SQL |= {
+    "stream_late_bike": SQL["stream_hot_paths"],
     "month_arrival": _LONGEST + f"SELECT {_NO_INGEST} FROM longest",
     "shuffled_header": SQL["csv_round_trip"],
     "hot_path_counts_1h": _all(HOUR) + _counted() + "SELECT * FROM counts",

@@ -63,6 +63,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a table of this package's own making, if it is there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 _shipped: set[str] = set()
 
 

@@ -28,11 +28,11 @@ def stream_trip_csv(spark: SparkSession, path: str, cfg: PathConfig = DEFAULT) -
 
 def stream_matches(spark: SparkSession, path: str) -> DataFrame:
     """All matches: the files already there, then each new one. One reader, so none falls between."""
-    return typed_matches(spark.readStream.schema(MATCH_TEXT).json(path))
+    return typed_matches(spark.readStream.option("recursiveFileLookup", True).schema(MATCH_TEXT).json(path))
 
 
 def read_matches(spark: SparkSession, path: str) -> DataFrame:
-    return typed_matches(spark.read.schema(MATCH_TEXT).json(path))
+    return typed_matches(spark.read.option("recursiveFileLookup", True).schema(MATCH_TEXT).json(path))
 
 
 def typed_matches(text: DataFrame) -> DataFrame:

@@ -1,21 +1,34 @@
-"""The online matcher: one chain of recent trips per bike, kept in stream state."""
+"""The online matcher: one chain of recent trips per bike, kept from batch to batch.
+
+``hot_path_sink`` runs a micro-batch as the batch plan over the stored chains and the new trips, all of it DataFrame
+operations; ``hot_path_stream`` walks trip by trip in Python, which shedding needs. Neither has a clock over all bikes
+unless one is asked for: whether a trip is late depends on its own bike only.
+"""
 
 from __future__ import annotations
 
 import time
 from collections import deque
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..config import DEFAULT, PathConfig
+from ..functions.scalar import now_ms
 from ..functions.shedding import shed_trips
+from ..operators import sequence
+from ..operators.ordered import by_key, find_hot_keys, running
+from ..plans import hot_paths as plans
 from ..schemas import MATCH
-from ..session import ship_package
+from ..session import drop_path, fresh_path, ship_package
+from ..sources.sinks import as_text, stamped_matches
 from ..sources.trips import wire_reject_reason
+from .state import StateLog, batch_path
 
 _STATE = ("starts array<bigint>, ends array<bigint>, started array<bigint>, ended array<bigint>, "
           "last_ts bigint, last_end bigint")
@@ -84,8 +97,9 @@ def _bike_batch(cfg: PathConfig, order: str, emit_ts_ms: int | None):
                     found.append((key[0], *match, ingest))
         state.update(([t[0] for t in chain], [t[1] for t in chain], [t[2] for t in chain],
                       [t[3] for t in chain], last_ts, last_end))
-        # An idle chain is out of any later trip's window once the clock passes its last end + window.
-        state.setTimeoutTimestamp(max(last_ts + cfg.window_ms, state.getCurrentWatermarkMs()) + 1)
+        if cfg.watermark is not None:
+            # An idle chain is out of any later trip's window once the clock passes its last end + window.
+            state.setTimeoutTimestamp(max(last_ts + cfg.window_ms, state.getCurrentWatermarkMs()) + 1)
         if found:
             out = pd.DataFrame(found, columns=MATCH.names[:-1])
             out["emit_ts_ms"] = emit_ts_ms if emit_ts_ms is not None else int(time.time() * 1000)
@@ -98,9 +112,9 @@ def hot_path_stream(trips: DataFrame, cfg: PathConfig = DEFAULT, order: str = "t
                     emit_ts_ms: int | None = None) -> DataFrame:
     """Matches, as they are found, from a stream of typed trips with ``started_at``.
 
-    An ``active`` column, when there is one, turns shedding on for a trip's chain (T10). The watermark
-    bounds lateness over all bikes; state goes when its window has passed it (T2). A batch of one bike
-    is one group: the trigger bounds it.
+    An ``active`` column, when there is one, turns shedding on for a trip's chain (T10). ``cfg.watermark`` bounds
+    lateness over all bikes, and state goes when its window has passed it (T2); with None no trip is lost to other
+    bikes' clocks, and a bike's last chain stays. A batch of one bike is one group: the trigger bounds it.
     """
     if cfg.min_a < 1:
         raise ValueError("the online matcher needs at least one trip before the final one")
@@ -110,16 +124,138 @@ def hot_path_stream(trips: DataFrame, cfg: PathConfig = DEFAULT, order: str = "t
     # Trips that lack a field or end before they start belong to the reject table, as in batch.
     usable = trips.where((F.col("ended_at_ms") >= F.col("started_at_ms")) & wire_reject_reason().isNull()).withColumn(
         "trip_seq", F.coalesce("trip_seq", F.lit(0).cast("bigint")))
-    return (usable.select("bike_id", "started_at", "active", *_FIELDS)
-            .withWatermark("started_at", cfg.watermark)
-            .groupBy("bike_id")
-            .applyInPandasWithState(_bike_batch(cfg, order, emit_ts_ms), MATCH, _STATE, "append",
-                                    GroupStateTimeout.EventTimeTimeout))
+    rows = usable.select("bike_id", "started_at", "active", *_FIELDS)
+    timeout = GroupStateTimeout.NoTimeout
+    if cfg.watermark is not None:
+        rows, timeout = rows.withWatermark("started_at", cfg.watermark), GroupStateTimeout.EventTimeTimeout
+    return rows.groupBy("bike_id").applyInPandasWithState(_bike_batch(cfg, order, emit_ts_ms), MATCH, _STATE, "append", timeout)
+
+
+_CHAINS = ("bike_id string, last_ts_ms bigint, last_end bigint, "
+           "chain array<struct<start_station_id:bigint,end_station_id:bigint,started_at_ms:bigint,ended_at_ms:bigint>>")
+# Stored trips sort before any new one of the same time.
+_STORED = -(1 << 62)
+
+
+def match_batch(trips: DataFrame, chains: DataFrame, cfg: PathConfig, order: str, keep) -> tuple[DataFrame, DataFrame]:
+    """Matches whose final trip is among ``trips``, and the chains after them, from the chains before.
+
+    The longest chain of a final trip reaches back at most to what its bike's open chain holds. So the chain's trips and the
+    new ones together give the batch plan's result, once trips that start before the bike's last end are gone.
+    ``keep`` stores a table.
+    """
+    place = F.struct((F.col("pos") + _STORED).alias("trip_seq"), "t.*", F.col("last_ts_ms").alias("_last"))
+    # a stored trip has no ingest stamp: no match of an earlier batch is found again
+    stored = chains.select("bike_id", "last_ts_ms", F.posexplode("chain").alias("pos", "t")).select("bike_id", place.alias("x")) \
+        .select("bike_id", "x.*").withColumn("ingest_ts_ms", F.lit(None).cast("bigint"))
+    both = trips.withColumn("_last", F.lit(None).cast("bigint")).unionByName(stored)
+    hot = find_hot_keys(trips, "bike_id", cfg)  # a chain is one row of state, so it is small beside a hot bike
+    columns = trips.columns
+    # stored trips have the lowest numbers, so what they say stands before every new trip
+    timely = by_key(both, "bike_id", ["trip_seq", "started_at_ms", "ended_at_ms"], hot, lambda o: running(
+        o, _busy=("max", F.col("_last"))).rows().where(
+            F.col("_busy").isNull() | F.col("ingest_ts_ms").isNull() | (F.col("started_at_ms") >= F.col("_busy"))).select(*columns), cfg)
+    kept = keep(sequence.drop_late(timely, order, cfg, hot), "kept")
+    found = plans.hot_paths(kept, "longest", "keep", cfg=cfg, hot=hot).where(F.col("ingest_ts_ms").isNotNull())
+    return found, sequence.open_chains(kept, cfg, hot)
+
+
+def hot_path_sink(trips: DataFrame, path: str, state: str, checkpoint: str, cfg: PathConfig = DEFAULT, order: str = "time",
+                  emit_ts_ms: int | None = None) -> DataStreamWriter:
+    """Matches of a stream of typed trips as JSON Lines, a folder a batch, committed by batch number.
+
+    Chains are kept in ``state``, one row a bike, of the length of a window at most. A trip is late only if its own bike has
+    been seen beyond it, however far other bikes are ahead. Bikes of any size in a batch are matched in pieces.
+    """
+    if cfg.min_a < 1:
+        raise ValueError("the online matcher needs at least one trip before the final one")
+    spark = trips.sparkSession
+    log = StateLog(spark, state, _CHAINS, ("bike_id",))
+
+    def step(batch: DataFrame, number: int) -> None:
+        held = []
+
+        def keep(df: DataFrame, label: str) -> DataFrame:
+            held.append(fresh_path(spark, f"match-{label}"))
+            df.write.parquet(held[-1])
+            return spark.read.schema(df.schema).parquet(held[-1])
+
+        try:
+            usable = batch.where((F.col("ended_at_ms") >= F.col("started_at_ms")) & wire_reject_reason().isNull())
+            rows = usable.select("bike_id", *_FIELDS).withColumns({
+                c: F.coalesce(c, F.lit(0).cast("bigint")) for c in ("trip_seq", "ingest_ts_ms")})
+            found, chains = match_batch(rows, log.before(number, rows), cfg, order, keep)
+            # neither needs the other; both are written whole again if the batch runs again
+            with ThreadPoolExecutor(1) as other:
+                stored = other.submit(log.put, number, chains)
+                as_text(stamped_matches(found, emit_ts_ms)).write.mode("overwrite").json(batch_path(path, number))
+                stored.result()
+        finally:
+            for place in held:
+                drop_path(spark, place)
+
+    return trips.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
 
 
 def dedupe_stream(matches: DataFrame, cfg: PathConfig = DEFAULT) -> DataFrame:
-    """Each match once within the time to live, counted in event time (T4)."""
+    """Each match once within the time to live, counted in event time, for streams in that order (T4).
+
+    A match behind the watermark is lost, though it may be the first of its key; ``dedupe_sink`` loses none.
+    """
     return (matches.withColumn("_at", F.timestamp_millis("b_ended_ms"))
             .withWatermark("_at", f"{cfg.dedupe_ttl_ms} milliseconds")
             .dropDuplicatesWithinWatermark(["bike_id", "first_ts_ms", "b_ended_ms", "b_end"])
             .drop("_at"))
+
+
+KEY = ("bike_id", "first_ts_ms", "b_ended_ms", "b_end")
+_SEEN = "bike_id string, first_ts_ms bigint, b_ended_ms bigint, b_end bigint, until_ms bigint"
+
+
+def dedupe_batch(matches: DataFrame, seen: DataFrame, at: str, cfg: PathConfig) -> DataFrame:
+    """The matches that pass, with ``until_ms``: up to when their key is barred.
+
+    A match passes if its key is not barred at its time ``at``, and then bars the key for the time to live. That is the rule
+    of late trips, with a key for the bike, so any number of copies in a batch is decided as there.
+    """
+    key = F.to_json(F.struct(*KEY))  # told apart even where a part is null
+    zero = F.lit(0).cast("bigint")
+    barred = seen.select(*[F.col(c).alias(f"_of_{c}") for c in KEY], "until_ms")
+    rows = matches.join(barred, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in KEY], "left") \
+        .where(F.col("until_ms").isNull() | (F.col(at) >= F.col("until_ms"))).select(*matches.columns)
+    walk = rows.select(key.alias("bike_id"), F.col(at).alias("started_at_ms"), (F.col(at) + cfg.dedupe_ttl_ms).alias("ended_at_ms"),
+                       F.xxhash64(*rows.columns).alias("trip_seq"), zero.alias("start_station_id"), zero.alias("end_station_id"),
+                       F.struct(*rows.columns).alias("_m"))
+    return sequence.drop_late(walk, "time", cfg).select("_m.*", F.col("ended_at_ms").alias("until_ms"))
+
+
+def dedupe_sink(matches: DataFrame, path: str, state: str, checkpoint: str, cfg: PathConfig = DEFAULT,
+                at: str | None = None) -> DataStreamWriter:
+    """Matches once within the time to live of their first sight, as JSON Lines, a folder a batch (T4).
+
+    The clock is that of the batch, or the milliseconds in column ``at``. Keys are barred each by its own sight, not by a
+    clock over all keys, so a match that comes late is never taken for a duplicate. A key is forgotten at a snapshot once the
+    newest sight is a second time to live beyond its end.
+    """
+    spark = matches.sparkSession
+    log = StateLog(spark, state, _SEEN, KEY)
+
+    def step(batch: DataFrame, number: int) -> None:
+        place = fresh_path(spark, "dedupe-batch")
+        try:
+            clock = "_at" if at is None else at
+            rows = batch if at else batch.withColumn("_at", now_ms())
+            rows.write.parquet(place)
+            rows = spark.read.schema(rows.schema).parquet(place)
+            passed = dedupe_batch(rows, log.before(number, rows), clock, cfg)
+            passed.write.mode("overwrite").parquet(f"{place}-passed")
+            passed = spark.read.schema(passed.schema).parquet(f"{place}-passed")
+            as_text(passed.select(*[f.name for f in MATCH])).write.mode("overwrite").json(batch_path(path, number))
+            newest = rows.agg(F.max(clock)).first()[0]
+            live = None if newest is None else F.col("until_ms") + cfg.dedupe_ttl_ms > F.lit(newest)
+            log.put(number, passed.groupBy(*KEY).agg(F.max("until_ms").alias("until_ms")), live)
+        finally:
+            for p in (place, f"{place}-passed"):
+                drop_path(spark, p)
+
+    return matches.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)

@@ -5,10 +5,13 @@ from collections import deque
 
 from pyspark.sql import functions as F
 
-from pedalpath import PathConfig, attach_flag, dedupe_stream, hot_path_stream, latency_stream, overload_stream
-from pedalpath.schemas import BACKLOG, LATENCY, SHED_FLAGS
+from pedalpath import (PathConfig, attach_flag, dedupe_sink, dedupe_stream, hot_path_sink, hot_path_stream, latency_sink,
+                       latency_stream, overload_stream, read_latency)
+from pedalpath.schemas import BACKLOG, LATENCY, MATCH, SHED_FLAGS
 from pedalpath.sources import sinks, streams
+from pedalpath.streaming import matcher
 from pedalpath.streaming.matcher import advance
+from pedalpath.streaming.state import StateLog
 from datetime import datetime, timedelta, timezone
 from . import oracle
 from .test_hot_paths import COLS, random_trips
@@ -153,3 +156,112 @@ def test_latency_stream(spark, tmp_path):
     base = int(t0.timestamp())
     assert sorted(tuple(r) for r in spark.read.parquet(f"{tmp_path}/out").collect()) == \
         [(0, base, 0.5, 2), (0, base + 5, 6.5, 2)]
+
+
+# --- matching, dedupe and latency by stored state, without a clock over all keys
+
+def run_sink(spark, base, cfg=CFG, order="time"):
+    stream = streams.stream_trip_records(spark, f"{base}/trips", cfg, "parquet")
+    sinks.run_available(hot_path_sink(stream, f"{base}/out", f"{base}/chains", f"{base}/checkpoint", cfg, order, 1))
+
+
+def test_sink_equals_batch_over_restarts_and_capped(spark, tmp_path):
+    trips = oracle.time_order(random_trips(21, 90))
+    for cap in (None, 2):
+        base, cfg = f"{tmp_path}/{cap}", PathConfig(files_per_trigger=1, max_chain=cap)
+        for i in range(0, 90, 30):
+            land(spark, f"{base}/trips", trips[i:i + 30])
+            run_sink(spark, base, cfg)
+        want = oracle.longest_matches(trips, cap=cap)
+        assert want and found(spark, base) == want
+        run_sink(spark, base, cfg)
+        assert found(spark, base) == want
+
+
+def test_sink_in_arrival_order(spark, tmp_path):
+    trips = random_trips(22, 60)
+    for i in range(0, 60, 20):
+        land(spark, f"{tmp_path}/trips", trips[i:i + 20])
+        run_sink(spark, tmp_path, order="arrival")
+    assert found(spark, tmp_path) == oracle.longest_matches(trips, "arrival")
+
+
+def test_late_bike_loses_nothing(spark, tmp_path):
+    """One bike's trips come weeks after all others were seen; late within its own order is late all the same."""
+    day = 24 * 3_600_000
+    early = [("x", 1, 2, 0, 10, 0), ("x", 2, 7, 10, 20, 1), ("x", 7, 8, 5, 30, 2)]
+    others = [("y", 1, 2, 40 * day, 40 * day + 1, 3), ("y", 2, 9, 40 * day + 1, 40 * day + 2, 4)]
+    for part in (others, early[:1], early[1:2], early[2:]):
+        land(spark, f"{tmp_path}/trips", part)
+        run_sink(spark, tmp_path)
+    want = [("x", 1, 2, 7, 0, 20, 1), ("y", 1, 2, 9, 40 * day, 40 * day + 2, 1)]
+    assert found(spark, tmp_path) == want
+    # the same with the walk trip by trip, without a clock over all bikes
+    stream = streams.stream_trip_records(spark, f"{tmp_path}/trips", CFG, "parquet")
+    walked = hot_path_stream(stream, PathConfig(files_per_trigger=1, watermark=None), "time", 1)
+    sinks.run_available(sinks.stream_match_sink(walked, f"{tmp_path}/w/out", f"{tmp_path}/w/checkpoint"))
+    assert found(spark, f"{tmp_path}/w") == want
+
+
+def test_a_batch_that_runs_again_writes_the_same(spark, tmp_path):
+    trips = oracle.time_order(random_trips(23, 60))
+    rows = [spark.createDataFrame([(b, s, e, t, d, t, q) for b, s, e, t, d, q in part], COLS) for part in (trips[:30], trips[30:])]
+    log = StateLog(spark, f"{tmp_path}/chains", matcher._CHAINS, ("bike_id",))
+    held = []
+
+    def keep(df, label):
+        held.append(f"{tmp_path}/{label}-{len(held)}")
+        df.write.parquet(held[-1])
+        return spark.read.parquet(held[-1])
+
+    got = {}
+    for number, part in ((0, 0), (1, 1), (1, 1)):
+        matches, chains = matcher.match_batch(rows[part], log.before(number, rows[part]), CFG, "time", keep)
+        got[number] = sorted(map(tuple, matches.select("bike_id", "a1_start", "ai_end", "b_end", "first_ts_ms", "b_ended_ms", "length_a").collect()))
+        log.put(number, chains)
+    assert sorted(got[0] + got[1]) == oracle.longest_matches(trips)
+
+
+def test_state_log_keeps_the_newest_row_and_what_a_rerun_reads(spark, tmp_path):
+    log = StateLog(spark, f"{tmp_path}/log", "k string, v bigint", ("k",), every=3)
+    assert log.before(0).collect() == []
+    want = {}
+    for n in range(11):
+        rows = [("a", n), (f"k{n % 4}", 10 * n), (None, n)]
+        before = dict(want)
+        log.put(n, spark.createDataFrame(rows, "k string, v bigint"), F.col("v") >= 0)
+        want.update(dict(rows))
+        assert dict(map(tuple, log.before(n + 1).collect())) == want
+        assert dict(map(tuple, log.before(n).collect())) == before
+    some = spark.createDataFrame([("k1",), ("k1",), (None,), ("new",)], "k string")
+    assert dict(map(tuple, log.before(11, some).collect())) == {"k1": want["k1"], None: 10}
+    assert len(log._numbers("delta")) < 8 and len(log._numbers("full")) <= 2
+
+
+def test_dedupe_sink_by_each_keys_own_sight(spark, tmp_path):
+    hour = 3_600_000
+
+    def match(bike, at, station=7):
+        return (bike, 1, 2, station, 5, 6, 1, at, at)
+
+    batches = [[match("a", 100 * hour), match("a", 100 * hour), match("b", 100 * hour)],
+               [match("c", 0), match("a", 101 * hour), match(None, 1)],        # c is first seen 100 hours behind the others
+               [match("c", 1 * hour), match("a", 123 * hour), match("a", 124 * hour), match("a", 125 * hour), match(None, 2)],
+               [match("c", 25 * hour), match("a", 147 * hour), match("a", 148 * hour), match("b", 100 * hour, 8)]]
+    for n, batch in enumerate(batches):
+        spark.createDataFrame(batch, MATCH).write.mode("append").json(f"{tmp_path}/in")
+        stream = streams.stream_matches(spark, f"{tmp_path}/in")
+        sinks.run_available(dedupe_sink(stream, f"{tmp_path}/out", f"{tmp_path}/seen", f"{tmp_path}/checkpoint", at="emit_ts_ms"))
+    got = sorted(((r.bike_id or "", r.b_end, r.emit_ts_ms // hour) for r in streams.read_matches(spark, f"{tmp_path}/out").collect()))
+    assert got == [("", 7, 0), ("a", 7, 100), ("a", 7, 124), ("a", 7, 148), ("b", 7, 100), ("b", 8, 100), ("c", 7, 0), ("c", 7, 25)]
+
+
+def test_latency_sink_shows_open_and_late_buckets(spark, tmp_path):
+    t0 = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    base = int(t0.timestamp())
+    parts = [[(0, 300, 1.0), (0, 301, 2.0), (1, 0, 5.0)], [(0, 302, 6.0), (0, 1, 4.0)]]
+    for part in parts:
+        spark.createDataFrame([(s, t0 + timedelta(seconds=at), v) for s, at, v in part], LATENCY).write.mode("append").parquet(f"{tmp_path}/in")
+        sinks.run_available(latency_sink(streams.stream_latency(spark, f"{tmp_path}/in"), f"{tmp_path}/out", f"{tmp_path}/checkpoint"))
+    got = sorted((r.shard, r.bucket_s - base, r.mean_ms, r.n) for r in read_latency(spark, f"{tmp_path}/out").collect())
+    assert got == [(0, 0, 4.0, 1), (0, 300, 3.0, 3), (1, 0, 5.0, 1)]
