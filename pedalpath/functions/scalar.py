@@ -26,24 +26,66 @@ def parse_number(c: Column | str) -> Column:
     return F.coalesce(parse_int(c), F.when(whole.cast("double") == number, whole))
 
 
-def _iso(text: Column) -> Column:
-    """Dates written ``m/d/yyyy``, ``yyyy/m/d`` or ``Mon d yyyy``, before a time of day, as ``yyyy-mm-dd``."""
-    text = F.regexp_replace(text, r"^(\d{1,2})/(\d{1,2})/(\d{4})(?=$|\D)", "$3-$1-$2")
-    text = F.regexp_replace(text, r"^(\d{4})/(\d{1,2})/(\d{1,2})(?=$|\D)", "$1-$2-$3")
-    named = r"^([A-Za-z]{3})[a-z]*\.? (\d{1,2}),? (\d{4})(?=$|\D)"
-    place = F.instr(F.lit(_MONTHS), F.initcap(F.substring(text, 1, 3))) + 2
-    month = F.when(F.pmod(place, F.lit(3)) == 0, (place / 3).cast("int").cast("string")).otherwise("x")
-    return F.when(text.rlike(named), F.concat_ws("-", F.regexp_extract(text, named, 3), month, F.regexp_replace(text, named, "$2"))).otherwise(text)
+def _month(name: Column) -> Column:
+    """Number of a month given by name, as text of two digits; ``xx`` for none."""
+    place = F.instr(F.lit(_MONTHS), F.initcap(F.substring(name, 1, 3))) + 2
+    return F.when(F.pmod(place, F.lit(3)) == 0, F.lpad((place / 3).cast("int").cast("string"), 2, "0")).otherwise("xx")
+
+
+# Date forms before a time of day: pattern, then which group is the year, the month and the day. Where a date begins with two
+# small numbers the month comes first, unless it cannot be one.
+_END = r"(?=$|[^\d/.-])"
+_SLASHED = rf"^(\d{{1,2}})([/.-])(\d{{1,2}})\2(\d{{4}}|\d{{2}}){_END}"
+_YEAR_FIRST = rf"^(\d{{4}})[/.](\d{{1,2}})[/.](\d{{1,2}}){_END}"
+_COMPACT = r"^(\d{4})(\d{2})(\d{2})(?=$|[T ]|\d{4}(?:\d{2})?$)"
+_NAME_FIRST = r"^([A-Za-z]{3})[a-z]*\.? (\d{1,2})(?:st|nd|rd|th)?,? (\d{4})(?=$|\D)"
+_DAY_FIRST = r"^(\d{1,2})(?:st|nd|rd|th)?[ -]([A-Za-z]{3})[a-z]*\.?,?[ -](\d{4})(?=$|\D)"
+_WEEKDAY = r"^(?i:mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,? +"
+_HALF_DAY = r"\b(\d{1,2})((?::\d{2}){0,2}(?:\.\d+)?) ?([AaPp])\.?[Mm]\.?$"
+
+
+def _date_first(text: Column) -> Column:
+    """Dates in other forms as ``yyyy-mm-dd``; what follows them stays."""
+    group = lambda form, i: F.regexp_extract(text, form, i)
+    rest = lambda form: F.regexp_replace(text, form, "")
+    date = lambda year, month, day, form: F.concat(F.concat_ws("-", year, month, day), rest(form))
+    one, two, year = group(_SLASHED, 1), group(_SLASHED, 3), group(_SLASHED, 4)
+    # two digits: 1970 to 2069
+    year = F.when(F.length(year) == 4, year).otherwise(F.concat(F.when(year < "70", "20").otherwise("19"), year))
+    swapped = one.try_cast("int") > 12
+    clock = F.regexp_replace(rest(_COMPACT), r"^[T ]?(\d{2})(\d{2})(\d{2})?$", " $1:$2:$3")
+    return (F.when(text.rlike(_SLASHED), date(year, F.when(swapped, two).otherwise(one), F.when(swapped, one).otherwise(two), _SLASHED))
+            .when(text.rlike(_YEAR_FIRST), date(group(_YEAR_FIRST, 1), group(_YEAR_FIRST, 2), group(_YEAR_FIRST, 3), _YEAR_FIRST))
+            .when(text.rlike(_COMPACT), F.concat(F.concat_ws("-", *[group(_COMPACT, i) for i in (1, 2, 3)]), F.rtrim(clock, F.lit(":"))))
+            .when(text.rlike(_NAME_FIRST), date(group(_NAME_FIRST, 3), _month(group(_NAME_FIRST, 1)), group(_NAME_FIRST, 2), _NAME_FIRST))
+            .when(text.rlike(_DAY_FIRST), date(group(_DAY_FIRST, 3), _month(group(_DAY_FIRST, 2)), group(_DAY_FIRST, 1), _DAY_FIRST))
+            .otherwise(text))
+
+
+def _day_clock(text: Column) -> Column:
+    """Hours of half days, with am or pm, as hours of the day."""
+    hour = F.regexp_extract(text, _HALF_DAY, 1).try_cast("int")
+    late = F.lower(F.regexp_extract(text, _HALF_DAY, 3)) == "p"
+    of_day = F.when(hour.between(1, 12), hour % 12 + F.when(late, 12).otherwise(0))
+    minutes = F.regexp_extract(text, _HALF_DAY, 2)
+    whole = F.concat(F.regexp_replace(text, _HALF_DAY, ""), F.lpad(of_day.cast("string"), 2, "0"),
+                     F.when(minutes == "", ":00").otherwise(minutes))
+    return F.when(text.rlike(_HALF_DAY), whole).otherwise(text)
 
 
 def parse_time_ms(c: Column | str) -> Column:
     """Epoch milliseconds of a time in text; without a zone it is UTC, whatever the session's zone.
 
     Null if unreadable, which an unknown zone is too. Text without a zone is read as a civil time, which looks no zone up.
+    ``yyyy-MM-dd HH:mm:ss`` is told by its length and signs and cast at once; only other texts go through the forms.
     """
-    text = _iso(F.trim(_col(c).cast("string")))
-    return F.when(text.rlike(_ZONED), F.unix_millis(text.try_cast("timestamp"))) \
-        .otherwise(ntz_epoch_ms(text.try_cast("timestamp_ntz")))
+    text = F.trim(_col(c).cast("string"))
+    plain = (F.length(text) == 19) & (F.substring(text, 5, 1) == "-") & (F.substring(text, 14, 1) == ":") & (F.substring(text, 17, 1) == ":")
+    # each step names the text of the one before once, so the expression does not grow with every use of it
+    other = F.transform(F.transform(F.array(F.regexp_replace(text, _WEEKDAY, "")), _date_first), _day_clock)
+    read = F.transform(other, lambda o: F.when(o.rlike(_ZONED), F.unix_millis(o.try_cast("timestamp")))
+                       .otherwise(ntz_epoch_ms(o.try_cast("timestamp_ntz"))))
+    return F.when(plain, ntz_epoch_ms(text.try_cast("timestamp_ntz"))).otherwise(F.get(read, F.lit(0)))
 
 
 def ntz_epoch_ms(c: Column | str) -> Column:
@@ -97,5 +139,5 @@ def round2(c: Column | str) -> Column:
 
 
 def month_of_folder(c: Column | str) -> Column:
-    """Month number of a folder named ``<n>_<Month>``."""
-    return F.split(_col(c), "_").getItem(0).try_cast("int")
+    """Month number of a folder named ``<n>_<Month>``, or ``<column>=<n>_<Month>`` as partitioned writes name it."""
+    return F.split(F.regexp_replace(_col(c), "^[^=]*=", ""), "_").getItem(0).try_cast("int")

@@ -17,7 +17,7 @@ from ..operators.ordered import HotKeys, find_hot_keys
 from ..schemas import WIRE_TRIP
 from ..session import fresh_path, written
 from ..sources import logs, sinks, streams, trips as trip_sources
-from ..streaming import matcher, monitor
+from ..streaming import ingest, matcher, monitor
 from . import hot_paths as hp, reports
 from .driver_trips import event_trips
 
@@ -477,10 +477,9 @@ def renamed_bike_column(spark, sf):
 def month_folders(spark, sf):
     """Raw files in folders named <n>_<name>, n by the length of the station text; every file is read."""
     path = fresh_path(spark, "months")
-    raw = _messy(_events(spark, sf)).withColumn("_n", F.length("Start Station ID"))
-    # a length is at most that of a long, and one more for a sign or a fraction
-    for n in sorted(r[0] for r in raw.select("_n").distinct().collect()):
-        sinks.write_csv(_raw_columns(raw.where(F.col("_n") == n).drop("_n")), f"{path}/{n}_Month")
+    raw = _raw_columns(_messy(_events(spark, sf)))
+    # one write; a folder's name is given by a column
+    sinks.write_months(raw, F.length("Start Station ID"), path)
     return trip_sources.read_month_folders(spark, path).groupBy("month").agg(F.count("*").alias("trips"))
 
 
@@ -491,12 +490,13 @@ def month_arrival(spark, sf):
     span = trips.agg(F.min("started_at_ms").alias("low"), F.max("started_at_ms").alias("high")).first()
     month = 1 + F.floor((F.col("started_at_ms") - span["low"]) * 12 / (span["high"] - span["low"] + 1))
     path = fresh_path(spark, "arrivals")
-    for n in range(1, 13):
-        part = trips.where(month == n).repartitionByRange(3, "started_at_ms", "trip_seq").sortWithinPartitions("started_at_ms", "trip_seq")
-        # columns in an order of their own: they are found by name
-        sinks.write_csv(part.select(
-            F.col("bike_id").alias("Bike ID"), at("ended_at_ms").alias("Stop Time"), at("started_at_ms").alias("Start Time"),
-            F.col("end_station_id").alias("End Station ID"), F.col("start_station_id").alias("Start Station ID")), f"{path}/{n}_Month")
+    # columns in an order of their own: they are found by name
+    table = trips.select(
+        F.col("bike_id").alias("Bike ID"), at("ended_at_ms").alias("Stop Time"), at("started_at_ms").alias("Start Time"),
+        F.col("end_station_id").alias("End Station ID"), F.col("start_station_id").alias("Start Station ID"),
+        month.alias("_m"), "started_at_ms", "trip_seq").repartitionByRange(36, "started_at_ms", "trip_seq") \
+        .sortWithinPartitions("_m", "started_at_ms", "trip_seq").drop("started_at_ms", "trip_seq")
+    sinks.write_months(table, F.col("_m"), path)
     arrived = clean.clean_trips(trip_sources.read_month_folders(spark, path), ingest_ts_ms=0)
     return hp.hot_paths(arrived, "longest", order="arrival", cfg=DAY).drop("ingest_ts_ms")
 
@@ -697,15 +697,73 @@ def stream_overload(spark, sf):
 
 
 def stream_ingest(spark, sf):
-    """Raw CSV files streamed through cleaning into sharded records, and read back."""
+    """Raw CSV files streamed through cleaning into sharded records, and read back; a batch has columns in reverse."""
     base = fresh_path(spark, "ingest")
-    sinks.write_csv(_raw_columns(_messy(_events(spark, sf))), f"{base}/raw")
-    cfg = PathConfig(files_per_trigger=10_000)
-    raw = streams.stream_trip_csv(spark, f"{base}/raw", cfg).withColumn("trip_seq", F.lit(0).cast("bigint"))
-    good = clean.clean_trips(raw, "strict", ingest_ts_ms=STAMP)
-    sinks.run_available(sinks.stream_trip_sink(good, f"{base}/trips", f"{base}/checkpoint"))
+    raw = _raw_columns(_messy(_events(spark, sf)))
+    for n, columns in enumerate((raw.columns, raw.columns[::-1])):
+        part = raw.where(F.pmod(F.xxhash64("Start Time", "Stop Time"), F.lit(2)) == n)
+        sinks.write_csv(part.select(*[F.col(f"`{c}`") for c in columns]), f"{base}/raw/{n}")
+        sinks.run_available(ingest.csv_ingest_sink(spark, f"{base}/raw", f"{base}/trips", f"{base}/numbers", f"{base}/checkpoint",
+                                                   PathConfig(files_per_trigger=10_000), ingest_ts_ms=STAMP))
     return trip_sources.read_trip_records(spark, f"{base}/trips").groupBy("bike_id").agg(
-        F.count("*").alias("trips"), F.min("started_at_ms").alias("first_ms"), F.max("ended_at_ms").alias("last_ms"))
+        F.count("*").alias("trips"), F.min("started_at_ms").alias("first_ms"), F.max("ended_at_ms").alias("last_ms"),
+        F.count_distinct("trip_seq").alias("numbers"))
+
+
+def _as_files(part: DataFrame, names: list[str]) -> DataFrame:
+    """Trips as the columns of a raw file under ``names``: bike, start and stop time, start and end station."""
+    at = lambda c: F.date_format(F.timestamp_millis(c), "yyyy-MM-dd HH:mm:ss.SSS")
+    columns = [F.col("bike_id"), at("started_at_ms"), at("ended_at_ms"), F.col("start_station_id"), F.col("end_station_id")]
+    return part.select(*[c.alias(n) for c, n in zip(columns, names)])
+
+
+#: Headers of two years (fixed values).
+NEWER = ["Bike ID", "Start Time", "Stop Time", "Start Station ID", "End Station ID"]
+OLDER = ["bikeid", "starttime", "stoptime", "start station id", "end station id"]
+
+
+def _in_parts(trips: DataFrame, parts: int):
+    """``parts`` spans of time, each sorted; of the trips' whole table."""
+    span = trips.agg(F.min("started_at_ms").alias("low"), F.max("started_at_ms").alias("high")).first()
+    part = F.floor((F.col("started_at_ms") - span["low"]) * parts / (span["high"] - span["low"] + 1))
+    for n in range(parts):
+        yield n, trips.where(part == n).repartitionByRange(2, "started_at_ms", "trip_seq").sortWithinPartitions("started_at_ms", "trip_seq")
+
+
+def stream_ingest_arrival(spark, sf):
+    """Files of two header years and column orders arrive one batch after the other; matched in their order of arrival."""
+    trips = written(_trips(spark, sf)[0], "arriving")
+    base = fresh_path(spark, "ingest-arrival")
+    for n, part in _in_parts(trips, 3):
+        table = _as_files(part, (NEWER, OLDER)[n % 2])
+        sinks.write_csv(table.select(*[F.col(f"`{c}`") for c in (table.columns if n < 2 else table.columns[::-1])]), f"{base}/raw/{n}")
+        sinks.run_available(ingest.csv_ingest_sink(spark, f"{base}/raw", f"{base}/trips", f"{base}/numbers", f"{base}/checkpoint",
+                                                   PathConfig(files_per_trigger=10_000), ingest_ts_ms=0))
+    arrived = trip_sources.read_trip_records(spark, f"{base}/trips")
+    return hp.hot_paths(arrived, "longest", order="arrival", cfg=DAY).drop("ingest_ts_ms")
+
+
+def mixed_headers(spark, sf):
+    """Month folders of two header years, columns in any order, read together and matched in their order."""
+    trips = written(_trips(spark, sf)[0], "mixed")
+    path = fresh_path(spark, "mixed-headers")
+    for n, part in _in_parts(trips, 2):
+        sinks.write_csv(_as_files(part, (OLDER, NEWER)[n]).select(*[F.col(f"`{c}`") for c in ((OLDER, NEWER)[n][::-1] if n else OLDER)]),
+                        f"{path}/{9 + n}_Month")
+    arrived = clean.clean_trips(trip_sources.read_month_folders(spark, path), ingest_ts_ms=0)
+    return hp.hot_paths(arrived, "longest", order="arrival", cfg=DAY).drop("ingest_ts_ms")
+
+
+def time_forms_more(spark, sf):
+    """More forms that files have, by the event number: half days, months by name, compact, two-digit years, day first."""
+    at = F.col("ts").cast("timestamp_ntz")
+    form = lambda f: F.date_format(at, f)
+    day_first = F.when(F.dayofmonth(at) > 12, form("d/M/yyyy HH:mm:ss")).otherwise(form("M/d/yyyy HH:mm:ss"))
+    forms = [form("M/d/yyyy h:mm:ss a"), form("d MMMM yyyy HH:mm:ss"), form("dd-MMM-yyyy HH:mm:ss"), day_first, form("yyyyMMdd"),
+             form("yyyyMMdd'T'HHmmss"), form("yyyyMMddHHmm"), form("MMMM d, yyyy h a"), form("M/d/yy HH:mm:ss"), form("EEE MMM d yyyy HH:mm:ss"),
+             F.concat(form("d"), F.lit(" Foo "), form("yyyy HH:mm:ss"))]
+    text = F.element_at(F.array(*forms), (F.pmod("event_id", F.lit(len(forms))) + 1).cast("int"))
+    return _events(spark, sf).select("event_id", scalar.parse_time_ms(text).alias("ms"))
 
 
 QUERIES = {
@@ -789,4 +847,7 @@ QUERIES = {
     "stream_latency": stream_latency,
     "stream_overload": stream_overload,
     "stream_ingest": stream_ingest,
+    "stream_ingest_arrival": stream_ingest_arrival,
+    "mixed_headers": mixed_headers,
+    "time_forms_more": time_forms_more,
 }

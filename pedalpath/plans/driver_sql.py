@@ -341,13 +341,18 @@ SQL = {
     "stream_overload": _with(_SAMPLES, _SWITCH, recursive=True) + """SELECT shard, poll_s, pending, status,
         status >= 3 AS active FROM sw""",
     "stream_ingest": _with(_MESSY, _good("strict_start")) + """SELECT bike_id, count(*) AS trips,
-        min(started_at_ms) AS first_ms, max(ended_at_ms) AS last_ms FROM good GROUP BY bike_id""",
+        min(started_at_ms) AS first_ms, max(ended_at_ms) AS last_ms, count(*) AS numbers FROM good GROUP BY bike_id""",
 }
 
 _NO_INGEST = ", ".join(c for c in (x.strip() for x in _MATCH.split(",")) if not c.endswith("ingest_ts_ms"))
 SQL |= {
     "stream_late_bike": SQL["stream_hot_paths"],
     "month_arrival": _LONGEST + f"SELECT {_NO_INGEST} FROM longest",
+    "stream_ingest_arrival": _LONGEST + f"SELECT {_NO_INGEST} FROM longest",
+    "mixed_headers": _LONGEST + f"SELECT {_NO_INGEST} FROM longest",
+    "time_forms_more": """SELECT event_id, CASE event_id % 11 WHEN 4 THEN epoch_ms(date_trunc('day', ts))
+        WHEN 6 THEN epoch_ms(date_trunc('minute', ts)) WHEN 7 THEN epoch_ms(date_trunc('hour', ts)) WHEN 10 THEN NULL
+        ELSE epoch_ms(date_trunc('second', ts)) END AS ms FROM events""",
     "shuffled_header": SQL["csv_round_trip"],
     "hot_path_counts_1h": _all(HOUR) + _counted() + "SELECT * FROM counts",
     "compare_sides": _all(HOUR) + _counted() + f""", online AS (

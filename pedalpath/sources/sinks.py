@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..functions.scalar import now_ms
@@ -54,6 +54,12 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 
 
+def write_months(df: DataFrame, month: Column, path: str) -> None:
+    """CSV files in folders ``folder=<n>_Month`` by the number ``month``, in one write; the number is not in the files."""
+    df.withColumn("folder", F.concat(month.cast("string"), F.lit("_Month"))).drop("_m") \
+        .write.partitionBy("folder").option("header", True).csv(path)
+
+
 def write_detail_sample(details: DataFrame, path: str, mode: str = "overwrite") -> bool:
     """Written only when there is a row to write; says whether it was."""
     if details.isEmpty():

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..config import DEFAULT, PathConfig
-from ..schemas import BACKLOG, LATENCY, MATCH_TEXT, RAW_TRIP, TRIP, WIRE_TRIP
+from ..schemas import BACKLOG, LATENCY, MATCH_TEXT, TRIP, WIRE_TRIP
 from .trips import usable_records
 
 
@@ -21,11 +21,6 @@ def stream_trip_records(spark: SparkSession, path: str, cfg: PathConfig = DEFAUL
     return trips.withColumn("started_at", F.timestamp_millis("started_at_ms"))
 
 
-def stream_trip_csv(spark: SparkSession, path: str, cfg: PathConfig = DEFAULT) -> DataFrame:
-    return (spark.readStream.schema(RAW_TRIP).option("header", True)
-            .option("maxFilesPerTrigger", cfg.files_per_trigger).csv(path))
-
-
 def stream_matches(spark: SparkSession, path: str) -> DataFrame:
     """All matches: the files already there, then each new one. One reader, so none falls between."""
     return typed_matches(spark.readStream.option("recursiveFileLookup", True).schema(MATCH_TEXT).json(path))

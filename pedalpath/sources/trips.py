@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+import csv
+import re
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.scalar import decode_text, month_of_folder
 from ..schemas import RAW_TRIP, WIRE_TRIP
@@ -26,36 +32,129 @@ def find_bike_column(columns: list[str]) -> str:
     return min(fitting, key=_rank)
 
 
-def _with_file_order(df: DataFrame) -> DataFrame:
-    """``trip_seq``: the files one after the other, by month number of their folder and then by path, and the rows of a
-    file in the order in which they stand.
+# Headers of other years, as letters and digits (fixed values) -> raw name. Those that differ from a raw name only in case and
+# signs need no entry.
+OTHER_HEADERS = {"startedat": "Start Time", "endedat": "Stop Time", "tripdurationseconds": "Trip Duration"}
+
+
+def _letters(name: str) -> str:
+    return re.sub("[^a-z0-9]", "", name.lower())
+
 
-    A row's place in its file is where its scan block starts plus its number there; a block has fewer rows than bytes.
-    A file's rows come behind the last place of the file before it, so numbers are as large as the input at most, and the
-    count of files does not matter. The table of files has a row per file and stays on the executors.
+def resolved_header(names: list[str]) -> list[str]:
+    """Our raw names for a file's header, whatever the case, blanks and signs in it; other columns keep their name.
+
+    Of columns that fit one raw name the exact one takes it, else the one further left; no name occurs twice.
     """
-    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    placed = df.select("*", F.col("_metadata.file_path").alias("_file"), (F.col("_metadata.file_block_start") + row).alias("_place"))
-    folder = F.regexp_extract("_file", r"/([^/]+)/[^/]+$", 1)
-    files = placed.groupBy("_file").agg(F.max("_place").alias("_last"))
-    return numbered_files(placed, files.withColumn("_month", month_of_folder(folder))).drop("_place")
+    raw = {_letters(f.name): f.name for f in RAW_TRIP} | OTHER_HEADERS
+    taken = {n for n in names if n in RAW_TRIP.names}
+    out: list[str] = []
+    for name in names:
+        ours = raw.get(_letters(name), name)
+        ours = name if ours != name and ours in taken else ours
+        taken.add(ours)
+        while ours.lower() in {o.lower() for o in out}:
+            ours += "_"
+        out.append(ours)
+    return out
+
+
+def file_starts(files: list[tuple[str, int]], slack: int, first: int = 0) -> tuple[dict[str, int], int]:
+    """Per file the number of its first row, and the number behind the last; ``files`` (path, bytes) stand in their order.
+
+    A row's place in its file is where its scan block starts plus its number in the scan task. A row has a byte at least, and
+    a task that scans several files scans at most ``slack`` bytes, so a file's rows have room in its bytes and the slack:
+    numbers rise with the order without a look at the rows.
+    """
+    starts = {}
+    for path, size in files:
+        starts[path] = first
+        first += size + slack
+    return starts, first
+
 
+def _listed(spark: SparkSession, paths: str | list[str]) -> list[tuple[str, int]]:
+    """(path, bytes) of the files that are not empty, by month number of their folder, then by path. No file is opened."""
+    found = spark.read.format("binaryFile").load(paths).select("_metadata.file_path", "_metadata.file_size").collect()
 
-def numbered_files(placed: DataFrame, files: DataFrame) -> DataFrame:
-    """Rows (_file, _place) numbered over files (_file, _month, _last)."""
-    order = Window.orderBy(F.col("_month").asc_nulls_last(), "_file").rowsBetween(Window.unboundedPreceding, -1)
-    starts = files.select("_file", F.coalesce(F.sum(F.col("_last") + 1).over(order), F.lit(0)).alias("_start"))
-    return placed.join(starts, "_file").withColumn("trip_seq", F.col("_start") + F.col("_place")).drop("_start")
+    def order(file):
+        folder = unquote(file[0].rsplit("/", 2)[-2])
+        month = re.match(r"([+-]?\d+)(_|$)", folder.split("=", 1)[-1])
+        return (0, int(month[1]), file[0]) if month else (1, 0, file[0])
 
+    return sorted(((r[0], r[1]) for r in found if r[1]), key=order)
 
-def _by_header(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Columns by the names in the header, known ones with their type, whatever their order.
 
-    Files that are read together must have the same header: one that differs is an error, not a shift of columns.
+def _local_path(spark: SparkSession, uri: str) -> str:
+    return spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri)).toString()
+
+
+def _header(spark: SparkSession, uri: str) -> tuple[str, ...]:
+    """The names in the first line of a file: one short read."""
+    java, hadoop = spark._jvm.java, spark._jvm.org.apache.hadoop
+    conf = spark._jsc.hadoopConfiguration()
+    place = hadoop.fs.Path(java.net.URI(uri))
+    stream = place.getFileSystem(conf).open(place)
+    try:
+        codec = hadoop.io.compress.CompressionCodecFactory(conf).getCodec(place)
+        reader = java.io.BufferedReader(java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+        line = (reader.readLine() or "").removeprefix("\ufeff")
+    finally:
+        stream.close()
+    names = next(csv.reader([line]), [])
+    # a column without a name is named by its place, as Spark does
+    return tuple(n.strip() or f"_c{i}" for i, n in enumerate(names))
+
+
+def read_files(spark: SparkSession, paths: str | list[str], first: int = 0) -> tuple[DataFrame | None, int]:
+    """All columns of the files as text, by name, with ``_file`` and ``trip_seq``; and the number behind the last row's.
+
+    The driver lists the files and reads their first lines. Files of one header are one scan, and the scans are united by
+    name, so files of different years are read together; a column that a file lacks is null there. The bike column of a
+    header without ``Bike ID`` is the one that fits best, where headers differ. Every file is scanned once.
     """
-    names = spark.read.option("header", True).csv(path).columns
-    text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return spark.read.option("header", True).option("enforceSchema", False).schema(text).csv(path)
+    files = _listed(spark, paths)
+    if not files:
+        return None, first
+    conf = spark.conf
+    slack = 2 * _bytes(spark, conf.get("spark.sql.files.maxPartitionBytes"))
+    wider = conf.get("spark.sql.files.maxPartitionNum", None)
+    if wider:
+        slack = max(slack, 2 * -(-sum(size for _, size in files) // int(wider)))
+    starts, after = file_starts(files, slack, first)
+    with ThreadPoolExecutor(16) as pool:
+        headers = list(pool.map(lambda f: _header(spark, f[0]), files))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for (path, _), names in zip(files, headers):
+        groups.setdefault(names, []).append(path)
+    scans = []
+    for names, some in groups.items():
+        ours = resolved_header(list(names))
+        if len(groups) > 1 and "Bike ID" not in ours and any(_rank(c) is not None for c in ours):
+            ours[ours.index(find_bike_column(ours))] = "Bike ID"
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in ours])
+        scan = spark.read.option("header", True).schema(schema).csv([_local_path(spark, f) for f in some])
+        row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+        scan = scan.select("*", F.col("_metadata.file_path").alias("_file"), (F.col("_metadata.file_block_start") + row).alias("_place"))
+        scans.append(_numbered(spark, scan, {f: starts[f] for f in some}))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans), after
+
+
+#: a table of files up to this many rows of about 200 bytes is sent to every task; a larger one is joined as Spark sees fit
+MOST_SENT = 50_000
+
+
+def _numbered(spark: SparkSession, scan: DataFrame, starts: dict[str, int]) -> DataFrame:
+    if len(starts) == 1:
+        start = F.lit(next(iter(starts.values()))).cast("bigint")
+        return scan.withColumn("trip_seq", start + F.col("_place")).drop("_place")
+    table = spark.createDataFrame(list(starts.items()), "_file string, _start bigint")
+    table = F.broadcast(table) if len(starts) <= MOST_SENT else table
+    return scan.join(table, "_file").withColumn("trip_seq", F.col("_start") + F.col("_place")).drop("_start", "_place")
+
+
+def _bytes(spark: SparkSession, text: str) -> int:
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
 
 
 def _typed(raw: DataFrame) -> DataFrame:
@@ -63,18 +162,27 @@ def _typed(raw: DataFrame) -> DataFrame:
     return raw.withColumns({c: F.col(f"`{c}`").try_cast(kinds[c]) for c in raw.columns if c in kinds and kinds[c] != T.StringType()})
 
 
+def _empty(spark: SparkSession) -> DataFrame:
+    """What a folder without a row reads as: the raw columns."""
+    names = [*RAW_TRIP.names, "_file"]
+    schema = T.StructType([*[T.StructField(n, T.StringType()) for n in names], T.StructField("trip_seq", T.LongType())])
+    return spark.createDataFrame([], schema)
+
+
 def read_trip_csv(spark: SparkSession, path: str | list[str], fixed_schema: bool = True) -> DataFrame:
-    """Raw trips with their arrival order ``trip_seq``; columns are found by their header names.
+    """Raw trips with their arrival order ``trip_seq``; columns are found by their header names, file by file.
 
     Without the fixed schema every column stays text; nothing is inferred.
     """
-    raw = _with_file_order(_by_header(spark, path)).drop("_file")
+    raw = read_files(spark, path)[0]
+    raw = (_empty(spark) if raw is None else raw).drop("_file")
     return _typed(raw) if fixed_schema else raw
 
 
 def read_month_folders(spark: SparkSession, root: str) -> DataFrame:
     """Every file of every ``<n>_<Month>`` folder, with the month number taken from the folder name; months in their order."""
-    raw = _with_file_order(_by_header(spark, f"{root.rstrip('/')}/*/*.csv"))
+    raw = read_files(spark, f"{root.rstrip('/')}/*/*.csv")[0]
+    raw = _empty(spark) if raw is None else raw
     folder = F.regexp_extract("_file", r"/([^/]+)/[^/]+$", 1)
     return _typed(raw.withColumn("month", month_of_folder(folder)).drop("_file"))
 
@@ -117,4 +225,4 @@ def rejected_records(records: DataFrame) -> DataFrame:
 
 def read_trip_records(spark: SparkSession, path: str) -> DataFrame:
     """Usable trips of those written by ``write_trip_records``, batch form."""
-    return usable_records(spark.read.schema(WIRE_TRIP).json(path))
+    return usable_records(spark.read.schema(WIRE_TRIP).option("recursiveFileLookup", True).json(path))

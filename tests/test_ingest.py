@@ -4,6 +4,7 @@ import hashlib
 import json
 import os
 import statistics
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from pedalpath.plans import reports
 from pedalpath.plans.hot_paths import early_variant
 from pedalpath.schemas import RAW_TRIP
 from pedalpath.sources import logs, sinks, streams, trips as src
+from pedalpath.streaming.ingest import csv_ingest_sink
 
 HEADER = ",".join(f.name for f in RAW_TRIP)
 
@@ -195,14 +197,27 @@ def test_months_in_their_order(spark, tmp_path):
     assert got == [f"{m}{i}" for m in ("1_January", "2_February", "10_October") for i in range(3)]
 
 
-def test_many_files_are_numbered(spark):
-    """No number wraps behind 2 ** 20 files."""
-    n = (1 << 20) + 3
-    files = spark.range(n).select(F.format_string("/in/1_Month/%08d.csv", "id").alias("_file"), F.lit(1).alias("_month"),
-                                  F.lit((1 << 27) - 1).cast("bigint").alias("_last"))
-    placed = files.where(F.substring("_file", -12, 8).cast("int").isin(0, 524_288, n - 1)).select("_file", F.lit(5).cast("bigint").alias("_place"))
-    got = [r.trip_seq for r in src.numbered_files(placed, files).orderBy("_file").collect()]
-    assert got == [5, 5 + (524_288 << 27), 5 + ((n - 1) << 27)]
+def test_many_files_are_numbered():
+    """Numbers rise with the files, and nothing wraps behind 2 ** 20 of them."""
+    files = [(f"/in/1_Month/{i:08d}.csv", 1 << 30) for i in range((1 << 20) + 3)]
+    starts, after = src.file_starts(files, 1 << 28, 7)
+    assert starts[files[0][0]] == 7 and starts[files[-1][0]] == 7 + ((1 << 20) + 2) * ((1 << 30) + (1 << 28))
+    assert after == 7 + len(files) * ((1 << 30) + (1 << 28)) < 1 << 63
+
+
+def test_small_files_in_one_task_keep_their_order(spark, tmp_path):
+    """Many files share a scan task; their rows' numbers neither meet nor cross."""
+    for i in range(40):
+        write(f"{tmp_path}/1_January/{i:02d}.csv", [line(100 * i + k, 1, 2, "2017-01-01 00:00:00", "2017-01-01 00:00:01") for k in range(i % 7)])
+    old = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        raw = src.read_month_folders(spark, str(tmp_path))
+        rows = raw.orderBy("trip_seq").select("Bike ID", "trip_seq").collect()
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", old)
+    assert [int(r[0]) for r in rows] == [100 * i + k for i in range(40) for k in range(i % 7)]
+    assert len({r[1] for r in rows}) == len(rows) and raw.rdd.getNumPartitions() < 20
 
 
 def test_columns_by_header(spark, tmp_path):
@@ -213,11 +228,61 @@ def test_columns_by_header(spark, tmp_path):
     assert (row.started_at_ms, row.ended_at_ms) == (1483315221000, 1483319100000)
 
 
-def test_different_headers_fail(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("Bike ID,Start Time\n1,x\n")
-    (tmp_path / "b.csv").write_text("Start Time,Bike ID\nx,1\n")
-    with pytest.raises(Exception, match="(?i)header"):
-        src.read_trip_csv(spark, str(tmp_path)).collect()
+def test_different_headers_are_read_together(spark, tmp_path):
+    """Two years' headers, other orders, a column more, another bike header, an empty file and one with a header only."""
+    (tmp_path / "a.csv").write_text("Bike ID,Start Time,Stop Time,Start Station ID,End Station ID\n7,2017-01-02 00:00:21,2017-01-02 00:01:21,3,4\n")
+    (tmp_path / "b.csv").write_text("\"end station id\",extra,starttime,stoptime,start station id,bikeid\n5,\"x,y\",1/2/2017 00:00:21,1/2/2017 00:02:21,4,8\n")
+    (tmp_path / "c d.csv").write_text("ended_at,started_at,end_station_id,start_station_id,City bike no\n2017-01-02 00:03:21,2017-01-02 00:00:21,6,5,9\n")
+    (tmp_path / "e.csv").write_text("")
+    (tmp_path / "f.csv").write_text("Bike ID,Start Time\n")
+    raw = src.read_trip_csv(spark, str(tmp_path))
+    rows = clean_trips(raw, ingest_ts_ms=0).orderBy("trip_seq").collect()
+    assert [(r.bike_id, r.start_station_id, r.end_station_id, r.ended_at_ms - r.started_at_ms) for r in rows] == [
+        ("7", 3, 4, 60_000), ("8", 4, 5, 120_000), ("9", 5, 6, 180_000)]
+    assert {r.extra for r in raw.collect()} == {None, "x,y"}
+
+
+def test_resolved_header():
+    assert src.resolved_header(["starttime", "Start Time", "bike_id", "BIKE ID", "note", "_c5"]) == \
+        ["starttime", "Start Time", "Bike ID", "BIKE ID_", "note", "_c5"]
+
+
+def test_no_file_at_all(spark, tmp_path):
+    raw = src.read_trip_csv(spark, str(tmp_path))
+    assert raw.collect() == [] and clean_trips(raw, ingest_ts_ms=0).collect() == []
+
+
+def test_streamed_files_by_their_own_headers(spark, tmp_path):
+    """Three batches with other headers; numbers go on, and a batch that runs again gives the same."""
+    ok = "2017-01-01 00:00:00", "2017-01-01 00:10:00"
+    heads = ["Bike ID,Start Time,Stop Time,Start Station ID,End Station ID", "bikeid,stoptime,starttime,end station id,start station id"]
+    for n in range(3):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        rows = [(f"{n}{i}", *(ok if n % 2 == 0 else ok[::-1]), *(("1", "2") if n % 2 == 0 else ("2", "1"))) for i in range(3)]
+        (tmp_path / "in" / f"{9 - n}.csv").write_text("\n".join([heads[n % 2], *map(",".join, rows)]) + "\n")
+        sinks.run_available(csv_ingest_sink(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/numbers", f"{tmp_path}/ck", ingest_ts_ms=0))
+    rows = src.read_trip_records(spark, f"{tmp_path}/out").orderBy("trip_seq").collect()
+    assert [r.bike_id for r in rows] == [f"{n}{i}" for n in range(3) for i in range(3)] and len({r.trip_seq for r in rows}) == 9
+    assert {(r.start_station_id, r.end_station_id, r.ended_at_ms - r.started_at_ms) for r in rows} == {(1, 2, 600_000)}
+
+
+def test_time_forms_of_files(spark):
+    def ms(*at):
+        return int(datetime(*at, tzinfo=timezone.utc).timestamp() * 1000)
+
+    t = (2017, 1, 2, 0, 0, 21)
+    forms = {
+        "1/2/2017 1:05:30 PM": ms(2017, 1, 2, 13, 5, 30), "2 January 2017 00:00:21": ms(*t), "02-Jan-2017 00:00:21": ms(*t),
+        "13/2/2017 00:00:00": ms(2017, 2, 13), "20170102": ms(2017, 1, 2), "2017-01-02 00:00:21": ms(*t), "2017-01-02T00:00:21": ms(*t),
+        "2017-01-02 00:00:21.5": ms(*t) + 500, "20170102T000021": ms(*t), "20170102000021": ms(*t), "201701020105": ms(2017, 1, 2, 1, 5),
+        "20170102 00:00:21": ms(*t), "1/2/17 00:00:21": ms(*t), "1-2-2017 00:00:21": ms(*t), "2017/01/02 00:00:21": ms(*t),
+        "2017.1.2 00:00:21": ms(*t), "Jan 2 2017 00:00:21": ms(*t), "January 2, 2017 12:00:21 AM": ms(*t), "Mon Jan 2 2017 00:00:21": ms(*t),
+        "2nd Jan 2017": ms(2017, 1, 2), "1/2/2017 12:05 PM": ms(2017, 1, 2, 12, 5), "1/2/2017 12 am": ms(2017, 1, 2), "2017-01-02 00:00:21Z": ms(*t),
+        "1/2/2017 00:00:21 America/New_York": ms(2017, 1, 2, 5, 0, 21), "12/31/69 00:00": ms(2069, 12, 31), "1/2/70 00:00": ms(1970, 1, 2),
+        "  2017-01-02 00:00:21 ": ms(*t), "1/2/2017 13:05 PM": None, "2 Foo 2017": None, "13/13/2017": None, "": None,
+        "2017-02-30 00:00:00": None, "20171302": None, "2017-01-02 00:00:21 pm": None}
+    df = spark.createDataFrame([(x,) for x in forms], "t string")
+    assert {r.t: r.ms for r in df.select("t", scalar.parse_time_ms("t").alias("ms")).collect()} == forms
 
 
 def test_zones_are_honoured(spark):
