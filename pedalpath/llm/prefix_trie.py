@@ -94,7 +94,7 @@ def _turns(rows: DataFrame, rules: TrieRules) -> tuple[DataFrame, HotKeys]:
     sig = F.md5(F.concat(F.octet_length(role).cast("string"), F.lit(":"), role, text).cast("binary"))
     turns = rows.where("conv_id is not null").select(
         F.col("conv_id").cast("bigint"), F.col("turn"), sig.alias("sig"), F.octet_length(text).cast("bigint").alias("size"))
-    limit = PathConfig(max_group_rows=rules.max_turns, max_frame_rows=rules.max_turns)
+    limit = PathConfig(max_group_rows=rules.max_turns)
     hot = find_hot_keys(turns, "conv_id", limit)
     placed = by_key(turns, "conv_id", ["turn", "sig"], hot,
                     lambda o: running(o, pos=("sum", F.lit(1).cast("bigint"))).rows(), limit)
@@ -121,7 +121,7 @@ def _prefixes(turns: DataFrame, hot: HotKeys, rules: TrieRules) -> DataFrame:
     """(conv_id, depth, s0.., p0.., size): every prefix of every conversation, its name and that of the prefix before it."""
     pair = F.md5(F.concat(F.col("pos").cast("string"), F.lit(":"), F.col("sig")).cast("binary"))
     part = {f"x{i}": F.shiftright(F.conv(F.substring(pair, 8 * i + 1, 8), 16, 10).cast("bigint"), 2) for i in range(4)}
-    limit = PathConfig(max_group_rows=rules.max_turns, max_frame_rows=rules.max_turns)
+    limit = PathConfig(max_group_rows=rules.max_turns)
     summed = by_key(turns.withColumns(part), "conv_id", ["pos"], hot, lambda o: running(
         o, **{f"s{i}": ("sum", F.col(f"x{i}")) for i in range(4)}).rows(), limit)
     return summed.select("conv_id", F.col("pos").alias("depth"), *[f"s{i}" for i in range(4)],
