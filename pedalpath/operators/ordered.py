@@ -24,12 +24,10 @@ TIE = "_tie"
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Keys above the size limit and how many rows they hold together; ``dense`` also has the keys
-    above the smaller ``max_frame_rows``. Both tables are None when there are no such keys."""
+    """Keys above the size limit and how many rows they hold together; the table is None when there are no such keys."""
 
     table: DataFrame | None = None
     rows: int = 0
-    dense: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -56,16 +54,9 @@ class Ordered:
 
 def find_hot_keys(df: DataFrame, key: str, limit: PathConfig = DEFAULT) -> HotKeys:
     """One narrow scan: only the key column is read, and counts are combined before the shuffle."""
-    size, large = F.col("_n"), F.col("_n") > limit.max_group_rows
-    counts = df.groupBy(key).agg(F.count("*").alias("_n")) \
-        .where(size > min(limit.max_frame_rows, limit.max_group_rows))
-    found = counts.agg(F.count("*").alias("dense"), F.count_if(large).alias("keys"),
-                       F.sum(F.when(large, size)).alias("rows")).first()
-    if not found["dense"]:
-        return HotKeys()
-    dense = written(counts.select(key, "_n"), "hot-keys")
-    table = dense.where(large).select(key) if found["keys"] else None
-    return HotKeys(table, found["rows"] or 0, dense.select(key))
+    counts = df.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > limit.max_group_rows)
+    found = counts.agg(F.count("*").alias("keys"), F.sum("_n").alias("rows")).first()
+    return HotKeys(written(counts.select(key), "hot-keys"), found["rows"]) if found["keys"] else HotKeys()
 
 
 def by_key(df: DataFrame, key: str, order: list[str], hot: HotKeys, compute: Callable[[Ordered], DataFrame],

@@ -61,10 +61,10 @@ def _ms(c: str):
 
 # --- hot paths --------------------------------------------------------------------------------
 
-def _paths(mode, cfg=DAY, overlapping=False, overlap=None, method="auto"):
+def _paths(mode, cfg=DAY, overlapping=False, overlap=None):
     def run(spark, sf):
         trips, hot = _trips(spark, sf, overlapping)
-        return hp.hot_paths(trips, mode, overlap, cfg=cfg, hot=hot, method=method)
+        return hp.hot_paths(trips, mode, overlap, cfg=cfg, hot=hot)
     return run
 
 
@@ -101,11 +101,13 @@ def hot_path_details(spark, sf):
 
 
 def detail_sample(spark, sf):
-    return _detail_columns(reports.sample_details(_details(spark, sf), 3))
+    trips, hot = _trips(spark, sf)
+    return _detail_columns(hp.first_details(trips, 3, True, cfg=DAY, hot=hot))
 
 
 def first_details(spark, sf):
-    return _detail_columns(reports.first_details(_details(spark, sf), 10))
+    trips, hot = _trips(spark, sf)
+    return _detail_columns(hp.first_details(trips, 10, cfg=DAY, hot=hot))
 
 
 def early_variant(spark, sf):
@@ -566,7 +568,7 @@ def counts_csv(spark, sf):
 
 def detail_csv(spark, sf):
     path = fresh_path(spark, "detail-csv")
-    sample = _detail_columns(reports.sample_details(_details(spark, sf), 3))
+    sample = detail_sample(spark, sf)
     sinks.write_detail_sample(sample, path)
     return spark.read.option("header", True).schema(sample.schema).csv(path)
 
@@ -769,7 +771,7 @@ def time_forms_more(spark, sf):
 QUERIES = {
     "hot_path_all": _paths("all"),
     "hot_path_all_1h": _paths("all", PathConfig()),
-    "hot_path_all_join": _paths("all", method="join"),
+    "hot_path_all_join": _paths("all", overlap="keep"),
     "hot_path_all_overlapping": _paths("all", SIX, True),
     "hot_path_longest": _paths("longest"),
     "hot_path_longest_overlapping": _paths("longest", DAY, True),

@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..config import DEFAULT, PathConfig
 from ..functions.predicates import hot_end
-from ..operators.ordered import HotKeys, Ordered, by_key, find_hot_keys, in_pieces, running
+from ..operators.ordered import HotKeys, Ordered, by_key, find_hot_keys, in_pieces, neighbour, running
 from ..operators.sequence import BIKE, LAST, TIME_ORDER, drop_late, with_sequence
+from ..session import written
 from ..sources.trips import wire_reject_reason
 
 MATCH_COLUMNS = ["bike_id", "a1_start", "ai_end", "b_end", "first_ts_ms", "b_ended_ms", "length_a",
@@ -97,30 +98,17 @@ def _longest(o: Ordered, cfg: PathConfig) -> DataFrame:
     return _as_match(_look_up_start(found, with_sequence(o).df))
 
 
-def _all_by_join(o: Ordered, cfg: PathConfig) -> DataFrame:
-    """Every chain start between the lower trip and the final trip, looked up by position."""
+def _all(o: Ordered, cfg: PathConfig) -> DataFrame:
+    """Every chain start between the lower trip and the final trip, looked up by position.
+
+    What is listed is the result: a pair is a row from the start, and no trip gathers its chains.
+    """
     found = _found(_swept(o, cfg), cfg).drop("lower")
     pairs = found.withColumn("length_a", F.explode(F.sequence(F.lit(cfg.min_a).cast("bigint"), "length_a"))) \
         .withColumn("a_pos", F.col("b.pos") - F.col("length_a"))
     return _as_match(_look_up_start(pairs, with_sequence(o).df))
 
 
-def _all_by_frame(o: Ordered, cfg: PathConfig) -> DataFrame:
-    """Every chain start from a frame over the run: one shuffle in all, no join."""
-    placed = with_sequence(o).df
-    frame = Window.partitionBy(BIKE, "run_no").orderBy("started_at_ms") \
-        .rangeBetween(-cfg.window_ms, Window.currentRow)
-    rows = placed.withColumn("_a", F.collect_list(_place()).over(frame))
-    # The frame reaches back from the final trip's start; the test is on its end.
-    test = hot_end(cfg) & ((F.col("ended_at_ms") - F.col("started_at_ms")) <= F.lit(cfg.window_ms))
-    farthest = F.col("pos") - F.lit(cfg.max_chain) if cfg.max_chain is not None else F.lit(0)
-    chosen = F.filter("_a", lambda a: (a["pos"] <= F.col("pos") - F.lit(cfg.min_a)) & (a["pos"] >= farthest)
-                      & (a["ts"] >= F.col("ended_at_ms") - F.lit(cfg.window_ms)))
-    b = F.struct("pos", "start_station_id", "end_station_id", "ended_at_ms", "ingest_ts_ms")
-    return _as_match(rows.where(test).select(BIKE, b.alias("b"), F.explode(chosen).alias("a"))
-                     .withColumn("length_a", F.col("b.pos") - F.col("a.pos")))
-
-
 def _usable(trips: DataFrame) -> DataFrame:
     """The columns the pattern needs; trips that lack one or end before they start are for the reject table."""
     return trips.select(*_TRIP).where((F.col("ended_at_ms") >= F.col("started_at_ms")) & wire_reject_reason().isNull())
@@ -145,30 +133,71 @@ def _prepared(trips: DataFrame, mode: str, overlap: str | None, order: str, cfg:
 
 
 def placed_hot_paths(trips: DataFrame, mode: str = "longest", overlap: str | None = None, order: str = "time",
-                     cfg: PathConfig = DEFAULT, hot: HotKeys | None = None,
-                     method: str = "auto") -> DataFrame:
+                     cfg: PathConfig = DEFAULT, hot: HotKeys | None = None) -> DataFrame:
     """Match records with ``a_pos`` and ``b_pos``, the places of the two end trips in the bike's order."""
     trips, hot = _prepared(trips, mode, overlap, order, cfg, hot)
-    if mode == "longest":
-        return by_key(trips, BIKE, TIME_ORDER, hot, lambda o: _longest(o, cfg), cfg)
-
-    def by_join(rows: DataFrame) -> DataFrame:
-        return by_key(rows, BIKE, TIME_ORDER, hot, lambda o: _all_by_join(o, cfg), cfg)
-
-    if method == "join":
-        return by_join(trips)
-    # A frame costs its length at every trip, so it is for bikes whose frames are short at any density.
-    few = trips if hot.dense is None else trips.join(hot.dense, BIKE, "left_anti")
-    matches = _all_by_frame(Ordered(few, (BIKE,), tuple(TIME_ORDER), limit=cfg), cfg)
-    if hot.dense is None:
-        return matches
-    return matches.unionByName(by_join(trips.join(hot.dense, BIKE, "left_semi")))
+    found = _longest if mode == "longest" else _all
+    return by_key(trips, BIKE, TIME_ORDER, hot, lambda o: found(o, cfg), cfg)
 
 
 def hot_paths(trips: DataFrame, mode: str = "longest", overlap: str | None = None, order: str = "time",
-              cfg: PathConfig = DEFAULT, hot: HotKeys | None = None, method: str = "auto") -> DataFrame:
+              cfg: PathConfig = DEFAULT, hot: HotKeys | None = None) -> DataFrame:
     """Match records. ``longest`` drops late trips by default, ``all`` keeps overlaps."""
-    return placed_hot_paths(trips, mode, overlap, order, cfg, hot, method).select(*MATCH_COLUMNS)
+    return placed_hot_paths(trips, mode, overlap, order, cfg, hot).select(*MATCH_COLUMNS)
+
+
+def first_pairs(spans: DataFrame, n: int, per_bike: bool, hot: HotKeys, cfg: PathConfig = DEFAULT) -> DataFrame:
+    """(bike, a_pos, b, length_a): the first ``n`` pairs of each bike, or of all bikes, by (bike, a_pos, b_pos).
+
+    ``spans`` has a row per final trip: its chains start at the positions ``lo`` to ``hi``. How many spans cover a position
+    is a running sum over their ends, so the number of pairs before any position is known without a pair; up to the
+    position at which ``n`` is reached, and there for as many final trips as are wanting, pairs are listed. So exactly
+    the pairs of the result are.
+    """
+    pairs = F.col("hi") - F.col("lo") + 1
+    if per_bike:
+        quota = spans.select(BIKE).distinct().withColumn("quota", F.lit(n).cast("bigint"))
+    else:
+        # a bike in the table has a pair at least, so the first n bikes are enough
+        some = spans.groupBy(BIKE).agg(F.sum(pairs).alias("pairs")).orderBy(BIKE).limit(n)
+        before = F.sum("pairs").over(Window.orderBy(BIKE).rowsBetween(Window.unboundedPreceding, -1))
+        quota = some.select(BIKE, (F.lit(n) - F.coalesce(before, F.lit(0))).alias("quota")).where("quota > 0")
+        quota = written(quota, "quota")
+        spans = spans.join(quota.select(BIKE), BIKE, "left_semi")
+    one = F.lit(1).cast("bigint")
+    ends = spans.select(BIKE, F.inline(F.array(F.struct(F.col("lo").alias("pos"), one.alias("more")),
+                                               F.struct((F.col("hi") + 1).alias("pos"), (-one).alias("more")))))
+    ends = ends.groupBy(BIKE, "pos").agg(F.sum("more").alias("more")).join(quota, BIKE)
+
+    def covered(o: Ordered) -> DataFrame:
+        o = running(neighbour(o, "_next", ["pos"], +1), n=("sum", F.col("more")))
+        o = o.with_columns({"width": F.coalesce(F.col("_next.pos"), F.col("pos")) - F.col("pos")})
+        return running(o, exclusive=True, before=("sum", F.col("n") * F.col("width"))).rows()
+
+    reach = by_key(ends, BIKE, ["pos"], hot, covered, cfg).where((F.col("n") > 0) & (F.col("before") < F.col("quota")))
+    rest = F.col("quota") - F.col("before")
+    last = F.col("pos") + F.least("width", F.ceil(rest / F.col("n"))) - 1
+    edge = reach.groupBy(BIKE).agg(F.max(F.struct(last.alias("last"), (rest - (last - F.col("pos")) * F.col("n")).alias("need"))).alias("e")) \
+        .select(BIKE, "e.last", "e.need")
+    near = spans.join(edge, BIKE).where(F.col("lo") <= F.col("last"))
+    whole = near.where(F.col("lo") < F.col("last")).withColumn(
+        "a_pos", F.explode(F.sequence("lo", F.least(F.col("hi"), F.col("last") - 1))))
+    turn = F.row_number().over(Window.partitionBy(BIKE).orderBy("b.pos"))
+    # the limit by a constant lets every task cut its rows before the shuffle
+    part = near.where(F.col("hi") >= F.col("last")).withColumn("turn", turn).where(F.col("turn") <= n) \
+        .where(F.col("turn") <= F.col("need")).withColumn("a_pos", F.col("last")).drop("turn")
+    return whole.unionByName(part).select(BIKE, "a_pos", "b", (F.col("b.pos") - F.col("a_pos")).alias("length_a"))
+
+
+def first_details(trips: DataFrame, n: int, per_bike: bool = False, overlap: str | None = None,
+                  cfg: PathConfig = DEFAULT, hot: HotKeys | None = None) -> DataFrame:
+    """The first ``n`` details of ``all``, over all bikes (L3) or of each (W11), by (bike, chain start, final trip)."""
+    trips, hot = _prepared(trips, "all", overlap, "time", cfg, hot)
+    spans = by_key(trips, BIKE, TIME_ORDER, hot, lambda o: _found(_swept(o, cfg), cfg), cfg).select(
+        BIKE, "b", (F.col("b.pos") - F.col("length_a")).alias("lo"), (F.col("b.pos") - F.lit(cfg.min_a)).alias("hi"))
+    pairs = first_pairs(written(spans, "spans"), n, per_bike, hot, cfg)
+    placed = by_key(trips, BIKE, TIME_ORDER, hot, lambda o: with_sequence(o).rows(), cfg)
+    return as_details(_as_match(_look_up_start(pairs, placed)))
 
 
 def match_counts(trips: DataFrame, mode: str = "all", overlap: str | None = None, order: str = "time",

@@ -38,7 +38,7 @@ def count_correlation(compared: DataFrame) -> DataFrame:
 
 
 def sample_details(details: DataFrame, per_bike: int = DEFAULT.detail_sample) -> DataFrame:
-    """The first details of every bike by (chain start, final trip).
+    """The first of every bike's listed details by (chain start, final trip) (W11); ``first_details`` lists no others.
 
     Spark cuts each task's rows to ``per_bike`` a bike before the shuffle, so no bike is gathered whole.
     """
@@ -46,11 +46,6 @@ def sample_details(details: DataFrame, per_bike: int = DEFAULT.detail_sample) ->
     return details.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= per_bike).drop("_rn")
 
 
-def first_details(details: DataFrame, n: int) -> DataFrame:
-    """The first n details over all bikes (L3)."""
-    return details.orderBy("bike", "a_pos", "b_pos").limit(n)
-
-
 def dedupe_matches(matches: DataFrame) -> DataFrame:
     """The first ingested of the matches that share bike, first start, final end time and station (T4)."""
     keys = [BIKE, "first_ts_ms", "b_ended_ms", "b_end"]

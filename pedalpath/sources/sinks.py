@@ -7,6 +7,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..functions.scalar import now_ms
 from ..schemas import MATCH, WIRE_TRIP
+from ..session import drop_path, fresh_path
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -61,11 +62,18 @@ def write_months(df: DataFrame, month: Column, path: str) -> None:
 
 
 def write_detail_sample(details: DataFrame, path: str, mode: str = "overwrite") -> bool:
-    """Written only when there is a row to write; says whether it was."""
-    if details.isEmpty():
-        return False
-    write_csv(details, path, mode)
-    return True
+    """Written only when there is a row to write; says whether it was. The rows are made once."""
+    spark = details.sparkSession
+    kept = fresh_path(spark, "detail-sample")
+    details.write.parquet(kept)
+    try:
+        stored = spark.read.schema(details.schema).parquet(kept)
+        if stored.isEmpty():
+            return False
+        write_csv(stored, path, mode)
+        return True
+    finally:
+        drop_path(spark, kept)
 
 
 def write_latency(samples: DataFrame, path: str) -> None:

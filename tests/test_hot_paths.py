@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pedalpath import PathConfig, drop_late, early_variant, hot_paths, match_counts, sequence_trips
 from pedalpath.operators.sequence import chain_summary, open_chains, prune_chain
 from pedalpath.plans.hot_paths import match_details
+from pedalpath.operators.ordered import HotKeys
+from pedalpath.plans.hot_paths import first_details, first_pairs
 from pedalpath.plans.reports import sample_details
 from . import oracle
 
@@ -79,7 +81,6 @@ def test_random(spark, cfg, seed):
     want_all = oracle.all_matches(trips)
     assert want_all, "the input must have matches"
     assert rows(hot_paths(df, "all", cfg=cfg)) == want_all
-    assert rows(hot_paths(df, "all", cfg=cfg, method="join")) == want_all
     assert rows(hot_paths(df, "longest", cfg=cfg)) == oracle.longest_matches(trips)
     assert rows(hot_paths(df, "longest", order="arrival", cfg=cfg)) == oracle.longest_matches(trips, "arrival")
     counts = {r.bike: r.matches for r in match_counts(df, cfg=cfg).collect()}
@@ -177,6 +178,33 @@ def test_details_and_sample(spark):
         sorted((b, *p) for b, ps in per.items() for p in ps[:2])
 
 
+@pytest.mark.parametrize("cfg", [PathConfig(), PIECES, PathConfig(max_chain=2), PathConfig(min_a=0)], ids=["whole", "pieces", "capped", "alone"])
+def test_first_pairs_are_those_of_the_whole_list(spark, cfg):
+    trips = random_trips(6, 90, stations=3)
+    df = frame(spark, trips)
+    whole = sorted((r.bike, r.a_pos, r.b_pos, r.chain_len) for r in match_details(df, "all", cfg=cfg).collect())
+    assert len(whole) > 10
+    for n in (1, 2, 7, 10_000):
+        got = [(r.bike, r.a_pos, r.b_pos, r.chain_len) for r in first_details(df, n, cfg=cfg).collect()]
+        assert sorted(got) == whole[:n]
+        per = [(r.bike, r.a_pos, r.b_pos, r.chain_len) for r in first_details(df, n, per_bike=True, cfg=cfg).collect()]
+        assert sorted(per) == [x for b in sorted({w[0] for w in whole}) for x in [w for w in whole if w[0] == b][:n]]
+    assert first_details(df.limit(0), 5, cfg=cfg).collect() == []
+
+
+def test_no_more_pairs_are_listed_than_wanted(spark):
+    """A bike whose trips all chain and all end hot has a pair for any two; ten wanted are ten listed."""
+    trips = [("d", 7, 7, BASE + i, BASE + i + 1, i) for i in range(400)] + [("e", 7, 7, BASE + i, BASE + i + 1, 400 + i) for i in range(30)]
+    df = frame(spark, trips)
+    spans = spark.createDataFrame([("d", i, 0, i - 1) for i in range(1, 400)] + [("e", i, 0, i - 1) for i in range(1, 30)],
+                                  "bike_id string, p bigint, lo bigint, hi bigint").select("bike_id", F.struct(F.col("p").alias("pos")).alias("b"), "lo", "hi")
+    for n, per_bike, want in ((10, False, 10), (10, True, 20), (400, False, 400), (100_000, False, 399 * 200 + 29 * 15)):
+        assert first_pairs(spans, n, per_bike, HotKeys()).count() == want
+    assert first_details(df, 10).count() == 10
+    plan = match_details(df, "all")._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "CartesianProduct" not in plan
+
+
 def test_early_variant(spark):
     trips = [("v", 1, 17, BASE, BASE + MIN, 0), ("v", 17, 8, BASE + MIN, BASE + 2 * MIN, 1),
              ("v", 8, 27, BASE + 2 * MIN, BASE + 3 * MIN, 2)]
