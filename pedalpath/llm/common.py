@@ -82,6 +82,39 @@ def stored(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+class Scratch:
+    """Tables an operator stores on its way: each deleted once its last reader has been stored, all of them in the end,
+    also after an error."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.label, self.paths = spark, label, {}
+
+    def __enter__(self) -> "Scratch":
+        return self
+
+    def __exit__(self, *_) -> None:
+        drop_written(self.spark, *[path for _, path in self.paths.values()])
+        self.paths = {}
+
+    def put(self, df: DataFrame, label: str) -> DataFrame:
+        path = fresh_path(self.spark, f"{self.label}-{label}")
+        self.paths[path] = (None, path)
+        df.write.parquet(path)
+        table = self.spark.read.schema(df.schema).parquet(path)
+        del self.paths[path]
+        self.paths[id(table)] = (table, path)
+        return table
+
+    def drop(self, *tables: DataFrame) -> None:
+        for table in tables:
+            drop_written(self.spark, self.paths.pop(id(table))[1])
+
+    def keep(self, table: DataFrame) -> DataFrame:
+        """The table stays when the others go."""
+        self.paths.pop(id(table))
+        return table
+
+
 # --- a bitmap of fixed size, used to let most rows out of a join before it is shuffled
 
 def bitmap_of(hashes: DataFrame, column: str, bits: int) -> np.ndarray:
@@ -103,16 +136,15 @@ def in_bitmap(found: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 # --- connected components
 
-def components(edges: DataFrame, label: str = "components") -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b); component is the smallest node reachable.
 
     Alternating large-star and small-star steps: every step joins nothing and keeps at most two rows an edge. A step
     that changes nothing ends the loop. Steps are written to the shared folder. A node with very many neighbours is
     never gathered: the steps need only the smallest neighbour, which is combined before the shuffle.
     """
-    spark = edges.sparkSession
     pairs = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-    now, path = stored(pairs, label)
+    now = scratch.put(pairs, "components")
     before = None
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -124,10 +156,10 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")) \
             .unionByName(low.select("a", F.col("m").alias("b"))).distinct()
-        after, after_path = stored(small, label)
-        drop_written(spark, path)
+        after = scratch.put(small, "components")
+        scratch.drop(now)
         digest = after.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.hash("a", "b").cast("bigint"))).first()
-        now, path = after, after_path
+        now = after
         if tuple(digest) == before:
             break
         before = tuple(digest)
@@ -135,5 +167,5 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         .unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
-__all__ = ["LOWER", "SPACES", "SPACE_RUN", "bitmap_of", "components", "drop_written", "in_bitmap", "lower_ascii",
+__all__ = ["LOWER", "SPACES", "Scratch", "SPACE_RUN", "bitmap_of", "components", "drop_written", "in_bitmap", "lower_ascii",
            "map_batches", "stored", "texts", "with_free_name", "word_count", "written"]

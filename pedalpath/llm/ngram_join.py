@@ -4,8 +4,9 @@ Two documents link when the Jaccard similarity of their sets of distinct 5-word
 the connected components; every link between different sets is either checked or lies inside one component already.
 
 1. **Order.** Any fixed order of the shingles makes a prefix filter exact: two sets that link share a shingle among the
-   first ``n - ceil(0.8 n) + 1`` of both. The order used is "seldom ones first, then by hash". A count over the prefixes
-   by hash finds the frequent shingles; they are kept as a bitmap of fixed size. The bitmap decides cost, not results.
+   first ``n - ceil(0.8 n) + 1`` of both. The order used is "seldom ones first, then by hash". Shingles with hashes in the
+   lower part are counted, and those of a few, many and very many documents kept as bitmaps of fixed size. Shingles
+   that were not counted stand between the many and the very many. The bitmaps decide cost, not results.
 2. **Sets.** Texts become sets; equal sets are one node. A shingle that occurs once in all prefixes can link nothing; such
    shingles, the great majority, drop out by a count of bare hashes, which each task sorts and packs by ranges.
    Those left whose smallest and largest node differ are shared by different sets.
@@ -15,8 +16,9 @@ the connected components; every link between different sets is either checked or
    million comparisons, and is one entry from here on.
 4. **Matrix.** A row per group: the union of its members' shingles, as bits of a fixed number of columns. A node of one
    group that shares a prefix shingle with another group is a query. The number of its shingles whose bit is set
-   in that row is an upper bound of the overlap with any member. Groups that reach the overlap a link needs are opened,
-   and only their members are compared exactly.
+   in that row is an upper bound of the overlap with any member. Groups that reach the overlap a link needs are opened:
+   the query is compared with the group's leader, and with those members that it may link to by what both share with the
+   leader and outside of it.
 
 Shingles are 64-bit hashes of words, sets 64-bit hashes of shingles.
 
@@ -38,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import ship_package
-from .common import LOWER, bitmap_of, components, drop_written, in_bitmap, stored, texts
+from .common import LOWER, Scratch, bitmap_of, components, drop_written, in_bitmap, stored, texts, with_free_name
 
 
 @dataclass(frozen=True)
@@ -48,8 +50,10 @@ class JoinRules:
     percent: int = 80
     #: size of the bitmaps, as a power of two: of the frequent shingles, of the others
     frequent_bits: int = 26
-    #: frequent shingles are looked for in so many times the prefix, since leaving them out lengthens it
-    lookout: int = 2
+    #: shingles are counted whose hash lies in this share of all hashes: twice a prefix, as leaving some out lengthens it
+    counted: float = 0.4
+    #: levels of frequency, each with a bitmap an eighth as large as the one before
+    levels: tuple[int, ...] = (2, 16, 256)
     bits: int = 24
     #: columns of the matrix
     columns: int = 8192
@@ -110,7 +114,7 @@ def _chunks(batch: pa.RecordBatch, rules: JoinRules, most: int = 300_000):
 def _ranges(docs: DataFrame) -> int:
     """Ranges of hash values, as a power of two that follows the number of input tasks, so that neither the tokens of a
     range nor the rows of a task grow with the input."""
-    return min(17, max(7, (2 * docs.rdd.getNumPartitions() - 1).bit_length()))
+    return max(7, (2 * docs.rdd.getNumPartitions() - 1).bit_length())
 
 
 def _by_range(parts: Iterator[np.ndarray], power: int, room: int = 1_500_000) -> Iterator[pa.RecordBatch]:
@@ -154,9 +158,14 @@ def _repeated(by_range: DataFrame) -> DataFrame:
     return by_range.groupBy("range").applyInArrow(merge, "token bigint, n bigint")
 
 
-def _frequent(docs: DataFrame, rules: JoinRules) -> np.ndarray:
-    """Bitmap of the most frequent shingles near the prefixes by hash: as many as keep it sparse."""
-    power = _ranges(docs)
+def _edge(rules: JoinRules) -> np.uint64:
+    return np.uint64(int(rules.counted * (1 << 64)))
+
+
+def _frequent(docs: DataFrame, rules: JoinRules) -> list[np.ndarray]:
+    """A bitmap per level of the shingles that occur so often, among those that are counted. On an input with too many of
+    them for a bitmap to stay sparse, its level starts higher."""
+    power, edge = _ranges(docs), _edge(rules)
 
     def run(batches):
         def parts():
@@ -164,34 +173,37 @@ def _frequent(docs: DataFrame, rules: JoinRules) -> np.ndarray:
                 for held in _chunks(batch, rules):
                     for s in {_node(s): s for _, s in held if len(s)}.values():
                         # a copy, so that the rest of the set can go
-                        yield s[:rules.lookout * _prefix_length(len(s), rules.percent)].copy()
+                        yield s[:np.searchsorted(s, edge)].copy()
         yield from _by_range(parts(), power)
 
     counts, path = stored(_repeated(docs.mapInArrow(run, _RANGES)), "ngram-counts")
-    level = F.floor(F.log2("n")).cast("int")
-    table = {r[0]: r[1] for r in counts.groupBy(level.alias("level")).count().collect()}
-    room, least = (1 << rules.frequent_bits) // 8, 64
-    for level in sorted(table, reverse=True):
-        room -= table[level]
-        if room < 0:
-            break
-        least = level
-    bitmap = bitmap_of(counts.where(F.col("n") >= F.lit(float(2 ** least))), "token", rules.frequent_bits)
+    step = F.floor(F.log2("n")).cast("int")
+    table = {r[0]: r[1] for r in counts.groupBy(step.alias("step")).count().collect()}
+    bitmaps = []
+    for i, level in enumerate(rules.levels):
+        bits, least = rules.frequent_bits - 3 * i, int(np.log2(level))
+        while sum(n for k, n in table.items() if k >= least) > (1 << bits) // 8:
+            least += 1
+        bitmaps.append(bitmap_of(counts.where(F.col("n") >= F.lit(float(2 ** least))), "token", bits))
     drop_written(docs, path)
-    return bitmap
+    return bitmaps
+
+
+def _classes(s: np.ndarray, frequent: list[np.ndarray], rules: JoinRules) -> np.ndarray:
+    """The place of shingles in the order before their hash counts; a matter of the shingle alone."""
+    few, many, most = (in_bitmap(b, s) for b in frequent)
+    return np.select([most, many, s >= _edge(rules), few], [4, 2, 3, 1], 0).astype(np.int8)
 
 
-def _sets(docs: DataFrame, frequent: np.ndarray, rules: JoinRules) -> DataFrame:
+def _sets(docs: DataFrame, frequent: list[np.ndarray], rules: JoinRules) -> DataFrame:
     """(doc_id, n, node, prefix) of every document; prefix in the order seldom first, then by hash."""
     def run(batches):
         for batch in batches:
             for held in _chunks(batch, rules):
                 prefixes = []
                 for _, s in held:
-                    often = in_bitmap(frequent, s)
                     need = _prefix_length(len(s), rules.percent) if len(s) else 0
-                    seldom = s[~often][:need]
-                    prefixes.append(np.concatenate([seldom, s[often][:need - len(seldom)]]))
+                    prefixes.append(s[np.argsort(_classes(s, frequent, rules), kind="stable")[:need]])
                 yield pa.RecordBatch.from_arrays([
                     pa.array([d for d, _ in held], pa.int64()), pa.array([len(s) for _, s in held], pa.int64()),
                     pa.array([_node(s) if len(s) else None for _, s in held], pa.int64()), _lists(prefixes)],
@@ -200,7 +212,7 @@ def _sets(docs: DataFrame, frequent: np.ndarray, rules: JoinRules) -> DataFrame:
     return docs.mapInArrow(run, "doc_id bigint, n bigint, node bigint, prefix array<bigint>")
 
 
-def _postings(sets: DataFrame, rules: JoinRules) -> DataFrame:
+def _postings(sets: DataFrame, scratch: Scratch, rules: JoinRules) -> DataFrame:
     """(token, node, n, place): prefix shingles that different sets share, and where they stand. ``sets`` has been written."""
     nodes = sets.where("n > 0").select("node", "n", "prefix")
     power = _ranges(sets)
@@ -209,8 +221,9 @@ def _postings(sets: DataFrame, rules: JoinRules) -> DataFrame:
         yield from _by_range((batch["prefix"].flatten().to_numpy().view(np.uint64) for batch in batches), power)
 
     # copies of one set meet here too; the exact join below tells them apart
-    twice, path = stored(_repeated(nodes.select("prefix").mapInArrow(count, _RANGES)).select("token"), "ngram-twice")
+    twice = scratch.put(_repeated(nodes.select("prefix").mapInArrow(count, _RANGES)).select("token"), "twice")
     bitmap = bitmap_of(twice, "token", rules.bits)
+    scratch.drop(twice)
 
     def run(batches):
         for batch in batches:
@@ -226,25 +239,25 @@ def _postings(sets: DataFrame, rules: JoinRules) -> DataFrame:
                     [pa.array(tokens[hit]), batch["node"].take(rows), batch["n"].take(rows), pa.array(place[hit])],
                     names=["token", "node", "n", "place"])
 
-    rows, rows_path = stored(nodes.mapInArrow(run, "token bigint, node bigint, n bigint, place bigint").distinct(), "ngram-rows")
+    rows = scratch.put(nodes.mapInArrow(run, "token bigint, node bigint, n bigint, place bigint").distinct(), "rows")
     # The first shingle that two sets share leaves an overlap of at most what follows it in either; entries behind which
     # too little follows for a link with the smallest set at hand are the first one of no link.
     least = rows.groupBy("token").agg(F.min("n").alias("least"))
     needed = F.greatest("least", F.ceil(F.col("n") * rules.percent / 100))
-    rows = rows.join(least, "token").where(
-        (100 + rules.percent) * (F.col("n") - F.col("place")) >= rules.percent * (F.col("n") + needed)).drop("least")
-    rows, kept_path = stored(rows, "ngram-kept")
-    shared = rows.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("token")
-    found, _ = stored(rows.join(shared, "token", "left_semi"), "ngram-postings")
-    drop_written(sets, path, rows_path, kept_path)
+    kept = scratch.put(rows.join(least, "token").where(
+        (100 + rules.percent) * (F.col("n") - F.col("place")) >= rules.percent * (F.col("n") + needed)).drop("least"), "kept")
+    scratch.drop(rows)
+    shared = kept.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("token")
+    found = scratch.put(kept.join(shared, "token", "left_semi"), "postings")
+    scratch.drop(kept)
     return found
 
 
-def _active(docs: DataFrame, sets: DataFrame, postings: DataFrame, rules: JoinRules) -> DataFrame:
+def _active(docs: DataFrame, sets: DataFrame, postings: DataFrame, scratch: Scratch, rules: JoinRules) -> DataFrame:
     """(node, n, tokens, bits, keys) of the nodes in ``postings``, from one document of each."""
     wanted = sets.where("n > 0 and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id")) \
         .join(postings.select("node").distinct(), "node", "left_semi").withColumn("place", F.xxhash64("doc_id"))
-    wanted, _ = stored(wanted, "ngram-wanted")
+    wanted = scratch.put(wanted, "wanted")
     bitmap = bitmap_of(wanted, "place", rules.bits)
     seeds = [np.uint64((2 * k + 1) * 0xA24BAED4963EE407 & (1 << 64) - 1) for k in range(rules.functions)]
 
@@ -267,7 +280,9 @@ def _active(docs: DataFrame, sets: DataFrame, postings: DataFrame, rules: JoinRu
     found = docs.where("doc_id is not null").withColumn("place", F.xxhash64("doc_id")).mapInArrow(
         run, "doc_id bigint, node bigint, n bigint, tokens array<bigint>, bits array<bigint>, keys array<bigint>")
     chosen = wanted.select("node", F.col("doc_id").alias("chosen"))
-    return found.join(chosen, "node").where("doc_id = chosen").drop("chosen", "doc_id").dropDuplicates(["node"])
+    table = scratch.put(found.join(chosen, "node").where("doc_id = chosen").drop("chosen", "doc_id").dropDuplicates(["node"]), "active")
+    scratch.drop(wanted)
+    return table
 
 
 def _verified(pairs: DataFrame, active: DataFrame, rules: JoinRules) -> DataFrame:
@@ -330,51 +345,103 @@ def _qualifying(queries: DataFrame, active: DataFrame, matrix: DataFrame, rules:
     return joined.mapInArrow(run, "node bigint, n bigint, `group` bigint")
 
 
-def _matrix_links(postings: DataFrame, groups: DataFrame, active: DataFrame, rules: JoinRules) -> DataFrame:
-    """Links between nodes of different groups."""
+def _by_leader(opened: DataFrame, members: DataFrame, active: DataFrame, scratch: Scratch, rules: JoinRules) -> DataFrame:
+    """Links (a, b) of queries with members of the groups they opened, by way of the groups' leaders.
+
+    For a query q, a member m and the leader L of its group, the overlap of q and m is at most that of q and L, and that of m
+    and L, and what q and m share outside L. A query that links to the leader is in the group. For any other, members come
+    into question whose size alone allows a link by the first two, found by ring (sizes within a hundredth), and members
+    that share enough shingles with it outside the leader, found by those. ``members`` is (group, node, leader).
+    """
+    total, own = 100 + rules.percent, rules.percent
+    tokens = active.select(F.col("node").alias("of"), F.col("tokens").alias("set"), F.col("n").alias("size"))
+    lead = tokens.select(F.col("of").alias("leader"), F.col("set").alias("base"), F.col("size").alias("n_base"))
+    groups = members.select("group", "leader").distinct()
+    met = opened.join(groups, "group").join(tokens, F.col("node") == F.col("of")).join(lead, "leader")
+    both = F.size(F.array_intersect("set", "base")).cast("bigint")
+    met = scratch.put(met.select("node", "n", "group", "leader", "n_base", both.alias("both"), F.array_except("set", "base").alias("rest")), "met")
+    linked = 100 * F.col("both") >= own * (F.col("n") + F.col("n_base") - F.col("both"))
+    direct = met.where(linked).select(F.col("node").alias("a"), F.col("leader").alias("b"))
+    asking = met.where(~linked)
+    open_members = members.where("node <> leader").join(asking.select("group").distinct(), "group", "left_semi")
+    held = open_members.join(tokens, F.col("node") == F.col("of")).join(lead, "leader")
+    held = scratch.put(held.select("group", F.col("node").alias("b"), F.col("size").alias("m"), both.alias("m_both"),
+                                   F.array_except("set", "base").alias("m_rest")), "held")
+    ring = lambda size: F.floor(F.log(size.cast("double")) / F.log(F.lit(1.01)))
+    # m may have from own % of n up to what the overlap with the leader, or the sizes, allow
+    least = F.ceil(own * F.col("n") / 100)
+    most = F.least(F.floor(100 * F.col("n") / own), F.floor(F.lit(total) * F.col("both") / own) - F.col("n"))
+    sized = asking.select("node", "n", "group", least.alias("least"), most.alias("most")).where("most >= least")
+    sized = sized.withColumn("ring", F.explode(F.sequence(ring(F.col("least")), ring(F.col("most")))))
+    rings = held.select("group", "b", "m", "m_both", ring(F.col("m")).alias("ring"))
+    by_size = sized.join(rings, ["group", "ring"]).where(
+        F.col("m").between(F.col("least"), F.col("most")) & (total * F.col("m_both") >= own * (F.col("n") + F.col("m")))).select("node", "b")
+    # a link needs so many shared shingles outside the leader, with the smallest member the sizes allow; so one of the first ones
+    need = F.greatest(F.lit(1).cast("bigint"), F.ceil(own * (F.col("n") + F.ceil(own * F.col("n") / 100)) / total) - F.col("both"))
+    first = F.slice("rest", 1, F.greatest(F.lit(0), (F.size("rest") - need + 1).cast("int")))
+    asked = asking.select("node", "n", "group", F.explode(first).alias("token"))
+    known = held.select("group", "b", "m", F.explode("m_rest").alias("token"))
+    by_rest = asked.join(known, ["group", "token"]).where(_sizes_allow(F.col("n"), F.col("m"), F.col("m"), rules)).select("node", "b")
+    pairs = scratch.put(by_size.unionByName(by_rest).distinct().select(F.col("node").alias("a"), "b"), "pairs")
+    scratch.drop(held)
+    return direct.unionByName(_verified(pairs, active, rules))
+
+
+def _matrix_links(postings: DataFrame, groups: DataFrame, inside: DataFrame, active: DataFrame, scratch: Scratch, rules: JoinRules) -> DataFrame:
+    """Links between nodes of different groups, enough of them to join the groups that any link joins."""
     rows = postings.join(groups, "node").select("token", "node", "n", "group")
     mixed = rows.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("token")
-    rows, _ = stored(rows.join(mixed, "token", "left_semi"), "ngram-open")
+    rows = scratch.put(rows.join(mixed, "token", "left_semi"), "open")
     union = rows.groupBy("token", "group").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     # each two groups meet once: the nodes of the one with the larger number ask the other
     queries = rows.alias("q").join(union.alias("u"), "token") \
         .where((F.col("q.group") > F.col("u.group")) & _sizes_allow(F.col("q.n"), F.col("u.low"), F.col("u.high"), rules)) \
         .select("q.node", "q.n", F.col("u.group").alias("group")).distinct()
-    queries, _ = stored(queries, "ngram-queries")
+    queries = scratch.put(queries, "queries")
+    scratch.drop(rows)
     asked = groups.join(queries.select("group").distinct(), "group", "left_semi")
-    matrix, _ = stored(_matrix(asked, active), "ngram-matrix")
-    opened, _ = stored(_qualifying(queries, active, matrix, rules), "ngram-opened")
-    members = asked.join(active.select("node", F.col("n").alias("size")), "node") \
-        .select(F.col("node").alias("b"), "size", "group")
-    pairs = opened.join(members, "group").where(_sizes_allow(F.col("n"), F.col("size"), F.col("size"), rules)) \
-        .select(F.col("node").alias("a"), "b")
-    return _verified(pairs, active, rules)
+    matrix = scratch.put(_matrix(asked, active), "matrix")
+    opened = scratch.put(_qualifying(queries, active, matrix, rules), "opened")
+    scratch.drop(matrix)
+    # the leader of a group is the node with most links inside it
+    ends = inside.select(F.col("a").alias("node")).unionByName(inside.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("links"))
+    asked = asked.join(ends, "node", "left").select("group", "node", F.coalesce("links", F.lit(0)).alias("links"))
+    leader = asked.groupBy("group").agg(F.max_by("node", F.struct("links", "node")).alias("leader"))
+    members = scratch.put(asked.select("group", "node").join(leader, "group"), "members")
+    scratch.drop(queries)
+    links = scratch.put(_by_leader(opened, members, active, scratch, rules), "links")
+    scratch.drop(opened, members)
+    return links
 
 
 def similar_sets(docs: DataFrame, rules: JoinRules = DEFAULT) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row; component_id is the smallest number reachable by links."""
-    ship_package(docs.sparkSession)
+    spark = docs.sparkSession
+    ship_package(spark)
     docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    sets, _ = stored(_sets(docs, _frequent(docs, rules), rules), "ngram-sets")
-    postings = _postings(sets, rules)
-    active, _ = stored(_active(docs, sets, postings, rules), "ngram-active")
-    inside, _ = stored(_group_links(active, postings, rules), "ngram-inside")
-    grouped = components(inside, "ngram-groups")
-    groups = active.select("node").join(grouped, "node", "left") \
-        .select("node", F.coalesce("component", "node").alias("group"))
-    groups, _ = stored(groups, "ngram-members")
-    links = inside.unionByName(_matrix_links(postings, groups, active, rules))
-    # rows of one number are one document, even with two texts
-    twice = sets.where("n > 0 and doc_id is not null").groupBy("doc_id") \
-        .agg(F.min("node").alias("b"), F.max("node").alias("a")).where("a <> b").select("a", "b")
-    found = components(links.unionByName(twice), "ngram-components")
-    of_node = sets.where("n > 0 and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("first")) \
-        .join(found, "node", "left").select("node", "first", F.coalesce("component", "node").alias("component"))
-    of_node, _ = stored(of_node, "ngram-nodes")
-    smallest = of_node.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = of_node.join(smallest, "component").select("node", "component_id")
-    return sets.select("doc_id", F.col("n").alias("n_shingles"), "node").join(named, "node", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+    with Scratch(spark, "ngram") as scratch:
+        sets = scratch.put(_sets(docs, _frequent(docs, rules), rules), "sets")
+        postings = _postings(sets, scratch, rules)
+        # the prefixes are read; what follows needs a set's name and size
+        bare = scratch.put(sets.drop("prefix"), "bare")
+        scratch.drop(sets)
+        active = _active(docs, bare, postings, scratch, rules)
+        inside = scratch.put(_group_links(active, postings, rules), "inside")
+        grouped = components(inside, scratch)
+        groups = scratch.put(active.select("node").join(grouped, "node", "left").select(
+            "node", F.coalesce("component", "node").alias("group")), "groups")
+        across = _matrix_links(postings, groups, inside, active, scratch, rules)
+        scratch.drop(postings, active)
+        # rows of one number are one document, even with two texts
+        twice = bare.where("n > 0 and doc_id is not null").groupBy("doc_id") \
+            .agg(F.min("node").alias("b"), F.max("node").alias("a")).where("a <> b").select("a", "b")
+        found = components(inside.unionByName(across).unionByName(twice), scratch)
+        of_node = scratch.put(bare.where("n > 0 and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("first"))
+                              .join(found, "node", "left").select("node", "first", F.coalesce("component", "node").alias("component")), "nodes")
+        smallest = of_node.groupBy("component").agg(F.min("first").alias("component_id"))
+        named = of_node.join(smallest, "component").select("node", "component_id")
+        return scratch.keep(scratch.put(bare.select("doc_id", F.col("n").alias("n_shingles"), "node").join(named, "node", "left").select(
+            "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")), "result"))
 
 
 def one_per_component(docs: DataFrame, rules: JoinRules = DEFAULT) -> DataFrame:
@@ -382,14 +449,13 @@ def one_per_component(docs: DataFrame, rules: JoinRules = DEFAULT) -> DataFrame:
 
     Of several rows with that number one stays. Rows without a number stay.
     """
-    found, _ = stored(similar_sets(docs, rules), "ngram-result")
-    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    kept = docs.join(gone, docs["doc_id"].cast("bigint") == F.col("__gone"), "left_anti")
+    found = similar_sets(docs, rules)
+    gone, again, number = with_free_name(docs, "gone"), with_free_name(docs, "again"), F.col("doc_id").cast("bigint")
+    dropped = found.where("component_id <> doc_id").select(F.col("doc_id").alias(gone)).distinct()
+    kept = docs.join(dropped, number == F.col(gone), "left_anti")
     repeated = found.where("component_id = doc_id").groupBy("doc_id").count().where("count > 1")
     if not repeated.take(1):
         return kept
-    number = F.col("doc_id").cast("bigint")
-    again = repeated.select(F.col("doc_id").alias("__again"))
-    some = kept.join(again, number == F.col("__again"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(again, number == F.col("__again"), "left_anti").unionByName(some)
-
+    twice = repeated.select(F.col("doc_id").alias(again))
+    some = kept.join(twice, number == F.col(again), "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(twice, number == F.col(again), "left_anti").unionByName(some)

@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..config import PathConfig
 from ..operators.ordered import HotKeys, by_key, find_hot_keys, running
 from ..session import ship_package
-from .common import drop_written, stored
+from .common import Scratch
 
 
 @dataclass(frozen=True)
@@ -64,26 +64,6 @@ EMPTY = ("conv_id bigint, depth bigint, parent_conv_id bigint, n_convs bigint, n
          "saved_tokens bigint, ends_sha256 string")
 
 
-class _Tables:
-    """Tables stored on the way, deleted in the order they are finished with, all of them after an error."""
-
-    def __init__(self, spark):
-        self.spark, self.paths = spark, {}
-
-    def put(self, df: DataFrame, label: str) -> DataFrame:
-        table, path = stored(df, f"trie-{label}")
-        self.paths[id(table)] = (table, path)
-        return table
-
-    def drop(self, *tables: DataFrame) -> None:
-        for table in tables:
-            drop_written(self.spark, self.paths.pop(id(table))[1])
-
-    def drop_all(self) -> None:
-        drop_written(self.spark, *[path for _, path in self.paths.values()])
-        self.paths = {}
-
-
 def _heads(conv: Column, rules: TrieRules) -> Column:
     return F.crc32(conv.cast("string").cast("binary")) % rules.heads
 
@@ -128,7 +108,7 @@ def _prefixes(turns: DataFrame, hot: HotKeys, rules: TrieRules) -> DataFrame:
                          *[(F.col(f"s{i}") - F.col(f"x{i}")).alias(f"p{i}") for i in range(4)], "size")
 
 
-def _nodes(prefixes: DataFrame, convs: DataFrame, tables: _Tables) -> tuple[DataFrame, int]:
+def _nodes(prefixes: DataFrame, convs: DataFrame, tables: Scratch) -> tuple[DataFrame, int]:
     """(conv_id, depth, parent, n_convs, saved, s0..) of every node but the root, and the root's conv_id."""
     root, n = convs.agg(F.min("conv_id"), F.count("*")).first()
     found = tables.put(prefixes.groupBy(*NAME).agg(
@@ -277,8 +257,7 @@ def ending_hashes(ends: DataFrame, rules: TrieRules = DEFAULT) -> DataFrame:
 def conversation_trie(rows: DataFrame, rules: TrieRules = DEFAULT) -> DataFrame:
     """A row per node of the trie over the rebuilt conversations, see the module's first lines."""
     spark = rows.sparkSession
-    tables = _Tables(spark)
-    try:
+    with Scratch(spark, "trie") as tables:
         placed, hot = _turns(rows, rules)
         turns = tables.put(placed, "turns")
         whole, lengths = rebuilt(turns, rules)
@@ -304,8 +283,4 @@ def conversation_trie(rows: DataFrame, rules: TrieRules = DEFAULT) -> DataFrame:
         out = every.join(totals, NODE).join(ending_hashes(ends, rules), NODE, "left").select(
             *NODE, F.col("parent").alias("parent_conv_id"), "n_convs", "n_children", F.col("leaves").alias("n_leaves"),
             F.col("total").alias("saved_tokens"), F.coalesce("ends_sha256", F.lit(NOTHING)).alias("ends_sha256"))
-        path = tables.put(out, "out")
-        tables.paths.pop(id(path))
-        return path
-    finally:
-        tables.drop_all()
+        return tables.keep(tables.put(out, "out"))

@@ -15,6 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pedalpath.llm import filter_audit, prefix_trie, secret_scan
+from pedalpath.llm.common import Scratch
 
 from ..conftest import DATA
 
@@ -83,9 +84,8 @@ def test_contraction_of_chains_and_random_trees(spark, n):
         for i in range(n - 1, 0, -1):
             for k in (0, 1):
                 want[parents[i]][k] += want[i][k]
-        tables = prefix_trie._Tables(spark)
-        found = prefix_trie.contract(edges, tables.put, tables.drop).collect()
-        tables.drop_all()
+        with Scratch(spark, "trie") as tables:
+            found = prefix_trie.contract(edges, tables.put, tables.drop).collect()
         assert {r["conv_id"]: [r["leaves"], r["total"]] for r in found} == want and len(found) == n
 
 
