@@ -13,8 +13,8 @@ Only windows whose bit is set in a bitmap of the benchmark's windows leave a doc
 join that follows is exact. So the cost of the join follows the matches, however large the benchmark.
 
 Defined results for odd input: null and empty texts match nothing; texts of any length are read whole; rows equal in
-number and text are judged once, and removed alike; items with fewer than ``shortest`` tokens are found as a whole, word for
-word; where an item has too few plain words, it is found word for word only; an empty table, on either side, finds nothing; other
+number and text are judged once, and removed alike; items with fewer than ``shortest`` tokens are found where
+they are a whole line, word for word; where an item has too few plain words, it is found word for word only; an empty table, on either side, finds nothing; other
 columns are not read, and pass through ``without_leaks``.
 """
 
@@ -27,7 +27,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import bitmap_of, in_bitmap, map_batches, stored, texts
+from .common import bitmap_of, in_bitmap, map_batches, stored, texts, with_free_name
 
 #: Words that count as units.
 UNITS = frozenset("""
@@ -140,6 +140,16 @@ def _slots(kind: np.ndarray, tokens: Tokens, at: int, size: int) -> list[str]:
     return [f"{kind[i]}{tokens[i].lower()}" for i in range(at, at + size) if kind[i] != WORD]
 
 
+def short_lines(templates: Templates, text: bytes, sizes: set[int]):
+    """(size, place, hash) of the lines that have no more tokens than a short item: those items are whole lines or nothing."""
+    at = 0
+    for line in text.split(b"\n"):
+        literal = templates.readings(line)[2]
+        if len(literal) in sizes:
+            yield len(literal), at, _literal_windows(literal, len(literal))[0]
+        at += len(literal)
+
+
 _WINDOW = "size int, hash bigint, pos bigint, slots array<string>"
 
 
@@ -176,6 +186,8 @@ def _doc_windows(docs: DataFrame, bitmap: np.ndarray, lengths: list[tuple[int, b
             for number, sig, text in zip(batch["doc_id"].to_pylist(), batch["sig"].to_pylist(), texts(batch["text"])):
                 plain, named, exact, tokens = templates.readings(text)
                 for size, literal in lengths:
+                    if size < rules.shortest:
+                        continue
                     if literal:
                         found = _literal_windows(exact, size)
                         read = [(found, None, True)]
@@ -189,7 +201,11 @@ def _doc_windows(docs: DataFrame, bitmap: np.ndarray, lengths: list[tuple[int, b
                         for at in np.flatnonzero(in_bitmap(bitmap, hashes) & places):
                             yield {"doc_id": number, "sig": sig, "size": size, "hash": int(hashes[at].view(np.int64)),
                                    "pos": int(at), "slots": [] if literal else _slots(kind, tokens, at, size)}
+                for size, at, value in short_lines(templates, text, short) if short else ():
+                    if in_bitmap(bitmap, np.array([value])).any():
+                        yield {"doc_id": number, "sig": sig, "size": size, "hash": int(value.view(np.int64)), "pos": at, "slots": []}
         return step
+    short = {size for size, _ in lengths if size < rules.shortest}
     rows = docs.select(F.col("doc_id").cast("bigint"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     return map_batches(rows.withColumn("sig", F.xxhash64("text")), make, "doc_id bigint, sig bigint, " + _WINDOW)
 
@@ -239,7 +255,8 @@ def leaks(docs: DataFrame, items: DataFrame, rules: LeakRules = DEFAULT) -> Data
 
 def without_leaks(docs: DataFrame, items: DataFrame, rules: LeakRules = DEFAULT) -> DataFrame:
     """``docs`` without the documents that hold a leaked item, in the columns of ``docs``."""
-    gone = leaks(docs, items, rules).select(F.col("doc_id").alias("__doc"), F.col("sig").alias("__sig")).distinct()
+    doc, sig = with_free_name(docs, "leak_doc"), with_free_name(docs, "leak_sig")
+    gone = leaks(docs, items, rules).select(F.col("doc_id").alias(doc), F.col("sig").alias(sig)).distinct()
     gone, _ = stored(gone, "leak-documents")
     text = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
-    return docs.join(gone, docs["doc_id"].cast("bigint").eqNullSafe(F.col("__doc")) & (text == F.col("__sig")), "left_anti")
+    return docs.join(gone, docs["doc_id"].cast("bigint").eqNullSafe(F.col(doc)) & (text == F.col(sig)), "left_anti")

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..config import DEFAULT as SIZES
 from ..operators.ordered import Ordered, find_hot_keys, in_pieces, neighbour, running
-from .common import SPACES, stored, with_free_name
+from .common import SPACES, Scratch, with_free_name
 
 
 @dataclass(frozen=True)
@@ -87,16 +87,17 @@ def _ahead(step: int, *names: str) -> Column:
     return F.max(F.struct(*names)).over(window)
 
 
-def suffix_array(lines: DataFrame, rules: LineRules = DEFAULT) -> tuple[DataFrame, list[DataFrame]]:
+def suffix_array(lines: DataFrame, scratch: Scratch, rules: LineRules = DEFAULT) -> tuple[DataFrame, list[DataFrame]]:
     """The suffixes that share their first ``min_lines`` lines with another, (doc, sig, pos, h, sub, class), sorted by
     (h, sub); and per round k the classes (doc, sig, pos, name) of the first 2**k lines that occur more than once."""
     often = lines.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    often, _ = stored(often.withColumn("many", F.lit(True)), "lines-often")
+    often = scratch.put(often.withColumn("many", F.lit(True)), "often")
     state = lines.select("doc", "sig", "pos", "len", "h").join(often, "h", "left").select(
         "doc", "sig", "pos", "len", "h", F.lit(0).cast("bigint").alias("sub"), F.coalesce("many", F.lit(False)).alias("many"))
     state = state.withColumn("open", F.max("many").over(Window.partitionBy(*ROW))).where("open").drop("open")
     # equal rows are one document
-    state, _ = stored(state.dropDuplicates(["doc", "sig", "pos"]), "lines-state")
+    state = scratch.put(state.dropDuplicates(["doc", "sig", "pos"]), "state")
+    scratch.drop(often)
     levels, sorted_parts = [], []
     step, first = 1, rules.min_lines.bit_length() - 1
     while True:
@@ -106,9 +107,9 @@ def suffix_array(lines: DataFrame, rules: LineRules = DEFAULT) -> tuple[DataFram
         more = F.col("next").isNotNull()
         todo = ahead.select(*ROW, "pos", "len", "h", "sub", more.alias("more"),
                             F.coalesce("next.h", F.lit(0)).alias("h2"), F.coalesce("next.sub", F.lit(0)).alias("sub2"))
-        todo, _ = stored(todo, "lines-todo")
+        todo = scratch.put(todo, "todo")
         groups = todo.groupBy("h", "sub", "more", "h2", "sub2").agg(F.count("*").alias("n"))
-        groups, _ = stored(groups, "lines-groups")
+        groups = scratch.put(groups, "groups")
         ranked = _spread(groups, ("h", "sub"), ("more", "h2", "sub2"),
                          lambda o: running(o, exclusive=True, before=("sum", F.col("n"))))
         entry = ["h", "sub", "more", "h2", "sub2"]
@@ -116,13 +117,14 @@ def suffix_array(lines: DataFrame, rules: LineRules = DEFAULT) -> tuple[DataFram
             *ROW, "pos", "len", "h", (F.col("sub") + F.col("before")).alias("sub"),
             # equal entries end alike: all of them have 2 * step lines, or none
             ((F.col("n") > 1) & (F.col("pos") + 2 * step <= F.col("len"))).alias("many"))
-        fresh, _ = stored(fresh, "lines-fresh")
+        fresh = scratch.put(fresh, "fresh")
+        scratch.drop(todo, groups)
         if len(levels) > first:
             # what shares at least min_lines lines and is ranked for good
             sorted_parts.append(fresh.where("not many").select(*ROW, "pos", "h", "sub"))
         rest = state.where("not many").select(*fresh.columns).unionByName(fresh)
         rest = rest.withColumn("open", F.max("many").over(Window.partitionBy(*ROW))).where("open").drop("open")
-        state, _ = stored(rest, "lines-state")
+        state = scratch.put(rest, "state")
         if not state.take(1):
             break
         step *= 2
@@ -135,17 +137,19 @@ def suffix_array(lines: DataFrame, rules: LineRules = DEFAULT) -> tuple[DataFram
                            & (F.col("s.pos") == F.col("n_pos"))).select("s.*", "class")
     else:
         array = array.withColumn("class", F.struct("h", "sub")).where("false")
-    return stored(array, "lines-array")[0], levels
+    return scratch.put(array, "array"), levels
 
 
-def common_lengths(array: DataFrame, levels: list[DataFrame], rules: LineRules = DEFAULT) -> DataFrame:
+def common_lengths(array: DataFrame, levels: list[DataFrame], scratch: Scratch, rules: LineRules = DEFAULT) -> DataFrame:
     """The array with ``lcp``: lines in common with the suffix before it in the array, 0 where the class changes."""
     placed = array.withColumn("at", F.struct("doc", "sig", "pos"))
     rows = _spread(placed, ("h",), ("sub", "doc", "sig", "pos"), lambda o: neighbour(o, "before", ["at", "class"]))
     pairs = rows.select(*ROW, "pos", "h", "sub", "class", F.when(F.col("before.class") == F.col("class"), F.col("before.at")).alias("b"))
-    pairs, _ = stored(pairs, "lines-pairs")
+    pairs = scratch.put(pairs, "pairs")
+    scratch.drop(array)
     alone = pairs.where("b is null").select(*ROW, "pos", "class", F.lit(0).cast("bigint").alias("lcp"))
     found = pairs.where("b is not null").withColumn("lcp", F.lit(0).cast("bigint"))
+    last = None
     for k in range(len(levels) - 1, -1, -1):
         side = [levels[k].select(F.col("doc").alias(f"{s}_doc"), F.col("sig").alias(f"{s}_sig"),
                                  F.col("pos").alias(f"{s}_pos"), F.col("name").alias(f"{s}_name")) for s in "xy"]
@@ -154,16 +158,23 @@ def common_lengths(array: DataFrame, levels: list[DataFrame], rules: LineRules =
         found = found.join(side[1], F.col("b.doc").eqNullSafe(F.col("y_doc")) & (F.col("b.sig") == F.col("y_sig"))
                            & (F.col("b.pos") + F.col("lcp") == F.col("y_pos")), "left")
         longer = F.when(F.col("x_name") == F.col("y_name"), F.lit(1 << k)).otherwise(F.lit(0))
-        found, _ = stored(found.withColumn("lcp", F.col("lcp") + longer).select(*ROW, "pos", "class", "b", "lcp"), "lines-lcp")
+        found = scratch.put(found.withColumn("lcp", F.col("lcp") + longer).select(*ROW, "pos", "class", "b", "lcp"), "lcp")
+        if last is not None:
+            scratch.drop(last)
+        last = found
     return found.select(*ROW, "pos", "class", "lcp").unionByName(alone)
 
 
 def repeated_runs(docs: DataFrame, rules: LineRules = DEFAULT) -> DataFrame:
     """(doc, sig, start, end, first_doc, lcp, lines): maximal deleted stretches ``start`` to ``end`` (counted among all
     lines, inclusive), the line indexes, a document that keeps the run, and the longest common length met in it."""
-    lines, _ = stored(line_numbers(docs), "lines")
-    array, levels = suffix_array(lines, rules)
-    array = common_lengths(array, levels, rules)
+    with Scratch(docs.sparkSession, "lines") as scratch:
+        return scratch.keep(scratch.put(_runs(scratch.put(line_numbers(docs), "lines"), scratch, rules), "runs"))
+
+
+def _runs(lines: DataFrame, scratch: Scratch, rules: LineRules) -> DataFrame:
+    array, levels = suffix_array(lines, scratch, rules)
+    array = common_lengths(array, levels, scratch, rules)
     # an LCP interval of min_lines is a class; its first suffix in document order stays
     order = F.struct(F.col("doc").isNull().alias("last"), F.col("doc"), F.col("sig"), F.col("pos"))
     classes = array.groupBy("class").agg(F.min(order).alias("first"), F.max("lcp").alias("longest"))
@@ -202,24 +213,24 @@ def drop_repeated_lines(docs: DataFrame, rules: LineRules = DEFAULT) -> DataFram
 
     Columns as in ``docs``; ``n_chars`` follows the text where there is such a column.
     """
-    runs, _ = stored(repeated_runs(docs, rules), "lines-runs")
-    cut = runs.groupBy(*ROW).agg(F.flatten(F.collect_list(F.sequence("start", "end"))).alias("__cut")).select(
-        F.col("doc").alias("__doc"), F.col("sig").alias("__sig"), "__cut")
+    runs = repeated_runs(docs, rules)
+    doc, sig, gone, split = (with_free_name(docs, n) for n in ("cut_doc", "cut_sig", "cut_lines", "all_lines"))
+    cut = runs.groupBy(*ROW).agg(F.flatten(F.collect_list(F.sequence("start", "end"))).alias(gone)).select(
+        F.col("doc").alias(doc), F.col("sig").alias(sig), gone)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.join(cut, docs["doc_id"].cast("bigint").eqNullSafe(F.col("__doc")) & (F.xxhash64(text) == F.col("__sig")), "left")
-    lines = F.split(text, "\n")
+    rows = docs.join(cut, docs["doc_id"].cast("bigint").eqNullSafe(F.col(doc)) & (F.xxhash64(text) == F.col(sig)), "left")
     name = with_free_name(docs, "text_left")
-    left = F.array_except(F.sequence(F.lit(0).cast("bigint"), (F.size("__lines") - 1).cast("bigint")), "__cut")
-    rows = rows.withColumn("__lines", F.when(F.col("__cut").isNotNull(), lines))
-    rows = rows.withColumn(name, F.when(F.col("__cut").isNull(), F.col("text")).otherwise(
-        F.array_join(F.transform(left, lambda i: F.get(F.col("__lines"), i.cast("int"))), "\n")))
-    rows = rows.where(F.col("__cut").isNull() | (F.btrim(F.col(name), F.lit(SPACES)) != ""))
+    left = F.array_except(F.sequence(F.lit(0).cast("bigint"), (F.size(split) - 1).cast("bigint")), gone)
+    rows = rows.withColumn(split, F.when(F.col(gone).isNotNull(), F.split(text, "\n")))
+    rows = rows.withColumn(name, F.when(F.col(gone).isNull(), F.col("text")).otherwise(
+        F.array_join(F.transform(left, lambda i: F.get(F.col(split), i.cast("int"))), "\n")))
+    rows = rows.where(F.col(gone).isNull() | (F.btrim(F.col(name), F.lit(SPACES)) != ""))
     columns = []
     for c in docs.columns:
         if c == "text":
             columns.append(F.col(name).alias("text"))
         elif c == "n_chars":
-            columns.append(F.when(F.col("__cut").isNull(), F.col(c)).otherwise(F.length(name).cast(docs.schema[c].dataType)).alias(c))
+            columns.append(F.when(F.col(gone).isNull(), F.col(c)).otherwise(F.length(name).cast(docs.schema[c].dataType)).alias(c))
         else:
-            columns.append(F.col(c))
+            columns.append(F.col(f"`{c}`"))
     return rows.select(*columns)

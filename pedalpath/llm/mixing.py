@@ -10,8 +10,9 @@ cut-off is split further. So a source of any size costs sums of bounded tables,
 itself: reruns agree, and no row is sorted or numbered.
 
 Defined results for odd input: a null source is a source of its own, ordered last; a null text has size 0; a document
-of size 0 is taken floor(q) times; equal rows share a hash and are cut together; an empty table gives an empty one; with
-all sizes 0 every target is 0; other columns pass through.
+of size 0 is taken floor(q) times; of equal rows, which share a hash, as many are taken as come nearest to the cut-off, and
+which of them is all one; an empty table gives an empty one; with all sizes 0 every target is 0; other columns pass
+through, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..config import PathConfig
+from ..operators.ordered import by_key, find_hot_keys, running
 from .common import stored, with_free_name, word_count
 
 DIGITS, LEVELS = 3, 4
@@ -30,6 +33,8 @@ class Mix:
     weights: tuple[int, ...] = (5, 2, 1)
     epochs: int = 3
     seed: str = "mix-1"
+    #: copies of the row at a cut-off beyond so many are numbered in pieces
+    limit: PathConfig = PathConfig()
 
 
 DEFAULT = Mix()
@@ -76,8 +81,8 @@ def targets(sized: DataFrame, mix: Mix = DEFAULT) -> DataFrame:
 
 
 def cut_offs(sized: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(source, source_size, target, whole, below, cut): take ``whole`` times, and once more where the place is below
-    ``below`` or begins with ``cut``.
+    """(source, source_size, target, whole, below, rest): take ``whole`` times, and once more where the place is before
+    ``below``; of the rows at that place, one after the other, those that bring the sum nearer to ``rest`` words.
 
     At each level the sums of a source's open part have at most 16 ** DIGITS rows.
     """
@@ -97,33 +102,43 @@ def cut_offs(sized: DataFrame, wanted: DataFrame) -> DataFrame:
         upto = F.sum("words").over(Window.partitionBy("source").orderBy("part"))
         at = (sums.withColumn("before", upto - F.col("words"))
               .where("before <= rest and before + words > rest")
-              .select(F.col("source").alias("at_source"), "part", "before", "words"))
+              .select(F.col("source").alias("at_source"), "part", "before"))
         state, _ = stored(
             state.join(at, F.col("source").eqNullSafe(F.col("at_source")), "left").select(
                 "source", "source_size", "target", "whole",
                 # with no part to cut, rounding has put the cut-off behind the last row
                 F.when(F.col("part").isNull(), F.lit(0.0)).otherwise(F.col("rest") - F.col("before")).alias("rest"),
-                F.coalesce("part", "cut").alias("cut"),
-                *([F.coalesce("words", F.lit(0)).alias("words")] if level == LEVELS else [])), "mix-state")
-    # the last part stays whole: it is taken if that comes nearer
-    return state.select("source", "source_size", "target", "whole", F.col("cut").alias("below"),
-                        ((F.col("words") > 0) & (2 * F.col("rest") >= F.col("words"))).alias("also"))
-
-
-def _times(plan: DataFrame, place: Column) -> Column:
-    start = F.substring(place, 1, DIGITS * LEVELS)
-    more = (start < plan["below"]) | (plan["also"] & (start == plan["below"]))
-    return plan["whole"] + F.when(more, F.lit(1)).otherwise(F.lit(0))
+                F.coalesce("part", "cut").alias("cut")), "mix-state")
+    return state.select("source", "source_size", "target", "whole", F.col("cut").alias("below"), "rest")
+
+
+def _with_times(rows: DataFrame, plan: DataFrame, source: str, place: str, size: str, times: str, limit: PathConfig) -> DataFrame:
+    """``rows`` with how often each is taken in ``times``. Rows at a source's cut-off place are numbered; copies of one row
+    may be very many, so they are scanned in pieces."""
+    own = {c: with_free_name(rows, f"plan_{c}") for c in ("source", "whole", "below", "rest")}
+    key, upto = with_free_name(rows, "cut_key"), with_free_name(rows, "cut_upto")
+    named = plan.select(*[F.col(c).alias(n) for c, n in own.items()])
+    joined = rows.join(named, F.col(f"`{source}`").cast("string").eqNullSafe(F.col(own["source"])))
+    extra = [*own.values(), key, upto]
+    at_cut = F.col(place) == F.col(own["below"])
+    before = joined.where(~at_cut).withColumn(times, F.col(own["whole"]) + (F.col(place) < F.col(own["below"])).cast("bigint"))
+    # a source has one cut-off place, so its name is the key; null is a source too
+    there = joined.where(at_cut).withColumn(key, F.concat(F.lit("="), F.coalesce(F.col(own["source"]), F.lit("")), F.col(own["source"]).isNull().cast("string")))
+    hot = find_hot_keys(there, key, limit)
+    there = by_key(there, key, [size, "doc_id"], hot, lambda o: running(o, exclusive=True, **{upto: ("sum", F.col(size))}).rows(), limit)
+    nearer = (F.col(size) > 0) & (2 * (F.col(own["rest"]) - F.col(upto)) >= F.col(size))
+    there = there.withColumn(times, F.col(own["whole"]) + nearer.cast("bigint"))
+    return before.drop(*extra).unionByName(there.drop(*extra))
 
 
 def mix_report(docs: DataFrame, mix: Mix = DEFAULT) -> DataFrame:
     """doc_id, size, source_size, target, repetitions, taken of every document."""
     sized, _ = stored(sizes(docs, mix), "mix-sizes")
     plan = cut_offs(sized, targets(sized, mix))
-    joined = sized.join(plan, sized["source"].eqNullSafe(plan["source"]))
-    times = _times(plan, sized["place"])
-    return joined.select(sized["doc_id"], "size", "source_size", "target", times.alias("repetitions"),
-                         (times * F.col("size")).alias("taken"))
+    rows = _with_times(sized, plan, "source", "place", "size", "repetitions", mix.limit)
+    of = plan.select(F.col("source").alias("of"), "source_size", "target")
+    return rows.join(of, F.col("source").eqNullSafe(F.col("of"))).select(
+        "doc_id", "size", "source_size", "target", "repetitions", (F.col("repetitions") * F.col("size")).alias("taken"))
 
 
 def mix_documents(docs: DataFrame, mix: Mix = DEFAULT) -> DataFrame:
@@ -132,13 +147,8 @@ def mix_documents(docs: DataFrame, mix: Mix = DEFAULT) -> DataFrame:
     The texts are read twice and meet only the table of sources, by an equality join that Spark sizes itself.
     """
     sized, _ = stored(sizes(docs, mix), "mix-sizes")
-    plan = cut_offs(sized, targets(sized, mix)).withColumnRenamed("source", "_plan_source")
-    plan = plan.select([F.col(c).alias(f"__{c}") for c in plan.columns])
-    renamed = plan.select(F.struct(*[F.col(f"__{c}").alias(c) for c in ("whole", "below", "also")]).alias("__take"),
-                          F.col("___plan_source").alias("__of"))
-    number = with_free_name(docs, "repetition")
-    rows = docs.join(renamed, docs["source"].cast("string").eqNullSafe(F.col("__of")))
-    start = _hash(mix)
-    more = (start < F.col("__take.below")) | (F.col("__take.also") & (start == F.col("__take.below")))
-    times = (F.col("__take.whole") + F.when(more, F.lit(1)).otherwise(F.lit(0))).cast("int")
-    return rows.withColumn(number, F.explode(F.when(times > 0, F.sequence(F.lit(1), times)))).drop("__take", "__of")
+    plan, _ = stored(cut_offs(sized, targets(sized, mix)), "mix-plan")
+    number, place, size, times = (with_free_name(docs, n) for n in ("repetition", "mix_place", "mix_size", "mix_times"))
+    rows = docs.withColumns({place: _hash(mix), size: word_count(F.col("text"))})
+    rows = _with_times(rows, plan, "source", place, size, times, mix.limit).where(F.col(times) > 0)
+    return rows.withColumn(number, F.explode(F.sequence(F.lit(1), F.col(times).cast("int")))).drop(place, size, times)

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import ship_package
-from .common import bitmap_of, drop_written, in_bitmap, map_batches, stored, texts
+from .common import bitmap_of, drop_written, in_bitmap, map_batches, stored, texts, with_free_name
 
 
 @dataclass(frozen=True)
@@ -237,11 +237,12 @@ def without_repeats(docs: DataFrame, rules: SpanRules = DEFAULT) -> DataFrame:
     ``n_chars`` follows the text where there is such a column.
     """
     ship_package(docs.sparkSession)
-    cuts, _ = stored(stretches(repeats(docs, rules)).select(F.col("doc_id").alias("__doc"), F.col("sig").alias("__sig"),
-                                                            F.col("cut").alias("__cut")), "span-cuts")
+    doc, sig, cut_name = (with_free_name(docs, n) for n in ("cut_doc", "cut_sig", "cut_ranges"))
+    cuts, _ = stored(stretches(repeats(docs, rules)).select(F.col("doc_id").alias(doc), F.col("sig").alias(sig),
+                                                            F.col("cut").alias(cut_name)), "span-cuts")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.withColumn("text", F.col("text").cast("string")).join(
-        cuts, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__doc")) & (F.xxhash64(text) == F.col("__sig")), "left").drop("__doc", "__sig")
+        cuts, F.col("doc_id").cast("bigint").eqNullSafe(F.col(doc)) & (F.xxhash64(text) == F.col(sig)), "left").drop(doc, sig)
     schema = rows.schema
     at, size = rows.columns.index("text"), rows.columns.index("n_chars") if "n_chars" in rows.columns else None
 
@@ -249,7 +250,7 @@ def without_repeats(docs: DataFrame, rules: SpanRules = DEFAULT) -> DataFrame:
         for batch in batches:
             keep, arrays = [], list(batch.columns)
             left, lengths = arrays[at].to_pylist(), arrays[size].to_pylist() if size is not None else None
-            for k, cut in enumerate(batch["__cut"].to_pylist()):
+            for k, cut in enumerate(batch[cut_name].to_pylist()):
                 if cut:
                     left[k] = cut_text((left[k] or "").encode(), cut, rules)[0].decode("utf-8", "replace")
                     if lengths is not None:
@@ -260,4 +261,4 @@ def without_repeats(docs: DataFrame, rules: SpanRules = DEFAULT) -> DataFrame:
                 arrays[size] = pa.array(lengths, batch.schema.field(size).type)
             yield pa.RecordBatch.from_arrays(arrays, schema=batch.schema).filter(pa.array(keep, pa.bool_()))
 
-    return rows.mapInArrow(run, schema).drop("__cut")
+    return rows.mapInArrow(run, schema).drop(cut_name)

@@ -94,7 +94,8 @@ def _filter_audit() -> str:
     return rf"""
 WITH docs AS (
   SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
-         regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS words
+         regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS words
   FROM documents),
 marks AS (
   SELECT doc_id, part,
@@ -163,12 +164,13 @@ units AS (
 run AS (
   SELECT *, (sum(words) OVER (PARTITION BY source ORDER BY place))::BIGINT - words AS before FROM units),
 cut AS (
-  SELECT source, place, 2 * (rest - before) >= words AS also FROM run
-  WHERE rest > 0 AND before <= rest AND before + words > rest)
+  SELECT source, place, rest - before AS room FROM run WHERE rest > 0 AND before <= rest AND before + words > rest),
+turn AS (
+  SELECT *, (sum(size) OVER (PARTITION BY source, place ORDER BY size, doc_id ROWS UNBOUNDED PRECEDING))::BIGINT - size AS upto FROM sized)
 SELECT doc_id, size::BIGINT AS size, w.source_size, w.target, repetitions, repetitions * size AS taken FROM (
-  SELECT s.*, w.source_size, w.target, w.whole + CASE WHEN s.place < c.place OR (c.also AND s.place = c.place) THEN 1 ELSE 0 END
-         AS repetitions
-  FROM sized s JOIN wanted w ON s.source IS NOT DISTINCT FROM w.source
+  SELECT s.*, w.source_size, w.target, w.whole + CASE WHEN s.place < c.place
+         OR (s.place = c.place AND size > 0 AND 2 * (room - upto) >= size) THEN 1 ELSE 0 END AS repetitions
+  FROM turn s JOIN wanted w ON s.source IS NOT DISTINCT FROM w.source
   LEFT JOIN cut c ON s.source IS NOT DISTINCT FROM c.source) w
 """,
 }

@@ -176,9 +176,9 @@ def _third(number: Column) -> Column:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, third: int, rules: ToxicityRules) -> DataFrame:
-    """(text, toxic) of at most about ``max_rows`` labelled rows of one third."""
+    """(text, toxic) of at most about ``max_rows`` labelled rows of one third. Where labels of a number differ, toxic counts."""
     chosen = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")) \
-        .where(F.col("toxic").isNotNull() & (_third(F.col("doc_id")) == third)).dropDuplicates(["doc_id"])
+        .where(F.col("toxic").isNotNull() & (_third(F.col("doc_id")) == third)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rules.max_rows)
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).join(chosen, "doc_id")
 

@@ -44,20 +44,24 @@ def _key(r):
     return r["doc_id"] is None, r["doc_id"] or 0, r["text"] or ""
 
 
-def line_cuts(rows, min_lines=2, min_words=20):
+def line_cuts(rows, min_lines=2, min_words=20, line_words=None):
     """Per different (doc_id, text): the ranges of lines that go."""
-    lines, places = {}, defaultdict(set)
+    lines, places, alone = {}, defaultdict(set), defaultdict(set)
     for key in {_key(r) for r in rows}:
         solid = [(i, x.strip(SPACE)) for i, x in enumerate(key[2].split("\n")) if x.strip(SPACE)]
         lines[key] = solid
         for p in range(len(solid) - min_lines + 1):
             places[tuple(x for _, x in solid[p:p + min_lines])].add((key, p))
+        for p, (_, x) in enumerate(solid):
+            if line_words is not None and len(WORD.findall(x)) >= line_words:
+                alone[x].add((key, p))
     cuts = {}
     covered = defaultdict(set)
-    for found in places.values():
-        # equal numbers with unequal texts are ordered by a hash of the text; such ties are for the caller to avoid
-        for key, p in sorted(found)[1:]:
-            covered[key] |= set(range(p, p + min_lines))
+    for width, table in ((min_lines, places), (1, alone)):
+        for found in table.values():
+            # equal numbers with unequal texts are ordered by a hash of the text; such ties are for the caller to avoid
+            for key, p in sorted(found)[1:]:
+                covered[key] |= set(range(p, p + width))
     for key, hit in covered.items():
         run, ranges = [], []
         for p in [*sorted(hit), None]:
@@ -70,8 +74,8 @@ def line_cuts(rows, min_lines=2, min_words=20):
     return {k: v for k, v in cuts.items() if v}
 
 
-def line_stage(rows):
-    cuts, out = line_cuts(rows), []
+def line_stage(rows, **rules):
+    cuts, out = line_cuts(rows, **rules), []
     for r in rows:
         gone = {i for a, b in cuts.get(_key(r), ()) for i in range(a, b + 1)}
         if not gone:
@@ -169,15 +173,19 @@ def mixture(rows, weights=(5, 2, 1), epochs=3, seed="mix-1"):
         times = int(target[s] // whole[s]) if whole[s] else 0
         rest, more = target[s] - times * whole[s], set()
         for p in sorted({place[i] for i in own}):
-            unit = [i for i in own if place[i] == p]
+            unit = sorted((i for i in own if place[i] == p), key=lambda i: size[i])
             words = sum(size[i] for i in unit)
             if rest <= 0:
                 break
-            if words <= rest or 2 * rest >= words:
+            if words <= rest:
                 more |= set(unit)
-            if words > rest:
-                break
-            rest -= words
+                rest -= words
+                continue
+            for i in unit:
+                if size[i] and 2 * rest >= size[i]:
+                    more.add(i)
+                rest -= size[i]
+            break
         for i in own:
             out[i] = size[i], whole[s], target[s], times + (i in more)
     return out

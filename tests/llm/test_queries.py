@@ -23,7 +23,7 @@ def test_pipeline(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()]
     rows = [r.asDict() for r in docs.collect()]
-    rows = brute.near_stage(brute.line_stage(brute.quality_stage(rows)))
+    rows = brute.near_stage(brute.line_stage(brute.quality_stage(rows), min_words=1, line_words=3))
     rows = [r for r in rows if not brute.leaked(r["text"], items)]
     wanted = sorted((r["doc_id"], k, r["text"], r["n_chars"]) for r, (*_, times) in zip(rows, brute.mixture(rows)) for k in range(1, times + 1))
     found = corpus_pipeline.run(spark, DATA)
