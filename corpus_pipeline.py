@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pedalpath.llm.common import drop_written, stored
 from pedalpath.llm.decontaminate import without_leaks
-from pedalpath.llm.line_dedup import drop_repeated_lines
+from pedalpath.llm.line_dedup import WHOLE, drop_repeated_lines
 from pedalpath.llm.mixing import mix_documents
 from pedalpath.llm.ngram_join import one_per_component
 from pedalpath.llm.quality import clean_documents
-from pedalpath.session import written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,8 +22,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of repeated runs of lines go, and documents with nothing left."""
-    return drop_repeated_lines(docs)
+    """Later copies of repeated runs of lines go, single lines of three words too, and documents with nothing left."""
+    return drop_repeated_lines(docs, WHOLE)
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +54,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), "pipeline-" + name.lower().replace(" ", "-"))
+        docs, path = stored(stage(spark, docs, sf_dir), "pipeline-" + name.lower().replace(" ", "-"))
+        if before:
+            drop_written(spark, before)
+        before = path
     return docs
