@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.scalar import now_ms, parse_int, parse_number, parse_time_ms, shard_of
+from ..session import written
 from ..sources.trips import find_bike_column
+from .select import smallest
 
 # Our name -> raw name (fixed values). The bike column is found by name.
 RAW_NAMES = {
@@ -72,7 +74,8 @@ def clean_trips(raw: DataFrame, id_parse: str = "strict", n_shards: int = 10, ma
 
 
 def first_rows(trips: DataFrame, n: int) -> DataFrame:
-    return trips.orderBy("trip_seq").limit(n)
+    """The n trips that arrived first, found by counting arrival numbers; the trips are parsed once."""
+    return smallest(written(trips, "usable"), "trip_seq", n)
 
 
 def rejected_trips(raw: DataFrame, id_parse: str = "strict", bike_column: str | None = None) -> DataFrame:
@@ -95,8 +98,8 @@ def typed_bikes(trips: DataFrame, column: str = "bike_id") -> DataFrame:
 def sharded_rows(trips: DataFrame, n: int, cfg=None, hot=None) -> DataFrame:
     """Trips of a bike together in one of ``n`` partitions, each in (bike, start, arrival) order.
 
-    A bike above ``max_group_rows`` is cut into consecutive stretches of its order instead, one task
-    each, so no task holds more than its share.
+    A bike is placed by stretches of ``max_group_rows`` trips of its order, each of them in one task and most bikes having
+    one, so no task holds more than its share. Rows of a stretch stand in order; ``placement`` tells whether they do.
     """
     from ..config import DEFAULT
     from .ordered import PIECE, TIE, find_hot_keys, in_pieces
@@ -112,6 +115,16 @@ def sharded_rows(trips: DataFrame, n: int, cfg=None, hot=None) -> DataFrame:
             .sortWithinPartitions("bike_id", PIECE, *inner[1:]).drop(PIECE))
 
 
+def placement(placed: DataFrame) -> DataFrame:
+    """Per bike of ``sharded_rows``: trips, and those that stand behind a later one of their bike in the same partition (R2)."""
+    where = placed.select("bike_id", "started_at_ms", "trip_seq", F.spark_partition_id().alias("part"),
+                          F.monotonically_increasing_id().alias("at"))
+    before = F.max(F.struct("started_at_ms", "trip_seq")).over(
+        Window.partitionBy("bike_id", "part").orderBy("at").rowsBetween(Window.unboundedPreceding, -1))
+    late = F.coalesce(F.struct("started_at_ms", "trip_seq") < before, F.lit(False))
+    return where.withColumn("late", late).groupBy("bike_id").agg(F.count("*").alias("trips"), F.count_if("late").alias("out_of_order"))
+
+
 def produced_counts(trips: DataFrame) -> DataFrame:
     """Events produced and shards they went to."""
     return trips.agg(F.count("*").alias("events"), F.count_distinct("shard").alias("shards"))

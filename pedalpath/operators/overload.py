@@ -29,18 +29,18 @@ def _states(items: Column, start: Column, step) -> Column:
     return F.aggregate(items, F.array(start), lambda acc, x: F.array_append(acc, step(F.element_at(acc, -1), x)))
 
 
-def overload_switch(polls: DataFrame, cfg: PathConfig = DEFAULT, hot: HotKeys | None = None) -> DataFrame:
+def overload_switch(polls: DataFrame, cfg: PathConfig = DEFAULT, hot: HotKeys | None = None, fold: int = _FOLD) -> DataFrame:
     """Status 0..cap per shard and poll, +1 over the threshold and -1 otherwise, and the flag.
 
     A clamped walk is not a plain running sum, but over a stretch of polls it is a small table from
-    start status to end status. Polls fold to such tables 512 at a time, tables fold the same way, and
-    the start statuses flow back down, so no array outgrows 512 entries for 130 million polls a shard.
+    start status to end status. Polls fold to such tables 512 at a time, and tables fold the same way, level upon level
+    until a shard has one; the start statuses flow back down. No array outgrows 512 entries, however long a shard's polls go on.
     """
     cap = cfg.status_cap
     hot = find_hot_keys(polls, "shard", cfg) if hot is None else hot
     placed = by_key(polls.select("shard", "ts", "pending"), "shard", ["ts"], hot,
                     lambda o: running(o, pos=("sum", F.lit(1).cast("bigint"))).rows(), cfg)
-    part = F.floor((F.col("pos") - 1) / _FOLD)
+    part = F.floor((F.col("pos") - 1) / fold)
     grouped = placed.withColumn("part", part).groupBy("shard", "part").agg(
         F.sort_array(F.collect_list(F.struct("pos", "ts", "pending",
                                              (F.col("pending") > cfg.pending_threshold).alias("up")))).alias("polls"))
@@ -52,21 +52,25 @@ def overload_switch(polls: DataFrame, cfg: PathConfig = DEFAULT, hot: HotKeys |
         return F.transform(starts, lambda s: F.aggregate(
             tables, s, lambda st, t: F.element_at(t["table"], st + 1)))
 
-    def listed(no: str) -> Column:
-        return F.sort_array(F.collect_list(F.struct(no, "table"))).alias("tables")
-
-    def opened(df: DataFrame, no: str) -> DataFrame:
+    def opened(df: DataFrame) -> DataFrame:
         """(shard, no, start) of every listed table."""
         before = _states(F.col("tables"), F.col("start"), lambda st, t: F.element_at(t["table"], st + 1))
-        return df.select("shard", F.explode(F.arrays_zip(F.col(f"tables.{no}").alias("no"),
-                                                         F.slice(before, 1, F.size("tables")).alias("start")))
-                         .alias("z")).select("shard", F.col("z.no").alias(no), F.col("z.start").alias("start"))
-
-    branches = leaves.withColumn("bough", F.floor(F.col("part") / _FOLD)) \
-        .groupBy("shard", "bough").agg(listed("part")).withColumn("table", composed(F.col("tables")))
-    trunk = branches.select("shard", "bough", "table").groupBy("shard").agg(listed("bough")) \
-        .withColumn("start", F.lit(0))
-    part_starts = opened(branches.drop("table").join(opened(trunk, "bough"), ["shard", "bough"]), "part")
+        return df.select("shard", F.explode(F.arrays_zip(F.col("tables.no").alias("no"), F.slice(before, 1, F.size("tables")).alias("start")))
+                         .alias("z")).select("shard", F.col("z.no").alias("no"), F.col("z.start").alias("start"))
+
+    longest = placed.groupBy("shard").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    levels, tables, parts = [], leaves.select("shard", F.col("part").alias("no"), "table"), -(-longest // fold)
+    while True:
+        level = tables.groupBy("shard", F.floor(F.col("no") / fold).alias("up")).agg(
+            F.sort_array(F.collect_list(F.struct("no", "table"))).alias("tables"))
+        levels.append(level)
+        if parts <= fold:
+            break
+        tables, parts = level.select("shard", F.col("up").alias("no"), composed(F.col("tables")).alias("table")), -(-parts // fold)
+    starts_of = opened(levels[-1].withColumn("start", F.lit(0)))
+    for level in reversed(levels[:-1]):
+        starts_of = opened(level.join(starts_of.withColumnRenamed("no", "up"), ["shard", "up"]))
+    part_starts = starts_of.withColumnRenamed("no", "part")
     walked = leaves.drop("table").join(part_starts, ["shard", "part"]).withColumn(
         "after", F.slice(_states(F.col("polls"), F.col("start"), lambda st, p: _moved(st, p["up"], cap)),
                          2, F.size("polls")))

@@ -272,11 +272,13 @@ def bike_shards(spark, sf):
 
 
 def sharded_rows(spark, sf):
-    """Per bike: partitions that hold it, and steps that go back in time inside a partition."""
+    """Per bike: trips that were placed, those out of their order, and those that got lost on the way."""
     trips, hot = _trips(spark, sf)
-    placed = clean.sharded_rows(trips, 10, hot=hot).select(
-        "bike_id", F.spark_partition_id().alias("part"))
-    return placed.groupBy("bike_id").agg(F.count_distinct("part").alias("parts"), F.count("*").alias("trips"))
+    placed = clean.placement(clean.sharded_rows(trips, 10, hot=hot))
+    given = trips.groupBy("bike_id").agg(F.count("*").alias("given"))
+    return given.join(placed, "bike_id", "left").select(
+        "bike_id", F.coalesce("trips", F.lit(0)).alias("trips"), F.coalesce("out_of_order", F.lit(0)).alias("out_of_order"),
+        (F.col("given") - F.coalesce("trips", F.lit(0))).alias("lost"))
 
 
 def produced(spark, sf):

@@ -267,8 +267,8 @@ SQL = {
         FROM sh GROUP BY shard""",
     "bike_shards": f"""SELECT bike_id, {_shard('bike_id', 10)} AS shard10, {_shard('bike_id', 8)} AS shard8,
         {_shard('bike_id', 7)} AS shard7 FROM (SELECT DISTINCT CAST(user_id AS VARCHAR) AS bike_id FROM events)""",
-    "sharded_rows": """SELECT CAST(user_id AS VARCHAR) AS bike_id, 1 AS parts, count(*) AS trips
-        FROM events GROUP BY user_id""",
+    "sharded_rows": """SELECT CAST(user_id AS VARCHAR) AS bike_id, count(*) AS trips, CAST(0 AS BIGINT) AS out_of_order,
+        CAST(0 AS BIGINT) AS lost FROM events GROUP BY user_id""",
     "produced": _with(_trips()) + f"""SELECT count(*) AS events, count(DISTINCT {_shard('bike_id', 10)}) AS shards
         FROM trips""",
     "dedupe_keys": _LONGEST + """SELECT 'match:dedupe:' || bike_id || ':' || first_ts_ms || ':' || b_ended_ms

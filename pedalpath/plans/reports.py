@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..config import DEFAULT, PathConfig
 from ..operators.sequence import BIKE
 from ..functions.scalar import shard_of
+from ..operators.select import nth_by_group
+from ..session import written
 
 
 def totals(counts: DataFrame) -> DataFrame:
@@ -60,5 +62,9 @@ def active_bikes(trips: DataFrame, per_shard: int, cfg: PathConfig = DEFAULT) ->
     last = trips.groupBy(BIKE).agg(F.max(F.struct("started_at_ms", "trip_seq")).alias("_last")) \
         .select(BIKE, shard_of(BIKE, cfg.n_shards).alias("shard"), F.col("_last.started_at_ms").alias("last_ms"),
                 F.col("_last.trip_seq").alias("last_seq"))
+    # the time of the last one that counts is found by counting; a shard then ranks as many bikes as it may hold, and ties
+    last = written(last.withColumn("_age", -F.col("last_ms")), "last-trips")
+    cut = nth_by_group(last, "shard", "_age", per_shard)
+    near = last.join(cut, "shard", "left").where(F.col("cut").isNull() | (F.col("_age") <= F.col("cut"))).drop("_age", "cut")
     w = Window.partitionBy("shard").orderBy(F.desc("last_ms"), F.desc("last_seq"))
-    return last.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= per_shard)
+    return near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= per_shard)

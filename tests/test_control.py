@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pedalpath import PathConfig, attach_flag, backlog, overload_switch, shed
 from pedalpath.operators import metrics
+from pedalpath.operators.select import nth_by_group, smallest
 from pedalpath.sources import sinks
 from pedalpath.schemas import BACKLOG, CHAIN, SHED_FLAGS
 from . import oracle
@@ -107,3 +108,33 @@ def test_event_latency_series(spark, tmp_path):
     back = spark.read.parquet(f"{tmp_path}/series")
     # two values at one time stamp: the one written last stays
     assert sorted((r.shard, r.latency_ms) for r in metrics.latency_series(back).collect()) == [(0, 1000.0), (1, 6000.0)]
+
+
+def test_switch_over_seven_levels(spark):
+    """A fold of four over 4 ** 7 polls; the walk is the same."""
+    rng = random.Random(11)
+    pending = [rng.choice([0, 3, 4, 9]) for _ in range(4 ** 7)]
+    t0 = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    polls = spark.createDataFrame([(0, t0 + timedelta(seconds=i), p) for i, p in enumerate(pending)] + [(1, t0, 9)], BACKLOG)
+    got = overload_switch(polls, fold=4).orderBy("shard", "ts").collect()
+    assert [(r.status, r.active) for r in got] == [*oracle.switch(pending), *oracle.switch([9])]
+
+
+def test_nth_smallest(spark):
+    rng = random.Random(12)
+    for values in ([5], [3] * 50, [rng.randrange(-10, 10) for _ in range(300)], [rng.randrange(-(1 << 40), 1 << 40) for _ in range(300)],
+                   [-(1 << 62), 0, (1 << 62) - 1, 7, 7]):
+        df = spark.createDataFrame(list(enumerate(values)), "id bigint, v bigint")
+        for n in {1, 2, len(values) // 2 or 1, len(values), len(values) + 1}:
+            got = sorted(r.v for r in smallest(df, "v", n).collect())
+            assert got == sorted(values)[:n]
+    assert smallest(df, "v", 0).collect() == [] and smallest(df.limit(0), "v", 3).collect() == []
+
+
+def test_nth_by_group(spark):
+    rng = random.Random(13)
+    rows = [(rng.choice("aab"), rng.randrange(10_000_000)) for _ in range(300)] + [("c", 1)] * 40 + [("d", 5), ("d", 6)]
+    df = spark.createDataFrame(rows, "g string, v bigint")
+    for n in (1, 2, 30):
+        want = {g: sorted(v for x, v in rows if x == g)[n - 1] for g in "abcd" if sum(x == g for x, _ in rows) > n}
+        assert {r.g: r.cut for r in nth_by_group(df, "g", "v", n, fan=16).collect()} == want
