@@ -18,7 +18,8 @@ the connected components; every link between different sets is either checked or
    group that shares a prefix shingle with another group is a query. The number of its shingles whose bit is set
    in that row is an upper bound of the overlap with any member. Groups that reach the overlap a link needs are opened:
    the query is compared with the group's leader, and with those members that it may link to by what both share with the
-   leader and outside of it.
+   leader and outside of it. Nodes of a shingle in very many groups, which would all ask each other, meet in the same
+   way around one leader of the shingle.
 
 Shingles are 64-bit hashes of words, sets 64-bit hashes of shingles.
 
@@ -59,6 +60,8 @@ class JoinRules:
     columns: int = 8192
     #: hash functions for groups
     functions: int = 4
+    #: a shingle that stands in the prefixes of more groups leads its nodes to one leader instead of to each other
+    crowd: int = 32
 
 
 DEFAULT = JoinRules()
@@ -382,7 +385,7 @@ def _by_leader(opened: DataFrame, members: DataFrame, active: DataFrame, scratch
     asked = asking.select("node", "n", "group", F.explode(first).alias("token"))
     known = held.select("group", "b", "m", F.explode("m_rest").alias("token"))
     by_rest = asked.join(known, ["group", "token"]).where(_sizes_allow(F.col("n"), F.col("m"), F.col("m"), rules)).select("node", "b")
-    pairs = scratch.put(by_size.unionByName(by_rest).distinct().select(F.col("node").alias("a"), "b"), "pairs")
+    pairs = scratch.put(by_size.unionByName(by_rest).where("node <> b").distinct().select(F.col("node").alias("a"), "b"), "pairs")
     scratch.drop(held)
     return direct.unionByName(_verified(pairs, active, rules))
 
@@ -391,7 +394,18 @@ def _matrix_links(postings: DataFrame, groups: DataFrame, inside: DataFrame, act
     """Links between nodes of different groups, enough of them to join the groups that any link joins."""
     rows = postings.join(groups, "node").select("token", "node", "n", "group")
     mixed = rows.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("token")
-    rows = scratch.put(rows.join(mixed, "token", "left_semi"), "open")
+    shared = scratch.put(rows.join(mixed, "token", "left_semi"), "shared")
+    # the leader of a group is the node with most links inside it; so is that of a shingle
+    ends = inside.select(F.col("a").alias("node")).unionByName(inside.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("links"))
+    central = F.struct(F.coalesce("links", F.lit(0)).alias("links"), "node")
+    wide = shared.groupBy("token").agg(F.approx_count_distinct("group").alias("groups")).where(F.col("groups") > rules.crowd).select("token")
+    crowd = shared.join(wide, "token", "left_semi").join(ends, "node", "left")
+    crowd = crowd.join(crowd.groupBy("token").agg(F.max_by("node", central).alias("leader")), "token")
+    near = scratch.put(crowd.select(F.col("leader").alias("group"), "node", "n").distinct(), "near")
+    around = near.select("group", "node", F.col("group").alias("leader"))
+    crowded = scratch.put(_by_leader(near.where(F.col("node") != F.col("group")), around, active, scratch, rules), "crowded")
+    rows = scratch.put(shared.join(wide, "token", "left_anti"), "open")
+    scratch.drop(near)
     union = rows.groupBy("token", "group").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     # each two groups meet once: the nodes of the one with the larger number ask the other
     queries = rows.alias("q").join(union.alias("u"), "token") \
@@ -403,15 +417,12 @@ def _matrix_links(postings: DataFrame, groups: DataFrame, inside: DataFrame, act
     matrix = scratch.put(_matrix(asked, active), "matrix")
     opened = scratch.put(_qualifying(queries, active, matrix, rules), "opened")
     scratch.drop(matrix)
-    # the leader of a group is the node with most links inside it
-    ends = inside.select(F.col("a").alias("node")).unionByName(inside.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("links"))
-    asked = asked.join(ends, "node", "left").select("group", "node", F.coalesce("links", F.lit(0)).alias("links"))
-    leader = asked.groupBy("group").agg(F.max_by("node", F.struct("links", "node")).alias("leader"))
+    leader = asked.join(ends, "node", "left").groupBy("group").agg(F.max_by("node", central).alias("leader"))
     members = scratch.put(asked.select("group", "node").join(leader, "group"), "members")
     scratch.drop(queries)
     links = scratch.put(_by_leader(opened, members, active, scratch, rules), "links")
-    scratch.drop(opened, members)
-    return links
+    scratch.drop(opened, members, shared)
+    return links.unionByName(crowded)
 
 
 def similar_sets(docs: DataFrame, rules: JoinRules = DEFAULT) -> DataFrame:
