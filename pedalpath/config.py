@@ -49,6 +49,7 @@ class PathConfig:
     slow_threshold_ms: int = 2
     latency_bucket_s: int = 5
     latency_retention_ms: int = HOUR_MS
+    series_span_s: int = 3600
     # streaming
     watermark: str | None = "24 hours"
     # scale: a key with more rows than this is processed in ordered pieces
@@ -71,7 +72,7 @@ class PathConfig:
         lower_bounds = {
             "window_ms": 0, "n_shards": 1, "min_a": 0, "dedupe_ttl_ms": 0, "shed_keep_last_n": 0,
             "shed_drop_k": 0, "shed_window_ms": 0, "slow_threshold_ms": 0, "detail_sample": 0,
-            "latency_bucket_s": 1, "status_cap": 1, "max_group_rows": 1, "max_pieces": 1,
+            "latency_bucket_s": 1, "series_span_s": 1, "status_cap": 1, "max_group_rows": 1, "max_pieces": 1,
             "files_per_trigger": 1,
         }
         for name, low in lower_bounds.items():

@@ -16,7 +16,7 @@ from ..operators import clean, metrics, overload, sequence
 from ..operators.ordered import HotKeys, find_hot_keys
 from ..schemas import WIRE_TRIP
 from ..session import fresh_path, written
-from ..sources import logs, sinks, streams, trips as trip_sources
+from ..sources import logs, series, sinks, streams, trips as trip_sources
 from ..streaming import ingest, matcher, monitor
 from . import hot_paths as hp, reports
 from .driver_trips import event_trips
@@ -237,6 +237,13 @@ def reject_counts(spark, sf):
     return clean.reject_counts(_raw(spark, sf))
 
 
+def reject_reasons(spark, sf):
+    """Rejects by reason, where every reason occurs: stop times that cannot be read, and some before the start."""
+    n = F.col("trip_seq")
+    stop = F.when(n % 17 == 0, F.lit("never")).when(n % 19 == 0, F.lit("1/2/1999 3:04 pm")).otherwise(F.col("Stop Time"))
+    return clean.reject_counts(_messy(_events(spark, sf)).withColumn("Stop Time", stop))
+
+
 def row_cap(spark, sf):
     return clean.clean_trips(_raw(spark, sf), "strict", max_rows=500, ingest_ts_ms=STAMP) \
         .select("bike_id", "trip_seq", "started_at_ms", "shard")
@@ -304,12 +311,11 @@ def local_times(spark, sf):
 # --- logs, counts, comparison -----------------------------------------------------------------
 
 def _log_lines(matches: DataFrame) -> DataFrame:
-    """One readable line per match and one line without a match, as a log has."""
-    line = F.concat(F.lit("[match] #"), F.col("length_a").cast("string"), F.lit(" || bike="), F.col("bike_id"),
-                    F.lit(" end="), F.col("b_end").cast("string"), F.lit("  lenA="),
-                    F.col("length_a").cast("string"), F.lit(" || ok"))
-    noise = F.concat(F.lit("bike="), F.col("bike_id"), F.lit(" end= lenA=1"))
-    return matches.select(F.explode(F.array(line, noise)).alias("value"))
+    """Two lines a match, one that says all of it and one that lacks the end; both with other words around."""
+    says = F.format_string("%s INFO chain closed: bike=%s end=%d\tlenA=%d (%d trips)", F.timestamp_millis("b_ended_ms").cast("string"),
+                           "bike_id", "b_end", "length_a", F.col("length_a") + 1)
+    lacks = F.format_string("WARN bike=%s end=? lenA=%d", "bike_id", "length_a")
+    return matches.select(F.explode(F.array(says, lacks)).alias("value"))
 
 
 def _logged(spark, sf):
@@ -384,12 +390,28 @@ def newest_mean(spark, sf):
 
 def latency_series(spark, sf):
     """Two samples a time stamp, the later written wins; the last day is kept."""
-    twice = _samples(spark, sf).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(0)))) \
-        .withColumns({"seq": F.col("seq") * 2 + F.col("copy"), "latency_ms": F.col("latency_ms") + F.col("copy")})
-    kept = metrics.latency_series(twice, PathConfig(latency_retention_ms=24 * HOUR_MS))
+    kept = metrics.latency_series(_twice(spark, sf), RETAINED)
     return kept.select("shard", _ms("ts").alias("ts_ms"), "latency_ms")
 
 
+RETAINED = PathConfig(latency_retention_ms=24 * HOUR_MS, series_span_s=90 * 86_400)
+
+
+def _twice(spark, sf) -> DataFrame:
+    return _samples(spark, sf).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(0)))) \
+        .withColumns({"seq": F.col("seq") * 2 + F.col("copy"), "latency_ms": F.col("latency_ms") + F.col("copy")})
+
+
+def series_store(spark, sf):
+    """The same from the store: appended in two writes, compacted between them, read for the last day only."""
+    path = fresh_path(spark, "series")
+    twice = _twice(spark, sf)
+    for copy in (0, 1):
+        series.append_samples(twice.where(F.col("copy") == copy), path, RETAINED)
+        series.compact_samples(spark, path, replace(RETAINED, latency_retention_ms=1000 * 24 * HOUR_MS))
+    return series.read_samples(spark, path, RETAINED).select("shard", _ms("ts").alias("ts_ms"), "latency_ms")
+
+
 def newest_sample(spark, sf):
     return metrics.newest_sample(_samples(spark, sf)).select("shard", _ms("last_ts").alias("last_ms"),
                                                              "last_latency_ms")
@@ -824,6 +846,8 @@ QUERIES = {
     "latency_buckets": latency_buckets,
     "newest_mean": newest_mean,
     "latency_series": latency_series,
+    "series_store": series_store,
+    "reject_reasons": reject_reasons,
     "newest_sample": newest_sample,
     "slow_events": slow_events,
     "poll_news": poll_news,

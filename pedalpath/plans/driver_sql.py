@@ -255,6 +255,11 @@ SQL = {
         WHEN started_at_ms IS NULL THEN 'started_at_ms' WHEN ended_at_ms < started_at_ms THEN 'ends_before_start'
         END AS reject_reason FROM typed)
         SELECT reject_reason, count(*) AS n FROM judged WHERE reject_reason IS NOT NULL GROUP BY reject_reason""",
+    "reject_reasons": _with(_MESSY) + """, judged AS (SELECT CASE WHEN bike_id = '' THEN 'bike_id'
+        WHEN strict_start IS NULL THEN 'start_station_id' WHEN end_station_id IS NULL THEN 'end_station_id'
+        WHEN started_at_ms IS NULL THEN 'started_at_ms' WHEN trip_seq % 17 = 0 THEN 'ended_at_ms'
+        WHEN trip_seq % 19 = 0 OR ended_at_ms < started_at_ms THEN 'ends_before_start' END AS reject_reason FROM typed)
+        SELECT reject_reason, count(*) AS n FROM judged WHERE reject_reason IS NOT NULL GROUP BY reject_reason""",
     "row_cap": _with(_MESSY, _good("strict_start")) + f"""SELECT bike_id, trip_seq, started_at_ms,
         {_shard('bike_id', 10)} AS shard FROM good ORDER BY trip_seq LIMIT 500""",
     "parsed_ids": _with(_MESSY) + """SELECT trip_seq, strict_start AS strict_id, numeric_start AS numeric_id,
@@ -347,6 +352,7 @@ SQL = {
 _NO_INGEST = ", ".join(c for c in (x.strip() for x in _MATCH.split(",")) if not c.endswith("ingest_ts_ms"))
 SQL |= {
     "stream_late_bike": SQL["stream_hot_paths"],
+    "series_store": SQL["latency_series"],
     "month_arrival": _LONGEST + f"SELECT {_NO_INGEST} FROM longest",
     "stream_ingest_arrival": _LONGEST + f"SELECT {_NO_INGEST} FROM longest",
     "mixed_headers": _LONGEST + f"SELECT {_NO_INGEST} FROM longest",

@@ -76,10 +76,6 @@ def write_detail_sample(details: DataFrame, path: str, mode: str = "overwrite")
         drop_path(spark, kept)
 
 
-def write_latency(samples: DataFrame, path: str) -> None:
-    samples.write.mode("append").parquet(path)
-
-
 def mark_processed(trips: DataFrame, path: str) -> None:
     """Record the trips that are done, by sequence number."""
     trips.select("trip_seq").write.mode("append").parquet(path)

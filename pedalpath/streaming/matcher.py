@@ -19,13 +19,15 @@ from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..config import DEFAULT, PathConfig
-from ..functions.scalar import now_ms
+from ..functions.scalar import now_ms, shard_of
 from ..functions.shedding import shed_trips
 from ..operators import sequence
+from ..operators.metrics import event_latency
 from ..operators.ordered import by_key, find_hot_keys, running
 from ..plans import hot_paths as plans
 from ..schemas import MATCH
 from ..session import drop_path, fresh_path, ship_package
+from ..sources.series import append_samples
 from ..sources.sinks import as_text, stamped_matches
 from ..sources.trips import wire_reject_reason
 from .state import StateLog, batch_path
@@ -161,11 +163,12 @@ def match_batch(trips: DataFrame, chains: DataFrame, cfg: PathConfig, order: str
 
 
 def hot_path_sink(trips: DataFrame, path: str, state: str, checkpoint: str, cfg: PathConfig = DEFAULT, order: str = "time",
-                  emit_ts_ms: int | None = None) -> DataStreamWriter:
+                  emit_ts_ms: int | None = None, latency: str | None = None) -> DataStreamWriter:
     """Matches of a stream of typed trips as JSON Lines, a folder a batch, committed by batch number.
 
     Chains are kept in ``state``, one row a bike, of the length of a window at most. A trip is late only if its own bike has
-    been seen beyond it, however far other bikes are ahead. Bikes of any size in a batch are matched in pieces.
+    been seen beyond it, however far other bikes are ahead. Bikes of any size in a batch are matched in pieces. With
+    ``latency``, every trip's time from its ingest stamp to the batch's end goes to that store of samples (P8), at least once.
     """
     if cfg.min_a < 1:
         raise ValueError("the online matcher needs at least one trip before the final one")
@@ -190,6 +193,10 @@ def hot_path_sink(trips: DataFrame, path: str, state: str, checkpoint: str, cfg:
                 stored = other.submit(log.put, number, chains)
                 as_text(stamped_matches(found, emit_ts_ms)).write.mode("overwrite").json(batch_path(path, number))
                 stored.result()
+            if latency is not None:
+                done = F.lit(emit_ts_ms if emit_ts_ms is not None else int(time.time() * 1000)).cast("bigint")
+                sharded = rows.withColumn("shard", shard_of("bike_id", cfg.n_shards))
+                append_samples(event_latency(sharded, done), latency, cfg)
         finally:
             for place in held:
                 drop_path(spark, place)

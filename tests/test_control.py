@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pedalpath import PathConfig, attach_flag, backlog, overload_switch, shed
 from pedalpath.operators import metrics
 from pedalpath.operators.select import nth_by_group, smallest
-from pedalpath.sources import sinks
+from pedalpath.sources import series
 from pedalpath.schemas import BACKLOG, CHAIN, SHED_FLAGS
 from . import oracle
 from datetime import datetime, timedelta, timezone
@@ -104,7 +104,7 @@ def test_latency(spark):
 def test_event_latency_series(spark, tmp_path):
     trips = spark.createDataFrame([(0, 1_000, 1), (0, 5_000, 2), (1, 0, 3)],
                                   "shard int, ingest_ts_ms bigint, trip_seq bigint")
-    sinks.write_latency(metrics.event_latency(trips, F.lit(6_000).cast("bigint")), f"{tmp_path}/series")
+    series.append_samples(metrics.event_latency(trips, F.lit(6_000).cast("bigint")), f"{tmp_path}/series")
     back = spark.read.parquet(f"{tmp_path}/series")
     # two values at one time stamp: the one written last stays
     assert sorted((r.shard, r.latency_ms) for r in metrics.latency_series(back).collect()) == [(0, 1000.0), (1, 6000.0)]
@@ -138,3 +138,24 @@ def test_nth_by_group(spark):
     for n in (1, 2, 30):
         want = {g: sorted(v for x, v in rows if x == g)[n - 1] for g in "abcd" if sum(x == g for x, _ in rows) > n}
         assert {r.g: r.cut for r in nth_by_group(df, "g", "v", n, fan=16).collect()} == want
+
+
+def test_series_store_reads_what_is_retained(spark, tmp_path):
+    """Shards that ended at other times, two writes of a stamp, compaction; only the folders that matter are read."""
+    path = f"{tmp_path}/series"
+    rows = [(0, T0 + timedelta(hours=h), float(h), h) for h in range(30)] + [(1, T0 + timedelta(hours=h), 100.0 + h, h) for h in range(5)]
+    again = [(0, T0 + timedelta(hours=h), -float(h), 1000 + h) for h in range(25, 30)]
+    kind = "shard int, ts timestamp, latency_ms double, seq bigint"
+    cfg = PathConfig(latency_retention_ms=2 * 3_600_000)
+    assert series.read_samples(spark, path, cfg).collect() == []
+    want = [(0, -float(h)) for h in (27, 28, 29)] + [(1, 102.0), (1, 103.0), (1, 104.0)]
+    for part in (rows, again):
+        series.append_samples(spark.createDataFrame(part, kind), path, cfg)
+    for _ in range(2):
+        got = series.read_samples(spark, path, cfg)
+        assert sorted((r.shard, r.latency_ms) for r in got.orderBy("shard", "ts").collect()) == sorted(want)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [" in plan and "span" in plan.split("PartitionFilters: [")[1].split("]")[0]
+        series.compact_samples(spark, path, cfg)
+    # beyond the retention time nothing is left
+    assert {s: len(h) for s, h in series._spans(spark, path).items()} == {0: 3, 1: 3}
