@@ -33,15 +33,17 @@ def test_entry(spark):
 
 
 def test_one_shuffle(spark, events):
-    """Matching costs one shuffle of the trips; the late drop and the match share it."""
+    """Matching costs one shuffle of the trips; the late drop and the match share it. Listing all chains reads
+    the trips twice, and the pairs and the places they start at meet by (bike, place): four shuffles at most."""
     from pedalpath import hot_paths
     from pedalpath.plans.driver_trips import event_trips
     from pedalpath.session import written
     trips = written(event_trips(events, True), "trips")
-    for mode in ("longest", "all"):
+    for mode, shuffles in (("longest", 1), ("all", 4)):
         df = hot_paths(trips, mode)
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString()
         final = plan.split("== Initial Plan ==")[0]
-        assert final.count("Exchange hashpartitioning") - final.count("ReusedExchange") == 1
+        found = final.count("Exchange hashpartitioning") - final.count("ReusedExchange")
+        assert found == shuffles or mode == "all" and found <= shuffles
         assert "Exchange SinglePartition" not in final and "BatchEvalPython" not in final
