@@ -9,6 +9,7 @@ import pytest
 
 from pedalpath.llm import (chat_format, decontaminate, licenses, line_dedup, mixing, ngram_join, quality, span_dedup, toxicity,
                            url_filter)
+from pedalpath.llm.common import Scratch
 from . import brute
 
 #: columns after ``n_chars`` have the names of columns that operators use inside
@@ -157,8 +158,9 @@ def test_common_lengths(spark):
     rng = random.Random(5)
     texts = {i: [f"line number {rng.randint(0, 3)} of a text with several words" for _ in range(rng.randint(1, 9))] for i in range(8)}
     df = spark.createDataFrame([(i, "\n".join(x)) for i, x in texts.items()], "doc_id long, text string")
-    array, levels = line_dedup.suffix_array(line_dedup.line_numbers(df).cache())
-    found = {(r.doc, r.pos): r.lcp for r in line_dedup.common_lengths(array, levels).collect()}
+    with Scratch(spark, "lines") as scratch:
+        array, levels = line_dedup.suffix_array(line_dedup.line_numbers(df).cache(), scratch)
+        found = {(r.doc, r.pos): r.lcp for r in line_dedup.common_lengths(array, levels, scratch).collect()}
     suffixes = [(tuple(x[p:]), i, p) for i, x in texts.items() for p in range(len(x))]
     common = lambda a, b: next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
     longest = {(i, p): max(common(s, t) for t, j, q in suffixes if (i, p) != (j, q)) for s, i, p in suffixes}
