@@ -17,9 +17,9 @@ the connected components; every link between different sets is either checked or
 4. **Matrix.** A row per group: the union of its members' shingles, as bits of a fixed number of columns. A node of one
    group that shares a prefix shingle with another group is a query. The number of its shingles whose bit is set
    in that row is an upper bound of the overlap with any member. Groups that reach the overlap a link needs are opened:
-   the query is compared with the group's leader, and with those members that it may link to by what both share with the
-   leader and outside of it. Nodes of a shingle in very many groups, which would all ask each other, meet in the same
-   way around one leader of the shingle.
+   the query is compared with a base of the members of about its size, and with those members that it may link to,
+   found by a prefix filter over what either does not share with the base (``_by_base``). Nodes of a shingle in very
+   many groups, which would all ask each other, meet in the same way.
 
 Shingles are 64-bit hashes of words, sets 64-bit hashes of shingles.
 
@@ -38,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import ship_package
 from .common import LOWER, Scratch, bitmap_of, components, drop_written, in_bitmap, stored, texts, with_free_name
@@ -340,54 +340,86 @@ def _qualifying(queries: DataFrame, active: DataFrame, matrix: DataFrame, rules:
                 # overlap a link needs with the smallest member the sizes allow
                 least = max(int(least), -(-rules.percent * int(size) // 100))
                 keep.append((100 + rules.percent) * bound >= rules.percent * (int(size) + least))
-            yield pa.RecordBatch.from_arrays([batch["node"], batch["n"], batch["group"]], names=["node", "n", "group"]) \
+            yield pa.RecordBatch.from_arrays([batch[c] for c in ("node", "n", "group", "part")], names=["node", "n", "group", "part"]) \
                 .filter(pa.array(keep, pa.bool_()))
 
     joined = queries.join(matrix.select("group", "low", "bits"), "group") \
-        .join(active.select("node", "tokens"), "node").select("node", "n", "group", "low", "tokens", "bits")
-    return joined.mapInArrow(run, "node bigint, n bigint, `group` bigint")
+        .join(active.select("node", "tokens"), "node").select("node", "n", "group", "part", "low", "tokens", "bits")
+    return joined.mapInArrow(run, "node bigint, n bigint, `group` bigint, part bigint")
 
 
-def _by_leader(opened: DataFrame, members: DataFrame, active: DataFrame, scratch: Scratch, rules: JoinRules) -> DataFrame:
-    """Links (a, b) of queries with members of the groups they opened, by way of the groups' leaders.
+def _ring(n: Column) -> Column:
+    """Sizes in steps of two."""
+    return F.floor(F.log2(n.cast("double")))
 
-    For a query q, a member m and the leader L of its group, the overlap of q and m is at most that of q and L, and that of m
-    and L, and what q and m share outside L. A query that links to the leader is in the group. For any other, members come
-    into question whose size alone allows a link by the first two, found by ring (sizes within a hundredth), and members
-    that share enough shingles with it outside the leader, found by those. ``members`` is (group, node, leader).
+
+def _bases(members: DataFrame, active: DataFrame, sample: int = 15) -> DataFrame:
+    """(group, ring, base, n_base): the shingles that most of a few members of a group have. They decide cost, not results."""
+    key = ["group", "ring"]
+    few = members.select(*key, "node", F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64("node"), "node")).alias("no")) \
+        .where(F.col("no") <= sample).join(active.select("node", "tokens"), "node")
+    most = few.select(*key, F.explode("tokens").alias("token")).groupBy(*key, "token").agg(F.count("*").alias("n")) \
+        .join(few.groupBy(*key).agg(F.count("*").alias("of")), key).where("2 * n > of")
+    bases = most.groupBy(*key).agg(F.collect_list("token").alias("base"))
+    return members.select(*key).distinct().join(bases, key, "left").select(
+        *key, F.coalesce("base", F.array().cast("array<bigint>")).alias("base")).withColumn("n_base", F.size("base").cast("bigint"))
+
+
+def _by_base(members: DataFrame, asking: DataFrame | None, active: DataFrame, scratch: Scratch, rules: JoinRules) -> DataFrame:
+    """Links (a, b) of those who ask with members of the rings of groups they ask, enough of them to join what any link joins.
+
+    ``members`` and ``asking`` are (group, ring, node, part); without ``asking``, the members ask each other. All members of
+    a ring of sizes are compared with a base B of it. Let S be what a set and B do not share. Then |q & m| = |q & B| + |m & B|
+    - |B| + |Sq & Sm|. If the rest suffices with Sq & Sm empty, q and m link, and both so with the member that has most in
+    common with B: one link each joins all of these. Any other pair needs a number of elements in Sq & Sm, one at
+    least. In any order of the elements, one of the first ones of Sq is then one of the first ones of Sm, with enough elements
+    behind it in both. The order is by the pairs an element would make, so what many differ in from B comes last. Nodes of
+    one part are joined already, and do not meet.
     """
-    total, own = 100 + rules.percent, rules.percent
-    tokens = active.select(F.col("node").alias("of"), F.col("tokens").alias("set"), F.col("n").alias("size"))
-    lead = tokens.select(F.col("of").alias("leader"), F.col("set").alias("base"), F.col("size").alias("n_base"))
-    groups = members.select("group", "leader").distinct()
-    met = opened.join(groups, "group").join(tokens, F.col("node") == F.col("of")).join(lead, "leader")
-    both = F.size(F.array_intersect("set", "base")).cast("bigint")
-    met = scratch.put(met.select("node", "n", "group", "leader", "n_base", both.alias("both"), F.array_except("set", "base").alias("rest")), "met")
-    linked = 100 * F.col("both") >= own * (F.col("n") + F.col("n_base") - F.col("both"))
-    direct = met.where(linked).select(F.col("node").alias("a"), F.col("leader").alias("b"))
-    asking = met.where(~linked)
-    open_members = members.where("node <> leader").join(asking.select("group").distinct(), "group", "left_semi")
-    held = open_members.join(tokens, F.col("node") == F.col("of")).join(lead, "leader")
-    held = scratch.put(held.select("group", F.col("node").alias("b"), F.col("size").alias("m"), both.alias("m_both"),
-                                   F.array_except("set", "base").alias("m_rest")), "held")
-    ring = lambda size: F.floor(F.log(size.cast("double")) / F.log(F.lit(1.01)))
-    # m may have from own % of n up to what the overlap with the leader, or the sizes, allow
-    least = F.ceil(own * F.col("n") / 100)
-    most = F.least(F.floor(100 * F.col("n") / own), F.floor(F.lit(total) * F.col("both") / own) - F.col("n"))
-    sized = asking.select("node", "n", "group", least.alias("least"), most.alias("most")).where("most >= least")
-    sized = sized.withColumn("ring", F.explode(F.sequence(ring(F.col("least")), ring(F.col("most")))))
-    rings = held.select("group", "b", "m", "m_both", ring(F.col("m")).alias("ring"))
-    by_size = sized.join(rings, ["group", "ring"]).where(
-        F.col("m").between(F.col("least"), F.col("most")) & (total * F.col("m_both") >= own * (F.col("n") + F.col("m")))).select("node", "b")
-    # a link needs so many shared shingles outside the leader, with the smallest member the sizes allow; so one of the first ones
-    need = F.greatest(F.lit(1).cast("bigint"), F.ceil(own * (F.col("n") + F.ceil(own * F.col("n") / 100)) / total) - F.col("both"))
-    first = F.slice("rest", 1, F.greatest(F.lit(0), (F.size("rest") - need + 1).cast("int")))
-    asked = asking.select("node", "n", "group", F.explode(first).alias("token"))
-    known = held.select("group", "b", "m", F.explode("m_rest").alias("token"))
-    by_rest = asked.join(known, ["group", "token"]).where(_sizes_allow(F.col("n"), F.col("m"), F.col("m"), rules)).select("node", "b")
-    pairs = scratch.put(by_size.unionByName(by_rest).where("node <> b").distinct().select(F.col("node").alias("a"), "b"), "pairs")
-    scratch.drop(held)
-    return direct.unionByName(_verified(pairs, active, rules))
+    total, own, key = 100 + rules.percent, rules.percent, ["group", "ring"]
+    bases = scratch.put(_bases(members, active), "bases")
+    sets = active.select("node", "n", F.col("tokens").alias("set"))
+
+    def against(rows: DataFrame) -> DataFrame:
+        """With ``sure``: two nodes whose values sum up to ``total * n_base`` link whatever is in both S."""
+        more, less = F.array_except("set", "base"), F.array_except("base", "set")
+        seen = rows.join(bases, key).join(sets, "node").select(*key, "node", "part", "n", "n_base", more.alias("more"), less.alias("less"))
+        both = (F.col("n") - F.size("more")).cast("bigint")
+        return seen.select(*key, "node", "part", "n", "n_base", (total * both - own * F.col("n")).alias("sure"), F.concat("more", "less").alias("differs"))
+
+    held = scratch.put(against(members), "held")
+    met = held if asking is None else scratch.put(against(asking), "met")
+    best = held.groupBy(*key).agg(F.max_by("node", F.struct("sure", "node")).alias("best"), F.max("sure").alias("most"))
+    judged = met.join(best, key)
+    joined = F.col("sure") + F.col("most") >= total * F.col("n_base")
+    direct = judged.where(joined & (F.col("node") != F.col("best"))).select(F.col("node").alias("a"), F.col("best").alias("b"))
+    asked_by = judged.where(~joined).groupBy(*key).agg(F.max("sure").alias("asked_by"))
+
+    def needs(most: str) -> Column:
+        """The least number of elements in both S of a link with any node whose ``sure`` is up to ``most``; null if there is none."""
+        least = F.greatest(F.lit(1).cast("bigint"), F.ceil((total * F.col("n_base") - F.col("sure") - F.col(most)) / total))
+        return F.when(F.col(most).isNotNull() & (least <= F.size("differs")), least)
+
+    if asking is None:
+        roles = judged.join(asked_by, key).withColumns({"asks": F.when(~joined, needs("most")), "knows": needs("asked_by")})
+    else:
+        roles = judged.where(~joined).withColumns({"asks": needs("most"), "knows": F.lit(None).cast("bigint")}).drop("best", "most").unionByName(
+            held.join(asked_by, key).withColumns({"asks": F.lit(None).cast("bigint"), "knows": needs("asked_by")}).drop("asked_by"))
+    elements = roles.where("asks is not null or knows is not null").select(
+        *key, "node", "part", "n", "n_base", "sure", "asks", "knows", F.explode("differs").alias("token"))
+    weights = elements.groupBy(*key, "token").agg((F.count("asks") * F.count("knows")).alias("weight")).where("weight > 0")
+    # elements that one side lacks come before all others; ``left`` is how many there are from each on
+    of = Window.partitionBy(*key, "node").orderBy(F.desc("weight"), F.desc("token"))
+    first = elements.join(weights, [*key, "token"]).withColumn("left", F.row_number().over(of).cast("bigint")).where("left >= least(asks, knows)")
+    first = scratch.put(first.drop("weight"), "first")
+    known = first.where("left >= knows").select(*key, "token", *[F.col(c).alias(f"m_{c}") for c in ("node", "part", "n", "sure", "left")])
+    need = total * F.col("n_base") - F.col("sure") - F.col("m_sure")
+    pairs = first.where("left >= asks").join(known, [*key, "token"]).where(
+        (F.col("part") != F.col("m_part")) & (total * F.least("left", "m_left") >= need) & _sizes_allow(F.col("n"), F.col("m_n"), F.col("m_n"), rules))
+    pairs = scratch.put(pairs.select(F.greatest("node", "m_node").alias("a"), F.least("node", "m_node").alias("b")).distinct(), "pairs")
+    links = scratch.put(direct.unionByName(_verified(pairs, active, rules)), "links")
+    scratch.drop(bases, held, first, pairs, *([] if asking is None else [met]))
+    return links
 
 
 def _matrix_links(postings: DataFrame, groups: DataFrame, inside: DataFrame, active: DataFrame, scratch: Scratch, rules: JoinRules) -> DataFrame:
@@ -395,32 +427,37 @@ def _matrix_links(postings: DataFrame, groups: DataFrame, inside: DataFrame, act
     rows = postings.join(groups, "node").select("token", "node", "n", "group")
     mixed = rows.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("token")
     shared = scratch.put(rows.join(mixed, "token", "left_semi"), "shared")
-    # the leader of a group is the node with most links inside it; so is that of a shingle
+    # the leader of a shingle is the node with most links inside its group
     ends = inside.select(F.col("a").alias("node")).unionByName(inside.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("links"))
     central = F.struct(F.coalesce("links", F.lit(0)).alias("links"), "node")
     wide = shared.groupBy("token").agg(F.approx_count_distinct("group").alias("groups")).where(F.col("groups") > rules.crowd).select("token")
     crowd = shared.join(wide, "token", "left_semi").join(ends, "node", "left")
-    crowd = crowd.join(crowd.groupBy("token").agg(F.max_by("node", central).alias("leader")), "token")
-    near = scratch.put(crowd.select(F.col("leader").alias("group"), "node", "n").distinct(), "near")
-    around = near.select("group", "node", F.col("group").alias("leader"))
-    crowded = scratch.put(_by_leader(near.where(F.col("node") != F.col("group")), around, active, scratch, rules), "crowded")
+    # a node is also in the ring of the largest set it may link to, so those that may link are in one ring together
+    rings = F.array_distinct(F.array(_ring(F.col("n")), _ring(100 * F.col("n") / rules.percent)))
+    crowd = crowd.withColumn("ring", F.explode(rings))
+    crowd = crowd.join(crowd.groupBy("token", "ring").agg(F.max_by("node", central).alias("leader")), ["token", "ring"])
+    near = scratch.put(crowd.select(F.col("leader").alias("group"), "ring", "node", F.col("group").alias("part")).distinct(), "near")
+    parts = near.groupBy("group", "ring").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
+    crowded = _by_base(near.join(parts.select("group", "ring"), ["group", "ring"], "left_semi"), None, active, scratch, rules)
     rows = scratch.put(shared.join(wide, "token", "left_anti"), "open")
     scratch.drop(near)
     union = rows.groupBy("token", "group").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     # each two groups meet once: the nodes of the one with the larger number ask the other
     queries = rows.alias("q").join(union.alias("u"), "token") \
         .where((F.col("q.group") > F.col("u.group")) & _sizes_allow(F.col("q.n"), F.col("u.low"), F.col("u.high"), rules)) \
-        .select("q.node", "q.n", F.col("u.group").alias("group")).distinct()
+        .select("q.node", "q.n", F.col("q.group").alias("part"), F.col("u.group").alias("group")).distinct()
     queries = scratch.put(queries, "queries")
     scratch.drop(rows)
     asked = groups.join(queries.select("group").distinct(), "group", "left_semi")
     matrix = scratch.put(_matrix(asked, active), "matrix")
     opened = scratch.put(_qualifying(queries, active, matrix, rules), "opened")
     scratch.drop(matrix)
-    leader = asked.join(ends, "node", "left").groupBy("group").agg(F.max_by("node", central).alias("leader"))
-    members = scratch.put(asked.select("group", "node").join(leader, "group"), "members")
+    members = scratch.put(asked.join(opened.select("group").distinct(), "group", "left_semi").join(active.select("node", _ring(F.col("n")).alias("ring")), "node")
+                          .select("group", "ring", "node", F.col("group").alias("part")), "members")
+    rings = F.sequence(_ring(rules.percent * F.col("n") / 100), _ring(100 * F.col("n") / rules.percent))
+    asking = opened.withColumn("ring", F.explode(rings)).select("group", "ring", "node", "part")
     scratch.drop(queries)
-    links = scratch.put(_by_leader(opened, members, active, scratch, rules), "links")
+    links = _by_base(members, asking, active, scratch, rules)
     scratch.drop(opened, members, shared)
     return links.unionByName(crowded)
 
