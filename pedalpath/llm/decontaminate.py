@@ -22,6 +22,8 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import lru_cache
+from unicodedata import category
 
 import numpy as np
 import xxhash
@@ -43,6 +45,49 @@ _STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 #: Keeps hashes of literal windows apart from those of templates.
 _LITERAL = np.uint64(0xA5A5A5A5A5A5A5A5)
 
+#: Hash of a token: the sum of a value a character of it, lower-cased, times powers of an odd base, then mixed.
+_BASE = 0xF1357AEA2E62A9C5
+_M64 = (1 << 64) - 1
+#: Classes of characters: letters, digits, sentence breaks, signs that are units beside a digit.
+_LETTER, _DIGIT, _STOP, _SIGN = range(1, 5)
+#: Kinds of tokens by the class of their first character.
+_KIND = np.array([0, WORD, NUMBER, BREAK, UNIT], dtype=np.uint64)
+_SIGNS, _BEFORE, _JOINS = "%$£¥°€", "$£¥€", ".,:/"
+#: Characters whose lower case is two, or hangs on their neighbours: texts with them are read by the pattern.
+_ODD = ("\u0130", "\u03a3")
+
+
+def _mixed(x):
+    x = (x ^ (x >> np.uint64(32))) * _MIX
+    return (x ^ (x >> np.uint64(29))) & ~np.uint64(7)
+
+
+@lru_cache(1)
+def _tables() -> tuple[np.ndarray, ...]:
+    """By code point: its class, the value of its lower case, and whether it is an upper, a lower or title, and a digit to Python
+    but not to the pattern. Made once a worker."""
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    kind, value = np.zeros(0x110000, dtype=np.uint8), np.arange(1, 0x110001, dtype=np.uint64)
+    value = _mixed(value * _STEP) | np.uint64(1)
+    upper, low, figure = (np.zeros(0x110000, dtype=bool) for _ in range(3))
+    for found, c in ((re.findall(r"[^\W\d_]", every), _LETTER), (re.findall(r"\d", every), _DIGIT), (".!?\n", _STOP), (_SIGNS, _SIGN)):
+        kind[list(map(ord, found))] = c
+        if c == _LETTER:
+            at = np.array(list(map(ord, found)))
+            upper[at], low[at] = [x.isupper() for x in found], [x.islower() or category(x) == "Lt" for x in found]
+            figure[at] = [x.isdigit() for x in found]
+            turned = [x.lower() for x in found]
+            value[at] = value[[ord(y) if len(y) == 1 else ord(x) for x, y in zip(found, turned)]]
+    return kind, value, upper, low, figure
+
+
+def token_hash(token: str) -> int:
+    """The same as ``_Codes`` has for it; the lowest three bits are the kind's and zero here."""
+    total, power, value = 0, 1, _tables()[1]
+    for c in token.lower():
+        total, power = total + int(value[ord(c)]) * power, power * _BASE & _M64
+    return int(_mixed(np.array([total & _M64], dtype=np.uint64))[0])
+
 
 @dataclass(frozen=True)
 class LeakRules:
@@ -71,10 +116,64 @@ class _Known(dict):
         else:
             # words all in capitals are set so, and no names
             kind = CAPITAL if first.isupper() and not token.isupper() else WORD
-        self[token] = figure = xxhash.xxh3_64_intdigest(token.lower()) & ~7 | kind
+        self[token] = figure = token_hash(token) | kind
         return figure
 
 
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the base, and of its inverse."""
+    bases = np.empty((n, 2), dtype=np.uint64)
+    bases[0], bases[1:] = 1, (_BASE, pow(_BASE, -1, 1 << 64))
+    up, down = np.multiply.accumulate(bases, axis=0).T
+    return np.ascontiguousarray(up), np.ascontiguousarray(down)
+
+
+class _Codes:
+    """Tokens of texts, as ``_TOKEN`` finds them, from arrays of their characters: a text has no object a token."""
+
+    def __init__(self):
+        self.up, self.down = _powers(1 << 14)
+        self.units = np.array(sorted(map(token_hash, UNITS)), dtype=np.uint64)
+        #: says of a hash's highest bits whether a unit has them
+        self.may_be = np.zeros(1 << 16, dtype=bool)
+        self.may_be[self.units >> np.uint64(48)] = True
+
+    def of(self, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hash with the kind in the lowest three bits, start, end) of the tokens of a text, which comes as its code points."""
+        classes, values, upper, low, figure = _tables()
+        raw = raw.astype(np.intp)
+        if len(raw) > len(self.up):
+            self.up, self.down = _powers(1 << len(raw).bit_length())
+        # a place without a class on either side
+        kind = np.zeros(len(raw) + 2, dtype=np.uint8)
+        own = kind[1:-1]
+        own[:] = classes.take(raw)
+        digit = kind == _DIGIT
+        sign = np.flatnonzero(own == _SIGN)
+        if len(sign):
+            own[sign[~(digit[sign] | digit[sign + 2] & np.isin(raw[sign], list(map(ord, _BEFORE))))]] = 0
+        between = np.flatnonzero(digit[:-2] & digit[2:])
+        own[between[np.isin(raw[between], list(map(ord, _JOINS)))]] = _DIGIT
+        # a sign is a token of its own
+        signs = kind == _SIGN
+        changed = kind[1:] != kind[:-1]
+        start = np.flatnonzero((changed[:-1] | signs[1:-1]) & (own > 0))
+        end = np.flatnonzero((changed[1:] | signs[1:-1]) & (own > 0)) + 1
+        if not len(start):
+            return np.empty(0, dtype=np.uint64), start, end
+        total = _mixed(np.add.reduceat(values.take(raw) * self.up[:len(raw)] * (own > 0), start) * self.down[start])
+        head, first = own[start], raw[start]
+        kinds = _KIND[head]
+        capital = np.flatnonzero(upper[first])
+        if len(capital):  # words all in capitals are set so, and no names
+            lows = np.concatenate([[0], np.cumsum(low.take(raw))])
+            kinds[capital[lows[end[capital]] > lows[start[capital]]]] = CAPITAL
+        kinds[figure[first]] = NUMBER
+        unit = np.flatnonzero(self.may_be[total >> np.uint64(48)])
+        kinds[unit[(head[unit] == _LETTER) & np.isin(total[unit], self.units)]] = UNIT
+        return total | kinds, start, end
+
+
 class Templates:
     """Token sequences of texts; figures of a token are worked out once and kept for at most ``room`` tokens."""
 
@@ -82,8 +181,9 @@ class Templates:
         self.room = room
         #: token -> its hash, with the kind in the lowest three bits
         self.known = _Known()
+        self.codes = _Codes()
 
-    def of(self, text: bytes) -> tuple[np.ndarray, np.ndarray, "Tokens"]:
+    def of(self, text: bytes) -> tuple[np.ndarray, np.ndarray, "Tokens | Cuts"]:
         """Hashes, kinds (WORD, or the placeholder's) and tokens, without the sentence breaks."""
         plain, _, _, tokens = self.readings(text)
         return *plain, tokens
@@ -91,11 +191,17 @@ class Templates:
     def readings(self, text: bytes):
         """(hashes, kinds) with capitals at the start of a sentence as words, (hashes, kinds) with them as names, or None if
         there are none, hashes of the literal tokens, and the tokens."""
-        tokens = _TOKEN.findall(text.decode("utf-8", "replace"))
-        known = self.known
-        if len(known) > self.room:
-            known.clear()
-        code = np.fromiter(map(known.__getitem__, tokens), dtype=np.uint64, count=len(tokens))
+        written = text if text.isascii() else text.decode("utf-8", "replace")
+        if written is text:
+            code, first, last = self.codes.of(np.frombuffer(text, dtype=np.uint8))
+        elif not any(c in written for c in _ODD):
+            code, first, last = self.codes.of(np.frombuffer(written.encode("utf-32-le"), dtype=np.uint32))
+        else:
+            first = _TOKEN.findall(written)
+            known = self.known
+            if len(known) > self.room:
+                known.clear()
+            code = np.fromiter(map(known.__getitem__, first), dtype=np.uint64, count=len(first))
         kind = (code & np.uint64(7)).astype(np.int8)
         start = np.ones(len(code), dtype=bool)
         start[1:] = kind[:-1] == BREAK
@@ -105,7 +211,8 @@ class Templates:
         either = (named == CAPITAL) & start[places]
         kind = np.where(either, np.int8(WORD), named)
         plain, other = ((np.where(k == WORD, literal, k.astype(np.uint64)), k) for k in (kind, named))
-        return plain, other if either.any() else None, literal ^ _LITERAL, Tokens(tokens, places)
+        tokens = Tokens(first, places) if isinstance(first, list) else Cuts(written, first, last, places)
+        return plain, other if either.any() else None, literal ^ _LITERAL, tokens
 
 
 @dataclass(frozen=True)
@@ -119,6 +226,21 @@ class Tokens:
         return self.tokens[self.places[i]]
 
 
+@dataclass(frozen=True)
+class Cuts:
+    """The same, as places in the text."""
+
+    text: str | bytes
+    start: np.ndarray
+    end: np.ndarray
+    places: np.ndarray
+
+    def __getitem__(self, i: int) -> str:
+        at = self.places[i]
+        token = self.text[self.start[at]:self.end[at]]
+        return token if isinstance(token, str) else token.decode()
+
+
 def windows(h: np.ndarray, kind: np.ndarray, size: int, plain: float) -> np.ndarray:
     """Hash of every window, 0 where it has too few plain words."""
     if len(h) < size:
@@ -136,12 +258,21 @@ def _literal_windows(literal: np.ndarray, size: int) -> np.ndarray:
     return windows(literal, np.zeros(len(literal), dtype=np.int8), size, 0.0)
 
 
-def _slots(kind: np.ndarray, tokens: Tokens, at: int, size: int) -> list[str]:
+def _slots(kind: np.ndarray, tokens: Tokens | Cuts, at: int, size: int) -> list[str]:
     return [f"{kind[i]}{tokens[i].lower()}" for i in range(at, at + size) if kind[i] != WORD]
 
 
 def short_lines(templates: Templates, text: bytes, sizes: set[int]):
     """(size, place, hash) of the lines that have no more tokens than a short item: those items are whole lines or nothing."""
+    _, _, literal, tokens = templates.readings(text)
+    if isinstance(tokens, Cuts):  # no token but a break reaches over a line's end
+        written = tokens.text if isinstance(tokens.text, bytes) else tokens.text.encode("utf-32-le")
+        ends = np.flatnonzero(np.frombuffer(written, dtype=np.uint8 if written is tokens.text else np.uint32) == ord("\n"))
+        places = np.concatenate([[0], np.searchsorted(tokens.start[tokens.places], ends), [len(literal)]])
+        for i in np.flatnonzero(np.isin(np.diff(places), list(sizes))):
+            at, size = int(places[i]), int(places[i + 1] - places[i])
+            yield size, at, _literal_windows(literal[at:at + size], size)[0]
+        return
     at = 0
     for line in text.split(b"\n"):
         literal = templates.readings(line)[2]
