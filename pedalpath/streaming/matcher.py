@@ -1,8 +1,8 @@
 """The online matcher: one chain of recent trips per bike, kept from batch to batch.
 
 ``hot_path_sink`` runs a micro-batch as the batch plan over the stored chains and the new trips, all of it DataFrame
-operations; ``hot_path_stream`` walks trip by trip in Python, which shedding needs. Neither has a clock over all bikes
-unless one is asked for: whether a trip is late depends on its own bike only.
+operations; ``hot_path_stream`` walks trip by trip in Python, which shedding needs, many bikes to a call. Neither has a clock
+over all bikes unless one is asked for: whether a trip is late depends on its own bike only.
 """
 
 from __future__ import annotations
@@ -32,8 +32,12 @@ from ..sources.sinks import as_text, stamped_matches
 from ..sources.trips import wire_reject_reason
 from .state import StateLog, batch_path
 
-_STATE = ("starts array<bigint>, ends array<bigint>, started array<bigint>, ended array<bigint>, "
-          "last_ts bigint, last_end bigint")
+# State of a bucket of bikes: a bike's chain is the next ``sizes`` entries of the four lists of trips.
+_STATE = ("bikes array<string>, sizes array<int>, last_ts array<bigint>, last_end array<bigint>, starts array<bigint>, "
+          "ends array<bigint>, started array<bigint>, ended array<bigint>")
+# A call of a stateful group costs milliseconds however few rows it has, so bikes share groups. State is stored by bucket:
+# another number of them needs a new checkpoint.
+_BUCKETS = 4096
 _STRETCH = 65_536
 _FIELDS = ["start_station_id", "end_station_id", "started_at_ms", "ended_at_ms", "trip_seq", "ingest_ts_ms"]
 
@@ -68,42 +72,67 @@ def advance(chain: deque | None, last_ts: int, last_end: int, trip: tuple, activ
     return chain, ended, end, match
 
 
-def _bike_batch(cfg: PathConfig, order: str, emit_ts_ms: int | None):
+def _open_bucket(state: GroupState) -> dict[str, tuple]:
+    """bike -> (chain, last_ts, last_end) from a bucket's state."""
+    held, at = {}, 0
+    if state.exists:
+        bikes, sizes, last_ts, last_end, *trips = state.get
+        for bike, size, ts, end in zip(bikes, sizes, last_ts, last_end):
+            held[bike] = deque(zip(*[t[at:at + size] for t in trips])), ts, end
+            at += size
+    return held
+
+
+def _keep_bucket(state: GroupState, held: dict[str, tuple], cfg: PathConfig) -> None:
+    """Store the bucket's bikes, without those whose chain no later trip can reach."""
+    if cfg.watermark is not None:
+        # An idle chain is out of any later trip's window once the clock passes its last end + window.
+        clock = state.getCurrentWatermarkMs()
+        held = {bike: h for bike, h in held.items() if h[1] + cfg.window_ms >= clock}
+        if not held:
+            state.remove()
+            return
+        state.setTimeoutTimestamp(min(h[1] for h in held.values()) + cfg.window_ms + 1)
+    trips = [t for chain, _, _ in held.values() for t in chain]
+    state.update((list(held), [len(h[0]) for h in held.values()], [h[1] for h in held.values()], [h[2] for h in held.values()],
+                  *[[t[n] for t in trips] for n in range(4)]))
+
+
+def _bucket_batch(cfg: PathConfig, order: str, emit_ts_ms: int | None):
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
-            state.remove()
+            _keep_bucket(state, _open_bucket(state), cfg)
             return
         parts = [pdf for pdf in batches if len(pdf)]
         if not parts:
             return
-        rows = {f: np.concatenate([p[f].to_numpy() for p in parts]) for f in _FIELDS}
-        active = np.concatenate([p["active"].to_numpy() for p in parts])
+        rows = {f: np.concatenate([p[f].to_numpy() for p in parts]) for f in (*_FIELDS, "active", "stamped")}
+        of, bikes = pd.factorize(np.concatenate([p["bike_id"].to_numpy() for p in parts]))
         # Rows of one batch come in no set order.
         keys = (rows["trip_seq"], rows["ended_at_ms"], rows["started_at_ms"]) if order == "time" \
             else (rows["trip_seq"],)
-        turn = np.lexsort(keys)
-        chain, last_ts, last_end = None, 0, 0
-        if state.exists:
-            starts, ends, started, ended, last_ts, last_end = state.get
-            chain = deque(zip(map(int, starts), map(int, ends), map(int, started), map(int, ended)))
-            last_ts, last_end = int(last_ts), int(last_end)
-        found = []
+        turn = np.lexsort((*keys, of))
+        held = _open_bucket(state)
+        found, now = [], None
         # Python objects are made for a stretch of rows at a time; the batch itself stays in arrays.
         for at in range(0, len(turn), _STRETCH):
             some = turn[at:at + _STRETCH]
-            columns = [rows[f][some].tolist() for f in _FIELDS]
-            for start, end, begun, done, _, ingest, shedding in zip(*columns, active[some].tolist()):
+            columns = [rows[f][some].tolist() for f in (*_FIELDS, "active", "stamped")]
+            for bike, start, end, begun, done, _, ingest, shedding, stamped in zip(bikes[of[some]], *columns):
+                if bike != now:
+                    if now is not None:
+                        held[now] = chain, last_ts, last_end
+                    now = bike
+                    chain, last_ts, last_end = held.get(bike, (None, 0, 0))
                 chain, last_ts, last_end, match = advance(chain, last_ts, last_end, (start, end, begun, done),
                                                           bool(shedding), cfg)
                 if match:
-                    found.append((key[0], *match, ingest))
-        state.update(([t[0] for t in chain], [t[1] for t in chain], [t[2] for t in chain],
-                      [t[3] for t in chain], last_ts, last_end))
-        if cfg.watermark is not None:
-            # An idle chain is out of any later trip's window once the clock passes its last end + window.
-            state.setTimeoutTimestamp(max(last_ts + cfg.window_ms, state.getCurrentWatermarkMs()) + 1)
+                    found.append((bike, *match, ingest if stamped else None))
+        held[now] = chain, last_ts, last_end
+        _keep_bucket(state, held, cfg)
         if found:
-            out = pd.DataFrame(found, columns=MATCH.names[:-1])
+            # objects: a missing stamp must not turn the others into floats
+            out = pd.DataFrame(found, columns=MATCH.names[:-1], dtype=object)
             out["emit_ts_ms"] = emit_ts_ms if emit_ts_ms is not None else int(time.time() * 1000)
             yield out
 
@@ -116,7 +145,8 @@ def hot_path_stream(trips: DataFrame, cfg: PathConfig = DEFAULT, order: str = "t
 
     An ``active`` column, when there is one, turns shedding on for a trip's chain (T10). ``cfg.watermark`` bounds
     lateness over all bikes, and state goes when its window has passed it (T2); with None no trip is lost to other
-    bikes' clocks, and a bike's last chain stays. A batch of one bike is one group: the trigger bounds it.
+    bikes' clocks, and a bike's last chain stays. Bikes are walked in ``_BUCKETS`` groups by a hash, each of which keeps the
+    chains of its bikes; the trigger bounds a group's rows.
     """
     if cfg.min_a < 1:
         raise ValueError("the online matcher needs at least one trip before the final one")
@@ -126,11 +156,15 @@ def hot_path_stream(trips: DataFrame, cfg: PathConfig = DEFAULT, order: str = "t
     # Trips that lack a field or end before they start belong to the reject table, as in batch.
     usable = trips.where((F.col("ended_at_ms") >= F.col("started_at_ms")) & wire_reject_reason().isNull()).withColumn(
         "trip_seq", F.coalesce("trip_seq", F.lit(0).cast("bigint")))
-    rows = usable.select("bike_id", "started_at", "active", *_FIELDS)
-    timeout = GroupStateTimeout.NoTimeout
+    stamp = F.col("ingest_ts_ms")
+    rows = usable.withColumns({"bucket": F.pmod(F.xxhash64("bike_id"), F.lit(_BUCKETS)), "stamped": stamp.isNotNull(),
+                               "ingest_ts_ms": F.coalesce(stamp, F.lit(0).cast("bigint"))})
+    columns, timeout = ["bucket", "bike_id", "active", "stamped", *_FIELDS], GroupStateTimeout.NoTimeout
     if cfg.watermark is not None:
         rows, timeout = rows.withWatermark("started_at", cfg.watermark), GroupStateTimeout.EventTimeTimeout
-    return rows.groupBy("bike_id").applyInPandasWithState(_bike_batch(cfg, order, emit_ts_ms), MATCH, _STATE, "append", timeout)
+        columns.append("started_at")
+    return rows.select(*columns).groupBy("bucket").applyInPandasWithState(
+        _bucket_batch(cfg, order, emit_ts_ms), MATCH, _STATE, "append", timeout)
 
 
 _CHAINS = ("bike_id string, last_ts_ms bigint, last_end bigint, "

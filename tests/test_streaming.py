@@ -2,6 +2,7 @@
 
 import random
 from collections import deque
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -100,6 +101,46 @@ def test_idle_state_goes(spark, tmp_path):
     assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 1
 
 
+def test_bikes_share_groups(spark, tmp_path, monkeypatch):
+    """Many bikes, shed or not, over restarts: the matches of each bike's own walk, by far fewer stateful calls than bikes."""
+    monkeypatch.setattr(matcher, "_BUCKETS", 4, raising=False)
+    rng = random.Random(31)
+    trips = oracle.time_order([(f"bike{rng.randrange(60)}", *t[1:]) for t in random_trips(31, 900)])
+    active = lambda t: t[5] % 3 == 0
+    for name, cfg in {"oldest": PathConfig(shed_policy="drop_oldest"), "k": PathConfig(shed_policy="drop_k", shed_drop_k=1),
+                      "window": PathConfig(shed_policy="shrink_window", shed_window_ms=600_000)}.items():
+        cfg = replace(cfg, files_per_trigger=1, watermark=None, window_ms=24 * 3_600_000)
+        base = f"{tmp_path}/{name}"
+        for i in range(0, 900, 300):
+            land(spark, f"{base}/trips", trips[i:i + 300])
+            stream = streams.stream_trip_records(spark, f"{base}/trips", cfg, "parquet").withColumn("active", F.col("trip_seq") % 3 == 0)
+            query = sinks.run_available(sinks.stream_match_sink(hot_path_stream(stream, cfg, emit_ts_ms=1), f"{base}/out", f"{base}/ck"))
+            assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 4
+        walked = sorted((bike, *m) for bike, ts in oracle.by_bike(trips).items() for m, _ in walk(ts, cfg, active) if m)
+        assert walked and found(spark, base) == walked
+        assert walked != sorted((bike, *m) for bike, ts in oracle.by_bike(trips).items() for m, _ in walk(ts, cfg, lambda t: False) if m)
+
+
+def test_idle_bikes_leave_a_group(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(matcher, "_BUCKETS", 1, raising=False)
+    day = 24 * 3_600_000
+    for i, bike in enumerate("abc"):
+        land(spark, f"{tmp_path}/trips", [(bike, 1, 2, i * 3 * day, i * 3 * day + 1, i)])
+    run(spark, tmp_path)
+    state = spark.read.format("statestore").load(f"{tmp_path}/checkpoint")
+    assert [r.bikes for r in state.select("value.groupState.bikes").collect()] == [["c"]]
+
+
+def test_stamps_of_a_group_stay_whole(spark, tmp_path, monkeypatch):
+    """A bike without stamps does not round those of a bike in its group."""
+    monkeypatch.setattr(matcher, "_BUCKETS", 1, raising=False)
+    big = (1 << 53) + 1
+    rows = [(b, s, s + 1, s, s + 1, None if b == "x" else big, s) for b in "xy" for s in (5, 6)]
+    spark.createDataFrame(rows, COLS).coalesce(1).write.parquet(f"{tmp_path}/trips")
+    run(spark, tmp_path)
+    assert sorted((r.bike_id, r.ingest_ts_ms) for r in streams.read_matches(spark, f"{tmp_path}/out").collect()) == [("x", None), ("y", big)]
+
+
 def test_flag_joined_to_a_stream(spark, tmp_path):
     h = 60_000
     trips = [("x", i, i + 1, i * h, i * h + h, i) for i in range(6)] + [("x", 6, 7, 6 * h, 7 * h, 6)]
