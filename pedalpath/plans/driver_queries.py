@@ -611,15 +611,19 @@ def processed_marks(spark, sf):
 # --- streaming --------------------------------------------------------------------------------
 
 SLICE_ROWS = 10_000_000
+FILE_ROWS = 1_000_000
 
 
-def _arrive(source: DataFrame, at: str, folder: str, rows: int, least: int = 3) -> None:
-    """The rows as a folder of files that arrive in the order of ``at``: one file a slice of about ``SLICE_ROWS`` rows.
+def _arrive(source: DataFrame, at: str, folder: str, rows: int, least: int = 3) -> int:
+    """The rows as a folder of files that arrive in the order of ``at``, in slices of about ``SLICE_ROWS`` rows; files of a slice.
 
-    They are written once. A file stream takes files by their modification time, which is set in the order of the slices; with
-    one file a trigger, every slice is a micro-batch of the same size however large the table is.
+    They are written once. A file stream takes files by their modification time, which is set in the order of ``at``; with
+    a slice's files a trigger, every slice is a micro-batch of the same size however large the table is. A file has about
+    ``FILE_ROWS`` rows at most, so that a slice is written and read by several tasks.
     """
-    source.repartitionByRange(max(least, -(-rows // SLICE_ROWS)), at).write.parquet(folder)
+    slices = max(least, -(-rows // SLICE_ROWS))
+    files_each = max(1, -(-rows // (slices * FILE_ROWS)))
+    source.repartitionByRange(slices * files_each, at).write.parquet(folder)
     spark = source.sparkSession
     place = spark._jvm.org.apache.hadoop.fs.Path(folder)
     files = place.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -627,13 +631,14 @@ def _arrive(source: DataFrame, at: str, folder: str, rows: int, least: int = 3)
     first = files.getFileStatus(place).getModificationTime() - 1000 * len(parts)
     for n, part in enumerate(parts):
         files.setTimes(part, first + 1000 * n, -1)
+    return files_each
 
 
 def _stream_paths(spark, sf, overlapping, cfg, at="started_at_ms", flagged=None) -> DataFrame:
     trips, _ = _trips(spark, sf, overlapping)
     base = fresh_path(spark, "stream")
-    _arrive(trips.withColumn("_at", F.expr(at)), "_at", f"{base}/trips", _events(spark, sf).count())
-    stream = streams.stream_trip_records(spark, f"{base}/trips", replace(cfg, files_per_trigger=1), "parquet")
+    files_each = _arrive(trips.withColumn("_at", F.expr(at)), "_at", f"{base}/trips", _events(spark, sf).count())
+    stream = streams.stream_trip_records(spark, f"{base}/trips", replace(cfg, files_per_trigger=files_each), "parquet")
     if flagged is None:
         sinks.run_available(matcher.hot_path_sink(stream, f"{base}/matches", f"{base}/chains", f"{base}/checkpoint", cfg, emit_ts_ms=STAMP))
     else:
@@ -702,8 +707,8 @@ def stream_dedupe_again(spark, sf):
 def stream_latency(spark, sf):
     """All buckets, the newest ones still open at the end of the stream."""
     base = fresh_path(spark, "latency")
-    cfg = replace(BUCKETS, files_per_trigger=1)
-    _arrive(_samples(spark, sf).select("shard", "ts", "latency_ms"), "ts", f"{base}/in", _events(spark, sf).count(), 2)
+    files_each = _arrive(_samples(spark, sf).select("shard", "ts", "latency_ms"), "ts", f"{base}/in", _events(spark, sf).count(), 2)
+    cfg = replace(BUCKETS, files_per_trigger=files_each)
     samples = streams.stream_latency(spark, f"{base}/in", cfg)
     sinks.run_available(monitor.latency_sink(samples, f"{base}/out", f"{base}/checkpoint", cfg))
     return monitor.read_latency(spark, f"{base}/out").withColumn("mean_ms", F.round("mean_ms", 6))
@@ -712,8 +717,8 @@ def stream_latency(spark, sf):
 def stream_overload(spark, sf):
     base = fresh_path(spark, "overload")
     polls = _polls(spark, sf)
-    cfg = replace(_threshold(polls), files_per_trigger=1)
-    _arrive(polls, "ts", f"{base}/in", polls.count(), 2)
+    files_each = _arrive(polls, "ts", f"{base}/in", polls.count(), 2)
+    cfg = replace(_threshold(polls), files_per_trigger=files_each)
     flags = monitor.overload_stream(streams.stream_backlog(spark, f"{base}/in", cfg), cfg)
     sinks.run_available(flags.writeStream.format("parquet").outputMode("append")
                         .option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint"))

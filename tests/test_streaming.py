@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from pedalpath import (PathConfig, attach_flag, dedupe_sink, dedupe_stream, hot_path_sink, hot_path_stream, latency_sink,
                        latency_stream, overload_stream, read_latency)
+from pedalpath.plans import driver_queries
 from pedalpath.schemas import BACKLOG, LATENCY, MATCH, SHED_FLAGS
 from pedalpath.sources import sinks, streams
 from pedalpath.streaming import matcher
@@ -141,6 +142,19 @@ def test_stamps_of_a_group_stay_whole(spark, tmp_path, monkeypatch):
     assert sorted((r.bike_id, r.ingest_ts_ms) for r in streams.read_matches(spark, f"{tmp_path}/out").collect()) == [("x", None), ("y", big)]
 
 
+def test_a_slice_is_several_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(driver_queries, "SLICE_ROWS", 100)
+    monkeypatch.setattr(driver_queries, "FILE_ROWS", 30, raising=False)
+    rows = spark.range(300).select((300 - F.col("id")).alias("at"))
+    files_each = driver_queries._arrive(rows, "at", f"{tmp_path}/in", 300)
+    assert files_each == 4
+    stream = spark.readStream.schema("at bigint").option("maxFilesPerTrigger", files_each).parquet(f"{tmp_path}/in")
+    batches = []
+    sinks.run_available(stream.writeStream.foreachBatch(lambda df, n: batches.append(sorted(r["at"] for r in df.collect())))
+                        .option("checkpointLocation", f"{tmp_path}/ck"))
+    assert len(batches) == 3 and all(batches) and sum(batches, []) == list(range(1, 301))
+
+
 def test_flag_joined_to_a_stream(spark, tmp_path):
     h = 60_000
     trips = [("x", i, i + 1, i * h, i * h + h, i) for i in range(6)] + [("x", 6, 7, 6 * h, 7 * h, 6)]
