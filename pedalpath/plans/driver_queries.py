@@ -622,8 +622,7 @@ def _arrive(source: DataFrame, at: str, folder: str, rows: int, least: int = 3)
     ``FILE_ROWS`` rows at most, so that a slice is written and read by several tasks.
     """
     slices = max(least, -(-rows // SLICE_ROWS))
-    files_each = max(1, -(-rows // (slices * FILE_ROWS)))
-    source.repartitionByRange(slices * files_each, at).write.parquet(folder)
+    source.repartitionByRange(slices * max(1, -(-rows // (slices * FILE_ROWS))), at).write.parquet(folder)
     spark = source.sparkSession
     place = spark._jvm.org.apache.hadoop.fs.Path(folder)
     files = place.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -631,7 +630,8 @@ def _arrive(source: DataFrame, at: str, folder: str, rows: int, least: int = 3)
     first = files.getFileStatus(place).getModificationTime() - 1000 * len(parts)
     for n, part in enumerate(parts):
         files.setTimes(part, first + 1000 * n, -1)
-    return files_each
+    # counted as written, so the number of batches does not depend on how many files a write leaves
+    return max(1, -(-len(parts) // slices))
 
 
 def _stream_paths(spark, sf, overlapping, cfg, at="started_at_ms", flagged=None) -> DataFrame:
